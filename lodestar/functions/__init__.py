@@ -31,7 +31,7 @@ def bw_date(c, strict: bool = True) -> Column:
     non-strict maps unparsable text such as '00000000' to NULL."""
     if strict:
         return F.to_date(_col(c), BW_DATE_FORMAT)
-    return F.try_to_date(_col(c), F.lit(BW_DATE_FORMAT))
+    return F.try_to_date(_col(c), BW_DATE_FORMAT)
 
 
 def to_decimal(c, precision: int, scale: int) -> Column:
