@@ -53,6 +53,7 @@ def merge_keyed(
     on_match: dict[str, Callable[[Getter, Getter], Column]],
     on_insert: dict[str, Callable[[Getter], Column]],
     strategy: str = "auto",
+    materialized: bool = False,
 ) -> DataFrame:
     """MERGE of a delta with one row per key into ``active``.
 
@@ -62,7 +63,8 @@ def merge_keyed(
     target rows stay.  The result has the columns and types of ``active``."""
     schema = active.schema
     cols = active.columns
-    delta = materialize(delta)
+    if not materialized:
+        delta = materialize(delta)
     if strategy == "auto":
         strategy = "broadcast" if fits_broadcast(delta) else "shuffle"
     src_cols = [c for c in delta.columns if c not in keys]
@@ -121,20 +123,23 @@ def merge_keyed(
 # --------------------------------------------------------------------------- #
 # ACT1 standard
 # --------------------------------------------------------------------------- #
-def activate_standard(
+def reduce_standard(inbound: DataFrame, spec: EntitySpec, order: str = "numeric") -> DataFrame:
+    """The latest change of every key (AGG1), checkpointed: one row per key."""
+    spec.require_keys()
+    return materialize(latest_per_key(inbound, list(spec.keys), order))
+
+
+def apply_standard(
     active: DataFrame,
-    inbound: DataFrame,
+    latest: DataFrame,
     spec: EntitySpec,
     mode: str = "upsert",
-    order: str = "numeric",
     strategy: str = "auto",
 ) -> DataFrame:
-    """ACT1: latest record per key, deletes, replace or insert (see module doc)."""
-    spec.require_keys()
+    """ACT1 given the reduced delta (one row per key, from ``reduce_standard``)."""
     keys = list(spec.keys)
     cols = active.columns
     schema = active.schema
-    latest = materialize(latest_per_key(inbound, keys, order))
     if strategy == "auto":
         strategy = "broadcast" if fits_broadcast(latest.select(*keys)) else "shuffle"
     hint = _hint(strategy == "broadcast")
@@ -144,17 +149,29 @@ def activate_standard(
         return df.select(*_typed(schema, vals, cols))
 
     if mode == "upsert":
-        kept = active.join(hint(latest.select(*keys)), keys, "left_anti")
+        kept = active.join(hint(latest.select(*keys)), keys, "left_anti").select(*[_q(c) for c in cols])
         return kept.unionByName(as_target(latest.where(~is_delete("recordmode"))))
     if mode == "strict":
         del_keys = latest.where(is_delete("recordmode")).select(*keys)
-        kept = active.join(hint(del_keys), keys, "left_anti")
+        kept = active.join(hint(del_keys), keys, "left_anti").select(*[_q(c) for c in cols])
         matched = active.select(*keys).join(hint(latest.select(*keys)), keys, "left_semi")
         fresh = latest.join(hint(matched), keys, "left_anti")
         return kept.unionByName(as_target(fresh))
     raise ValueError(f"unknown mode {mode!r}")
 
 
+def activate_standard(
+    active: DataFrame,
+    inbound: DataFrame,
+    spec: EntitySpec,
+    mode: str = "upsert",
+    order: str = "numeric",
+    strategy: str = "auto",
+) -> DataFrame:
+    """ACT1: latest record per key, deletes, replace or insert (see module doc)."""
+    return apply_standard(active, reduce_standard(inbound, spec, order), spec, mode, strategy)
+
+
 # --------------------------------------------------------------------------- #
 # ACT2/ACT3 additive (cube, stock movements)
 # --------------------------------------------------------------------------- #
@@ -171,6 +188,27 @@ def _add(null_policy: str):
     raise ValueError(f"unknown null policy {null_policy!r}")
 
 
+def reduce_cube(inbound: DataFrame, spec: EntitySpec) -> DataFrame:
+    """Sums per key (AGG2), checkpointed: one row per key."""
+    spec.require_keys()
+    return materialize(sum_per_key(inbound, list(spec.keys), list(spec.figures)))
+
+
+def apply_cube(
+    active: DataFrame,
+    delta: DataFrame,
+    spec: EntitySpec,
+    null_policy: str = "zero",
+    stamp: dict[str, str] | None = None,
+    strategy: str = "auto",
+) -> DataFrame:
+    """ACT2 given the reduced delta (from ``reduce_cube``)."""
+    add = _add(null_policy)
+    on_match = {f: (lambda t, s, f=f: add(t(f), s(f))) for f in spec.figures}
+    on_insert = {c: (lambda s, v=v: F.lit(v)) for c, v in (stamp or {}).items()}
+    return merge_keyed(active, delta, list(spec.keys), on_match, on_insert, strategy, materialized=True)
+
+
 def activate_cube(
     active: DataFrame,
     inbound: DataFrame,
@@ -181,19 +219,37 @@ def activate_cube(
 ) -> DataFrame:
     """ACT2: sum per key; matched -> target + source per figure; else insert.
     ``stamp`` sets constant columns on inserted rows (ACT3: recordtp '2')."""
-    spec.require_keys()
-    keys, figures = list(spec.keys), list(spec.figures)
-    add = _add(null_policy)
-    delta = sum_per_key(inbound, keys, figures)
-    on_match = {f: (lambda t, s, f=f: add(t(f), s(f))) for f in figures}
-    on_insert = {c: (lambda s, v=v: F.lit(v)) for c, v in (stamp or {}).items()}
-    return merge_keyed(active, delta, keys, on_match, on_insert, strategy)
+    return apply_cube(active, reduce_cube(inbound, spec), spec, null_policy, stamp, strategy)
+
+
+MOVEMENT_STAMP = {"recordtp": "2"}
 
 
 def activate_movements(active: DataFrame, inbound: DataFrame, spec: EntitySpec, null_policy: str = "zero",
                        strategy: str = "auto") -> DataFrame:
     """ACT3: stock movements into table 2: a cube merge stamping recordtp '2'."""
-    return activate_cube(active, inbound, spec, null_policy, {"recordtp": "2"}, strategy)
+    return activate_cube(active, inbound, spec, null_policy, MOVEMENT_STAMP, strategy)
+
+
+def reduce_marker(inbound: DataFrame, spec: EntitySpec) -> DataFrame:
+    """Sums per stock key without the day, earliest day kept (AGG3), checkpointed."""
+    spec.require_keys()
+    return materialize(sum_per_stock_key(inbound, list(spec.keys), list(spec.figures), spec.day_col))
+
+
+def apply_marker(
+    marker: DataFrame,
+    delta: DataFrame,
+    spec: EntitySpec,
+    null_policy: str = "zero",
+    strategy: str = "auto",
+) -> DataFrame:
+    """ACT4 given the reduced delta (from ``reduce_marker``)."""
+    keys = spec.key_spec(drop=spec.day_col)
+    add = _add(null_policy)
+    on_match = {rec: (lambda t, s, rec=rec, iss=iss: add(t(rec), s(rec), -s(iss))) for rec, iss in spec.stock_pairs}
+    on_insert = {"recordtp": lambda s: F.lit("1")}
+    return merge_keyed(marker, delta, keys, on_match, on_insert, strategy, materialized=True)
 
 
 def activate_marker(
@@ -208,13 +264,7 @@ def activate_marker(
     Matched: receipt += (source receipt - source issue) for each pair; issues,
     day and record type unchanged.  Unmatched: raw sums, earliest day,
     recordtp '1'."""
-    spec.require_keys()
-    keys = spec.key_spec(drop=spec.day_col)
-    add = _add(null_policy)
-    delta = sum_per_stock_key(inbound, list(spec.keys), list(spec.figures), spec.day_col)
-    on_match = {rec: (lambda t, s, rec=rec, iss=iss: add(t(rec), s(rec), -s(iss))) for rec, iss in spec.stock_pairs}
-    on_insert = {"recordtp": lambda s: F.lit("1")}
-    return merge_keyed(marker, delta, keys, on_match, on_insert, strategy)
+    return apply_marker(marker, reduce_marker(inbound, spec), spec, null_policy, strategy)
 
 
 def stock_balance(marker: DataFrame, spec: EntitySpec) -> DataFrame:

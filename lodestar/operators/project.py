@@ -60,10 +60,11 @@ def sort_load(df: DataFrame, order: str | None) -> DataFrame:
 
 
 def layout_for_write(df: DataFrame, part_col: str | None, keys: list[str]) -> DataFrame:
-    """File layout before a write: cluster by partition column, sort by key
+    """File layout before a write: cluster by partition column (a rebalance,
+    so AQE splits a hot partition value over several tasks), sort by key
     inside tasks (statistics-friendly files without a global sort)."""
     if part_col:
-        df = df.repartition(part_col)
+        df = df.hint("rebalance", part_col)
     return df.sortWithinPartitions(*keys) if keys else df
 
 

@@ -10,6 +10,8 @@ snapshot are excluded on a rerun.  Inbound rows are cleared last.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,14 +20,15 @@ from lodestar.operators import activate as act
 from lodestar.operators.checks import standard_checks
 from lodestar.operators.dims import attribute_tables, load_master
 from lodestar.operators.project import project
-from lodestar.operators.sizing import join_small
+from lodestar.operators.sizing import fits_broadcast, join_small
 from lodestar.sources.files import read_source, source_files
 from lodestar.sources.ledger import ledger_append, ledger_reset, unprocessed
 from lodestar.sources.publish import publish_checked
-from lodestar.sources.store import Store
+from lodestar.sources.store import Store, month_of
 from lodestar.spec import EntitySpec
 
 ACT_LEDGER = "activation_ledger"
+NULL_MONTH = "__HIVE_DEFAULT_PARTITION__"  # folder name Spark gives a NULL partition value
 ACT_SCHEMA = T.StructType(
     [
         T.StructField("target", T.StringType()),
@@ -104,35 +107,79 @@ def _pending(store: Store, inbound: DataFrame, target: str) -> DataFrame:
     return join_small(inbound, _activated(store, target), ["reqtsn"], "left_anti")
 
 
-def _publish_target(store: Store, target: str, new_rows: DataFrame, pending: DataFrame) -> None:
-    nxt = max(store.snapshots(target) or [0]) + 1
+def touched_months(active: DataFrame, delta: DataFrame, keys: list[str], date_col: str, small: bool) -> list[str]:
+    """Months whose rows an activation can change: the months of the delta
+    rows, plus, when the day is not part of the key, the months of the active
+    rows whose key the delta hits (a column-pruned scan of key and day, joined
+    to the delta keys: broadcast when measured small, else shuffled).  At most
+    one value per calendar month reaches the driver."""
+    m = F.coalesce(month_of(date_col), F.lit(NULL_MONTH)).alias("m")
+    parts = [delta.select(m)]
+    if date_col not in keys:
+        dkeys = delta.select(*keys)
+        hit = active.select(*keys, date_col).join(F.broadcast(dkeys) if small else dkeys, keys, "left_semi")
+        parts.append(hit.select(m))
+    u = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return sorted(r["m"] for r in u.distinct().collect())
+
+
+def _activate_into(
+    store: Store,
+    target: str,
+    delta: DataFrame,
+    keys: list[str],
+    bcast_cols: list[str],
+    apply: Callable[[DataFrame, str], DataFrame],
+    pending: DataFrame,
+) -> None:
+    """Merge a reduced delta into ``target`` and publish a new snapshot.
+
+    A month-partitioned target whose day column the delta carries is read and
+    rewritten only for the touched months; every other month keeps its files.
+    Before the snapshot is written, the requests it absorbs are recorded in the
+    activation ledger under its number (exactly once, Q6)."""
+    small = fits_broadcast(delta.select(*bcast_cols))
+    strategy = "broadcast" if small else "shuffle"
+    part = store.partition_date(target)
+    nxt = store.next_snapshot(target)
     reqs = pending.select("reqtsn").distinct().select(
         F.lit(target).alias("target"), F.lit(nxt).alias("snapshot"), "reqtsn")
-    store.append(ACT_LEDGER, reqs)
-    store.replace(target, new_rows, keep_meta=True)
+    if part and part in delta.columns:
+        months = touched_months(store.read(target), delta, keys, part, small)
+        new_rows = apply(store.read(target, months=months), strategy)
+        store.append(ACT_LEDGER, reqs)
+        store.replace_months(target, new_rows, months)
+    else:
+        new_rows = apply(store.read(target), strategy)
+        store.append(ACT_LEDGER, reqs)
+        store.replace(target, new_rows, keep_meta=True)
 
 
-def merge12(store: Store, spec: EntitySpec, **kw) -> None:
+def merge12(store: Store, spec: EntitySpec, mode: str = "upsert", order: str = "numeric",
+            null_policy: str = "zero") -> None:
     """Activate table 1 into 2 (and 5 for stock), then clear table 1."""
     spec.require_keys()
+    keys = list(spec.keys)
     inbound = store.read(tname(spec, "1"))
     t2 = tname(spec, "2")
     pending2 = _pending(store, inbound, t2).checkpoint(eager=True)
-    active = store.read(t2)
     if spec.kind == "standard":
-        new2 = act.activate_standard(active, pending2, spec, **kw)
-    elif spec.kind == "cube":
-        new2 = act.activate_cube(active, pending2, spec, **kw)
-    elif spec.kind == "ncum":
-        new2 = act.activate_movements(active, pending2, spec, **kw)
+        latest = act.reduce_standard(pending2, spec, order)
+        _activate_into(store, t2, latest, keys, keys,
+                       lambda a, s: act.apply_standard(a, latest, spec, mode, s), pending2)
+    elif spec.kind in ("cube", "ncum"):
+        stamp = act.MOVEMENT_STAMP if spec.kind == "ncum" else None
+        sums = act.reduce_cube(pending2, spec)
+        _activate_into(store, t2, sums, keys, sums.columns,
+                       lambda a, s: act.apply_cube(a, sums, spec, null_policy, stamp, s), pending2)
     else:
         return
-    _publish_target(store, t2, new2, pending2)
     if spec.kind == "ncum":
         t5 = tname(spec, "5")
         pending5 = _pending(store, inbound, t5).checkpoint(eager=True)
-        new5 = act.activate_marker(store.read(t5), pending5, spec, **kw)
-        _publish_target(store, t5, new5, pending5)
+        msums = act.reduce_marker(pending5, spec)
+        _activate_into(store, t5, msums, spec.key_spec(drop=spec.day_col), msums.columns,
+                       lambda a, s: act.apply_marker(a, msums, spec, null_policy, s), pending5)
     store.truncate(tname(spec, "1"))
 
 

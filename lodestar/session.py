@@ -3,7 +3,9 @@
 Everything that must be materialised (checkpoints, staged loads, fixture
 extracts, published tables) lives below the folder the cluster names in
 ``spark.checkpoint.dir``.  The library only *reads* that setting; a folder of
-our own is set only when the session has none (local tests, bench).
+our own is set only when the session has none and runs in one process
+(``local[...]``: tests, bench).  On a cluster an unset folder is an error,
+never a machine-local temporary folder.
 """
 
 from __future__ import annotations
@@ -25,6 +27,12 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # Spark Connect has no SparkContext
             root = None
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
+            raise RuntimeError(
+                f"{CHECKPOINT_KEY} is not set: name a folder every executor can reach "
+                "(HDFS or object store) in the session configuration")
+        # single-process session (tests, bench): a folder of our own is shared by all tasks
         root = tempfile.mkdtemp(prefix="lodestar-ckpt-")
         spark.conf.set(CHECKPOINT_KEY, root)
     try:

@@ -1,26 +1,40 @@
-"""Path tables with snapshot folders (SNK1-5, SNK3 drop, PUB2 state reads).
-
-A table is ``<root>/<name>/``; each create / replace / truncate writes a new
-snapshot folder ``v<seq>`` and appends go into the newest one.  A snapshot
-counts once Spark's job commit has written its ``_SUCCESS`` marker, so a
-failed write is never read and the previous snapshot stays current: a replace
-never overwrites the folder it reads from.  Older snapshots remain readable
-(state as of an earlier load) until dropped.  Tables partitioned by month
-carry a derived ``calmonth_p`` ('yyyyMM') folder column, which readers can
-prune on and which is dropped from results.
+"""Path tables with manifest snapshots (SNK1-5, SNK3 drop, PUB2 state reads).
+
+A table is a folder ``<root>/<name>/``:
+
+* ``data/<write-id>/`` holds the files of one write, never touched again;
+  tables partitioned by month write one ``calmonth_p=<yyyyMM>`` sub-folder per
+  month (a derived folder column, dropped from results).
+* ``_snapshots/v<seq>.json`` is a snapshot: the schema, the partition date and
+  the list of data folders (with their month) that make up the table.
+
+Every create / replace / append / truncate writes its rows to a fresh data
+folder first and then commits a new manifest by renaming it into place, so a
+failed or half-written job is never read and the previous snapshot stays
+current.  A replace never overwrites what it reads.  ``replace_months`` swaps
+only the folders of the given months, so activating a delta that touches a
+few months rewrites those months and reuses every other folder as it is.
+Older snapshots stay readable (state as of an earlier load) until the table
+is dropped.  Only folder names travel through the driver, never rows.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PART_COL = "calmonth_p"
-_SNAP = re.compile(r"^v(\d{6})$")
+_SNAP = re.compile(r"^v(\d{6})\.json$")
+
+
+def month_of(c) -> F.Column:
+    """Partition value of a DATE column: 'yyyyMM'."""
+    return F.date_format(F.col(c) if isinstance(c, str) else c, "yyyyMM")
 
 
 class Store:
@@ -41,7 +55,7 @@ class Store:
 
     def _write_text(self, path: str, text: str) -> None:
         fs, p = self._fs(path)
-        out = fs.create(p, True)
+        out = fs.create(p, False)
         out.write(bytearray(text.encode("utf-8")))
         out.close()
 
@@ -54,92 +68,137 @@ class Store:
         finally:
             stream.close()
 
+    def _subdirs(self, path: str) -> list[str]:
+        fs, p = self._fs(path)
+        if not fs.exists(p):
+            return []
+        return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
+
     # ------------------------------------------------------------------ meta
     def table_path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _meta(self, name: str) -> dict:
-        return json.loads(self._read_text(f"{self.table_path(name)}/_meta.json"))
+    def _snap_file(self, name: str, seq: int) -> str:
+        return f"{self.table_path(name)}/_snapshots/v{seq:06d}.json"
 
     def snapshots(self, name: str) -> list[int]:
-        tp = self.table_path(name)
-        if not self._exists(tp):
+        fs, p = self._fs(f"{self.table_path(name)}/_snapshots")
+        if not fs.exists(p):
             return []
-        fs, p = self._fs(tp)
         out = []
         for st in fs.listStatus(p):
             m = _SNAP.match(st.getPath().getName())
-            if m and st.isDirectory() and fs.exists(st.getPath().suffix("/_SUCCESS")):
+            if m:
                 out.append(int(m.group(1)))
         return sorted(out)
 
+    def _manifest(self, name: str, snapshot: int | None = None) -> dict:
+        snaps = self.snapshots(name)
+        if not snaps:
+            raise FileNotFoundError(f"table {name} has no committed snapshot under {self.root}")
+        seq = snapshot if snapshot is not None else snaps[-1]
+        return json.loads(self._read_text(self._snap_file(name, seq)))
+
     def exists(self, name: str) -> bool:
         return bool(self.snapshots(name))
 
     def schema(self, name: str) -> T.StructType:
-        return T.StructType.fromJson(json.loads(self._meta(name)["schema"]))
+        return T.StructType.fromJson(json.loads(self._manifest(name)["schema"]))
 
     def partition_date(self, name: str) -> str | None:
-        return self._meta(name).get("partition_date")
-
-    def _snap_path(self, name: str, seq: int) -> str:
-        return f"{self.table_path(name)}/v{seq:06d}"
+        return self._manifest(name).get("partition_date")
+
+    def months(self, name: str) -> list[str]:
+        """Months present in the current snapshot (from the manifest)."""
+        return sorted({e["month"] for e in self._manifest(name)["folders"] if e["month"] is not None})
+
+    def next_snapshot(self, name: str) -> int:
+        return max(self.snapshots(name) or [0]) + 1
+
+    def _commit(self, name: str, schema: T.StructType, partition_date: str | None, folders: list[dict]) -> int:
+        """Publish a snapshot: write the manifest aside, then rename it into place."""
+        seq = self.next_snapshot(name)
+        final = self._snap_file(name, seq)
+        tmp = f"{self.table_path(name)}/_snapshots/.tmp-{uuid.uuid4().hex}"
+        self._write_text(tmp, json.dumps({"schema": schema.json(), "partition_date": partition_date,
+                                          "folders": folders}))
+        fs, p_tmp = self._fs(tmp)
+        _, p_final = self._fs(final)
+        if fs.exists(p_final) or not fs.rename(p_tmp, p_final):
+            fs.delete(p_tmp, False)
+            raise RuntimeError(f"concurrent commit on table {name}: snapshot {seq} exists")
+        return seq
 
     # ------------------------------------------------------------------ read
     def read(self, name: str, snapshot: int | None = None, months: list[str] | None = None) -> DataFrame:
-        snaps = self.snapshots(name)
-        if not snaps:
-            raise FileNotFoundError(f"table {name} has no committed snapshot under {self.root}")
-        seq = snapshot if snapshot is not None else snaps[-1]
-        schema = self.schema(name)
-        part = self.partition_date(name)
-        read_schema = T.StructType(schema.fields + [T.StructField(PART_COL, T.StringType())]) if part else schema
-        df = self.spark.read.schema(read_schema).format(self.fmt).load(self._snap_path(name, seq))
-        if part:
-            if months is not None:
-                df = df.where(F.col(PART_COL).isin(list(months)))
-            df = df.drop(PART_COL)
-        return df
+        """Rows of a snapshot (the latest by default); ``months`` keeps only the
+        folders of those months (pruning on the manifest, no file is opened)."""
+        man = self._manifest(name, snapshot)
+        schema = T.StructType.fromJson(json.loads(man["schema"]))
+        folders = man["folders"]
+        if months is not None:
+            want = set(months)
+            folders = [e for e in folders if e["month"] in want]
+        paths = [f"{self.table_path(name)}/{e['path']}" for e in folders]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).format(self.fmt).load(paths)
 
     # ------------------------------------------------------------------ write
-    def _prepare(self, df: DataFrame, part: str | None) -> DataFrame:
-        if part:
-            df = df.withColumn(PART_COL, F.date_format(F.col(part), "yyyyMM"))
-            # cluster rows of one month into few tasks: one file per month and task
-            df = df.repartition(PART_COL)
-        return df
-
-    def _write(self, df: DataFrame, path: str, part: str | None, mode: str) -> None:
-        w = self._prepare(df, part).write.mode(mode).option("compression", "zstd")
+    def _write_data(self, name: str, df: DataFrame, part: str | None) -> list[dict]:
+        """Write rows to a fresh data folder; return its folder entries."""
+        rel = f"data/{uuid.uuid4().hex}"
+        path = f"{self.table_path(name)}/{rel}"
         if part:
-            w = w.partitionBy(PART_COL)
-        w.format(self.fmt).save(path)
+            # Cluster rows of one month, but let AQE split a hot month over
+            # several tasks (rebalance, not repartition: no one-task months).
+            df = df.withColumn(PART_COL, month_of(part)).hint("rebalance", PART_COL)
+            df.write.mode("errorifexists").option("compression", "zstd").partitionBy(PART_COL) \
+                .format(self.fmt).save(path)
+            out = []
+            for d in self._subdirs(path):
+                if d.startswith(f"{PART_COL}="):
+                    out.append({"month": d.split("=", 1)[1], "path": f"{rel}/{d}"})
+            return out
+        df.write.mode("errorifexists").option("compression", "zstd").format(self.fmt).save(path)
+        return [{"month": None, "path": rel}]
+
+    def _typed(self, df: DataFrame, schema: T.StructType) -> DataFrame:
+        return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
     def replace(self, name: str, df: DataFrame, partition_date: str | None = None, keep_meta: bool = False) -> int:
-        """CREATE OR REPLACE with content: writes a new snapshot, returns its number."""
-        snaps = self.snapshots(name)
-        if keep_meta and snaps:
+        """CREATE OR REPLACE with content: a new snapshot of these rows only."""
+        if keep_meta and self.exists(name):
             partition_date = self.partition_date(name)
-        seq = (snaps[-1] + 1) if snaps else 1
-        self._write_text(
-            f"{self.table_path(name)}/_meta.json",
-            json.dumps({"schema": df.schema.json(), "partition_date": partition_date}),
-        )
-        self._write(df, self._snap_path(name, seq), partition_date, "errorifexists")
-        return seq
+        folders = self._write_data(name, df, partition_date)
+        return self._commit(name, df.schema, partition_date, folders)
+
+    def replace_months(self, name: str, df: DataFrame, months: list[str]) -> int:
+        """Replace the rows of ``months`` by ``df`` and keep every other month.
+
+        ``df`` must only hold rows of ``months`` (the caller derives the months
+        from the rows it changes); a month left without rows disappears."""
+        man = self._manifest(name)
+        part = man["partition_date"]
+        if not part:
+            raise ValueError(f"table {name} is not partitioned by month")
+        schema = T.StructType.fromJson(json.loads(man["schema"]))
+        drop = set(months)
+        kept = [e for e in man["folders"] if e["month"] not in drop]
+        new = self._write_data(name, self._typed(df, schema), part)
+        return self._commit(name, schema, part, kept + new)
 
     def create(self, name: str, schema: T.StructType, partition_date: str | None = None) -> int:
         """SNK2: create or replace an empty table."""
-        return self.replace(name, self.spark.createDataFrame([], schema), partition_date)
-
-    def append(self, name: str, df: DataFrame) -> None:
-        """SNK1: insert by name into the current snapshot."""
-        snaps = self.snapshots(name)
-        if not snaps:
-            raise FileNotFoundError(f"table {name} does not exist")
-        schema = self.schema(name)
-        df = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
-        self._write(df, self._snap_path(name, snaps[-1]), self.partition_date(name), "append")
+        return self._commit(name, schema, partition_date, [])
+
+    def append(self, name: str, df: DataFrame) -> int:
+        """SNK1: insert by name: the current folders plus one new write."""
+        man = self._manifest(name)
+        schema = T.StructType.fromJson(json.loads(man["schema"]))
+        part = man["partition_date"]
+        new = self._write_data(name, self._typed(df, schema), part)
+        return self._commit(name, schema, part, man["folders"] + new)
 
     def truncate(self, name: str) -> int:
         """SNK4: delete all rows (a new empty snapshot, same schema)."""
