@@ -216,6 +216,17 @@ def q_delete_all(spark, sf):
     return store.read("orders_t")
 
 
+@register("drop_create", f"{ORDERS_SQL} WHERE o_orderstatus = 'P'")
+def q_drop_create(spark, sf):
+    store = _orders_store(spark, sf)
+    o = orders_typed(spark, sf)
+    store.append("orders_t", o)
+    store.dropcreate("orders_t", o.schema, partition_date="o_orderdate")  # SNK3: data gone, table new
+    assert store.snapshots("orders_t") == [1]
+    store.append("orders_t", o.where(F.col("o_orderstatus") == "P"))
+    return store.read("orders_t")
+
+
 DEL_COND = "o_totalprice > 100000 AND o_orderstatus = 'O'"
 
 
@@ -482,7 +493,7 @@ def q_activate_movements(spark, sf):
     return act.activate_movements(a, ex.inbound(spark, sf, "stock", "after"), fx.STOCK)
 
 
-def _marker_sql() -> str:
+def _marker_sql(strict: bool = False) -> str:
     grp = f"SELECT {STOCK_K5}, min(calday) AS calday, {stock_sums()}, 1 AS _p FROM ({fx.STOCK_INBOUND_SQL}) s"
     a = f"{grp} WHERE calday < {CUT_D} GROUP BY {STOCK_K5}"
     d = f"{grp} WHERE calday >= {CUT_D} GROUP BY {STOCK_K5}"
@@ -493,8 +504,11 @@ def _marker_sql() -> str:
         typ = "DECIMAL(17,3)" if f.endswith("bu") else "DECIMAL(17,2)"
         if f in pairs:
             iss = pairs[f]
-            upd = (f"CASE WHEN a.{f} IS NULL AND d.{f} IS NULL AND d.{iss} IS NULL THEN NULL "
-                   f"ELSE coalesce(a.{f}, 0) + coalesce(d.{f}, 0) - coalesce(d.{iss}, 0) END")
+            if strict:  # NULL propagates (Q5 as the configured merge runs)
+                upd = f"a.{f} + d.{f} - d.{iss}"
+            else:
+                upd = (f"CASE WHEN a.{f} IS NULL AND d.{f} IS NULL AND d.{iss} IS NULL THEN NULL "
+                       f"ELSE coalesce(a.{f}, 0) + coalesce(d.{f}, 0) - coalesce(d.{iss}, 0) END")
         else:
             upd = f"a.{f}"
         cols.append(f"CAST(CASE WHEN {both} THEN {upd} WHEN a._p IS NOT NULL THEN a.{f} ELSE d.{f} END AS {typ}) AS {f}")
@@ -513,6 +527,12 @@ def q_activate_marker(spark, sf):
     return act.activate_marker(m, ex.inbound(spark, sf, "stock", "after"), fx.STOCK)
 
 
+@register("activate_marker_strict", f"SELECT {STOCK_OUT} FROM ({_marker_sql(strict=True)}) m")
+def q_activate_marker_strict(spark, sf):
+    m = ex.initial_state(spark, sf, "stock", "5")
+    return act.activate_marker(m, ex.inbound(spark, sf, "stock", "after"), fx.STOCK, null_policy="strict")
+
+
 @register("stock_balance", f"""SELECT {STOCK_K5},
   CAST(sum(coalesce(altstrepv, 0) - coalesce(altstispv, 0)) AS DECIMAL(17,2)) AS altstrepv_bal,
   CAST(sum(coalesce(cptstrebu, 0) - coalesce(cptstisbu, 0)) AS DECIMAL(17,3)) AS cptstrebu_bal,

@@ -159,27 +159,32 @@ def merge12(store: Store, spec: EntitySpec, mode: str = "upsert", order: str = "
             null_policy: str = "zero") -> None:
     """Activate table 1 into 2 (and 5 for stock), then clear table 1."""
     spec.require_keys()
+    if spec.kind not in ("standard", "cube", "ncum"):
+        return  # any other kind has nothing to activate
     keys = list(spec.keys)
+    # The inbound snapshot's files are immutable, so re-reading it is
+    # deterministic: only the reduced delta is checkpointed.
     inbound = store.read(tname(spec, "1"))
     t2 = tname(spec, "2")
-    pending2 = _pending(store, inbound, t2).checkpoint(eager=True)
-    if spec.kind == "standard":
+    pending2 = _pending(store, inbound, t2)
+    if pending2.isEmpty():
+        pass  # nothing new for table 2 (e.g. a rerun): no snapshot is written
+    elif spec.kind == "standard":
         latest = act.reduce_standard(pending2, spec, order)
         _activate_into(store, t2, latest, keys, keys,
                        lambda a, s: act.apply_standard(a, latest, spec, mode, s), pending2)
-    elif spec.kind in ("cube", "ncum"):
+    else:
         stamp = act.MOVEMENT_STAMP if spec.kind == "ncum" else None
         sums = act.reduce_cube(pending2, spec)
         _activate_into(store, t2, sums, keys, sums.columns,
                        lambda a, s: act.apply_cube(a, sums, spec, null_policy, stamp, s), pending2)
-    else:
-        return
     if spec.kind == "ncum":
         t5 = tname(spec, "5")
-        pending5 = _pending(store, inbound, t5).checkpoint(eager=True)
-        msums = act.reduce_marker(pending5, spec)
-        _activate_into(store, t5, msums, spec.key_spec(drop=spec.day_col), msums.columns,
-                       lambda a, s: act.apply_marker(a, msums, spec, null_policy, s), pending5)
+        pending5 = _pending(store, inbound, t5)
+        if not pending5.isEmpty():
+            msums = act.reduce_marker(pending5, spec)
+            _activate_into(store, t5, msums, spec.key_spec(drop=spec.day_col), msums.columns,
+                           lambda a, s: act.apply_marker(a, msums, spec, null_policy, s), pending5)
     store.truncate(tname(spec, "1"))
 
 
