@@ -25,6 +25,18 @@ def check_pk(df: DataFrame, keys: list[str], where: str = "true", name: str = "p
     return _row(name, dup.agg(F.count(F.lit(1)).alias("cnt")))
 
 
+def check_pk_incoming(existing: DataFrame, incoming: DataFrame, keys: list[str], name: str = "pk") -> DataFrame:
+    """CHK1 for a load: keys of ``incoming`` that would occur more than once in
+    ``existing`` plus ``incoming``.  Only existing rows whose key arrives are
+    read past a semi join (incoming keys broadcast when measured small), so
+    the table itself is never grouped."""
+    from lodestar.operators.sizing import join_small
+
+    inc = incoming.select(*keys)
+    hit = join_small(existing.select(*keys), inc.distinct(), keys, "left_semi")
+    return check_pk(hit.unionByName(inc), keys, name=name)
+
+
 def check_initial(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
     """CHK2: rows whose key holds the initial value chr(0)."""
     cnt = df.agg(F.count_if(F.col(col) == F.lit(INITIAL)).alias("cnt"))

@@ -654,9 +654,8 @@ def q_check_report(spark, sf):
 
 def _orders_checks(store: Store):
     def run(staged: DataFrame) -> list[DataFrame]:
-        both = store.read("orders_t").unionByName(staged)
-        nn = both.agg(F.count_if(F.col("o_orderpriority").isNull()).alias("cnt"))
-        return [chk.check_pk(both, ["o_orderkey"]),
+        nn = staged.agg(F.count_if(F.col("o_orderpriority").isNull()).alias("cnt"))
+        return [chk.check_pk_incoming(store.read("orders_t"), staged, ["o_orderkey"]),
                 nn.select(F.lit("not_null:o_orderpriority").alias("check"), F.col("cnt").cast("long"))]
     return run
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -14,14 +13,6 @@ from lodestar.sources.store import Store
 from lodestar.spec import EntitySpec
 
 
-def stage_aside(store: Store, name: str, df: DataFrame) -> DataFrame:
-    """Write a load next to the table (a '_' folder no table reader lists) and
-    return it read back: checks and publish then read the same files."""
-    path = f"{store.root}/_staging/{name}/{uuid.uuid4().hex[:12]}"
-    df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
-    return store.spark.read.schema(df.schema).parquet(path)
-
-
 def publish_checked(
     store: Store,
     name: str,
@@ -29,19 +20,18 @@ def publish_checked(
     checks: Callable[[DataFrame], list[DataFrame]],
     mode: str = "append",
 ) -> tuple[bool, DataFrame]:
-    """PUB1: stage the load aside, run the checks on it, publish only if all
-    pass.  A rejected load leaves the table (and the caller's ledger) as it was.
+    """PUB1: write the load into uncommitted folders of the table, run the
+    checks on exactly those rows, and commit the same files if every check
+    counts zero (nothing is written twice).  A rejected load is deleted and
+    leaves the table (and the caller's ledger) as it was.
     Returns (passed, check report)."""
-    staged = stage_aside(store, name, df)
+    entries, staged = store.stage(name, df)
     report = check_report(checks(staged)).checkpoint(eager=True)
     ok = verdict(report)
     if ok:
-        if mode == "append":
-            store.append(name, staged)
-        elif mode == "replace":
-            store.replace(name, staged, keep_meta=True)
-        else:
-            raise ValueError(f"unknown publish mode {mode!r}")
+        store.publish(name, entries, mode)
+    else:
+        store.discard(name, entries)
     return ok, report
 
 

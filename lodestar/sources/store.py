@@ -188,6 +188,37 @@ class Store:
         new = self._write_data(name, self._typed(df, schema), part)
         return self._commit(name, schema, part, kept + new)
 
+    def stage(self, name: str, df: DataFrame) -> tuple[list[dict], DataFrame]:
+        """Write rows into fresh data folders of the table without committing
+        them (write-audit-publish): returns the folder entries and the rows as
+        written, for checks.  ``publish`` commits the very same files;
+        ``discard`` deletes them.  No reader sees them before the commit."""
+        man = self._manifest(name)
+        schema = T.StructType.fromJson(json.loads(man["schema"]))
+        entries = self._write_data(name, self._typed(df, schema), man["partition_date"])
+        paths = [f"{self.table_path(name)}/{e['path']}" for e in entries]
+        rows = (self.spark.read.schema(schema).format(self.fmt).load(paths) if paths
+                else self.spark.createDataFrame([], schema))
+        return entries, rows
+
+    def publish(self, name: str, entries: list[dict], mode: str = "append") -> int:
+        """Commit staged folders: added to the table (append) or as the whole table (replace)."""
+        man = self._manifest(name)
+        schema = T.StructType.fromJson(json.loads(man["schema"]))
+        if mode == "append":
+            folders = man["folders"] + entries
+        elif mode == "replace":
+            folders = list(entries)
+        else:
+            raise ValueError(f"unknown publish mode {mode!r}")
+        return self._commit(name, schema, man["partition_date"], folders)
+
+    def discard(self, name: str, entries: list[dict]) -> None:
+        """Delete staged folders that were never committed."""
+        for top in {e["path"].split("/")[1] for e in entries}:
+            fs, p = self._fs(f"{self.table_path(name)}/data/{top}")
+            fs.delete(p, True)
+
     def create(self, name: str, schema: T.StructType, partition_date: str | None = None) -> int:
         """SNK2: create or replace an empty table."""
         return self._commit(name, schema, partition_date, [])

@@ -113,3 +113,20 @@ def test_stock_marker_and_movements_incremental(spark, store):
 
     want = activate_movements(want, ex.inbound(spark, SF_SMALL, "stock", "after"), fx.STOCK)
     assert _sorted(store.read(t2)) == _sorted(want)
+
+
+def test_checked_publish_commits_staged_files_and_discards_rejects(spark, store):
+    from lodestar.operators.checks import check_pk_incoming
+    from lodestar.sources.publish import publish_checked
+
+    o = spark.createDataFrame([(1, "a"), (2, "b")], "id INT, s STRING")
+    store.create("t", o.schema)
+    checks = lambda d: [check_pk_incoming(store.read("t"), d, ["id"])]
+    ok, _ = publish_checked(store, "t", o, checks)
+    assert ok
+    data_dirs = store._subdirs(f"{store.table_path('t')}/data")
+    assert len(data_dirs) == 1 and _folders(store, "t")[None] == {f"data/{data_dirs[0]}"}
+    ok2, report = publish_checked(store, "t", spark.createDataFrame([(2, "dup"), (3, "c")], o.schema), checks)
+    assert not ok2 and report.collect()[0]["cnt"] == 1
+    assert store._subdirs(f"{store.table_path('t')}/data") == data_dirs  # rejected files are gone
+    assert sorted(r["id"] for r in store.read("t").collect()) == [1, 2]
