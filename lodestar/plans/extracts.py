@@ -74,7 +74,14 @@ def inbound(spark: SparkSession, sf_dir: str, entity: str, part: str = "all") ->
 
 
 def initial_state(spark: SparkSession, sf_dir: str, entity: str, n: str = "2") -> DataFrame:
-    """Active (or marker) state from the rows before the cut, typed."""
+    """Active (or marker) state from the rows before the cut, typed.  Built
+    once per session and data folder (a reliable checkpoint): it is the input
+    table of the activation queries, not part of their work."""
+    return cached(spark, sf_dir, f"state_{entity}_{n}",
+                  lambda: _initial_state(spark, sf_dir, entity, n).checkpoint(eager=True))
+
+
+def _initial_state(spark: SparkSession, sf_dir: str, entity: str, n: str) -> DataFrame:
     spec = SPECS[entity]
     before = inbound(spark, sf_dir, entity, "before")
     empty = spark.createDataFrame([], spec.schema)
