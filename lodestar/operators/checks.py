@@ -65,6 +65,26 @@ def verdict(report: DataFrame) -> bool:
     return int(row["worst"]) == 0
 
 
+def load_checks(existing: DataFrame, staged: DataFrame, spec: EntitySpec, n: str) -> list[DataFrame]:
+    """Checks of one load into table ``n``: NOT NULL columns of the staged rows,
+    and the table's unique key over existing + staged rows (read incrementally).
+    The inbound change log (1) is unique on the request identity, not on the
+    entity key; the stock marker (5) is keyed without the day."""
+    from lodestar.functions import REQUEST_FIELDS
+
+    out = [check_not_null(staged, spec)]
+    if n == "1":
+        any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in REQUEST_FIELDS])
+        req_nulls = staged.agg(F.count_if(any_null).alias("cnt"))
+        out.append(_row("not_null:request", req_nulls))
+        out.append(check_pk_incoming(existing, staged, list(REQUEST_FIELDS), name="pk:request"))
+    elif spec.keys:
+        keys = spec.key_spec(drop=spec.day_col) if n == "5" else list(spec.keys)
+        out.append(check_pk_incoming(existing, staged, keys))
+        out.append(check_initial(staged, keys[0]))
+    return out
+
+
 def standard_checks(df: DataFrame, spec: EntitySpec) -> list[DataFrame]:
     out = [check_not_null(df, spec)]
     if spec.keys:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestar.operators import activate as act
-from lodestar.operators.checks import standard_checks
+from lodestar.operators.checks import load_checks
 from lodestar.operators.dims import attribute_tables, load_master
 from lodestar.operators.project import project
 from lodestar.operators.sizing import fits_broadcast, join_small
@@ -81,7 +81,8 @@ def insert(store: Store, spec: EntitySpec, n: str, root: str, checked: bool = Fa
     rows = project(read_source(spark, spec.srcformat, paths, sep=spec.delimiter), spec, n)
     name = tname(spec, n)
     if checked:
-        ok, _ = publish_checked(store, name, rows, lambda d: standard_checks(d, spec))
+        existing = store.read(name)
+        ok, _ = publish_checked(store, name, rows, lambda d: load_checks(existing, d, spec, n))
         if not ok:
             return 0
     else:

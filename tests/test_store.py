@@ -130,3 +130,23 @@ def test_checked_publish_commits_staged_files_and_discards_rejects(spark, store)
     assert not ok2 and report.collect()[0]["cnt"] == 1
     assert store._subdirs(f"{store.table_path('t')}/data") == data_dirs  # rejected files are gone
     assert sorted(r["id"] for r in store.read("t").collect()) == [1, 2]
+
+
+def test_checked_insert_checks_by_table_number(spark, store):
+    from lodestar.session import work_dir
+    from lodestar.sources import ledger
+
+    root = ex.ensure_extracts(spark, SF_SMALL, "doc")
+    for n in ("1", "2"):
+        jobs.create(store, fx.DOC, n)
+    # the change log holds several changes per key: unique on the request identity only
+    assert jobs.insert(store, fx.DOC, "1", root, checked=True) > 0
+    assert store.read(jobs.tname(fx.DOC, "1")).count() == ex.inbound(spark, SF_SMALL, "doc", "after").count()
+    assert jobs.insert(store, fx.DOC, "2", root, checked=True) > 0
+    n2 = store.read(jobs.tname(fx.DOC, "2")).count()
+    # the same active rows again from another folder: duplicate keys, rejected
+    dup = work_dir(spark, "dup")
+    spark.read.orc(f"{root}/t2").write.orc(f"{dup}/t2")
+    assert jobs.insert(store, fx.DOC, "2", dup, checked=True) == 0
+    assert store.read(jobs.tname(fx.DOC, "2")).count() == n2
+    assert ledger.ledger(store).where(F.col("file").contains(dup)).count() == 0
