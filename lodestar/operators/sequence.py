@@ -3,9 +3,13 @@
 ``row_number() over (partition by g order by o)`` sends each group ``g`` to one
 task; a hot group holding a third of the rows would then be sorted by a single
 task.  Here the rows are range-partitioned on the *full* sort key (groups are
-cut across partitions), numbered locally, and each partition receives the
-number of rows of its first group that precede it in earlier partitions.  The
-carry table has at most (#groups + #partitions) rows.
+cut across partitions) and sorted inside each partition, and every row takes
+its position in that order (``monotonically_increasing_id`` right after the
+sort, fixed by a reliable checkpoint).  A row's number is its position minus
+the position of its group's first row in the same partition, plus the rows of
+its group in earlier partitions.  Only the per-(partition, group) table, at
+most (#groups + #partitions) rows, is aggregated and joined back: the rows
+themselves are shuffled once, by the range partitioning.
 """
 
 from __future__ import annotations
@@ -23,9 +27,10 @@ def _range_sorted(df: DataFrame, keys: list, num_partitions: int | None) -> Data
         df.repartitionByRange(n, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_pid", F.spark_partition_id())
+        .withColumn("_pos", F.monotonically_increasing_id())  # position in the sorted partition
     )
-    # Reliable checkpoint (shared folder): fixes partition ids for the two
-    # passes below and survives executor loss.
+    # Reliable checkpoint (shared folder): fixes partition ids and positions
+    # for the passes below and survives executor loss.
     return s.checkpoint(eager=True)
 
 
@@ -41,15 +46,13 @@ def sequence_within(
     (group_cols, order_cols) must identify rows for the numbering to be exact
     and deterministic."""
     s = _range_sorted(df, [*group_cols, *order_cols], num_partitions)
-    local = s.withColumn(
-        "_local",
-        F.row_number().over(Window.partitionBy("_pid", *group_cols).orderBy(*order_cols)),
-    )
-    counts = s.groupBy("_pid", *group_cols).agg(F.count(F.lit(1)).alias("_n"))
+    runs = s.groupBy("_pid", *group_cols).agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    carry = counts.select("_pid", *group_cols, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_carry"))
-    out = join_small(local, carry, ["_pid", *group_cols], "inner")
-    return out.withColumn(name, (F.col("_local") + F.col("_carry")).cast("int")).drop("_pid", "_local", "_carry")
+    carry = runs.select("_pid", *group_cols, "_first",
+                        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_carry"))
+    out = join_small(s, carry, ["_pid", *group_cols], "inner")
+    number = F.col("_pos") - F.col("_first") + F.lit(1) + F.col("_carry")
+    return out.withColumn(name, number.cast("int")).drop("_pid", "_pos", "_first", "_carry")
 
 
 def running_total(
@@ -74,4 +77,4 @@ def running_total(
     # one row per partition: a proven bound, so this window and broadcast are small
     offsets = totals.select("_pid", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"))
     out = local.join(F.broadcast(offsets), ["_pid"], "inner")
-    return out.withColumn(name, F.col("_local") + F.col("_off")).drop("_pid", "_local", "_off")
+    return out.withColumn(name, F.col("_local") + F.col("_off")).drop("_pid", "_pos", "_local", "_off")
