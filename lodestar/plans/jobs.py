@@ -157,8 +157,12 @@ def _activate_into(
 
 
 def merge12(store: Store, spec: EntitySpec, mode: str = "upsert", order: str = "numeric",
-            null_policy: str = "zero") -> None:
-    """Activate table 1 into 2 (and 5 for stock), then clear table 1."""
+            null_policy: str = "zero", keep_snapshots: int | None = None) -> None:
+    """Activate table 1 into 2 (and 5 for stock), then clear table 1.
+
+    ``keep_snapshots`` expires older snapshots of the targets afterwards and
+    deletes the data folders they alone referenced (by default all snapshots
+    stay readable for state-as-of reads)."""
     spec.require_keys()
     if spec.kind not in ("standard", "cube", "ncum"):
         return  # any other kind has nothing to activate
@@ -187,6 +191,9 @@ def merge12(store: Store, spec: EntitySpec, mode: str = "upsert", order: str = "
             _activate_into(store, t5, msums, spec.key_spec(drop=spec.day_col), msums.columns,
                            lambda a, s: act.apply_marker(a, msums, spec, null_policy, s), pending5)
     store.truncate(tname(spec, "1"))
+    if keep_snapshots is not None:
+        for n in ("1", "2", "5") if spec.kind == "ncum" else ("1", "2"):
+            store.expire(tname(spec, n), keep=keep_snapshots)
 
 
 # --------------------------------------------------------------------------- #

@@ -240,6 +240,39 @@ class Store:
         kept = self.read(name).where(~F.coalesce(F.expr(cond), F.lit(False)))
         return self.replace(name, kept, keep_meta=True)
 
+    def expire(self, name: str, keep: int = 1, grace_seconds: int = 3600) -> list[str]:
+        """Drop all but the newest ``keep`` snapshots and delete data folders no
+        kept snapshot references (replaced months, rejected or crashed loads).
+        Folders younger than ``grace_seconds`` are left alone, so a load being
+        written right now is never removed.  Returns the deleted folders."""
+        if keep < 1:
+            raise ValueError("keep at least one snapshot")
+        snaps = self.snapshots(name)
+        kept = snaps[-keep:]
+        for seq in snaps[:-keep]:
+            fs, p = self._fs(self._snap_file(name, seq))
+            fs.delete(p, False)
+        live = set()
+        for seq in kept:
+            for e in self._manifest(name, seq)["folders"]:
+                live.add(e["path"])
+        jvm = self.spark._jvm
+        cutoff = jvm.java.lang.System.currentTimeMillis() - grace_seconds * 1000
+        fs, data = self._fs(f"{self.table_path(name)}/data")
+        if not fs.exists(data):
+            return []
+        gone = []
+        for st in fs.listStatus(data):
+            wid = f"data/{st.getPath().getName()}"
+            parts = [c for c in fs.listStatus(st.getPath()) if c.isDirectory()
+                     and c.getPath().getName().startswith(f"{PART_COL}=")]
+            units = [(f"{wid}/{c.getPath().getName()}", c) for c in parts] or [(wid, st)]
+            for rel, status in units:
+                if rel not in live and status.getModificationTime() < cutoff:
+                    fs.delete(status.getPath(), True)
+                    gone.append(rel)
+        return gone
+
     def drop(self, name: str) -> None:
         """SNK3: drop table with its data (PURGE)."""
         fs, p = self._fs(self.table_path(name))

@@ -150,3 +150,18 @@ def test_checked_insert_checks_by_table_number(spark, store):
     assert jobs.insert(store, fx.DOC, "2", dup, checked=True) == 0
     assert store.read(jobs.tname(fx.DOC, "2")).count() == n2
     assert ledger.ledger(store).where(F.col("file").contains(dup)).count() == 0
+
+
+def test_expire_keeps_live_folders_only(spark, store):
+    o = spark.createDataFrame(
+        [(1, "2024-01-05"), (2, "2024-02-03"), (3, "2024-03-09")], "id INT, d STRING"
+    ).select("id", F.to_date("d").alias("d"))
+    store.create("t", o.schema, partition_date="d")
+    store.append("t", o)
+    store.replace_months("t", o.where("id = 2").withColumn("id", F.lit(20)), ["202402"])
+    want = sorted(r["id"] for r in store.read("t").collect())
+    assert store.expire("t", keep=1, grace_seconds=3600) == []  # everything is younger than the grace
+    gone = store.expire("t", keep=1, grace_seconds=-1)
+    assert len(gone) == 1 and gone[0].endswith("calmonth_p=202402")
+    assert store.snapshots("t") == [3]
+    assert sorted(r["id"] for r in store.read("t").collect()) == want == [1, 3, 20]
