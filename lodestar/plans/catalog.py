@@ -558,7 +558,7 @@ def q_view_inbound_active(spark, sf):
 @register("view_material_ext", """SELECT lpad(CAST(p_partkey AS VARCHAR), 18, '0') AS material,
   p_brand || right(lpad(CAST(p_partkey AS VARCHAR), 18, '0'), 6) AS material_ext, p_name AS material_txt FROM part""")
 def q_view_material_ext(spark, sf):
-    md = project(_t(spark, sf, "part"), fx.MATL, "0")
+    md = project(fx.material_staging(spark, sf), fx.MATL, "0", where="true", order="")
     return views.material_text_view(md)
 
 
@@ -614,6 +614,23 @@ def q_job_master(spark, sf):
     return res
 
 
+MATL_SEL = ('"0material" AS material, "0material___txtlg" AS material_txt, "0matl_group" AS matl_group, '
+            '"0matl_type" AS matl_type, "0base_uom" AS base_uom, CAST("0size" AS INTEGER) AS size')
+MATL_WHERE = "\"0base_uom\" <> ''"
+
+
+@register("load_master_material", f"SELECT {MATL_SEL} FROM ({fx.MATERIAL_STAGING_SQL}) s WHERE {MATL_WHERE}")
+def q_load_master_material(spark, sf):
+    return dims.load_master(fx.material_staging(spark, sf), fx.MATL)
+
+
+@register("attr_material", " UNION ".join(
+    f"""SELECT '{a}' AS attr, CAST("0{a}" AS VARCHAR) AS code, CAST("0{a}___t" AS VARCHAR) AS text
+FROM ({fx.MATERIAL_STAGING_SQL}) s WHERE {MATL_WHERE}""" for a in ("matl_group", "matl_type")))
+def q_attr_material(spark, sf):
+    return dims.attributes_long(fx.material_staging(spark, sf), fx.MATL)
+
+
 # --------------------------------------------------------------------------- #
 # 2.8 checks and publishing
 # --------------------------------------------------------------------------- #
@@ -638,6 +655,15 @@ def q_check_not_null(spark, sf):
     return chk.check_not_null(df, fx.CUST)
 
 
+@register("check_material", f"""WITH m AS (SELECT {MATL_SEL} FROM ({fx.MATERIAL_STAGING_SQL}) s WHERE {MATL_WHERE})
+SELECT 'pk' AS "check", count(*) AS cnt FROM (SELECT material FROM m GROUP BY material HAVING count(*) > 1) d
+UNION ALL SELECT 'initial:material' AS "check", count(*) FILTER (WHERE material = chr(0)) AS cnt FROM m""")
+def q_check_material(spark, sf):
+    # the material entity's declared checks (key unique, no initial key), run (Q8)
+    md = dims.load_master(fx.material_staging(spark, sf), fx.MATL)
+    return chk.check_report([chk.check_pk(md, ["material"]), chk.check_initial(md, "material")])
+
+
 _NN = ("doc_num", "doc_item", "material", "vendor", "linestatus")
 
 

@@ -163,15 +163,23 @@ CUST = EntitySpec(
 MATL = EntitySpec(
     name="material",
     kind="master",
-    ddl="material STRING NOT NULL, material_txt STRING, matl_group STRING NOT NULL, matl_type STRING NOT NULL, size INT",
+    ddl=("material STRING NOT NULL, material_txt STRING, matl_group STRING NOT NULL, matl_type STRING NOT NULL, "
+         "base_uom STRING NOT NULL, size INT"),
     mapping=(
-        ("material", "lpad(CAST(p_partkey AS STRING), 18, '0')"),
-        ("material_txt", "p_name"),
-        ("matl_group", "p_brand"),
-        ("matl_type", "p_type"),
-        ("size", "p_size"),
+        ("material", "`0material`"),
+        ("material_txt", "`0material___txtlg`"),
+        ("matl_group", "`0matl_group`"),
+        ("matl_type", "`0matl_type`"),
+        ("base_uom", "`0base_uom`"),
+        ("size", "`0size`"),
     ),
     keys=("material",),
+    where="(`0base_uom` <> '')",
+    order="1",
+    attributes=(
+        Attribute("matl_group", "`0matl_group`", "`0matl_group___t`"),
+        Attribute("matl_type", "`0matl_type`", "`0matl_type___t`"),
+    ),
 )
 
 
@@ -348,3 +356,28 @@ SELECT CAST(c_custkey AS VARCHAR) AS "0customer", c_name AS "0customer___txtlg",
   c_mktsegment AS "0segment", upper(substr(c_mktsegment, 1, 1)) || lower(substr(c_mktsegment, 2)) AS "0segment___t",
   c_acctbal AS "0acctbal"
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
+
+
+def material_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Material master staging over part: 18-digit material number, group and
+    type codes with their texts, and no base unit for the largest parts."""
+    p = table(spark, sf_dir, "part")
+    return p.select(
+        F.lpad(F.col("p_partkey").cast("string"), 18, "0").alias("0material"),
+        F.col("p_name").alias("0material___txtlg"),
+        F.col("p_brand").alias("0matl_group"),
+        F.regexp_replace(F.col("p_brand"), "#", " no. ").alias("0matl_group___t"),
+        F.upper(F.substring(F.col("p_type"), 1, 3)).alias("0matl_type"),
+        F.initcap(F.lower(F.col("p_type"))).alias("0matl_type___t"),
+        F.when(F.col("p_size") > 45, F.lit("")).otherwise(F.lit("PC")).alias("0base_uom"),
+        F.col("p_size").alias("0size"),
+    )
+
+
+MATERIAL_STAGING_SQL = """
+SELECT lpad(CAST(p_partkey AS VARCHAR), 18, '0') AS "0material", p_name AS "0material___txtlg",
+  p_brand AS "0matl_group", replace(p_brand, '#', ' no. ') AS "0matl_group___t",
+  upper(substr(p_type, 1, 3)) AS "0matl_type",
+  upper(substr(p_type, 1, 1)) || lower(substr(p_type, 2)) AS "0matl_type___t",
+  CASE WHEN p_size > 45 THEN '' ELSE 'PC' END AS "0base_uom", p_size AS "0size"
+FROM part"""
