@@ -149,7 +149,9 @@ def _activate_into(
         months = touched_months(store.read(target), delta, keys, part, small)
         new_rows = apply(store.read(target, months=months), strategy)
         store.append(ACT_LEDGER, reqs)
-        store.replace_months(target, new_rows, months)
+        # after a broadcast merge the rows still sit in their month folders'
+        # tasks: no clustering shuffle is needed; after a shuffle merge it is
+        store.replace_months(target, new_rows, months, cluster=not small)
     else:
         new_rows = apply(store.read(target), strategy)
         store.append(ACT_LEDGER, reqs)

@@ -145,14 +145,20 @@ class Store:
         return self.spark.read.schema(schema).format(self.fmt).load(paths)
 
     # ------------------------------------------------------------------ write
-    def _write_data(self, name: str, df: DataFrame, part: str | None) -> list[dict]:
-        """Write rows to a fresh data folder; return its folder entries."""
+    def _write_data(self, name: str, df: DataFrame, part: str | None, cluster: bool = True) -> list[dict]:
+        """Write rows to a fresh data folder; return its folder entries.
+
+        ``cluster`` shuffles rows of one month together first (a rebalance, so
+        AQE splits a hot month over several tasks instead of one).  Rows that
+        already arrive month by month (read from month folders, not moved by a
+        shuffle) are written as they are: the writer sorts by month inside each
+        task."""
         rel = f"data/{uuid.uuid4().hex}"
         path = f"{self.table_path(name)}/{rel}"
         if part:
-            # Cluster rows of one month, but let AQE split a hot month over
-            # several tasks (rebalance, not repartition: no one-task months).
-            df = df.withColumn(PART_COL, month_of(part)).hint("rebalance", PART_COL)
+            df = df.withColumn(PART_COL, month_of(part))
+            if cluster:
+                df = df.hint("rebalance", PART_COL)
             df.write.mode("errorifexists").option("compression", "zstd").partitionBy(PART_COL) \
                 .format(self.fmt).save(path)
             out = []
@@ -173,7 +179,7 @@ class Store:
         folders = self._write_data(name, df, partition_date)
         return self._commit(name, df.schema, partition_date, folders)
 
-    def replace_months(self, name: str, df: DataFrame, months: list[str]) -> int:
+    def replace_months(self, name: str, df: DataFrame, months: list[str], cluster: bool = True) -> int:
         """Replace the rows of ``months`` by ``df`` and keep every other month.
 
         ``df`` must only hold rows of ``months`` (the caller derives the months
@@ -185,7 +191,7 @@ class Store:
         schema = T.StructType.fromJson(json.loads(man["schema"]))
         drop = set(months)
         kept = [e for e in man["folders"] if e["month"] not in drop]
-        new = self._write_data(name, self._typed(df, schema), part)
+        new = self._write_data(name, self._typed(df, schema), part, cluster)
         return self._commit(name, schema, part, kept + new)
 
     def stage(self, name: str, df: DataFrame) -> tuple[list[dict], DataFrame]:
