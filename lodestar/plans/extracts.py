@@ -9,6 +9,8 @@ by Spark from the given tables.
 from __future__ import annotations
 
 import hashlib
+import pathlib
+import sys
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +26,7 @@ _CACHE: dict = {}
 
 def cached(spark: SparkSession, sf_dir: str, key: str, build):
     """Per-session cache of checkpointed fixture frames."""
-    k = (id(spark), sf_dir, key)
+    k = (spark.sparkContext.applicationId, sf_dir, key)
     if k not in _CACHE:
         _CACHE[k] = build()
     return _CACHE[k]
@@ -105,11 +107,15 @@ def _as_extract(df: DataFrame, spec: EntitySpec) -> DataFrame:
 
 def ensure_extracts(spark: SparkSession, sf_dir: str, entity: str) -> str:
     """Write the extract folders of one entity once; return its root."""
-    root = fixed_dir(spark, "extracts", hashlib.sha1(sf_dir.encode()).hexdigest()[:10], entity)
+    # the folder name covers everything that defines the extracts, so a
+    # changed spec or cut never reuses folders written by other code
+    spec = SPECS[entity]
+    code = b"".join(pathlib.Path(m.__file__).read_bytes() for m in (fx, sys.modules[__name__]))
+    ident = repr((sf_dir, entity, spec, code))
+    root = fixed_dir(spark, "extracts", hashlib.sha1(ident.encode()).hexdigest()[:16], entity)
     key = ("extracts", root)
     if key in _CACHE:
         return root
-    spec = SPECS[entity]
     fmt = spec.srcformat
     jvm = spark._jvm
     marker = jvm.org.apache.hadoop.fs.Path(f"{root}/_DONE")
