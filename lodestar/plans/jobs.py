@@ -49,7 +49,8 @@ def table_schema(spec: EntitySpec, n: str) -> T.StructType:
 def _forget_activations(store: Store, target: str) -> None:
     if store.exists(ACT_LEDGER):
         cur = store.read(ACT_LEDGER)
-        store.replace(ACT_LEDGER, cur.where(F.col("target") != target))
+        if not cur.where(F.col("target") == target).isEmpty():
+            store.replace(ACT_LEDGER, cur.where(F.col("target") != target))
 
 
 def create(store: Store, spec: EntitySpec, n: str) -> None:

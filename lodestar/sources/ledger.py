@@ -50,4 +50,7 @@ def ledger_append(store: Store, entity: str, n: str, files: DataFrame, loadmanyt
 def ledger_reset(store: Store, entity: str, n: str) -> None:
     """SRC10: forget the files of one table number (on drop or create)."""
     cur = ledger(store)
-    store.replace(LEDGER, cur.where(~((F.col("entity") == entity) & (F.col("n") == n))))
+    mine = (F.col("entity") == entity) & (F.col("n") == n)
+    if cur.where(mine).isEmpty():
+        return  # nothing to forget: no rewrite
+    store.replace(LEDGER, cur.where(~mine))
