@@ -246,6 +246,13 @@ class Store:
         kept = self.read(name).where(~F.coalesce(F.expr(cond), F.lit(False)))
         return self.replace(name, kept, keep_meta=True)
 
+    def compact(self, name: str, months: list[str] | None = None) -> int:
+        """Rewrite many small appends as one write: the whole table, or only
+        ``months`` of a month-partitioned table (other months keep their files)."""
+        if months is not None:
+            return self.replace_months(name, self.read(name, months=months), months)
+        return self.replace(name, self.read(name), keep_meta=True)
+
     def expire(self, name: str, keep: int = 1, grace_seconds: int = 3600) -> list[str]:
         """Drop all but the newest ``keep`` snapshots and delete data folders no
         kept snapshot references (replaced months, rejected or crashed loads).

@@ -94,3 +94,13 @@ def test_calendar_default_range(spark):
     sat_sun = calendar(spark).where("weekend").count()
     mon_sun = calendar(spark, weekend="mon_sun").where("weekend").count()
     assert sat_sun == mon_sun == 3236
+
+
+def test_two_texts_for_one_code_are_kept_and_reported(spark):
+    from lodestar.operators.dims import attribute_table
+
+    staged = spark.createDataFrame([("DE", "Germany"), ("DE", "Deutschland"), ("FR", "France"), ("FR", "France")],
+                                   "`0country` STRING, `0country___t` STRING")
+    t = attribute_table(staged, "country", "`0country`", "`0country___t`")
+    assert t.count() == 3  # quirk Q11: both texts of DE stay
+    assert chk.check_pk(t, ["country"]).collect()[0]["cnt"] == 1

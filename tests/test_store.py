@@ -165,3 +165,17 @@ def test_expire_keeps_live_folders_only(spark, store):
     assert len(gone) == 1 and gone[0].endswith("calmonth_p=202402")
     assert store.snapshots("t") == [3]
     assert sorted(r["id"] for r in store.read("t").collect()) == want == [1, 3, 20]
+
+
+def test_compact_merges_appends(spark, store):
+    o = spark.createDataFrame([(i, f"2024-0{1 + i % 3}-05") for i in range(9)], "id INT, d STRING") \
+        .select("id", F.to_date("d").alias("d"))
+    store.create("t", o.schema, partition_date="d")
+    for i in range(3):
+        store.append("t", o.where(f"id % 3 = {i}"))
+    assert all(len(v) == 1 for v in _folders(store, "t").values())  # each month written by one append
+    store.append("t", o.where("id = 0"))
+    assert len(_folders(store, "t")["202401"]) == 2
+    store.compact("t", months=["202401"])
+    assert len(_folders(store, "t")["202401"]) == 1
+    assert sorted(r["id"] for r in store.read("t").collect()) == sorted([*range(9), 0])
