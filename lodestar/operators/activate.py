@@ -1,7 +1,10 @@
 """Activation: collapse an inbound change table into the active table (ACT1-5).
 
-Plan shape.  The inbound side is first reduced to one row per key (a partial +
-final hash aggregate), checkpointed, and its size measured.  When it fits the
+Plan shape.  The inbound side is first reduced to one row per key
+(``reduce_*``: a partial + final aggregate, sort-based for the struct-valued
+``max_by`` of standard activation, hash-based for sums), checkpointed, and its
+size measured; ``apply_*`` then merges it into the active rows it is given
+(the jobs pass only the touched months).  When it fits the
 broadcast limit the active table is never shuffled: it is streamed once
 against the broadcast delta (anti / left-outer join) and once, key columns
 only, for the matched keys (semi join).  Otherwise both sides are
