@@ -179,3 +179,23 @@ def test_compact_merges_appends(spark, store):
     store.compact("t", months=["202401"])
     assert len(_folders(store, "t")["202401"]) == 1
     assert sorted(r["id"] for r in store.read("t").collect()) == sorted([*range(9), 0])
+
+
+def test_null_day_rows_are_a_month_of_their_own(spark, store):
+    jobs.create(store, PSPEC, "1")
+    jobs.create(store, PSPEC, "2")
+    t1, t2 = jobs.tname(PSPEC, "1"), jobs.tname(PSPEC, "2")
+    store.append(t2, spark.createDataFrame(
+        [(None, "a", None, 1), (None, "b", "2024-02-03", 2), (None, "n", None, 7)],
+        "recordmode STRING, k STRING, d STRING, v INT").withColumn("d", F.to_date("d")))
+    assert "__HIVE_DEFAULT_PARTITION__" in _folders(store, t2)
+    req = "20240501" + "0" * 15
+    store.append(t1, spark.createDataFrame(
+        [(req, "000001", 1, "N", "a", "2024-05-02", 10),   # a leaves the NULL-day month
+         (req, "000001", 2, "N", "b", None, 20)],          # b moves into it
+        "reqtsn STRING, datapakid STRING, record INT, recordmode STRING, k STRING, d STRING, v INT",
+    ).withColumn("d", F.to_date("d")))
+    jobs.merge12(store, PSPEC)
+    got = sorted((r["k"], None if r["d"] is None else str(r["d"]), r["v"]) for r in store.read(t2).collect())
+    assert got == [("a", "2024-05-02", 10), ("b", None, 20), ("n", None, 7)]
+    assert "202402" not in _folders(store, t2)
