@@ -14,8 +14,12 @@ failed or half-written job is never read and the previous snapshot stays
 current.  A replace never overwrites what it reads.  ``replace_months`` swaps
 only the folders of the given months, so activating a delta that touches a
 few months rewrites those months and reuses every other folder as it is.
-Older snapshots stay readable (state as of an earlier load) until the table
-is dropped.  Only folder names travel through the driver, never rows.
+Older snapshots stay readable (state as of an earlier load) until they are
+expired.  Only folder names travel through the driver, never rows.
+
+One writer per table at a time (load jobs run one after another per entity).
+A second committer is detected where rename refuses an existing target (HDFS);
+on object stores, whose rename is a copy, the single-writer rule must hold.
 """
 
 from __future__ import annotations
