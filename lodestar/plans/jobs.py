@@ -18,9 +18,9 @@ from pyspark.sql import types as T
 
 from lodestar.operators import activate as act
 from lodestar.operators.checks import load_checks
-from lodestar.operators.dims import attribute_tables, load_master
+from lodestar.operators.dims import attributes_long, load_master
 from lodestar.operators.project import project
-from lodestar.operators.sizing import fits_broadcast, join_small
+from lodestar.operators.sizing import fits_broadcast, join_small, materialize
 from lodestar.sources.files import read_source, source_files
 from lodestar.sources.ledger import ledger_append, ledger_reset, unprocessed
 from lodestar.sources.publish import publish_checked
@@ -237,13 +237,23 @@ def job_stock_init(store: Store, spec: EntitySpec, root: str) -> None:
 
 
 def job_master(store: Store, spec: EntitySpec, staged: DataFrame) -> dict[str, DataFrame]:
-    """JOB6: reload the master-data snapshot, then replace every attribute table."""
+    """JOB6: reload the master-data snapshot, then replace every attribute table.
+
+    All attribute tables come from one scan of the staging rows: the distinct
+    (attribute, code, text) rows of every attribute are computed together and
+    checkpointed, and each table is a filter of that small result."""
     name = tname(spec, "0")
     store.replace(name, load_master(staged, spec))
     out = {"0": store.read(name)}
-    for attr, df in attribute_tables(staged, spec).items():
-        store.replace(f"dwh_t_{attr}", df)
-        out[attr] = store.read(f"dwh_t_{attr}")
+    if not spec.attributes:
+        return out
+    texts = materialize(attributes_long(staged, spec))
+    for a in spec.attributes:
+        df = (texts.where(F.col("attr") == a.name)
+              .select(F.col("code").alias(a.name), F.col("text").alias(f"{a.name}_txt"))
+              .orderBy(F.col(a.name).asc()))
+        store.replace(f"dwh_t_{a.name}", df)
+        out[a.name] = store.read(f"dwh_t_{a.name}")
     return out
 
 
