@@ -3,7 +3,6 @@
 from decimal import Decimal as D
 
 import pytest
-from pyspark.sql import functions as F
 
 from lodestar.operators.activate import (activate_cube, activate_marker, activate_movements,
                                          activate_standard, stock_balance)
