@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.operators.project import project
+from lodestar.operators.sizing import materialize
 from lodestar.spec import EntitySpec
 
 # The default calendar range of the calendar dimension.
@@ -76,8 +77,20 @@ def attribute_table(staged: DataFrame, name: str, code: str, text: str, where: s
 
 
 def attribute_tables(staged: DataFrame, spec: EntitySpec) -> dict[str, DataFrame]:
-    """DIM3: one (code, text) table per attribute of the spec."""
-    return {a.name: attribute_table(staged, a.name, a.code, a.text, spec.where) for a in spec.attributes}
+    """DIM3: one (code, text) table per attribute of the spec, ordered by code.
+
+    All attributes come from one scan of the staging rows: ``attributes_long``
+    is computed once and checkpointed, and each table is a filter of that
+    small result (not one scan and one distinct per attribute)."""
+    if not spec.attributes:
+        return {}
+    texts = materialize(attributes_long(staged, spec))
+    return {
+        a.name: texts.where(F.col("attr") == a.name)
+        .select(F.col("code").alias(a.name), F.col("text").alias(f"{a.name}_txt"))
+        .orderBy(F.col(a.name).asc())
+        for a in spec.attributes
+    }
 
 
 def attributes_long(staged: DataFrame, spec: EntitySpec) -> DataFrame:
