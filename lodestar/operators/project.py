@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.functions import REQUEST_FIELDS
 from lodestar.spec import EntitySpec
 
 
@@ -45,6 +44,19 @@ def project(df: DataFrame, spec: EntitySpec, n: str = "2", where: str | None = N
     return sort_load(out, order if order is not None else spec.order)
 
 
+def project_sql(spark, view: str, spec: EntitySpec, n: str = "2") -> DataFrame:
+    """PRJ1 + FLT1 over a staged view (SRC11, ``files.stage``) as one SQL
+    statement: ``SELECT <mapping> FROM <view> WHERE <filter>``, the spec's
+    expressions as SQL text, planned by Catalyst like any DataFrame query."""
+    m = dict(spec.mapping)
+    cols = [f"CAST({m.get(f.name, _q(f.name))} AS {f.dataType.simpleString()}) AS {_q(f.name)}"
+            for f in spec.schema.fields]
+    if n == "1":
+        cols = ["CAST(reqtsn AS STRING) AS reqtsn", "CAST(datapakid AS STRING) AS datapakid",
+                "CAST(record AS INT) AS record", *cols]
+    return spark.sql(f"SELECT {', '.join(cols)} FROM {_q(view)} WHERE {spec.where or 'true'}")
+
+
 def sort_load(df: DataFrame, order: str | None) -> DataFrame:
     """SRT1: load order; a bare digit is an ordinal of the output columns."""
     if not order:
@@ -59,19 +71,6 @@ def sort_load(df: DataFrame, order: str | None) -> DataFrame:
     return df.orderBy(*keys)
 
 
-def layout_for_write(df: DataFrame, part_col: str | None, keys: list[str]) -> DataFrame:
-    """File layout before a write: cluster by partition column (a rebalance,
-    so AQE splits a hot partition value over several tasks), sort by key
-    inside tasks (statistics-friendly files without a global sort)."""
-    if part_col:
-        df = df.hint("rebalance", part_col)
-    return df.sortWithinPartitions(*keys) if keys else df
-
-
 def top_n(df: DataFrame, order: list, n: int) -> DataFrame:
     """SRT2: first n rows of an order (TakeOrderedAndProject, no global sort)."""
     return df.orderBy(*order).limit(n)
-
-
-def inbound_fields() -> list[str]:
-    return list(REQUEST_FIELDS)

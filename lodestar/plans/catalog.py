@@ -276,6 +276,14 @@ def q_project_inbound(spark, sf):
     return project(ex.staging(spark, sf, "doc"), fx.DOC, "1")
 
 
+@register("project_view_sql", fx.DOC_INBOUND_SQL)
+def q_project_view_sql(spark, sf):
+    from lodestar.operators.project import project_sql
+
+    files.stage(ex.staging(spark, sf, "doc"), "doc_staging")
+    return project_sql(spark, "doc_staging", fx.DOC, "1")
+
+
 @register("rename_quoted", """SELECT CAST(l_partkey AS VARCHAR) AS material,
   CAST("/BIC/ZALTCOST" AS DECIMAL(17,2)) AS zaltcost, coalesce("/BIC/ZSGTXT", chr(0)) AS zsgtxt
 FROM (SELECT l_partkey, l_extendedprice AS "/BIC/ZALTCOST",
