@@ -199,3 +199,23 @@ def test_null_day_rows_are_a_month_of_their_own(spark, store):
     got = sorted((r["k"], None if r["d"] is None else str(r["d"]), r["v"]) for r in store.read(t2).collect())
     assert got == [("a", "2024-05-02", 10), ("b", None, 20), ("n", None, 7)]
     assert "202402" not in _folders(store, t2)
+
+
+def test_jobs_take_the_shuffle_path_over_the_broadcast_limit(spark, store):
+    from lodestar.operators.sizing import LIMIT_KEY
+
+    root = ex.ensure_extracts(spark, SF_SMALL, "stock")
+    spark.conf.set(LIMIT_KEY, "0")  # nothing fits: every merge is a shuffle join
+    try:
+        jobs.job_stock_init(store, fx.STOCK, root)
+        jobs.job_delta(store, fx.STOCK, root)
+        got2 = _sorted(store.read(jobs.tname(fx.STOCK, "2")))
+        got5 = _sorted(store.read(jobs.tname(fx.STOCK, "5")))
+    finally:
+        spark.conf.unset(LIMIT_KEY)
+    from lodestar.operators.activate import activate_marker, activate_movements
+
+    after = ex.inbound(spark, SF_SMALL, "stock", "after")
+    want2 = activate_movements(ex.initial_state(spark, SF_SMALL, "stock", "2"), after, fx.STOCK)
+    want5 = activate_marker(ex.initial_state(spark, SF_SMALL, "stock", "5"), after, fx.STOCK)
+    assert got2 == _sorted(want2) and got5 == _sorted(want5)
