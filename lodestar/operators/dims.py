@@ -72,7 +72,7 @@ def attribute_table(staged: DataFrame, name: str, code: str, text: str, where: s
         staged.where(F.expr(where))
         .select(F.expr(code).cast("string").alias(name), F.expr(text).cast("string").alias(f"{name}_txt"))
         .distinct()
-        .orderBy(F.col(name).asc())
+        .orderBy(F.col(name).asc(), F.col(f"{name}_txt").asc())
     )
 
 
@@ -88,7 +88,7 @@ def attribute_tables(staged: DataFrame, spec: EntitySpec) -> dict[str, DataFrame
     return {
         a.name: texts.where(F.col("attr") == a.name)
         .select(F.col("code").alias(a.name), F.col("text").alias(f"{a.name}_txt"))
-        .orderBy(F.col(a.name).asc())
+        .orderBy(F.col(a.name).asc(), F.col(f"{a.name}_txt").asc())
         for a in spec.attributes
     }
 

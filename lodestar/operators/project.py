@@ -57,18 +57,34 @@ def project_sql(spark, view: str, spec: EntitySpec, n: str = "2") -> DataFrame:
     return spark.sql(f"SELECT {', '.join(cols)} FROM {_q(view)} WHERE {spec.where or 'true'}")
 
 
+def _orderable(dt) -> bool:
+    from pyspark.sql import types as T
+
+    return not isinstance(dt, (T.MapType, T.ArrayType, T.StructType, T.BinaryType, T.VariantType))
+
+
 def sort_load(df: DataFrame, order: str | None) -> DataFrame:
-    """SRT1: load order; a bare digit is an ordinal of the output columns."""
+    """SRT1: load order; a bare digit is an ordinal of the output columns.
+
+    The remaining columns follow as tie-breakers (the order among ties is
+    unspecified anyway): the range partitioning of the global sort can then
+    cut a hot order value over several tasks instead of sorting it in one."""
     if not order:
         return df
-    keys = []
+    keys, named = [], set()
     for item in order.split(","):
         item = item.strip()
         desc = item.lower().endswith(" desc")
         name = item.rsplit(" ", 1)[0].strip() if (desc or item.lower().endswith(" asc")) else item
-        col = F.col(_q(df.columns[int(name) - 1])) if name.isdigit() else F.expr(name)
+        if name.isdigit():
+            name = df.columns[int(name) - 1]
+            col = F.col(_q(name))
+        else:
+            col = F.expr(name)
+        named.add(name.strip("`"))
         keys.append(col.desc() if desc else col.asc())
-    return df.orderBy(*keys)
+    ties = [F.col(_q(f.name)).asc() for f in df.schema.fields if f.name not in named and _orderable(f.dataType)]
+    return df.orderBy(*keys, *ties)
 
 
 def top_n(df: DataFrame, order: list, n: int) -> DataFrame:

@@ -86,3 +86,21 @@ def test_running_total_matches_window(spark):
     got = running_total(df, ["k"], "v", num_partitions=5)
     want = df.withColumn("running_total", F.sum("v").over(Window.orderBy("k")))
     assert _sorted(got.select("k", "running_total")) == _sorted(want.select("k", "running_total"))
+
+
+def test_sort_load_cuts_a_hot_order_value_across_tasks(spark):
+    from lodestar.operators.project import sort_load
+
+    df = spark.range(0, 3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.format_string("k%04d", F.col("id"))).alias("code"),
+        F.col("id").alias("v"))
+    out = sort_load(df, "1").withColumn("pid", F.spark_partition_id())
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")  # keep the range partitions visible on tiny data
+    try:
+        rows = out.collect()
+    finally:
+        spark.conf.set(key, "true")
+    assert [r["code"] for r in rows] == sorted(r["code"] for r in rows)
+    hot_tasks = {r["pid"] for r in rows if r["code"] == "hot"}
+    assert len(hot_tasks) > 1
