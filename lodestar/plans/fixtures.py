@@ -95,6 +95,7 @@ CUBE = EntitySpec(
     ),
     keys=("material", "vendor"),
     figures=("quant_b", "value_lc"),
+    buckets=8,  # tables 2 bucketed on the key: a shuffle merge moves only the delta
     srcformat="parquet",
 )
 

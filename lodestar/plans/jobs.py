@@ -53,10 +53,20 @@ def _forget_activations(store: Store, target: str) -> None:
             store.replace(ACT_LEDGER, cur.where(F.col("target") != target))
 
 
+def target_buckets(spec: EntitySpec, n: str) -> dict | None:
+    """Bucket layout of an activation target: its merge keys (the marker's
+    without the day), so a shuffle merge moves only the delta."""
+    if not spec.buckets or spec.partition_date or n not in ("2", "5") or not spec.keys:
+        return None
+    keys = spec.key_spec(drop=spec.day_col) if n == "5" else list(spec.keys)
+    return {"n": spec.buckets, "keys": keys}
+
+
 def create(store: Store, spec: EntitySpec, n: str) -> None:
     """SNK2 + SRC10: create or replace table n and forget its loaded files
     (and, for a target, the requests it had absorbed)."""
-    store.create(tname(spec, n), table_schema(spec, n), None if n == "1" else spec.partition_date)
+    store.create(tname(spec, n), table_schema(spec, n), None if n == "1" else spec.partition_date,
+                 target_buckets(spec, n))
     ledger_reset(store, spec.name, n)
     _forget_activations(store, tname(spec, n))
 

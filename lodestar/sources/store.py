@@ -119,13 +119,18 @@ class Store:
     def next_snapshot(self, name: str) -> int:
         return max(self.snapshots(name) or [0]) + 1
 
-    def _commit(self, name: str, schema: T.StructType, partition_date: str | None, folders: list[dict]) -> int:
+    def buckets(self, name: str) -> dict | None:
+        """Bucket layout of the table: {"n": buckets, "keys": [...]}, or None."""
+        return self._manifest(name).get("buckets")
+
+    def _commit(self, name: str, schema: T.StructType, partition_date: str | None, folders: list[dict],
+                buckets: dict | None = None) -> int:
         """Publish a snapshot: write the manifest aside, then rename it into place."""
         seq = self.next_snapshot(name)
         final = self._snap_file(name, seq)
         tmp = f"{self.table_path(name)}/_snapshots/.tmp-{uuid.uuid4().hex}"
         self._write_text(tmp, json.dumps({"schema": schema.json(), "partition_date": partition_date,
-                                          "folders": folders}))
+                                          "buckets": buckets, "folders": folders}))
         fs, p_tmp = self._fs(tmp)
         _, p_final = self._fs(final)
         if fs.exists(p_final) or not fs.rename(p_tmp, p_final):
@@ -146,10 +151,26 @@ class Store:
         paths = [f"{self.table_path(name)}/{e['path']}" for e in folders]
         if not paths:
             return self.spark.createDataFrame([], schema)
+        if man.get("buckets") and len(paths) == 1:
+            return self._bucketed_scan(paths[0], schema, man["buckets"])
         return self.spark.read.schema(schema).format(self.fmt).load(paths)
 
+    def _bucketed_scan(self, path: str, schema: T.StructType, buckets: dict) -> DataFrame:
+        """Read one bucketed folder through an external catalog table, so Spark
+        knows the rows are hash-partitioned on the keys: a shuffle join on the
+        keys then moves only the other side.  The entry is named by the folder,
+        so every session registers it once."""
+        ref = "lodestar_b_" + uuid.uuid5(uuid.NAMESPACE_URL, path).hex
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        keys = ", ".join(f"`{k}`" for k in buckets["keys"])
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {ref} ({cols}) USING {self.fmt} "
+            f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {int(buckets['n'])} BUCKETS LOCATION '{path}'")
+        return self.spark.table(ref)
+
     # ------------------------------------------------------------------ write
-    def _write_data(self, name: str, df: DataFrame, part: str | None, cluster: bool = True) -> list[dict]:
+    def _write_data(self, name: str, df: DataFrame, part: str | None, cluster: bool = True,
+                    buckets: dict | None = None) -> list[dict]:
         """Write rows to a fresh data folder; return its folder entries.
 
         ``cluster`` shuffles rows of one month together first (a rebalance, so
@@ -170,18 +191,28 @@ class Store:
                 if d.startswith(f"{PART_COL}="):
                     out.append({"month": d.split("=", 1)[1], "path": f"{rel}/{d}"})
             return out
+        if buckets:
+            # Bucketed files (one per bucket and task) need the catalog writer;
+            # the temporary entry is external, so dropping it keeps the files.
+            tmp = f"lodestar_w_{uuid.uuid4().hex}"
+            keys = list(buckets["keys"])
+            df.write.mode("errorifexists").option("compression", "zstd").option("path", path) \
+                .bucketBy(int(buckets["n"]), *keys).sortBy(*keys).format(self.fmt).saveAsTable(tmp)
+            self.spark.sql(f"DROP TABLE IF EXISTS {tmp}")
+            return [{"month": None, "path": rel}]
         df.write.mode("errorifexists").option("compression", "zstd").format(self.fmt).save(path)
         return [{"month": None, "path": rel}]
 
     def _typed(self, df: DataFrame, schema: T.StructType) -> DataFrame:
         return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
-    def replace(self, name: str, df: DataFrame, partition_date: str | None = None, keep_meta: bool = False) -> int:
+    def replace(self, name: str, df: DataFrame, partition_date: str | None = None, keep_meta: bool = False,
+                buckets: dict | None = None) -> int:
         """CREATE OR REPLACE with content: a new snapshot of these rows only."""
         if keep_meta and self.exists(name):
-            partition_date = self.partition_date(name)
-        folders = self._write_data(name, df, partition_date)
-        return self._commit(name, df.schema, partition_date, folders)
+            partition_date, buckets = self.partition_date(name), self.buckets(name)
+        folders = self._write_data(name, df, partition_date, buckets=buckets)
+        return self._commit(name, df.schema, partition_date, folders, buckets)
 
     def replace_months(self, name: str, df: DataFrame, months: list[str], cluster: bool = True) -> int:
         """Replace the rows of ``months`` by ``df`` and keep every other month.
@@ -205,7 +236,7 @@ class Store:
         ``discard`` deletes them.  No reader sees them before the commit."""
         man = self._manifest(name)
         schema = T.StructType.fromJson(json.loads(man["schema"]))
-        entries = self._write_data(name, self._typed(df, schema), man["partition_date"])
+        entries = self._write_data(name, self._typed(df, schema), man["partition_date"], buckets=man.get("buckets"))
         paths = [f"{self.table_path(name)}/{e['path']}" for e in entries]
         rows = (self.spark.read.schema(schema).format(self.fmt).load(paths) if paths
                 else self.spark.createDataFrame([], schema))
@@ -221,7 +252,7 @@ class Store:
             folders = list(entries)
         else:
             raise ValueError(f"unknown publish mode {mode!r}")
-        return self._commit(name, schema, man["partition_date"], folders)
+        return self._commit(name, schema, man["partition_date"], folders, man.get("buckets"))
 
     def discard(self, name: str, entries: list[dict]) -> None:
         """Delete staged folders that were never committed."""
@@ -229,21 +260,25 @@ class Store:
             fs, p = self._fs(f"{self.table_path(name)}/data/{top}")
             fs.delete(p, True)
 
-    def create(self, name: str, schema: T.StructType, partition_date: str | None = None) -> int:
-        """SNK2: create or replace an empty table."""
-        return self._commit(name, schema, partition_date, [])
+    def create(self, name: str, schema: T.StructType, partition_date: str | None = None,
+               buckets: dict | None = None) -> int:
+        """SNK2: create or replace an empty table.  ``buckets`` ({"n", "keys"})
+        stores an unpartitioned table hash-bucketed on its keys."""
+        if buckets and partition_date:
+            raise ValueError("bucketed tables are unpartitioned here")
+        return self._commit(name, schema, partition_date, [], buckets)
 
     def append(self, name: str, df: DataFrame) -> int:
         """SNK1: insert by name: the current folders plus one new write."""
         man = self._manifest(name)
         schema = T.StructType.fromJson(json.loads(man["schema"]))
         part = man["partition_date"]
-        new = self._write_data(name, self._typed(df, schema), part)
-        return self._commit(name, schema, part, man["folders"] + new)
+        new = self._write_data(name, self._typed(df, schema), part, buckets=man.get("buckets"))
+        return self._commit(name, schema, part, man["folders"] + new, man.get("buckets"))
 
     def truncate(self, name: str) -> int:
         """SNK4: delete all rows (a new empty snapshot, same schema)."""
-        return self.create(name, self.schema(name), self.partition_date(name))
+        return self.create(name, self.schema(name), self.partition_date(name), self.buckets(name))
 
     def delete_where(self, name: str, cond: str) -> int:
         """SNK5: conditional delete; a row is kept unless ``cond`` is true."""

@@ -33,6 +33,7 @@ class EntitySpec:
     where: str = "true"  # load filter on source rows
     order: str | None = None  # load order; a digit is an output ordinal
     partition_date: str | None = None  # partition by month of this DATE column
+    buckets: int = 0  # unpartitioned targets: hash-bucket tables 2 / 5 on their merge keys
     srcformat: str = "parquet"
     delimiter: str = ","
     loadmanytimes: bool = False

@@ -219,3 +219,32 @@ def test_jobs_take_the_shuffle_path_over_the_broadcast_limit(spark, store):
     want2 = activate_movements(ex.initial_state(spark, SF_SMALL, "stock", "2"), after, fx.STOCK)
     want5 = activate_marker(ex.initial_state(spark, SF_SMALL, "stock", "5"), after, fx.STOCK)
     assert got2 == _sorted(want2) and got5 == _sorted(want5)
+
+
+def test_bucketed_target_merges_without_shuffling_active(spark, store):
+    import dataclasses
+
+    from lodestar.operators.activate import activate_cube, apply_cube, reduce_cube
+    from lodestar.operators.sizing import LIMIT_KEY
+
+    spec = dataclasses.replace(fx.CUBE, buckets=8)
+    root = ex.ensure_extracts(spark, SF_SMALL, "cube")
+    jobs.create(store, spec, "1")
+    jobs.create(store, spec, "2")
+    jobs.insert(store, spec, "2", root)
+    t2 = jobs.tname(spec, "2")
+    assert store.buckets(t2) == {"n": 8, "keys": ["material", "vendor"]}
+    active = store.read(t2)
+    delta = reduce_cube(ex.inbound(spark, SF_SMALL, "cube", "after").drop("_day"), spec)
+    plan = apply_cube(active, delta, spec, strategy="shuffle")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1  # the delta side only
+    spark.conf.set(LIMIT_KEY, "0")
+    try:
+        jobs.insert(store, spec, "1", root)
+        jobs.merge12(store, spec)
+    finally:
+        spark.conf.unset(LIMIT_KEY)
+    assert store.buckets(t2)["n"] == 8
+    want = activate_cube(ex.initial_state(spark, SF_SMALL, "cube"), ex.inbound(spark, SF_SMALL, "cube", "after"),
+                         fx.CUBE)
+    assert _sorted(store.read(t2)) == _sorted(want)
