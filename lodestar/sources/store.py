@@ -155,12 +155,21 @@ class Store:
             return self._bucketed_scan(paths[0], schema, man["buckets"])
         return self.spark.read.schema(schema).format(self.fmt).load(paths)
 
+    @staticmethod
+    def _bucket_ref(path: str) -> str:
+        return "lodestar_b_" + uuid.uuid5(uuid.NAMESPACE_URL, path).hex
+
+    def _unregister(self, paths: list[str]) -> None:
+        """Remove the catalog entries of bucketed folders (external: no files touched)."""
+        for path in paths:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._bucket_ref(path)}")
+
     def _bucketed_scan(self, path: str, schema: T.StructType, buckets: dict) -> DataFrame:
         """Read one bucketed folder through an external catalog table, so Spark
         knows the rows are hash-partitioned on the keys: a shuffle join on the
         keys then moves only the other side.  The entry is named by the folder,
         so every session registers it once."""
-        ref = "lodestar_b_" + uuid.uuid5(uuid.NAMESPACE_URL, path).hex
+        ref = self._bucket_ref(path)
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         keys = ", ".join(f"`{k}`" for k in buckets["keys"])
         self.spark.sql(
@@ -321,12 +330,17 @@ class Store:
             units = [(f"{wid}/{c.getPath().getName()}", c) for c in parts] or [(wid, st)]
             for rel, status in units:
                 if rel not in live and status.getModificationTime() < cutoff:
+                    self._unregister([f"{self.table_path(name)}/{rel}"])
                     fs.delete(status.getPath(), True)
                     gone.append(rel)
         return gone
 
     def drop(self, name: str) -> None:
         """SNK3: drop table with its data (PURGE)."""
+        for seq in self.snapshots(name):
+            man = self._manifest(name, seq)
+            if man.get("buckets"):
+                self._unregister([f"{self.table_path(name)}/{e['path']}" for e in man["folders"]])
         fs, p = self._fs(self.table_path(name))
         if fs.exists(p):
             fs.delete(p, True)

@@ -248,3 +248,14 @@ def test_bucketed_target_merges_without_shuffling_active(spark, store):
     want = activate_cube(ex.initial_state(spark, SF_SMALL, "cube"), ex.inbound(spark, SF_SMALL, "cube", "after"),
                          fx.CUBE)
     assert _sorted(store.read(t2)) == _sorted(want)
+
+
+def test_bucketed_catalog_entries_go_with_their_folders(spark, store):
+    o = spark.createDataFrame([(str(i), i) for i in range(20)], "k STRING, v INT")
+    store.create("b", o.schema, buckets={"n": 4, "keys": ["k"]})
+    store.append("b", o)
+    assert store.read("b").count() == 20
+    ref = store._bucket_ref(f"{store.table_path('b')}/{next(iter(_folders(store, 'b')[None]))}")
+    assert spark.catalog.tableExists(ref)
+    store.drop("b")
+    assert not spark.catalog.tableExists(ref)
