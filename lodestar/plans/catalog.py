@@ -472,8 +472,11 @@ def q_activate_standard_strict(spark, sf):
 EV_KEYS = "user_id, event_type"
 
 
-@register("activate_standard_events", f"""SELECT CAST(NULL AS VARCHAR) AS recordmode, user_id, event_type, ev_date,
-  value, props FROM ({latest_sql(fx.EVENTS_INBOUND_SQL, EV_KEYS)}) l WHERE coalesce(recordmode, '') <> 'D'""")
+EVENTS_ALL_SQL = f"""SELECT CAST(NULL AS VARCHAR) AS recordmode, user_id, event_type, ev_date,
+  value, props FROM ({latest_sql(fx.EVENTS_INBOUND_SQL, EV_KEYS)}) l WHERE coalesce(recordmode, '') <> 'D'"""
+
+
+@register("activate_standard_events", EVENTS_ALL_SQL)
 def q_activate_standard_events(spark, sf):
     a = ex.initial_state(spark, sf, "events")
     return act.activate_standard(a, ex.inbound(spark, sf, "events", "after"), fx.EVENTS)
@@ -750,6 +753,14 @@ def q_job_standard_delta(spark, sf):
     return run_standard_delta(spark, sf)
 
 
+@register("job_events_delta", EVENTS_ALL_SQL)
+def q_job_events_delta(spark, sf):
+    root = ex.ensure_extracts(spark, sf, "events")
+    store = _store(spark)
+    jobs.job_standard_init(store, fx.EVENTS, root)
+    return jobs.job_delta(store, fx.EVENTS, root)
+
+
 @register("job_cube_init", CUBE_A_SQL)
 def q_job_cube_init(spark, sf):
     root = ex.ensure_extracts(spark, sf, "cube")

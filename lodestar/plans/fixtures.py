@@ -80,6 +80,7 @@ EVENTS = EntitySpec(
         ("props", _init("props")),
     ),
     keys=("user_id", "event_type"),
+    buckets=8,  # table 2 bucketed on the key
     srcformat="parquet",
 )
 

@@ -259,3 +259,21 @@ def test_bucketed_catalog_entries_go_with_their_folders(spark, store):
     assert spark.catalog.tableExists(ref)
     store.drop("b")
     assert not spark.catalog.tableExists(ref)
+
+
+def test_bucketed_standard_target_shuffles_only_the_delta(spark, store):
+    from lodestar.operators.activate import apply_standard, reduce_standard
+
+    root = ex.ensure_extracts(spark, SF_SMALL, "events")
+    jobs.job_standard_init(store, fx.EVENTS, root)
+    active = store.read(jobs.tname(fx.EVENTS, "2"))
+    latest = reduce_standard(ex.inbound(spark, SF_SMALL, "events", "after"), fx.EVENTS)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(key, "-1")  # Spark would broadcast these few keys on its own
+    try:
+        out = apply_standard(active, latest, fx.EVENTS, strategy="shuffle")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(key)
+    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+    assert plan.count("Exchange hashpartitioning") == 1
