@@ -151,3 +151,20 @@ def test_broadcast_plan_keeps_active_unshuffled(spark, active, inbound):
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
     out2 = activate_standard(active, inbound, STD, strategy="shuffle")
     assert rows(out2, "k") == rows(out, "k")
+
+
+def test_kind_dispatch(spark, active, inbound):
+    import dataclasses
+    import datetime as dt
+
+    from lodestar.operators.activate import activate
+
+    out = activate(STD, active, inbound)
+    assert set(out) == {"2"} and rows(out["2"], "k") == rows(activate_standard(active, inbound, STD), "k")
+    d1 = dt.date(2024, 1, 1)
+    marker = spark.createDataFrame([(None, "1", d1, "p", D("10.000"), D("4.000"))], STOCK.ddl)
+    inb = spark.createDataFrame([(req(2), "000001", 1, None, None, d1, "p", D("5.000"), None)], SIN)
+    both = activate(STOCK, marker, inb, marker=marker)
+    assert set(both) == {"2", "5"}
+    assert rows(both["5"], "m", "rec") == [("p", D("15.000"))]
+    assert activate(dataclasses.replace(STD, kind="master"), active, inbound) == {}
