@@ -277,3 +277,12 @@ def test_bucketed_standard_target_shuffles_only_the_delta(spark, store):
         spark.conf.unset(key)
     assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_publish_without_checks_passes(spark, store):
+    from lodestar.sources.publish import publish_checked
+
+    o = spark.createDataFrame([(1,)], "id INT")
+    store.create("t", o.schema)
+    ok, report = publish_checked(store, "t", o, lambda d: [])
+    assert ok and report.count() == 0 and store.read("t").count() == 1
