@@ -4,17 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sharding
+from . import pieces, sharding
 from .common import documents
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
+    path = model or public_tokenizers.path("piece_bpe_32k.model")
+    encoded = pieces.encode(documents(spark, sf_dir), path)
+    return pieces.digests(pieces.decode(encoded, path))
+
+
 def op4_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(documents(spark, sf_dir), weights=(1.0,) * 8)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op4_rendezvous_shards": op4_rendezvous_shards,
 }
 
