@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pieces, sharding
+from . import language, pieces, sharding
 from .common import documents
 
 
@@ -21,9 +21,14 @@ def op4_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(documents(spark, sf_dir), weights=(1.0,) * 8)
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op4_rendezvous_shards": op4_rendezvous_shards,
+    "op9_language_id": op9_language_id,
 }
 
 ORACLE: dict[str, str] = {}
