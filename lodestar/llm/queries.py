@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import language, minhash, pieces, sharding
+from . import language, minhash, pieces, repeats, sharding
 from .common import documents
 
 
@@ -17,6 +18,11 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str, model: str | None = None
     return pieces.digests(pieces.decode(encoded, path))
 
 
+def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.remove(documents(spark, sf_dir).select("doc_id", "text"))
+    return cut.select("row.doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"), "spans")
+
+
 def op4_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(documents(spark, sf_dir), weights=(1.0,) * 8)
 
@@ -31,6 +37,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op3_repeated_passages": op3_repeated_passages,
     "op4_rendezvous_shards": op4_rendezvous_shards,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_language_id": op9_language_id,
