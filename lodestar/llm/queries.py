@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, minhash, pieces, repeats, sharding
+from . import language, minhash, packing, pieces, repeats, sharding
 from .common import documents
 
 
@@ -18,6 +18,11 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str, model: str | None = None
     return pieces.digests(pieces.decode(encoded, path))
 
 
+def op2_packed_sequences(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    path = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(documents(spark, sf_dir), path, capacity=2048, end_id=0)
+
+
 def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = repeats.remove(documents(spark, sf_dir).select("doc_id", "text"))
     return cut.select("row.doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"), "spans")
@@ -37,6 +42,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_packed_sequences": op2_packed_sequences,
     "op3_repeated_passages": op3_repeated_passages,
     "op4_rendezvous_shards": op4_rendezvous_shards,
     "op8_near_duplicates": op8_near_duplicates,
