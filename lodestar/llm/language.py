@@ -188,3 +188,13 @@ def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str
     counts = train(docs.where(~held_out), key, text, lang, **options)
     rows = docs.select(F.col(f"`{key}`").alias(key), held_out.alias("held_out"), F.col(f"`{text}`").cast("string").alias(text))
     return predict(rows, counts, options.get("order", 4), key, text).select(key, "held_out", "lang_pred", "score")
+
+
+def identified(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
+               least: float = 0.5, **options) -> DataFrame:
+    """The rows of ``docs`` whose language can be told: not ``und`` and a score of ``least`` or more."""
+    held_out = crc_of_id(F.col(f"`{key}`")) % 4 == 2
+    counts = train(docs.where(~held_out), key, text, lang, **options)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text}`").cast("string").alias("text"))
+    found = predict(rows, counts, options.get("order", 4), text="text")
+    return found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)).select("row.*")

@@ -229,19 +229,32 @@ def classes(docs: DataFrame, text: str = "text", width: int = 5, threshold: floa
     return components(links.union(more_links))
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, threshold: float = 0.8,
-                    bands: int = 30, rows: int = 5) -> DataFrame:
-    """One row per document: key, class_id (smallest key of its class), class_size, kept."""
-    named = stage(with_uid(docs.select(F.col(f"`{key}`").alias(key), digest(text).alias("node"))), "names")
-    found = classes(docs, text, width, threshold, bands, rows)
-    first = F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("uid").alias("uid")))
+def _heads(named: DataFrame, found: DataFrame) -> DataFrame:
+    """(node, head, class_size) of every distinct text; ``named``: (key, uid, node)."""
+    first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "uid"))
     per_text = named.where("node is not null").groupBy("node").agg(first.alias("head"), F.count("*").alias("n"))
     rooted = per_text.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     per_class = rooted.groupBy("root").agg(F.min("head").alias("head"), F.sum("n").alias("class_size"))
-    of_text = rooted.select("node", "root").join(per_class, "root").select("node", "head", "class_size")
-    out = named.join(of_text, "node", "left")
+    return rooted.select("node", "root").join(per_class, "root").select("node", "head", "class_size")
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One row per document: key, class_id (smallest key of its class), class_size, kept."""
+    named = stage(with_uid(docs.select(F.col(f"`{key}`").alias("key"), digest(text).alias("node"))), "names")
+    out = named.join(_heads(named, classes(docs, text, **options)), "node", "left")
     return out.select(
-        key,
-        F.when(F.col("head").isNull(), F.col(key)).otherwise(F.col("head.key")).alias("class_id"),
+        F.col("key").alias(key),
+        F.when(F.col("head").isNull(), F.col("key")).otherwise(F.col("head.key")).alias("class_id"),
         F.coalesce("class_size", F.lit(1)).alias("class_size"),
         (F.col("head").isNull() | (F.col("head.uid") == F.col("uid"))).alias("kept"))
+
+
+def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that stand for their class: one of each class, all columns."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.col(f"`{key}`").alias("key"), digest(text).alias("node"))
+    held = stage(with_uid(rows), "rows")
+    named = held.select("key", "uid", "node")
+    heads = _heads(named, classes(held.select("row.*"), text, **options)).where("class_size > 1")
+    dropped = named.join(heads.select("node", F.col("head.uid").alias("first")), "node").where("uid <> first").select("uid")
+    return join_small(held.select("row", "uid"), dropped, ["uid"], "left_anti").select("row.*")

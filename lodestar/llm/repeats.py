@@ -253,3 +253,19 @@ def remove(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
 
     row = planned.schema["row"].dataType.simpleString()
     return planned.mapInArrow(run, f"row {row}, n_words long, n_removed long, kept string, spans array<int>")
+
+
+def cleaned(docs: DataFrame, key: str = "doc_id", text: str = "text", chars: str = "n_chars", **options) -> DataFrame:
+    """The rows of ``docs`` without their repeated passages, columns as before.
+
+    A document that loses words has its kept words, joined by one space, as its text (and
+    their number of characters in ``chars``, if there is such a column); others are
+    unchanged.  Documents that had words and keep none go."""
+    cut = remove(docs, key, text, **options)
+    left = cut.where("n_words = 0 or n_removed < n_words")
+    columns = []
+    for name in docs.columns:
+        new = {text: F.col("kept"), chars: F.length("kept").cast(docs.schema[name].dataType) if name == chars else None}.get(name)
+        old = F.col(f"row.`{name}`")
+        columns.append(old.alias(name) if new is None else F.when(F.col("n_removed") > 0, new).otherwise(old).alias(name))
+    return left.select(*columns)
