@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, minhash, packing, pieces, repeats, sharding
+from . import counting, language, minhash, packing, pieces, repeats, sharding
 from .common import documents
 
 
@@ -32,6 +32,14 @@ def op4_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(documents(spark, sf_dir), weights=(1.0,) * 8)
 
 
+def op5_edited_token_counts(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    """Counts before and after personal data and secrets are replaced by tags."""
+    path = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
+    docs = counting.with_redactions(documents(spark, sf_dir).select("doc_id", "text"))
+    counted = counting.apply_edits(counting.build(docs, path, edits="edits"), path)
+    return counted.select("doc_id", "n_tokens", "n_pretokens", "n_edits", "n_tokens_edited", "n_reencoded")
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir))
 
@@ -45,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packed_sequences": op2_packed_sequences,
     "op3_repeated_passages": op3_repeated_passages,
     "op4_rendezvous_shards": op4_rendezvous_shards,
+    "op5_edited_token_counts": op5_edited_token_counts,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_language_id": op9_language_id,
 }
