@@ -243,7 +243,8 @@ def with_redactions(docs: DataFrame, text: str = "text", patterns: dict[str, str
     patterns = patterns or REDACTIONS
     tags = list(patterns)
     source = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "edits"])
-    at = source.columns.index(text)
+    names = [*source.columns, "edits"]
+    at = names.index(text)
     kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("text", pa.string())]))
 
     def run(batches):
@@ -254,7 +255,7 @@ def with_redactions(docs: DataFrame, text: str = "text", patterns: dict[str, str
                 found = [[(m.start(), m.end(), tags[m.lastindex - 1]) for m in any_of.finditer(t or "")]
                          for t in part.column(at).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(
-                    [[dict(zip(("start", "stop", "text"), e)) for e in row] for row in found], kind)], [*source.columns, "edits"])
+                    [[dict(zip(("start", "stop", "text"), e)) for e in row] for row in found], kind)], names)
 
     schema = T.StructType([*source.schema.fields, *T.StructType.fromDDL(f"edits {EDIT}").fields])
     return source.mapInArrow(run, schema)
