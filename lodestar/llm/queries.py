@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import counting, language, minhash, packing, pieces, repeats, sharding
-from .common import documents
+from . import counting, language, minhash, packing, pieces, repeats, search, sharding
+from .common import documents, embeddings
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
@@ -48,6 +48,10 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(documents(spark, sf_dir))
 
 
+def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.top_k(embeddings(spark, sf_dir), F.col("id") % 50 == 0, k=5, scale=256)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_packed_sequences": op2_packed_sequences,
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_edited_token_counts": op5_edited_token_counts,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_language_id": op9_language_id,
+    "op10_exact_top_k": op10_exact_top_k,
 }
 
 ORACLE: dict[str, str] = {}
