@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import counting, language, minhash, packing, pieces, repeats, search, sharding
+from . import counting, language, minhash, packing, pieces, repeats, search, sharding, vectors
 from .common import documents, embeddings
 
 
@@ -40,6 +40,10 @@ def op5_edited_token_counts(spark: SparkSession, sf_dir: str, tokenizer: str | N
     return counted.select("doc_id", "n_tokens", "n_pretokens", "n_edits", "n_tokens_edited", "n_reencoded")
 
 
+def op6_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(embeddings(spark, sf_dir), threshold=0.98)
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir))
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_repeated_passages": op3_repeated_passages,
     "op4_rendezvous_shards": op4_rendezvous_shards,
     "op5_edited_token_counts": op5_edited_token_counts,
+    "op6_embedding_near_duplicates": op6_embedding_near_duplicates,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_language_id": op9_language_id,
     "op10_exact_top_k": op10_exact_top_k,
