@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import counting, language, minhash, packing, pieces, repeats, search, sharding, vectors
+from . import counting, language, maxent, minhash, packing, pieces, repeats, search, sharding, vectors
 from .common import documents, embeddings
 
 
@@ -44,6 +44,10 @@ def op6_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame
     return vectors.near_duplicates(embeddings(spark, sf_dir), threshold=0.98)
 
 
+def op7_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.score(documents(spark, sf_dir))
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir))
 
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_rendezvous_shards": op4_rendezvous_shards,
     "op5_edited_token_counts": op5_edited_token_counts,
     "op6_embedding_near_duplicates": op6_embedding_near_duplicates,
+    "op7_maxent_scores": op7_maxent_scores,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_language_id": op9_language_id,
     "op10_exact_top_k": op10_exact_top_k,
