@@ -1,0 +1,87 @@
+"""Operator 5 against whole encodings by the tokenizers library."""
+
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+
+from lodestar.llm import bpe, counting
+
+from . import cases
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return bpe.WordBPE(bpe.read_definition(PATH), memo=300)
+
+
+def whole(tokenizer, text):
+    return tokenizer.tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def test_ids_are_the_librarys(tokenizer):
+    rng = random.Random(1)
+    letters = [chr(c) for c in [*range(9, 14), *range(32, 127), *range(0xA0, 0x250)]] * 3 + ["漢", "😀", "<|endoftext|>", "'s", "'ll", "  "]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
+    texts += [t for _, t in cases.edge_texts()]
+    for text, found in zip(texts, tokenizer.encode(texts)):
+        assert np.frombuffer(found, "<u4").tolist() == whole(tokenizer, text), text
+
+
+def test_trees_follow_random_edits(tokenizer):
+    rng = random.Random(2)
+    parts = ["the", " of", "a", " ", "  ", "\n", "'s", "'", "don", "'t", ".", ",", "12", "é", "ß ", " y", "\t", "- ", "ing"]
+    of = lambda w: len(tokenizer.word(w)) // 4
+    touched = total = 0
+    for _ in range(400):
+        text = "".join(rng.choice(parts) for _ in range(rng.choice([0, 3, 20, 900])))
+        words = bpe.PRE_TOKEN.findall(text)
+        tree = counting.CountTree(np.array([len(w) for w in words], np.int64), np.array([of(w) for w in words], np.int64))
+        for _ in range(4):
+            start = rng.randint(0, len(text))
+            stop = min(len(text), start + rng.choice([0, 1, 3, 10, 200]))
+            new = "".join(rng.choice(parts) for _ in range(rng.choice([0, 1, 3, 30])))
+            want = text[:start] + new + text[stop:]
+            text, count = tree.edit(text, start, stop, new, of)
+            assert text == want and tree.total == len(whole(tokenizer, text))
+            assert [n for b in tree.lengths for n in b] == [len(w) for w in bpe.PRE_TOKEN.findall(text)]
+            tree = counting.CountTree.from_bytes(tree.to_bytes())
+            touched, total = touched + count, total + len(words)
+    assert touched < 0.2 * total
+
+
+def test_documents_with_edits(spark, tokenizer):
+    rng = random.Random(3)
+    rows = []
+    for n, (key, text) in enumerate(cases.edge_texts()):
+        size = len(text or "")
+        edits = [(rng.randint(-3, size + 3), rng.randint(0, size + 30), rng.choice(["", " new words", "漢字", None, "<|endoftext|>", "é"]))
+                 for _ in range(n % 4)]
+        rows.append((key, text, edits or None, "clash"))
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, edits {counting.EDIT}, tree string")
+    found = counting.apply_edits(counting.build(docs, PATH, edits="edits"), PATH).collect()
+    want = []
+    for key, text, edits, _ in rows:
+        body, before = text or "", len(text or "")
+        for start, stop, new in sorted(edits or [], key=lambda e: e[:2], reverse=True):
+            start = min(max(0, start), before)
+            body = body[:start] + (new or "") + body[max(start, min(stop, before)):]
+            before = start
+        want.append((key is None, key or 0, len(whole(tokenizer, text)), len(edits or []), len(whole(tokenizer, body)), body))
+    got = [(r["doc_id"] is None, r["doc_id"] or 0, r["n_tokens"], r["n_edits"], r["n_tokens_edited"], r["edited"]) for r in found]
+    assert sorted(got) == sorted(want)
+
+
+def test_redaction_query_and_empty_table(spark, tokenizer):
+    text = "Mail a.b@c.org or 10.0.0.1, call +1 555 123 4567 " + "word " * 300 + "key 0123456789abcdef0123456789abcdef"
+    docs = counting.with_redactions(spark.createDataFrame([(1, text), (2, None)], "doc_id long, text string"))
+    found = {r["doc_id"]: r for r in counting.apply_edits(counting.build(docs, PATH, edits="edits"), PATH).collect()}
+    assert found[1]["edited"] == "Mail [email] or [address], call [number] " + "word " * 300 + "key [secret]"
+    assert found[1]["n_tokens_edited"] == len(whole(tokenizer, found[1]["edited"]))
+    assert found[1]["n_edits"] == 4 and found[1]["n_reencoded"] < 100
+    assert (found[2]["n_tokens"], found[2]["n_edits"]) == (0, 0)
+    none = counting.with_redactions(cases.empty(spark).select("doc_id", "text"))
+    assert counting.apply_edits(counting.build(none, PATH, edits="edits"), PATH).collect() == []
