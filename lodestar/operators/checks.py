@@ -25,15 +25,16 @@ def check_pk(df: DataFrame, keys: list[str], where: str = "true", name: str = "p
     return _row(name, dup.agg(F.count(F.lit(1)).alias("cnt")))
 
 
-def check_pk_incoming(existing: DataFrame, incoming: DataFrame, keys: list[str], name: str = "pk") -> DataFrame:
+def check_pk_incoming(existing: DataFrame, incoming: DataFrame, keys: list[str], name: str = "pk",
+                      where: str = "true") -> DataFrame:
     """CHK1 for a load: keys of ``incoming`` that would occur more than once in
     ``existing`` plus ``incoming``.  Only existing rows whose key arrives are
     read past a semi join (incoming keys broadcast when measured small), so
     the table itself is never grouped."""
     from lodestar.operators.sizing import join_small
 
-    inc = incoming.select(*keys)
-    hit = join_small(existing.select(*keys), inc.distinct(), keys, "left_semi")
+    inc = incoming.where(F.expr(where)).select(*keys)
+    hit = join_small(existing.where(F.expr(where)).select(*keys), inc.distinct(), keys, "left_semi")
     return check_pk(hit.unionByName(inc), keys, name=name)
 
 
@@ -43,9 +44,9 @@ def check_initial(df: DataFrame, col: str, name: str | None = None) -> DataFrame
     return _row(name or f"initial:{col}", cnt)
 
 
-def check_not_null(df: DataFrame, spec: EntitySpec) -> DataFrame:
-    """CHK3: NULLs in NOT NULL columns, one pass, one row per column."""
-    cols = [c for c in spec.not_null if c in df.columns]
+def check_not_null(df: DataFrame, spec: EntitySpec, column: str | None = None) -> DataFrame:
+    """CHK3: NULLs in NOT NULL columns (or in one), one pass, one row per column."""
+    cols = [c for c in ([column] if column else spec.not_null) if c in df.columns]
     if not cols:
         return df.sparkSession.createDataFrame([], "check STRING, cnt LONG")
     counts = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in cols])
@@ -66,22 +67,27 @@ def verdict(report: DataFrame) -> bool:
 
 
 def load_checks(existing: DataFrame, staged: DataFrame, spec: EntitySpec, n: str) -> list[DataFrame]:
-    """Checks of one load into table ``n``: NOT NULL columns of the staged rows,
-    and the table's unique key over existing + staged rows (read incrementally).
-    The inbound change log (1) is unique on the request identity, not on the
-    entity key; the stock marker (5) is keyed without the day."""
+    """The spec's declared checks for one load into table ``n``: NULLs and initial
+    values of the staged rows, and the table's unique key over existing + staged rows
+    (read incrementally).  The inbound change log (1) is unique on the request
+    identity, not on the entity key; the stock marker (5) is keyed without the day."""
     from lodestar.functions import REQUEST_FIELDS
 
-    out = [check_not_null(staged, spec)]
+    out = []
     if n == "1":
         any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in REQUEST_FIELDS])
-        req_nulls = staged.agg(F.count_if(any_null).alias("cnt"))
-        out.append(_row("not_null:request", req_nulls))
+        out.append(_row("not_null:request", staged.agg(F.count_if(any_null).alias("cnt"))))
         out.append(check_pk_incoming(existing, staged, list(REQUEST_FIELDS), name="pk:request"))
-    elif spec.keys:
-        keys = spec.key_spec(drop=spec.day_col) if n == "5" else list(spec.keys)
-        out.append(check_pk_incoming(existing, staged, keys))
-        out.append(check_initial(staged, keys[0]))
+    for check in spec.checks:
+        if check.kind == "not_null":
+            out.append(check_not_null(staged, spec, check.column))
+        elif check.kind == "initial":
+            if staged.schema[check.column].dataType.typeName() != "string":
+                raise ValueError(f"initial-value check on {check.column}, which is no STRING column")
+            out.append(check_initial(staged, check.column))
+        elif n != "1" and spec.keys:
+            keys = spec.key_spec(drop=spec.day_col) if n == "5" else list(spec.keys)
+            out.append(check_pk_incoming(existing, staged, keys, where=check.where))
     return out
 
 

@@ -1,7 +1,8 @@
 """Per-key aggregations of an inbound change table (AGG1-3, AGG5-7, JN1).
 
-All are hash aggregates with a partial (map-side) phase, so a hot key sends
-at most one partial row per map task into the shuffle.
+All have a partial (map-side) phase, so a hot key sends at most one partial
+row per map task into the shuffle: hash aggregates for sums and counts, sort
+aggregates for ``max_by`` over structs.
 """
 
 from __future__ import annotations
@@ -49,7 +50,8 @@ def _sum_cast(df: DataFrame, figure: str):
 
 def sum_per_key(df: DataFrame, keys: list[str], figures: list[str]) -> DataFrame:
     """AGG2: sums of key figures per key, cast back to the figure types (an
-    overflow raises under ANSI); ``count(*) AS rowcnt`` when none is named."""
+    overflow raises under ANSI).  When none is named, ``rowcnt`` is the number of
+    rows of the key (the source system's literal ``1`` per key says nothing)."""
     aggs = [_sum_cast(df, f) for f in figures] or [F.count(F.lit(1)).alias("rowcnt")]
     return df.groupBy(*[F.col(_q(k)) for k in keys]).agg(*aggs)
 

@@ -44,15 +44,18 @@ def sequence_within(
     """Add ``name`` = row_number() within ``group_cols`` ordered by ``order_cols``.
 
     (group_cols, order_cols) must identify rows for the numbering to be exact
-    and deterministic."""
+    and deterministic.  The number is an INT, as the request field it fills: a
+    group of more than 2**31 - 1 rows raises (deliver it in several packages)."""
     s = _range_sorted(df, [*group_cols, *order_cols], num_partitions)
-    runs = s.groupBy("_pid", *group_cols).agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    carry = runs.select("_pid", *group_cols, "_first",
+    # the group as one text that is never NULL: rows whose group is NULL are a group like any other
+    s = s.withColumn("_group", F.to_json(F.struct(*[F.col(c).cast("string").alias(f"g{i}") for i, c in enumerate(group_cols)])))
+    runs = s.groupBy("_pid", "_group").agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_group").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carry = runs.select("_pid", "_group", "_first",
                         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_carry"))
-    out = join_small(s, carry, ["_pid", *group_cols], "inner")
+    out = join_small(s, carry, ["_pid", "_group"], "inner")
     number = F.col("_pos") - F.col("_first") + F.lit(1) + F.col("_carry")
-    return out.withColumn(name, number.cast("int")).drop("_pid", "_pos", "_first", "_carry")
+    return out.withColumn(name, number.cast("int")).drop("_pid", "_pos", "_group", "_first", "_carry")
 
 
 def running_total(

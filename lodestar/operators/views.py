@@ -26,6 +26,16 @@ def material_text_view(md: DataFrame, name: str | None = None) -> DataFrame:
     return df
 
 
+def material_views(md: DataFrame, subset: list[str], prefix: str | None = None) -> dict[str, DataFrame]:
+    """VW1: the declared views over master data: all columns (``all``), the text view
+    (``ext``) and a subset of columns (``01``); registered as ``<prefix>_<name>`` if asked."""
+    views = {"all": md, "ext": material_text_view(md), "01": md.select(*subset)}
+    for name, df in views.items():
+        if prefix:
+            df.createOrReplaceTempView(f"{prefix}_{name}")
+    return views
+
+
 def missing_keys(latest_keys: DataFrame, active: DataFrame, keys: list[str]) -> DataFrame:
     """SET2: keys of the latest-key table that are not in active (EXCEPT DISTINCT)."""
     return latest_keys.select(*keys).subtract(active.select(*keys))

@@ -7,12 +7,13 @@ names and types.
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.functions import initial
+from lodestar.functions import initial, to_decimal
 from lodestar.operators import activate as act
 from lodestar.operators import checks as chk
 from lodestar.operators import dims, latest, views
@@ -24,6 +25,7 @@ from lodestar.session import work_dir
 from lodestar.sources import files, ledger, sinks
 from lodestar.sources.publish import as_of_request, publish_checked
 from lodestar.sources.store import Store
+from lodestar.spec import Check, EntitySpec
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -79,6 +81,9 @@ ORDERS_DDL = ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_tota
 ORDER_NAMES = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
 
+ORDERS_SPEC = EntitySpec(name="orders", kind="insert", ddl=ORDERS_DDL, partition_date="o_orderdate")
+
+
 def orders_typed(spark, sf) -> DataFrame:
     o = _t(spark, sf, "orders")
     return o.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
@@ -107,6 +112,29 @@ def q_src_csv_noheader(spark, sf):
     return files.read_source(spark, "csv", path, header=False)
 
 
+@register("src_csv_mixed_headers", ORDERS_TEXT_SQL.format(*ORDER_NAMES))
+def q_src_csv_mixed_headers(spark, sf):
+    # two files of one load whose columns stand in different orders
+    o = orders_for_text(spark, sf)
+    base = work_dir(spark, "csv_mixed")
+    even = F.col("o_orderkey").cast("long") % 2 == 0
+    o.where(even).write.options(header=True).csv(f"{base}/a")
+    o.where(~even).select(*reversed(o.columns)).write.options(header=True).csv(f"{base}/b")
+    return files.read_source(spark, "csv", [f"{base}/a", f"{base}/b"])
+
+
+@register("src_object_root", ORDERS_SQL)
+def q_src_object_root(spark, sf):
+    # the spec's root folder (an object store's in production, the shared folder here)
+    root = work_dir(spark, "bucket")
+    spec = dataclasses.replace(ORDERS_SPEC, root=f"{root}/orders")
+    orders_typed(spark, sf).write.parquet(f"{spec.root}/t2")
+    store = _store(spark)
+    jobs.create(store, spec, "2")
+    jobs.insert(store, spec, "2")
+    return store.read(jobs.tname(spec, "2"))
+
+
 @register("src_orc", ORDERS_SQL)
 def q_src_orc(spark, sf):
     path = work_dir(spark, "src_orc")
@@ -199,20 +227,25 @@ def q_insert_append(spark, sf):
     return store.read("orders_t")
 
 
-@register("create_table", f"SELECT {DOC_TARGET} FROM ({fx.DOC_INBOUND_SQL}) s WHERE false")
+@register("create_table", DOC_A_SQL)
 def q_create_table(spark, sf):
+    # create or replace empties a table that held other rows; what is inserted next is all it holds
     store = Store(spark, work_dir(spark, "store"))
     name = jobs.tname(fx.DOC, "2")
-    store.replace(name, ex.initial_state(spark, sf, "doc"), fx.DOC.partition_date)
-    jobs.create(store, fx.DOC, "2")  # create or replace: empty, same schema
+    state = ex.initial_state(spark, sf, "doc")
+    store.replace(name, state.unionByName(state), fx.DOC.partition_date)
+    jobs.create(store, fx.DOC, "2")
+    store.append(name, state)
     return store.read(name)
 
 
-@register("delete_all", f"{ORDERS_SQL} WHERE false")
+@register("delete_all", f"{ORDERS_SQL} WHERE o_orderstatus = 'P'")
 def q_delete_all(spark, sf):
     store = _orders_store(spark, sf)
-    store.append("orders_t", orders_typed(spark, sf))
+    o = orders_typed(spark, sf)
+    store.append("orders_t", o)
     store.truncate("orders_t")
+    store.append("orders_t", o.where(F.col("o_orderstatus") == "P"))
     return store.read("orders_t")
 
 
@@ -250,17 +283,17 @@ def q_write_by_request(spark, sf):
   CAST(sum(count(*)) OVER (ORDER BY reqtsn) AS BIGINT) AS running_total
 FROM ({fx.DOC_INBOUND_SQL}) s GROUP BY reqtsn""")
 def q_request_running_total(spark, sf):
-    return sinks.request_profile(ex.inbound(spark, sf, "doc"))
+    return sinks.request_profile(ex.inbound(spark, sf, "doc", numbered=False))
 
 
 @register("distinct_requests", f"SELECT DISTINCT reqtsn FROM ({fx.DOC_INBOUND_SQL}) s")
 def q_distinct_requests(spark, sf):
-    return latest.distinct_requests(ex.inbound(spark, sf, "doc"))
+    return latest.distinct_requests(ex.inbound(spark, sf, "doc", numbered=False))
 
 
 @register("count_rows", f"SELECT count(*) AS cnt FROM ({fx.DOC_INBOUND_SQL}) s")
 def q_count_rows(spark, sf):
-    return latest.count_rows(ex.inbound(spark, sf, "doc"))
+    return latest.count_rows(ex.inbound(spark, sf, "doc", numbered=False))
 
 
 # --------------------------------------------------------------------------- #
@@ -292,9 +325,10 @@ def q_rename_quoted(spark, sf):
     li = _t(spark, sf, "lineitem")
     staged = li.select("l_partkey", F.col("l_extendedprice").alias("/BIC/ZALTCOST"),
                        F.when(F.col("l_linestatus") == "O", F.col("l_returnflag")).alias("/BIC/ZSGTXT"))
-    return staged.selectExpr("CAST(l_partkey AS STRING) AS material",
-                             "CAST(`/BIC/ZALTCOST` AS DECIMAL(17,2)) AS zaltcost",
-                             "ifnull(`/BIC/ZSGTXT`, chr(0)) AS zsgtxt")
+    spec = EntitySpec(
+        name="quoted", kind="insert", ddl="material STRING, zaltcost DECIMAL(17,2), zsgtxt STRING NOT NULL",
+        mapping=(("material", "l_partkey"), ("zaltcost", "`/BIC/ZALTCOST`"), ("zsgtxt", "ifnull(`/BIC/ZSGTXT`, chr(0))")))
+    return project(staged, spec)
 
 
 @register("cast_decimal", """SELECT l_orderkey, l_linenumber,
@@ -303,8 +337,8 @@ def q_rename_quoted(spark, sf):
 def q_cast_decimal(spark, sf):
     li = _t(spark, sf, "lineitem")
     return li.select("l_orderkey", "l_linenumber",
-                     F.col("l_extendedprice").cast("string").cast("decimal(17,2)").alias("value_lc"),
-                     F.col("l_quantity").cast("string").cast("decimal(17,3)").alias("quant_b"))
+                     to_decimal(F.col("l_extendedprice").cast("string"), 17, 2).alias("value_lc"),
+                     to_decimal(F.col("l_quantity").cast("string"), 17, 3).alias("quant_b"))
 
 
 BAD_DATE = "l_linestatus = 'O' AND l_returnflag = 'A'"
@@ -399,9 +433,17 @@ def q_key_profile(spark, sf):
 CUBE_SUM = "CAST(sum(quant_b) AS DECIMAL(17,3)) AS quant_b, CAST(sum(value_lc) AS DECIMAL(17,2)) AS value_lc"
 
 
-@register("sum_per_key", f"SELECT material, vendor, {CUBE_SUM} FROM ({fx.CUBE_INBOUND_SQL}) s GROUP BY 1, 2")
+CUBE_K = "calday, material, vendor"
+
+
+@register("sum_per_key_rowcnt", f"SELECT {CUBE_K}, count(*) AS rowcnt FROM ({fx.CUBE_INBOUND_SQL}) s GROUP BY {CUBE_K}")
+def q_sum_per_key_rowcnt(spark, sf):
+    return latest.sum_per_key(ex.inbound(spark, sf, "cube", numbered=False), list(fx.CUBE.keys), [])
+
+
+@register("sum_per_key", f"SELECT {CUBE_K}, {CUBE_SUM} FROM ({fx.CUBE_INBOUND_SQL}) s GROUP BY {CUBE_K}")
 def q_sum_per_key(spark, sf):
-    return latest.sum_per_key(ex.inbound(spark, sf, "cube"), list(fx.CUBE.keys), list(fx.CUBE.figures))
+    return latest.sum_per_key(ex.inbound(spark, sf, "cube", numbered=False), list(fx.CUBE.keys), list(fx.CUBE.figures))
 
 
 STOCK_K5 = "base_uom, loc_currcy, material, plant, stor_loc, valspecst"
@@ -419,7 +461,7 @@ def stock_sums(prefix: str = "") -> str:
 @register("sum_per_stock_key", f"""SELECT {STOCK_K5}, min(calday) AS calday, {stock_sums()}
 FROM ({fx.STOCK_INBOUND_SQL}) s GROUP BY {STOCK_K5}""")
 def q_sum_per_stock_key(spark, sf):
-    return latest.sum_per_stock_key(ex.inbound(spark, sf, "stock"), list(fx.STOCK.keys), list(fx.STOCK.figures))
+    return latest.sum_per_stock_key(ex.inbound(spark, sf, "stock", numbered=False), list(fx.STOCK.keys), list(fx.STOCK.figures))
 
 
 def _attr_sql(name: str, where: str = "\"0segment\" <> 'HOUSEHOLD'") -> str:
@@ -482,14 +524,18 @@ def q_activate_standard_events(spark, sf):
     return act.activate_standard(a, ex.inbound(spark, sf, "events", "after"), fx.EVENTS)
 
 
-CUBE_ALL_SQL = f"SELECT material, vendor, {CUBE_SUM} FROM ({fx.CUBE_INBOUND_SQL}) s GROUP BY 1, 2"
-CUBE_A_SQL = f"SELECT material, vendor, {CUBE_SUM} FROM ({fx.CUBE_INBOUND_SQL}) s WHERE _day < {CUT_D} GROUP BY 1, 2"
+def cube_sql(where: str = "true") -> str:
+    return f"SELECT {CUBE_K}, {CUBE_SUM} FROM ({fx.CUBE_INBOUND_SQL}) s WHERE {where} GROUP BY {CUBE_K}"
+
+
+CUBE_ALL_SQL = cube_sql()
+CUBE_A_SQL = cube_sql(f"calday < {CUT_D}")
 
 
 @register("activate_cube", CUBE_ALL_SQL)
 def q_activate_cube(spark, sf):
     a = ex.initial_state(spark, sf, "cube")
-    return act.activate_cube(a, ex.inbound(spark, sf, "cube", "after"), fx.CUBE)
+    return act.activate_cube(a, ex.inbound(spark, sf, "cube", "after", numbered=False), fx.CUBE)
 
 
 STOCK_OUT = ("recordmode, recordtp, calday, base_uom, loc_currcy, plant, material, stor_loc, valspecst, "
@@ -501,7 +547,7 @@ FROM ({fx.STOCK_INBOUND_SQL}) s GROUP BY {STOCK_K}"""
 @register("activate_movements", f"SELECT {STOCK_OUT} FROM ({MOVEMENTS_SQL}) m")
 def q_activate_movements(spark, sf):
     a = ex.initial_state(spark, sf, "stock", "2")
-    return act.activate_movements(a, ex.inbound(spark, sf, "stock", "after"), fx.STOCK)
+    return act.activate_movements(a, ex.inbound(spark, sf, "stock", "after", numbered=False), fx.STOCK)
 
 
 def _marker_sql(strict: bool = False) -> str:
@@ -535,13 +581,13 @@ MARKER_SQL = _marker_sql()
 @register("activate_marker", f"SELECT {STOCK_OUT} FROM ({MARKER_SQL}) m")
 def q_activate_marker(spark, sf):
     m = ex.initial_state(spark, sf, "stock", "5")
-    return act.activate_marker(m, ex.inbound(spark, sf, "stock", "after"), fx.STOCK)
+    return act.activate_marker(m, ex.inbound(spark, sf, "stock", "after", numbered=False), fx.STOCK)
 
 
 @register("activate_marker_strict", f"SELECT {STOCK_OUT} FROM ({_marker_sql(strict=True)}) m")
 def q_activate_marker_strict(spark, sf):
     m = ex.initial_state(spark, sf, "stock", "5")
-    return act.activate_marker(m, ex.inbound(spark, sf, "stock", "after"), fx.STOCK, null_policy="strict")
+    return act.activate_marker(m, ex.inbound(spark, sf, "stock", "after", numbered=False), fx.STOCK, null_policy="strict")
 
 
 @register("stock_balance", f"""SELECT {STOCK_K5},
@@ -551,13 +597,17 @@ def q_activate_marker_strict(spark, sf):
 FROM ({fx.STOCK_INBOUND_SQL}) s GROUP BY {STOCK_K5}""")
 def q_stock_balance(spark, sf):
     m = ex.initial_state(spark, sf, "stock", "5")
-    m = act.activate_marker(m, ex.inbound(spark, sf, "stock", "after"), fx.STOCK)
+    m = act.activate_marker(m, ex.inbound(spark, sf, "stock", "after", numbered=False), fx.STOCK)
     return act.stock_balance(m, fx.STOCK)
 
 
 # --------------------------------------------------------------------------- #
 # 2.6 set operations and views
 # --------------------------------------------------------------------------- #
+MATL_SEL = ('"0material" AS material, "0material___txtlg" AS material_txt, "0matl_group" AS matl_group, '
+            '"0matl_type" AS matl_type, "0base_uom" AS base_uom, CAST("0size" AS INTEGER) AS size')
+
+
 @register("view_inbound_active", f"""SELECT {DOC_COLS} FROM ({fx.DOC_INBOUND_SQL}) s WHERE pstng_date >= {CUT_D}
 UNION ALL SELECT {DOC_COLS} FROM ({DOC_A_SQL}) a""")
 def q_view_inbound_active(spark, sf):
@@ -573,6 +623,19 @@ def q_view_material_ext(spark, sf):
     return views.material_text_view(md)
 
 
+def _material_view(name: str):
+    def run(spark, sf):
+        md = project(fx.material_staging(spark, sf), fx.MATL, "0", where="true", order="")
+        return views.material_views(md, MATL_SUBSET, prefix="material")[name]
+    return run
+
+
+MATL_SUBSET = ["material", "matl_group", "base_uom", "size"]
+register("view_material_all", f"SELECT {MATL_SEL} FROM ({fx.MATERIAL_STAGING_SQL}) s")(_material_view("all"))
+register("view_material_01", f"SELECT {', '.join(MATL_SUBSET)} FROM (SELECT {MATL_SEL} FROM ({fx.MATERIAL_STAGING_SQL}) s) m")(
+    _material_view("01"))
+
+
 @register("reconcile_keys", f"""SELECT {DOC_KEYS} FROM ({latest_sql(fx.DOC_INBOUND_SQL, DOC_KEYS)}) l
 EXCEPT SELECT {DOC_KEYS} FROM ({DOC_ALL_SQL}) a""")
 def q_reconcile_keys(spark, sf):
@@ -613,20 +676,24 @@ def q_load_master(spark, sf):
     return dims.load_master(fx.customer_staging(spark, sf), fx.CUST)
 
 
-@register("job_master", ATTR_ALL_SQL)
+CUST_ROW = ("concat_ws('|', customer, customer_txt, country, region, segment, CAST(acctbal AS {})) AS text")
+
+
+@register("job_master", f"""SELECT attr, code, text FROM ({ATTR_ALL_SQL}) a
+UNION ALL SELECT '0' AS attr, customer AS code, {CUST_ROW.format('VARCHAR')} FROM ({MASTER_SQL}) m""")
 def q_job_master(spark, sf):
-    store = Store(spark, work_dir(spark, "store"))
-    out = jobs.job_master(store, fx.CUST, fx.customer_staging(spark, sf))
+    # from files: the snapshot table 0 and every attribute table, in long form
+    root = work_dir(spark, "customer_extract")
+    fx.customer_staging(spark, sf).write.parquet(root)
+    out = jobs.job_master(_store(spark), dataclasses.replace(fx.CUST, safe_dml=True), root=root)
     parts = [out[a.name].select(F.lit(a.name).alias("attr"), F.col(a.name).alias("code"),
                                 F.col(f"{a.name}_txt").alias("text")) for a in fx.CUST.attributes]
-    res = parts[0]
-    for p in parts[1:]:
+    res = out["0"].select(F.lit("0").alias("attr"), F.col("customer").alias("code"), F.expr(CUST_ROW.format("STRING")))
+    for p in parts:
         res = res.unionByName(p)
     return res
 
 
-MATL_SEL = ('"0material" AS material, "0material___txtlg" AS material_txt, "0matl_group" AS matl_group, '
-            '"0matl_type" AS matl_type, "0base_uom" AS base_uom, CAST("0size" AS INTEGER) AS size')
 MATL_WHERE = "\"0base_uom\" <> ''"
 
 
@@ -648,7 +715,7 @@ def q_attr_material(spark, sf):
 @register("check_pk", f"""SELECT 'pk' AS "check", count(*) AS cnt FROM (
   SELECT {DOC_KEYS} FROM ({fx.DOC_INBOUND_SQL}) s GROUP BY {DOC_KEYS} HAVING count(*) > 1) d""")
 def q_check_pk(spark, sf):
-    return chk.check_pk(ex.inbound(spark, sf, "doc"), list(fx.DOC.keys))
+    return chk.check_pk(ex.inbound(spark, sf, "doc", numbered=False), list(fx.DOC.keys))
 
 
 @register("check_initial", f"""SELECT 'initial:segment' AS "check", count(*) AS cnt
@@ -728,6 +795,27 @@ def q_as_of_request(spark, sf):
     return as_of_request(a, ex.inbound(spark, sf, "doc", "after"), fx.DOC, AS_OF)
 
 
+@register("as_of_cube", cube_sql(f"reqtsn <= '{AS_OF}'"))
+def q_as_of_cube(spark, sf):
+    # the history that activation keeps, replayed up to a request over the state before the delta
+    root = ex.ensure_extracts(spark, sf, "cube")
+    store, spec = _store(spark), dataclasses.replace(fx.CUBE, archive=True)
+    base = jobs.job_cube_init(store, spec, root)
+    jobs.merge12(store, spec)
+    return as_of_request(base, jobs.history(store, spec), spec, AS_OF)
+
+
+@register("as_of_stock", f"""SELECT CAST(NULL AS VARCHAR) AS recordmode, '2' AS recordtp, {STOCK_K}, {stock_sums()}
+FROM ({fx.STOCK_INBOUND_SQL}) s WHERE reqtsn <= '{AS_OF}' GROUP BY {STOCK_K}""")
+def q_as_of_stock(spark, sf):
+    root = ex.ensure_extracts(spark, sf, "stock")
+    store, spec = _store(spark), dataclasses.replace(fx.STOCK, archive=True)
+    jobs.job_stock_init(store, spec, root)
+    base = store.read(jobs.tname(spec, "2"))
+    jobs.job_delta(store, spec, root)
+    return as_of_request(base, jobs.history(store, spec), spec, AS_OF)
+
+
 # --------------------------------------------------------------------------- #
 # 2.9 end-to-end jobs (extract folders -> tables)
 # --------------------------------------------------------------------------- #
@@ -761,32 +849,94 @@ def q_job_events_delta(spark, sf):
     return jobs.job_delta(store, fx.EVENTS, root)
 
 
-@register("job_cube_init", CUBE_A_SQL)
+def _cube_both(store: Store) -> DataFrame:
+    """Tables 1 and 2 of the cube as one result (table 2 has no request)."""
+    cols = ["n", "reqtsn", *fx.CUBE.columns]
+    t1 = store.read(jobs.tname(fx.CUBE, "1")).withColumn("n", F.lit("1"))
+    t2 = store.read(jobs.tname(fx.CUBE, "2")).withColumn("n", F.lit("2")).withColumn("reqtsn", F.lit(None).cast("string"))
+    return t1.select(*cols).unionByName(t2.select(*cols))
+
+
+@register("job_cube_init", f"""SELECT '1' AS n, reqtsn, {CUBE_K}, quant_b, value_lc
+FROM ({fx.CUBE_INBOUND_SQL}) s WHERE calday >= {CUT_D}
+UNION ALL SELECT '2' AS n, CAST(NULL AS VARCHAR) AS reqtsn, {CUBE_K}, quant_b, value_lc FROM ({CUBE_A_SQL}) a""")
 def q_job_cube_init(spark, sf):
     root = ex.ensure_extracts(spark, sf, "cube")
     store = _store(spark)
-    jobs.create(store, fx.CUBE, "1")
-    jobs.job_init(store, fx.CUBE, root, ("2",))
-    return store.read(jobs.tname(fx.CUBE, "2"))
+    jobs.job_cube_init(store, fx.CUBE, root)  # t1 -> 1, t2 -> 2
+    return _cube_both(store)
 
 
 @register("job_cube_delta", CUBE_ALL_SQL)
 def q_job_cube_delta(spark, sf):
     root = ex.ensure_extracts(spark, sf, "cube")
     store = _store(spark)
-    jobs.job_cube_init(store, fx.CUBE, root)  # t1 -> 1, t2 -> 2
+    jobs.job_cube_init(store, fx.CUBE, root)
     jobs.merge12(store, fx.CUBE)
     jobs.job_delta(store, fx.CUBE, root)  # no new files: a rerun changes nothing
     return store.read(jobs.tname(fx.CUBE, "2"))
 
 
-@register("job_stock_delta", f"SELECT {STOCK_OUT} FROM ({MARKER_SQL}) m")
+@register("job_cube_reload", CUBE_ALL_SQL)
+def q_job_cube_reload(spark, sf):
+    # table 2 is emptied and everything loaded again: nothing counts as absorbed any more
+    root = ex.ensure_extracts(spark, sf, "cube")
+    store = _store(spark)
+    jobs.job_cube_init(store, fx.CUBE, root)
+    jobs.merge12(store, fx.CUBE)
+    jobs.delete(store, fx.CUBE, "2")
+    jobs.create(store, fx.CUBE, "1")
+    ledger.ledger_reset(store, fx.CUBE.name, "2")
+    jobs.insert(store, fx.CUBE, "2", root)
+    return jobs.job_delta(store, fx.CUBE, root)
+
+
+@register("job_delta_split_requests", DOC_ALL_SQL)
+def q_job_delta_split_requests(spark, sf):
+    # the delta arrives in two loads, cut in the middle of a request's package
+    base = ex.ensure_extracts(spark, sf, "doc")
+    root = work_dir(spark, "split_extract")
+    delta = files.read_source(spark, "orc", [r["file"] for r in files.source_files(spark, base, "1").collect()])
+    store = _store(spark)
+    jobs.job_standard_init(store, fx.DOC, base)
+    early = (F.col("reqtsn") < AS_OF) | (F.col("reqtsn") == AS_OF) & (F.col("record") <= 5)
+    for part, rows in enumerate((delta.where(early), delta.where(~early))):
+        rows.write.orc(f"{root}/t1/p{part}")
+        out = jobs.job_delta(store, fx.DOC, root)
+    return out
+
+
+@register("job_standard_checked", doc_state_sql(f"pstng_date < {CUT_D} OR linestatus = 'O'"))
+def q_job_standard_checked(spark, sf):
+    # audited loads: a batch without its document numbers is rejected and leaves table and ledger alone
+    base = ex.ensure_extracts(spark, sf, "doc")
+    root = work_dir(spark, "checked_extract")
+    spec = dataclasses.replace(fx.DOC, safe_dml=True, checks=(Check("not_null"), Check("pk"), Check("initial", "doc_num")))
+    delta = files.read_source(spark, "orc", [r["file"] for r in files.source_files(spark, base, "1").collect()])
+    store = _store(spark)
+    jobs.job_standard_init(store, spec, base)
+    delta.where("linestatus = 'O'").write.orc(f"{root}/t1/good")
+    jobs.insert(store, spec, "1", root)
+    delta.where("linestatus <> 'O'").withColumn("doc_num", F.lit(None).cast("string")).write.orc(f"{root}/t1/bad")
+    try:
+        jobs.job_delta(store, spec, root)
+    except jobs.LoadRejected:
+        pass
+    else:
+        raise AssertionError("the load without document numbers should have been rejected")
+    jobs.merge12(store, spec)
+    return store.read(jobs.tname(spec, "2"))
+
+
+@register("job_stock_delta", f"""SELECT '5' AS n, {STOCK_OUT} FROM ({MARKER_SQL}) m
+UNION ALL SELECT '2' AS n, {STOCK_OUT} FROM ({MOVEMENTS_SQL}) v""")
 def q_job_stock_delta(spark, sf):
     root = ex.ensure_extracts(spark, sf, "stock")
     store = _store(spark)
     jobs.job_stock_init(store, fx.STOCK, root)
     jobs.job_delta(store, fx.STOCK, root)
-    return store.read(jobs.tname(fx.STOCK, "5"))
+    t2, t5 = (store.read(jobs.tname(fx.STOCK, n)).withColumn("n", F.lit(n)) for n in ("2", "5"))
+    return t2.unionByName(t5)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

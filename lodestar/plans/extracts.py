@@ -36,41 +36,39 @@ def li_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cached(spark, sf_dir, "li_req", lambda: fx.lineitem_requests(spark, sf_dir))
 
 
-def staging(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    if entity == "doc":
-        return fx.doc_staging(li_requests(spark, sf_dir))
-    if entity == "cube":
-        return fx.cube_staging(li_requests(spark, sf_dir))
-    if entity == "stock":
-        return fx.stock_staging(li_requests(spark, sf_dir))
+def staging(spark: SparkSession, sf_dir: str, entity: str, numbered: bool = True) -> DataFrame:
     if entity == "events":
         return fx.events_staging(spark, sf_dir)
-    raise ValueError(entity)
+    li = li_requests(spark, sf_dir) if numbered else fx.lineitem_unnumbered(spark, sf_dir)
+    return {"doc": fx.doc_staging, "cube": fx.cube_staging, "stock": fx.stock_staging}[entity](li)
 
 
 SPECS = {"doc": fx.DOC, "cube": fx.CUBE, "stock": fx.STOCK, "events": fx.EVENTS}
-DAY_TEXT = {"doc": "pstng_date", "stock": "calday", "events": "ev_date"}
+DAY_TEXT = {"doc": "pstng_date", "cube": "calday", "stock": "calday", "events": "ev_date"}
 
 
 def _day_text(entity: str):
-    return F.col(DAY_TEXT[entity]) if entity != "cube" else F.date_format(F.col("_day"), "yyyyMMdd")
+    return F.col(DAY_TEXT[entity])
 
 
-def split(spark: SparkSession, sf_dir: str, entity: str) -> tuple[DataFrame, DataFrame]:
+def split(spark: SparkSession, sf_dir: str, entity: str, numbered: bool = True) -> tuple[DataFrame, DataFrame]:
     """(before, after) the cut, as staging rows."""
-    st = staging(spark, sf_dir, entity)
+    st = staging(spark, sf_dir, entity, numbered)
     cut = (fx.EVENTS_CUT if entity == "events" else fx.CUT).replace("-", "")
     day = _day_text(entity)
     return st.where(day < F.lit(cut)), st.where(day >= F.lit(cut))
 
 
-def inbound(spark: SparkSession, sf_dir: str, entity: str, part: str = "all") -> DataFrame:
-    """Typed inbound rows (table 1 projection) of all / before / after the cut."""
+def inbound(spark: SparkSession, sf_dir: str, entity: str, part: str = "all", numbered: bool = True) -> DataFrame:
+    """Typed inbound rows (table 1 projection) of all / before / after the cut.
+
+    ``numbered=False`` is for uses that never look at ``record``: the rows are then a
+    plain scan, pruned to the columns used, instead of the sorted and numbered copy."""
     spec = SPECS[entity]
     if part == "all":
-        st = staging(spark, sf_dir, entity)
+        st = staging(spark, sf_dir, entity, numbered)
     else:
-        before, after = split(spark, sf_dir, entity)
+        before, after = split(spark, sf_dir, entity, numbered)
         st = before if part == "before" else after
     return project(st, spec, "1")
 
@@ -85,7 +83,7 @@ def initial_state(spark: SparkSession, sf_dir: str, entity: str, n: str = "2") -
 
 def _initial_state(spark: SparkSession, sf_dir: str, entity: str, n: str) -> DataFrame:
     spec = SPECS[entity]
-    before = inbound(spark, sf_dir, entity, "before")
+    before = inbound(spark, sf_dir, entity, "before", numbered=spec.kind == "standard")
     empty = spark.createDataFrame([], spec.schema)
     if spec.kind == "standard":
         return act.activate_standard(empty, before, spec)
@@ -105,13 +103,24 @@ def _as_extract(df: DataFrame, spec: EntitySpec) -> DataFrame:
     return df.select(*out)
 
 
+def _table_files(spark: SparkSession, sf_dir: str, name: str) -> list[tuple[str, int, int]]:
+    """(name, length, modification time) of a table's files: changed data gives new extracts."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found, files = [], fs.listFiles(path, True)
+    while files.hasNext():
+        st = files.next()
+        found.append((st.getPath().getName(), st.getLen(), st.getModificationTime()))
+    return sorted(found)
+
+
 def ensure_extracts(spark: SparkSession, sf_dir: str, entity: str) -> str:
     """Write the extract folders of one entity once; return its root."""
     # the folder name covers everything that defines the extracts, so a
     # changed spec or cut never reuses folders written by other code
     spec = SPECS[entity]
     code = b"".join(pathlib.Path(m.__file__).read_bytes() for m in (fx, sys.modules[__name__]))
-    ident = repr((sf_dir, entity, spec, code))
+    ident = repr((sf_dir, entity, spec, code, _table_files(spark, sf_dir, "events" if entity == "events" else "lineitem")))
     root = fixed_dir(spark, "extracts", hashlib.sha1(ident.encode()).hexdigest()[:16], entity)
     key = ("extracts", root)
     if key in _CACHE:
@@ -131,7 +140,7 @@ def ensure_extracts(spark: SparkSession, sf_dir: str, entity: str) -> str:
                 cond = cond & (day >= F.lit(bounds[i]))
             if bounds[i + 1]:
                 cond = cond & (day < F.lit(bounds[i + 1]))
-            after_day.where(cond).drop("_day").write.mode("overwrite").format(fmt).save(f"{root}/t1/b{i + 1}")
+            after_day.where(cond).write.mode("overwrite").format(fmt).save(f"{root}/t1/b{i + 1}")
         _as_extract(initial_state(spark, sf_dir, entity, "2"), spec).write.mode("overwrite").format(fmt).save(
             f"{root}/t2")
         if spec.kind == "ncum":

@@ -1,43 +1,60 @@
 """End-to-end load jobs (JOB1-6) as plain function calls on a spec.
 
 Table numbers: ``1`` inbound change log, ``2`` active, ``5`` stock marker,
-``0`` master data.  Activation is exactly-once without a transaction (Q6):
-before a target snapshot is written, the requests it absorbs are recorded in
-an activation ledger under that snapshot's number; entries of a snapshot that
-never committed are ignored, and requests already absorbed by a committed
-snapshot are excluded on a rerun.  Inbound rows are cleared last.
+``0`` master data, ``1h`` history of activated inbound rows.  Activation is
+exactly-once without a transaction (Q6).  Each activation has an id of its own.
+First the identities (reqtsn, datapakid, record) it absorbs are written to the
+activation ledger under that id; then the target's new snapshot is committed
+with the id in its manifest.  Ledger rows count only if their id is in the
+target's current manifest, so a crash in between leaves nothing behind, an
+emptied target has absorbed nothing, and rows of a request that arrive later
+are absorbed later.  Inbound folders are cleared last, and only those read.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestar.functions import REQUEST_FIELDS
 from lodestar.operators import activate as act
 from lodestar.operators.checks import load_checks
 from lodestar.operators.dims import attribute_tables, load_master
 from lodestar.operators.project import project
 from lodestar.operators.sizing import fits_broadcast, join_small
-from lodestar.sources.files import read_source, source_files
+from lodestar.sources.files import file_list, read_source, source_files
 from lodestar.sources.ledger import ledger_append, ledger_reset, unprocessed
 from lodestar.sources.publish import publish_checked
-from lodestar.sources.store import Store, month_of
+from lodestar.sources.store import NULL_MONTH, Store, month_of
 from lodestar.spec import EntitySpec
 
 ACT_LEDGER = "activation_ledger"
-NULL_MONTH = "__HIVE_DEFAULT_PARTITION__"  # folder name Spark gives a NULL partition value
+LEDGER_FOLDERS = 64  # a ledger of more write folders than this is compacted
 ACT_SCHEMA = T.StructType(
     [
         T.StructField("target", T.StringType()),
-        T.StructField("snapshot", T.IntegerType()),
+        T.StructField("activation", T.StringType()),
         T.StructField("reqtsn", T.StringType()),
+        T.StructField("datapakid", T.StringType()),
+        T.StructField("record", T.IntegerType()),
     ]
 )
 
 
+class LoadRejected(RuntimeError):
+    """A checked load that failed its checks; ``report`` holds the rows (check, cnt)."""
+
+    def __init__(self, table: str, report: DataFrame):
+        self.table, self.report = table, report
+        worst = [f"{r['check']}: {r['cnt']}" for r in report.where("cnt > 0").limit(20).collect()]
+        super().__init__(f"load into {table} rejected ({'; '.join(worst)})")
+
+
 def tname(spec: EntitySpec, n: str) -> str:
     return spec.table if n == "0" else f"{spec.table}{n}"
 
@@ -78,45 +95,92 @@ def drop(store: Store, spec: EntitySpec, n: str) -> None:
     _forget_activations(store, tname(spec, n))
 
 
-def insert(store: Store, spec: EntitySpec, n: str, root: str, checked: bool = False) -> int:
+def delete(store: Store, spec: EntitySpec, n: str) -> None:
+    """SNK4 as a job step: all rows of table n go.  A target forgets with them what it
+    had absorbed (its manifest starts anew); loaded files stay in the ledger."""
+    store.truncate(tname(spec, n))
+    _forget_activations(store, tname(spec, n))
+
+
+def dropcreate(store: Store, spec: EntitySpec, n: str) -> None:
+    """SNK3 as a job step."""
+    drop(store, spec, n)
+    create(store, spec, n)
+
+
+def new_files(store: Store, spec: EntitySpec, n: str, root: str | None = None, paths: list[str] | None = None) -> DataFrame:
+    """The files of a load: the caller's list, else the spec's, else the folder's; without
+    those already loaded."""
+    given = paths if paths is not None else list(spec.files) or None
+    if given is None and not (root or spec.root):
+        raise ValueError(f"entity {spec.name}: no file list and no root folder")
+    files = file_list(store.spark, given) if given is not None else source_files(store.spark, root or spec.root, n)
+    return files if spec.loadmanytimes else unprocessed(files, store, spec.name, n)
+
+
+def insert(store: Store, spec: EntitySpec, n: str, root: str | None = None, checked: bool | None = None,
+           paths: list[str] | None = None) -> int:
     """insert<n>: new extract files under root/t<n> -> projected -> table n.
 
     All new files are read in one scan; the ledger is appended only after the
-    rows are published.  Returns the number of files loaded."""
+    rows are published.  With ``checked`` (by default the spec's ``safe_dml``) the
+    load is audited first; a rejected one raises ``LoadRejected`` and leaves table
+    and ledger as they were.  Returns the number of files loaded."""
     spark = store.spark
-    files = source_files(spark, root, n)
-    todo = files if spec.loadmanytimes else unprocessed(files, store, spec.name, n)
-    paths = [r["file"] for r in todo.collect()]  # file names only, for the reader
-    if not paths:
+    # one list of file names serves the reader and the ledger
+    names = [r["file"] for r in new_files(store, spec, n, root, paths).collect()]
+    if not names:
         return 0
-    rows = project(read_source(spark, spec.srcformat, paths, sep=spec.delimiter), spec, n)
+    rows = project(read_source(spark, spec.srcformat, names, sep=spec.delimiter), spec, n)
     name = tname(spec, n)
-    if checked:
+    if spec.safe_dml if checked is None else checked:
         existing = store.read(name)
-        ok, _ = publish_checked(store, name, rows, lambda d: load_checks(existing, d, spec, n))
+        ok, report = publish_checked(store, name, rows, lambda d: load_checks(existing, d, spec, n))
         if not ok:
-            return 0
+            raise LoadRejected(name, report)
     else:
         store.append(name, rows)
-    ledger_append(store, spec.name, n, todo, spec.loadmanytimes)
-    return len(paths)
+    ledger_append(store, spec.name, n, file_list(spark, names), spec.loadmanytimes)
+    return len(names)
 
 
-def _activated(store: Store, target: str) -> DataFrame:
-    if not store.exists(ACT_LEDGER):
-        store.create(ACT_LEDGER, ACT_SCHEMA)
-    committed = max(store.snapshots(target) or [0])
-    return (
-        store.read(ACT_LEDGER)
-        .where((F.col("target") == target) & (F.col("snapshot") <= committed))
-        .select("reqtsn")
-        .distinct()
-    )
+def _absorbed(store: Store, inbound: DataFrame, target: str) -> DataFrame | None:
+    """Identities that ``target`` has absorbed, of the requests in ``inbound`` only."""
+    ids = store.activations(target)
+    if not ids or not store.exists(ACT_LEDGER):
+        return None
+    mine = store.read(ACT_LEDGER).where((F.col("target") == target) & F.col("activation").isin(ids))
+    return join_small(mine.select(*REQUEST_FIELDS), inbound.select("reqtsn").distinct(), ["reqtsn"], "left_semi")
 
 
 def _pending(store: Store, inbound: DataFrame, target: str) -> DataFrame:
-    """Inbound rows of requests not yet absorbed by ``target``."""
-    return join_small(inbound, _activated(store, target), ["reqtsn"], "left_anti")
+    """Inbound rows (by full identity) not yet absorbed by ``target``."""
+    done = _absorbed(store, inbound, target)
+    return inbound if done is None else join_small(inbound, done, list(REQUEST_FIELDS), "left_anti")
+
+
+def _once(pending: DataFrame) -> DataFrame:
+    """One row per identity, for sums: a record delivered twice counts once."""
+    return pending.dropDuplicates(list(REQUEST_FIELDS))
+
+
+def _check_keys(delta: DataFrame, keys: list[str], target: str) -> None:
+    """Keys must not be NULL: a NULL key matches nothing and would be inserted again by every merge (Q4)."""
+    missing = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys])
+    n = delta.agg(F.count_if(missing).alias("n")).collect()[0]["n"]
+    if n:
+        raise ValueError(f"activation into {target}: {n} change(s) with a NULL in the key ({', '.join(keys)})")
+
+
+def _record(store: Store, target: str, pending: DataFrame) -> str:
+    """Write the identities of ``pending`` to the activation ledger under a new id."""
+    if not store.exists(ACT_LEDGER):
+        store.create(ACT_LEDGER, ACT_SCHEMA)
+    elif len(store.folders(ACT_LEDGER)) > LEDGER_FOLDERS:
+        store.compact(ACT_LEDGER)
+    activation = uuid.uuid4().hex
+    store.append(ACT_LEDGER, pending.select(F.lit(target).alias("target"), F.lit(activation).alias("activation"), *REQUEST_FIELDS))
+    return activation
 
 
 def touched_months(active: DataFrame, delta: DataFrame, keys: list[str], date_col: str, small: bool) -> list[str]:
@@ -148,25 +212,38 @@ def _activate_into(
 
     A month-partitioned target whose day column the delta carries is read and
     rewritten only for the touched months; every other month keeps its files.
-    Before the snapshot is written, the requests it absorbs are recorded in the
-    activation ledger under its number (exactly once, Q6)."""
+    Before the snapshot is written, the identities it absorbs are recorded in the
+    activation ledger under an id that the snapshot's manifest then holds (Q6)."""
+    _check_keys(delta, keys, target)
     small = fits_broadcast(delta.select(*bcast_cols))
     strategy = "broadcast" if small else "shuffle"
     part = store.partition_date(target)
-    nxt = store.next_snapshot(target)
-    reqs = pending.select("reqtsn").distinct().select(
-        F.lit(target).alias("target"), F.lit(nxt).alias("snapshot"), "reqtsn")
     if part and part in delta.columns:
         months = touched_months(store.read(target), delta, keys, part, small)
         new_rows = apply(store.read(target, months=months), strategy)
-        store.append(ACT_LEDGER, reqs)
+        activation = _record(store, target, pending)
         # after a broadcast merge the rows still sit in their month folders'
         # tasks: no clustering shuffle is needed; after a shuffle merge it is
-        store.replace_months(target, new_rows, months, cluster=not small)
+        store.replace_months(target, new_rows, months, cluster=not small, activation=activation)
     else:
         new_rows = apply(store.read(target), strategy)
-        store.append(ACT_LEDGER, reqs)
-        store.replace(target, new_rows, keep_meta=True)
+        activation = _record(store, target, pending)
+        store.replace(target, new_rows, keep_meta=True, activation=activation)
+
+
+def _archive(store: Store, spec: EntitySpec, inbound: DataFrame) -> None:
+    """Append the inbound rows to the history table ``1h``, each identity once."""
+    name = tname(spec, "1h")
+    if not store.exists(name):
+        store.create(name, spec.inbound_schema())
+    pending = _once(_pending(store, inbound, name))
+    if not pending.isEmpty():
+        store.append(name, pending, activation=_record(store, name, pending))
+
+
+def history(store: Store, spec: EntitySpec) -> DataFrame:
+    """Inbound rows activated so far (kept if the spec asks for a history)."""
+    return store.read(tname(spec, "1h"))
 
 
 def merge12(store: Store, spec: EntitySpec, mode: str = "upsert", order: str = "numeric",
@@ -182,6 +259,9 @@ def merge12(store: Store, spec: EntitySpec, mode: str = "upsert", order: str = "
     keys = list(spec.keys)
     # The inbound snapshot's files are immutable, so re-reading it is
     # deterministic: only the reduced delta is checkpointed.
+    read = store.folders(tname(spec, "1"))
+    if not read:
+        return  # nothing has arrived
     inbound = store.read(tname(spec, "1"))
     t2 = tname(spec, "2")
     pending2 = _pending(store, inbound, t2)
@@ -193,17 +273,19 @@ def merge12(store: Store, spec: EntitySpec, mode: str = "upsert", order: str = "
                        lambda a, s: act.apply_standard(a, latest, spec, mode, s), pending2)
     else:
         stamp = act.MOVEMENT_STAMP if spec.kind == "ncum" else None
-        sums = act.reduce_cube(pending2, spec)
+        sums = act.reduce_cube(_once(pending2), spec)
         _activate_into(store, t2, sums, keys, sums.columns,
                        lambda a, s: act.apply_cube(a, sums, spec, null_policy, stamp, s), pending2)
     if spec.kind == "ncum":
         t5 = tname(spec, "5")
         pending5 = _pending(store, inbound, t5)
         if not pending5.isEmpty():
-            msums = act.reduce_marker(pending5, spec)
+            msums = act.reduce_marker(_once(pending5), spec)
             _activate_into(store, t5, msums, spec.key_spec(drop=spec.day_col), msums.columns,
                            lambda a, s: act.apply_marker(a, msums, spec, null_policy, s), pending5)
-    store.truncate(tname(spec, "1"))
+    if spec.archive:
+        _archive(store, spec, inbound)
+    store.remove_folders(tname(spec, "1"), read)  # every row of these is absorbed; later ones stay
     if keep_snapshots is not None:
         for n in ("1", "2", "5") if spec.kind == "ncum" else ("1", "2"):
             store.expire(tname(spec, n), keep=keep_snapshots)
@@ -246,20 +328,35 @@ def job_stock_init(store: Store, spec: EntitySpec, root: str) -> None:
     job_init(store, spec, root, ("2", "5"))
 
 
-def job_master(store: Store, spec: EntitySpec, staged: DataFrame) -> dict[str, DataFrame]:
+def job_master(store: Store, spec: EntitySpec, staged: DataFrame | None = None, root: str | None = None,
+               paths: list[str] | None = None) -> dict[str, DataFrame]:
     """JOB6: reload the master-data snapshot, then replace every attribute table.
 
-    All attribute tables come from one scan of the staging rows: the distinct
-    (attribute, code, text) rows of every attribute are computed together and
-    checkpointed, and each table is a filter of that small result."""
-    name = tname(spec, "0")
-    store.replace(name, load_master(staged, spec))
+    The rows come from ``staged`` or, as for ``insert``, from the files of a list or a
+    folder, which then enter the ledger.  All attribute tables come from one scan of
+    the staging rows: the distinct (attribute, code, text) rows of every attribute are
+    computed together and checkpointed, and each table is a filter of that small
+    result.  With ``safe_dml`` the new snapshot is audited before it replaces the old."""
+    name, names = tname(spec, "0"), []
+    if staged is None:
+        names = [r["file"] for r in new_files(store, spec, "0", root, paths).collect()]
+        if not names:
+            raise ValueError(f"entity {spec.name}: no new files to reload from")
+        staged = read_source(store.spark, spec.srcformat, names, sep=spec.delimiter)
+    rows = load_master(staged, spec)
+    if spec.safe_dml:
+        if not store.exists(name):
+            store.create(name, rows.schema)
+        nothing = store.spark.createDataFrame([], rows.schema)
+        ok, report = publish_checked(store, name, rows, lambda d: load_checks(nothing, d, spec, "0"), "replace")
+        if not ok:
+            raise LoadRejected(name, report)
+    else:
+        store.replace(name, rows)
     out = {"0": store.read(name)}
     for attr, df in attribute_tables(staged, spec).items():
         store.replace(f"dwh_t_{attr}", df)
         out[attr] = store.read(f"dwh_t_{attr}")
+    if names:
+        ledger_append(store, spec.name, "0", file_list(store.spark, names), spec.loadmanytimes)
     return out
-
-
-def open_store(spark: SparkSession, root: str) -> Store:
-    return Store(spark, root)

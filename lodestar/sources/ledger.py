@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from lodestar.sources.store import Store
 
 LEDGER = "srcfile_ledger"
+FOLDERS = 64  # with more write folders than this the ledger is compacted
 SCHEMA = T.StructType(
     [
         T.StructField("entity", T.StringType()),
@@ -45,6 +46,8 @@ def ledger_append(store: Store, entity: str, n: str, files: DataFrame, loadmanyt
         F.lit(entity).alias("entity"), F.lit(n).alias("n"), F.col("file"), F.current_timestamp().alias("load_ts")
     )
     store.append(LEDGER, rows)
+    if len(store.folders(LEDGER)) > FOLDERS:
+        store.compact(LEDGER)
 
 
 def ledger_reset(store: Store, entity: str, n: str) -> None:

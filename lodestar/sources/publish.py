@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.operators.activate import activate_standard
+from lodestar.operators import activate as act
 from lodestar.operators.checks import check_report, verdict
 from lodestar.sources.store import Store
 from lodestar.spec import EntitySpec
@@ -39,7 +39,12 @@ def publish_checked(
 
 
 def as_of_request(base: DataFrame, inbound: DataFrame, spec: EntitySpec, reqtsn: str,
-                  mode: str = "upsert") -> DataFrame:
-    """PUB2: the active state as it was after activating every request up to
-    and including ``reqtsn`` (needs the inbound history)."""
-    return activate_standard(base, inbound.where(F.col("reqtsn") <= F.lit(reqtsn)), spec, mode=mode)
+                  mode: str = "upsert", n: str = "2") -> DataFrame:
+    """PUB2: the state of table ``n`` as it was after activating every request up to
+    and including ``reqtsn`` (needs the inbound history), for every kind of entity."""
+    rows = inbound.where(F.col("reqtsn") <= F.lit(reqtsn))
+    if spec.kind == "standard":
+        return act.activate_standard(base, rows, spec, mode=mode)
+    if n == "5":
+        return act.activate_marker(base, rows, spec)
+    return act.activate_cube(base, rows, spec) if spec.kind == "cube" else act.activate_movements(base, rows, spec)

@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PART_COL = "calmonth_p"
-_SNAP = re.compile(r"^v(\d{6})\.json$")
+NULL_MONTH = "__HIVE_DEFAULT_PARTITION__"  # folder name Spark gives a NULL partition value
+_SNAP = re.compile(r"^v(\d{6,})\.json$")
 
 
 def month_of(c) -> F.Column:
@@ -123,14 +124,26 @@ class Store:
         """Bucket layout of the table: {"n": buckets, "keys": [...]}, or None."""
         return self._manifest(name).get("buckets")
 
+    def activations(self, name: str) -> list[str]:
+        """Ids of the activations whose rows the current snapshot holds."""
+        return list(self._manifest(name).get("activations", [])) if self.exists(name) else []
+
+    def folders(self, name: str) -> list[str]:
+        """Data folders of the current snapshot."""
+        return [e["path"] for e in self._manifest(name)["folders"]]
+
     def _commit(self, name: str, schema: T.StructType, partition_date: str | None, folders: list[dict],
-                buckets: dict | None = None) -> int:
-        """Publish a snapshot: write the manifest aside, then rename it into place."""
+                buckets: dict | None = None, activations: list[str] | tuple = ()) -> int:
+        """Publish a snapshot: write the manifest aside, then rename it into place.
+
+        ``activations`` travel with the rows: a commit that keeps the table's rows
+        keeps them, one that empties the table starts without any."""
         seq = self.next_snapshot(name)
         final = self._snap_file(name, seq)
         tmp = f"{self.table_path(name)}/_snapshots/.tmp-{uuid.uuid4().hex}"
         self._write_text(tmp, json.dumps({"schema": schema.json(), "partition_date": partition_date,
-                                          "buckets": buckets, "folders": folders}))
+                                          "buckets": buckets, "folders": folders,
+                                          "activations": list(activations)}))
         fs, p_tmp = self._fs(tmp)
         _, p_final = self._fs(final)
         if fs.exists(p_final) or not fs.rename(p_tmp, p_final):
@@ -216,14 +229,19 @@ class Store:
         return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
     def replace(self, name: str, df: DataFrame, partition_date: str | None = None, keep_meta: bool = False,
-                buckets: dict | None = None) -> int:
-        """CREATE OR REPLACE with content: a new snapshot of these rows only."""
+                buckets: dict | None = None, activation: str | None = None) -> int:
+        """CREATE OR REPLACE with content: a new snapshot of these rows only.
+
+        ``keep_meta`` keeps the layout and the absorbed activations; ``activation``
+        adds one."""
+        done: list[str] = []
         if keep_meta and self.exists(name):
-            partition_date, buckets = self.partition_date(name), self.buckets(name)
+            partition_date, buckets, done = self.partition_date(name), self.buckets(name), self.activations(name)
         folders = self._write_data(name, df, partition_date, buckets=buckets)
-        return self._commit(name, df.schema, partition_date, folders, buckets)
+        return self._commit(name, df.schema, partition_date, folders, buckets, done + [activation] * bool(activation))
 
-    def replace_months(self, name: str, df: DataFrame, months: list[str], cluster: bool = True) -> int:
+    def replace_months(self, name: str, df: DataFrame, months: list[str], cluster: bool = True,
+                       activation: str | None = None) -> int:
         """Replace the rows of ``months`` by ``df`` and keep every other month.
 
         ``df`` must only hold rows of ``months`` (the caller derives the months
@@ -236,7 +254,8 @@ class Store:
         drop = set(months)
         kept = [e for e in man["folders"] if e["month"] not in drop]
         new = self._write_data(name, self._typed(df, schema), part, cluster)
-        return self._commit(name, schema, part, kept + new)
+        return self._commit(name, schema, part, kept + new,
+                            activations=man.get("activations", []) + [activation] * bool(activation))
 
     def stage(self, name: str, df: DataFrame) -> tuple[list[dict], DataFrame]:
         """Write rows into fresh data folders of the table without committing
@@ -261,7 +280,8 @@ class Store:
             folders = list(entries)
         else:
             raise ValueError(f"unknown publish mode {mode!r}")
-        return self._commit(name, schema, man["partition_date"], folders, man.get("buckets"))
+        done = man.get("activations", []) if mode == "append" else []
+        return self._commit(name, schema, man["partition_date"], folders, man.get("buckets"), done)
 
     def discard(self, name: str, entries: list[dict]) -> None:
         """Delete staged folders that were never committed."""
@@ -277,22 +297,42 @@ class Store:
             raise ValueError("bucketed tables are unpartitioned here")
         return self._commit(name, schema, partition_date, [], buckets)
 
-    def append(self, name: str, df: DataFrame) -> int:
+    def append(self, name: str, df: DataFrame, activation: str | None = None) -> int:
         """SNK1: insert by name: the current folders plus one new write."""
         man = self._manifest(name)
         schema = T.StructType.fromJson(json.loads(man["schema"]))
         part = man["partition_date"]
         new = self._write_data(name, self._typed(df, schema), part, buckets=man.get("buckets"))
-        return self._commit(name, schema, part, man["folders"] + new, man.get("buckets"))
+        return self._commit(name, schema, part, man["folders"] + new, man.get("buckets"),
+                            man.get("activations", []) + [activation] * bool(activation))
+
+    def remove_folders(self, name: str, paths: list[str]) -> int:
+        """Take the rows of the given data folders out of the table; rows that arrived since stay."""
+        man = self._manifest(name)
+        gone = set(paths)
+        schema = T.StructType.fromJson(json.loads(man["schema"]))
+        return self._commit(name, schema, man["partition_date"], [e for e in man["folders"] if e["path"] not in gone],
+                            man.get("buckets"), man.get("activations", []))
 
     def truncate(self, name: str) -> int:
         """SNK4: delete all rows (a new empty snapshot, same schema)."""
         return self.create(name, self.schema(name), self.partition_date(name), self.buckets(name))
 
     def delete_where(self, name: str, cond: str) -> int:
-        """SNK5: conditional delete; a row is kept unless ``cond`` is true."""
-        kept = self.read(name).where(~F.coalesce(F.expr(cond), F.lit(False)))
-        return self.replace(name, kept, keep_meta=True)
+        """SNK5: conditional delete; a row is kept unless ``cond`` is true.
+
+        Of a month-partitioned table only the months that lose a row are rewritten
+        (their list, one value per calendar month, is found by a scan of the columns
+        of ``cond``); with no hit nothing is written."""
+        hit = F.coalesce(F.expr(cond), F.lit(False))
+        part = self.partition_date(name)
+        if not part:
+            return self.replace(name, self.read(name).where(~hit), keep_meta=True)
+        month = F.coalesce(month_of(part), F.lit(NULL_MONTH)).alias("m")
+        months = sorted(r["m"] for r in self.read(name).where(hit).select(month).distinct().collect())
+        if not months:
+            return self.snapshots(name)[-1]
+        return self.replace_months(name, self.read(name, months=months).where(~hit), months)
 
     def compact(self, name: str, months: list[str] | None = None) -> int:
         """Rewrite many small appends as one write: the whole table, or only
@@ -345,6 +385,9 @@ class Store:
         if fs.exists(p):
             fs.delete(p, True)
 
-    def dropcreate(self, name: str, schema: T.StructType, partition_date: str | None = None) -> int:
+    def dropcreate(self, name: str, schema: T.StructType, partition_date: str | None = None,
+                   buckets: dict | None = None) -> int:
+        if buckets is None and partition_date is None and self.exists(name):
+            buckets = self.buckets(name)  # the layout outlives the drop
         self.drop(name)
-        return self.create(name, schema, partition_date)
+        return self.create(name, schema, partition_date, buckets)

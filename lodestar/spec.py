@@ -6,7 +6,7 @@ expressions are Spark SQL strings given to ``F.expr``.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
@@ -22,6 +22,21 @@ class Attribute:
     text: str
 
 
+@dataclass(frozen=True)
+class Check:
+    """One declared check: ``pk`` (the entity key is unique among rows that satisfy
+    ``where``), ``initial`` (no initial value in the STRING ``column``) or ``not_null``
+    (of ``column``, or of every NOT NULL column if none is named)."""
+
+    kind: str
+    column: str | None = None
+    where: str = "true"
+
+    def __post_init__(self):
+        if self.kind not in ("pk", "initial", "not_null") or self.kind == "initial" and not self.column:
+            raise ValueError(f"bad check {self!r}")
+
+
 @dataclass(frozen=True)
 class EntitySpec:
     name: str
@@ -42,7 +57,11 @@ class EntitySpec:
     stock_pairs: tuple[tuple[str, str], ...] = ()
     day_col: str = "calday"
     table_name: str | None = None
-    extra: dict = field(default_factory=dict, hash=False, compare=False)
+    safe_dml: bool = False  # audit every load before it is published
+    checks: tuple[Check, ...] = (Check("not_null"), Check("pk"))  # what the audit checks
+    files: tuple[str, ...] = ()  # a fixed file list instead of the folder
+    root: str | None = None  # extract folder (also an object store's), if the caller names none
+    archive: bool = False  # keep activated inbound rows in a history table
 
     def __post_init__(self):
         if self.kind not in KINDS:

@@ -20,7 +20,7 @@ def _sorted(df):
 
 
 def test_cube_batches_equal_plain_sum(spark):
-    inb = ex.inbound(spark, SF_SMALL, "cube").drop("_day")
+    inb = ex.inbound(spark, SF_SMALL, "cube")
     reqs = [r["reqtsn"] for r in inb.select("reqtsn").distinct().collect()]
     rnd = random.Random(7)
     groups = {r: rnd.randrange(3) for r in reqs}

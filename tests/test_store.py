@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from lodestar.operators.activate import activate_standard
@@ -147,7 +148,8 @@ def test_checked_insert_checks_by_table_number(spark, store):
     # the same active rows again from another folder: duplicate keys, rejected
     dup = work_dir(spark, "dup")
     spark.read.orc(f"{root}/t2").write.orc(f"{dup}/t2")
-    assert jobs.insert(store, fx.DOC, "2", dup, checked=True) == 0
+    with pytest.raises(jobs.LoadRejected):
+        jobs.insert(store, fx.DOC, "2", dup, checked=True)
     assert store.read(jobs.tname(fx.DOC, "2")).count() == n2
     assert ledger.ledger(store).where(F.col("file").contains(dup)).count() == 0
 
@@ -227,15 +229,15 @@ def test_bucketed_target_merges_without_shuffling_active(spark, store):
     from lodestar.operators.activate import activate_cube, apply_cube, reduce_cube
     from lodestar.operators.sizing import LIMIT_KEY
 
-    spec = dataclasses.replace(fx.CUBE, buckets=8)
+    spec = dataclasses.replace(fx.CUBE, buckets=8, partition_date=None)
     root = ex.ensure_extracts(spark, SF_SMALL, "cube")
     jobs.create(store, spec, "1")
     jobs.create(store, spec, "2")
     jobs.insert(store, spec, "2", root)
     t2 = jobs.tname(spec, "2")
-    assert store.buckets(t2) == {"n": 8, "keys": ["material", "vendor"]}
+    assert store.buckets(t2) == {"n": 8, "keys": ["calday", "material", "vendor"]}
     active = store.read(t2)
-    delta = reduce_cube(ex.inbound(spark, SF_SMALL, "cube", "after").drop("_day"), spec)
+    delta = reduce_cube(ex.inbound(spark, SF_SMALL, "cube", "after"), spec)
     plan = apply_cube(active, delta, spec, strategy="shuffle")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1  # the delta side only
     spark.conf.set(LIMIT_KEY, "0")
