@@ -44,8 +44,19 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, *parts: str) -> str:
-    """A fresh folder below the shared checkpoint folder."""
-    return "/".join([checkpoint_root(spark), "lodestar", *parts, uuid.uuid4().hex[:12]])
+    """A fresh folder of this application below the shared checkpoint folder."""
+    return "/".join([_work_root(spark), *parts, uuid.uuid4().hex[:12]])
+
+
+def _work_root(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark)}/lodestar/{spark.sparkContext.applicationId}"
+
+
+def drop_work(spark: SparkSession) -> None:
+    """Delete this application's work folders.  Results that still read them are lost: call
+    it when they have been written elsewhere."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_work_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fixed_dir(spark: SparkSession, *parts: str) -> str:
@@ -70,6 +81,7 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "lodes
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config(CHECKPOINT_KEY, ckpt)
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
