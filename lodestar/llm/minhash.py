@@ -15,7 +15,10 @@ index where every run occurs once.  Texts are linked if J_P >= ``threshold``.
   compared with its bucket's smallest (a star).  Texts found alike join one
   component.  Buckets whose texts lie in one component are done.  In the
   rest, texts of different components are compared by their signatures, block
-  against block; only those that agree on enough registers become pairs.
+  against block; only those that agree on enough registers become pairs.  In
+  the first rounds each text names just the most alike text of another
+  component, so a large group grows together before its pairs are listed; the
+  last round lists every pair still between components.
 * Verification: J_P is computed exactly for every pair.
 
 Texts that are equal are one vertex (named by a 128-bit digest) throughout and
@@ -41,7 +44,9 @@ from .common import stage, with_uid
 from .components import components
 from .words import U, mix, ranges, split, text_slices, windows, WORD_BASES
 
-BLOCK = 256  # texts of a bucket compared with each other in one go
+BLOCK = 512  # texts of a bucket compared with each other in one go
+ROUNDS = 1  # rounds in which a text names its most alike text of another component, before all such pairs
+FINE = 512  # registers, kept as bytes, by which the texts of such buckets are compared
 
 
 def digest(text: str) -> Column:
@@ -101,7 +106,7 @@ def bands_of(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def sign(docs: DataFrame, width: int, bands: int, rows: int, text: str = "text") -> DataFrame:
-    """(node, sig, buckets) of every distinct text of a batch of ``docs``."""
+    """(node, buckets) of every distinct text of a batch of ``docs``."""
     def run(batches):
         for batch in batches:
             for lo, hi in text_slices(batch.column(1)):
@@ -114,14 +119,27 @@ def sign(docs: DataFrame, width: int, bands: int, rows: int, text: str = "text")
                 owner, runs, weights = weighted_runs(texts, width)
                 found = signatures(owner, runs, weights, len(texts), bands * rows)
                 buckets = bands_of(found, bands, rows).astype("<i8")
-                short = (found >> U(32)).astype("<u4")
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[lo:hi].take(rows_of), pa.array([s.tobytes() for s in short], pa.binary()),
+                    [batch.column(0)[lo:hi].take(rows_of),
                      pa.ListArray.from_arrays(np.arange(0, buckets.size + 1, bands, dtype="i4"), pa.array(buckets.ravel()))],
-                    ["node", "sig", "buckets"])
+                    ["node", "buckets"])
 
     source = docs.select(digest(text).alias("node"), F.col(f"`{text}`").cast("string").alias("text")).where("node is not null")
-    return source.mapInArrow(run, "node binary, sig binary, buckets array<long>")
+    return source.mapInArrow(run, "node binary, buckets array<long>")
+
+
+def fine_signatures(texts: DataFrame, width: int) -> DataFrame:
+    """(node, sig): ``FINE`` registers of every text of ``texts`` (node, text), a byte each."""
+    def run(batches):
+        for batch in batches:
+            for lo, hi in text_slices(batch.column(1)):
+                owner, runs, weights = weighted_runs(batch.column(1)[lo:hi], width)
+                found = signatures(owner, mix(runs), weights, hi - lo, FINE)
+                short = (found >> U(56)).astype(np.uint8)  # a byte tells different runs apart 255 times in 256
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0)[lo:hi], pa.array([s.tobytes() for s in short], pa.binary())], ["node", "sig"])
+
+    return texts.select("node", "text").mapInArrow(run, "node binary, sig binary")
 
 
 def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -150,15 +168,18 @@ def _weighted_set(text: str, width: int) -> tuple[np.ndarray, np.ndarray]:
 def verify(pairs: DataFrame, texts: DataFrame, width: int, threshold: float) -> DataFrame:
     """The rows (u, v) of ``pairs`` whose texts have J_P >= threshold; ``texts``: (node, text)."""
     def run(batches):
+        held: dict = {}
+
+        def set_of(node: bytes, text: pa.Scalar):
+            if node not in held:
+                if len(held) >= 1000:
+                    held.clear()
+                held[node] = _weighted_set(text.as_py(), width)
+            return held[node]
+
         for batch in batches:
-            last_u, set_u, kept = None, None, []
-            us, vs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for i in range(len(us)):
-                if us[i] != last_u:
-                    last_u, set_u = us[i], _weighted_set(batch.column(2)[i].as_py(), width)
-                set_v = _weighted_set(batch.column(3)[i].as_py(), width)
-                smaller, larger = sorted((int(set_u[1].sum()), int(set_v[1].sum())))
-                kept.append(smaller > 0 and probability_jaccard(set_u, set_v) >= threshold - 1e-12)
+            kept = [probability_jaccard(set_of(u, text_u), set_of(v, text_v)) >= threshold - 1e-12
+                    for u, v, text_u, text_v in zip(*(batch.column(c).to_pylist() for c in (0, 1)), batch.column(2), batch.column(3))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c).filter(pa.array(kept, pa.bool_())) for c in (0, 1)], ["u", "v"])
 
@@ -173,36 +194,47 @@ def texts_of(nodes: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame
     return join_small(named, nodes, ["node"], "left_semi", materialized=True).groupBy("node").agg(F.first("text").alias("text"))
 
 
-def _blocks(members: DataFrame) -> DataFrame:
-    """Pairs that agree on enough registers among the members (bucket, node, root, sig) of
-    different roots.  A large bucket is cut into blocks, compared two by two."""
+def _blocks(members: DataFrame, threshold: float, best_only: bool) -> DataFrame:
+    """Pairs (u, v) that agree on enough registers among the members (bucket, node, root, sig,
+    buckets) of different roots; with ``best_only`` each member names only its best partner in
+    a block.
+
+    A large bucket is cut into blocks, compared two by two; no pair is formed in between.
+    Texts that share several buckets are compared in the first of them only."""
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n"))
     cut = members.join(sizes, "bucket").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     cut = cut.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    spread = cut.select("bucket", "node", "root", "sig", "block", other).select(
-        "bucket", "node", "root", "sig", "block",
+    spread = cut.select("bucket", "node", "root", "sig", "buckets", "block", other).select(
+        "bucket", "node", "root", "sig", "buckets", "block",
         F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
 
     def compare(group: pa.Table) -> pa.Table:
         nodes, roots = group.column("node").to_pylist(), group.column("root").to_pylist()
-        sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), "<u4").reshape(len(nodes), -1)
+        sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint8).reshape(len(nodes), -1)
         names = {r: i for i, r in enumerate(dict.fromkeys(roots))}
         root = np.array([names[r] for r in roots])
         block = group.column("block").to_numpy()
-        lo, hi = group.column("lo")[0].as_py(), group.column("hi")[0].as_py()
-        out: list[tuple[bytes, bytes]] = []
-        least = 0.6 * sig.shape[1]
-        for i in range(len(nodes)):
+        apart = group.column("lo")[0].as_py() != group.column("hi")[0].as_py()
+        bands = np.asarray(group.column("buckets").combine_chunks().flatten()).reshape(len(nodes), -1)
+        earlier = bands[:, :int(np.argmax(bands[0] == group.column("bucket")[0].as_py()))]
+        registers = sig.shape[1]
+        least = registers * (threshold - 4 * (threshold * (1 - threshold) / registers) ** 0.5)  # four deviations below
+        out: set[tuple[bytes, bytes]] = set()
+        for i in range(len(nodes) if len(names) > 1 else 0):
             ok = root != root[i]
-            ok[:i + 1] = False
-            if lo != hi:
+            if apart:
                 ok &= block != block[i]
-            cand = np.flatnonzero(ok)
-            if len(cand):
-                agree = (sig[cand] == sig[i]).sum(axis=1)
-                out.extend((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])) for j in cand[agree >= least])
-        return pa.table({"u": pa.array([p[0] for p in out], pa.binary()), "v": pa.array([p[1] for p in out], pa.binary())})
+            if not best_only:
+                ok[:i] = False
+            others = np.flatnonzero(ok)
+            others = others[~(earlier[others] == earlier[i]).any(axis=1)]
+            agree = (sig[others] == sig[i]).sum(axis=1)
+            if best_only:
+                others, agree = (others[[agree.argmax()]], agree.max(keepdims=True)) if len(others) else (others, agree)
+            out.update((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])) for j in others[agree >= least])
+        pairs = sorted(out)
+        return pa.table({"u": pa.array([p[0] for p in pairs], pa.binary()), "v": pa.array([p[1] for p in pairs], pa.binary())})
 
     return spread.groupBy("bucket", "lo", "hi").applyInArrow(compare, "u binary, v binary").distinct()
 
@@ -218,15 +250,24 @@ def classes(docs: DataFrame, text: str = "text", width: int = 5, threshold: floa
     nodes = members.select("node").distinct()
     texts = stage(texts_of(stage(nodes, "bucket-nodes"), docs, text), "bucket-texts")
     links = stage(verify(star, texts, width, threshold), "star-links")
-    found = components(links)
-    rooted = members.join(found, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
-    open_buckets = rooted.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n")).where(
-        "a <> b and n > 2").select("bucket")  # a bucket of two has had its only pair compared
-    left = stage(rooted.join(open_buckets, "bucket", "left_semi"), "open-buckets")
-    sigs = signed.join(left.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("sig").alias("sig"))
-    more = stage(_blocks(left.join(sigs, "node")).join(star, ["u", "v"], "left_anti"), "block-pairs")
-    more_links = stage(verify(more, texts, width, threshold), "block-links")
-    return components(links.union(more_links))
+    tested, found, sigs = star, components(links), None
+    for turn in range(ROUNDS + 1):
+        rooted = members.join(found, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
+        open_buckets = rooted.groupBy("bucket").agg(
+            F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n")).where("a <> b and n > 2")
+        # (a bucket of two has had its only pair compared)
+        left = stage(rooted.join(open_buckets.select("bucket"), "bucket", "left_semi"), "open-buckets")
+        if left.isEmpty():
+            break
+        if sigs is None:  # later rounds have no other texts
+            nodes = left.select("node").distinct()
+            own = join_small(signed, nodes, ["node"], "left_semi").groupBy("node").agg(F.first("buckets").alias("buckets"))
+            sigs = stage(fine_signatures(texts.join(nodes, "node", "left_semi"), width).join(own, "node"), "fine-signatures")
+        pairs = _blocks(left.join(sigs, "node"), threshold, best_only=turn < ROUNDS)
+        more = stage(pairs.join(tested, ["u", "v"], "left_anti"), "block-pairs")
+        links = links.union(stage(verify(more, texts, width, threshold), "block-links"))
+        tested, found = tested.union(more), components(links)
+    return found
 
 
 def _heads(named: DataFrame, found: DataFrame) -> DataFrame:
