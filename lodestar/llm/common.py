@@ -47,6 +47,26 @@ def crc_of_id(col) -> F.Column:
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary"))
 
 
+_held: dict[tuple, object] = {}
+
+
+def hold(kind: str, name: object, make: Callable):
+    """The model ``name`` of a worker process, made if it is not the one held.
+
+    A process holds one model at a time: workers outlive the job that started them, and
+    the next operator's memory must not come on top of the last one's."""
+    key = (kind, name)
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
+def release() -> None:
+    """Let go of a model that an earlier operator left in this worker process."""
+    _held.clear()
+
+
 class TwoGenerationCache(dict):
     """A bounded memo: ``self[key]`` computes a missing value with ``make(key)``.
 
@@ -76,4 +96,4 @@ class TwoGenerationCache(dict):
 
 
 __all__ = ["WORD_PATTERN", "documents", "embeddings", "stage", "with_uid", "salt", "crc_of_id",
-           "TwoGenerationCache", "checkpoint_root", "work_dir"]
+           "hold", "release", "TwoGenerationCache", "checkpoint_root", "work_dir"]

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import TwoGenerationCache, crc_of_id, salt
+from .common import TwoGenerationCache, crc_of_id, hold, release, salt
 from .pieces import slices
 
 UNDETERMINED = "und"
@@ -69,8 +69,8 @@ class ContextTrees:
                     node = tree[context[start:]]
                     node[symbol] = node.get(symbol, 0) + n
             self._trees.append(dict(tree))
-        self._grams = TwoGenerationCache(self._gram_bits, 150_000)
-        self.words = TwoGenerationCache(self._word_bits, 200_000)
+        self._grams = TwoGenerationCache(self._gram_bits, 100_000)
+        self.words = TwoGenerationCache(self._word_bits, 150_000)
         self._pack = struct.Struct(f"<{len(self.languages)}d")
 
     def bits(self, tree: dict, context: bytes, symbol: int) -> float:
@@ -131,6 +131,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     sample = rows.where(draw < share[F.col("l")]).select("l", "t")
 
     def count(batches):
+        release()
         for batch in batches:
             found: dict[str, Counter] = defaultdict(Counter)
             for name, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -149,9 +150,6 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     return dict(counts)
 
 
-_trees: dict[str, ContextTrees] = {}
-
-
 def predict(docs: DataFrame, counts: dict[str, dict[bytes, int]], order: int = 4,
             key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs``' own columns plus lang_pred and score, from the counts of ``train``.
@@ -164,10 +162,7 @@ def predict(docs: DataFrame, counts: dict[str, dict[bytes, int]], order: int = 4
 
     def run(batches):
         name, held = model.value
-        if name not in _trees:
-            _trees.clear()
-            _trees[name] = ContextTrees(held, order)
-        trees = _trees[name]
+        trees = hold("context trees", name, lambda: ContextTrees(held, order))
         for batch in batches:
             for lo, hi in slices(batch.column(at)):
                 found = [trees.predict(t) for t in batch.column(at)[lo:hi].to_pylist()]

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from lodestar.operators.sizing import join_small
 
-from .common import stage, with_uid
+from .common import release, stage, with_uid
 from .components import components
 from .words import U, mix, ranges, split, text_slices, windows, WORD_BASES
 
@@ -108,6 +108,7 @@ def bands_of(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
 def sign(docs: DataFrame, width: int, bands: int, rows: int, text: str = "text") -> DataFrame:
     """(node, buckets) of every distinct text of a batch of ``docs``."""
     def run(batches):
+        release()
         for batch in batches:
             for lo, hi in text_slices(batch.column(1)):
                 nodes = batch.column(0)[lo:hi].to_pylist()
@@ -131,6 +132,7 @@ def sign(docs: DataFrame, width: int, bands: int, rows: int, text: str = "text")
 def fine_signatures(texts: DataFrame, width: int) -> DataFrame:
     """(node, sig): ``FINE`` registers of every text of ``texts`` (node, text), a byte each."""
     def run(batches):
+        release()
         for batch in batches:
             for lo, hi in text_slices(batch.column(1)):
                 owner, runs, weights = weighted_runs(batch.column(1)[lo:hi], width)

@@ -41,7 +41,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import TwoGenerationCache
+from .common import TwoGenerationCache, hold
 
 MARK = "▁"
 # Types of pieces in the public model format.
@@ -301,15 +301,9 @@ class PieceModel:
             return "".join(out)
 
 
-_models: dict[bytes, PieceModel] = {}
-
-
 def _model(data: bytes) -> PieceModel:
-    """One model per worker process; its memo lives as long as the worker."""
-    if data not in _models:
-        _models.clear()
-        _models[data] = PieceModel(data)
-    return _models[data]
+    """One model per worker process; its memo lives as long as the model is held."""
+    return hold("pieces", data, lambda: PieceModel(data))
 
 
 def read_model(path: str) -> bytes:

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from lodestar.operators.sizing import join_small
 
-from .common import stage
+from .common import release, stage
 from .words import WORD_BASES, U, Words, ranges, split, text_slices, windows
 
 NODE = ["node", "size"]  # a text's name: 64 bits of hash, and its length
@@ -91,6 +91,7 @@ def seeds_of(words: Words, width: int, seed: int) -> tuple[np.ndarray, ...]:
 
 def find_seeds(named: DataFrame, width: int, seed: int) -> DataFrame:
     def run(batches):
+        release()
         for batch in batches:
             column = batch.column(0)
             for lo, hi in text_slices(column):
@@ -108,6 +109,7 @@ def find_seeds(named: DataFrame, width: int, seed: int) -> DataFrame:
 def name_windows(unsettled: DataFrame, width: int) -> DataFrame:
     """128-bit names of the listed windows; ``unsettled``: (text, node, size, at_n)."""
     def run(batches):
+        release()
         for batch in batches:
             column = batch.column(0)
             for lo, hi in text_slices(column):
@@ -233,6 +235,7 @@ def remove(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
     planned = join_small(whole, runs, NODE, "left").select("row", "text", "runs")
 
     def run(batches):
+        release()
         for batch in batches:
             column = batch.column(1)
             for lo, hi in text_slices(column):
