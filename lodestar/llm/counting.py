@@ -151,6 +151,15 @@ def _tokens(tokenizer: WordBPE, word: str) -> int:
     return len(tokenizer.word(word)) // 4
 
 
+def _tree(tokenizer: WordBPE, text: str, words: list[str] | None) -> CountTree:
+    """The tree of a text's pre-tokens; without them the text is one leaf, built anew by every edit."""
+    if words is None:
+        return CountTree(np.array([len(text)]), np.array([len(tokenizer.whole(text)) // 4]))
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    counts = np.fromiter((_tokens(tokenizer, w) for w in words), np.int64, len(words))
+    return CountTree(lengths, counts)
+
+
 def build(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text", edits: str | None = None) -> DataFrame:
     """(key, text, n_tokens, n_pretokens, tree) of every document, and its column ``edits`` if named."""
     definition = docs.sparkSession.sparkContext.broadcast(read_definition(tokenizer_path))
@@ -162,11 +171,8 @@ def build(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str =
                 texts = batch.column(1)[lo:hi].to_pylist()
                 trees, totals, leaves = [], [], []
                 for body, words in zip(texts, tokenizer.words(texts)):
-                    if words is None:  # one leaf; the tree is rebuilt on every edit
-                        words = [body]
-                    lengths = np.fromiter(map(len, words), np.int64, len(words))
-                    counts = np.fromiter((_tokens(tokenizer, w) for w in words), np.int64, len(words))
-                    tree = CountTree(lengths, counts)
+                    tree = _tree(tokenizer, body, words)
+                    words = [body] if words is None else words
                     trees.append(tree.to_bytes())
                     totals.append(tree.total)
                     leaves.append(len(words))
@@ -212,9 +218,9 @@ def apply_edits(trees: DataFrame, tokenizer_path: str, key: str = "doc_id") -> D
                         else:
                             body = body[:start] + new + body[stop:]
                             plain = tokenizer.plain(body)
-                            words = PRE_TOKEN.findall(body) if plain else [body]
-                            tree = CountTree(np.array(list(map(len, words)), np.int64), np.array(list(map(tokens_of, words)), np.int64))
-                            count = len(words)
+                            words = PRE_TOKEN.findall(body) if plain else None
+                            tree = _tree(tokenizer, body, words)
+                            count = 1 if words is None else len(words)
                         done, before = done + count, start
                     out.append((len(edits), tree.total, done, body, tree.to_bytes()))
                 columns = list(zip(*out)) if out else [[]] * 5
