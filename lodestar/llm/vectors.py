@@ -1,10 +1,12 @@
 """Operator 6: embedding near-duplicates by product quantisation.
 
 * Equal vectors of a label are one vertex with a multiplicity.
+* Vectors of each length are indexed and compared among themselves.
 * A coarse quantiser puts each unit vector into the inverted list of its
   nearest centroid; the residual is coded in subspaces (product quantisation)
-  and its exact coding error is kept.  Both are trained on a sample of at most
-  about ``sample`` distinct vectors; every vector is indexed.
+  and its exact coding error is kept.  Both are trained for each length, on a
+  sample of about ``sample`` distinct vectors in all and ``LEAST`` of each
+  length; every vector is indexed.
 * A vector probes each list whose cell can hold a vector within the distance
   that the threshold allows: the distance to the plane between the two
   centroids proves it.  So no list is left out that could hold a link.
@@ -17,9 +19,9 @@ Lists and their queries are cut into chunks, compared chunk against chunk, so
 a label or list with a third of all vectors is spread over tasks.  Of a
 chunk's links only counts per vector and a spanning forest leave the task.
 
-Defined cases: vectors that are null, zero, of another length than most, or
-hold null or non-finite components link with nothing, nor do rows without a
-label; equal ids are rows of their own; a null id counts as no id for
+Defined cases: vectors that are null, zero, or hold null or non-finite
+components link with nothing, nor do rows without a label; vectors of
+different lengths do not link; equal ids are rows of their own; a null id counts as no id for
 ``component_id``; an empty table gives an empty result.  Only the id, vector
 and label columns are read.
 """
@@ -27,6 +29,7 @@ and label columns are read.
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +41,7 @@ from .components import components
 from .search import usable
 
 MEMBERS, QUERIES = 1024, 2048  # chunk sizes of a list's members and queries
+LEAST = 64  # expected sample of a length, if it has as many distinct vectors
 SLACK = 1e-6  # for rounding in the two lossless filters
 
 
@@ -141,48 +145,60 @@ def links(distinct: DataFrame, threshold: float, sample: int = 16_384, per_list:
 
     ``distinct``: (uid, label, v, copies), no two rows of a label with equal vectors."""
     spark = distinct.sparkSession
-    total = distinct.count()
+    distinct = distinct.withColumn("dims", F.size("v"))
+    number = {r["dims"]: r["n"] for r in distinct.groupBy("dims").agg(F.count("*").alias("n")).collect()}  # one row per length
+    total = sum(number.values())
     empty = spark.createDataFrame([], "u long, v long, n long")
     if total < 2:
         return empty
-    share = F.lit(sample / total)
-    drawn = distinct.where(F.pmod(F.xxhash64(F.lit("sample"), "uid"), F.lit(1 << 30)) / F.lit(float(1 << 30)) < share)
-    rows = drawn.select("uid", "v").collect()  # about ``sample`` rows at most, whatever the table's size
-    rows = rows or distinct.select("uid", "v").limit(256).collect()
-    x = np.array([r["v"] for r in sorted(rows, key=lambda r: r["uid"])])
-    x /= np.sqrt((x * x).sum(1))[:, None]
-    quantiser = spark.sparkContext.broadcast(ProductQuantiser(x, min(4096, -(-total // per_list))))
+    share = F.greatest(F.lit(sample / total), F.lit(float(LEAST)) / F.col("n"))
+    drawn = distinct.join(F.broadcast(spark.createDataFrame(list(number.items()), "dims int, n long")), "dims").where(
+        F.pmod(F.xxhash64(F.lit("sample"), "uid"), F.lit(1 << 30)) / F.lit(float(1 << 30)) < share)
+    rows = defaultdict(list)
+    for r in drawn.select("uid", "dims", "v").collect():  # about ``sample`` rows and LEAST per length, whatever the table's size
+        rows[r["dims"]].append((r["uid"], r["v"]))
+    trained = {}
+    for dims in sorted(rows):
+        x = np.array([v for _, v in sorted(rows[dims])])
+        x /= np.sqrt((x * x).sum(1))[:, None]
+        trained[dims] = ProductQuantiser(x, min(4096, -(-number[dims] // per_list)))
+    quantisers = spark.sparkContext.broadcast(trained)
+
+    def quantiser_of(dims: int) -> ProductQuantiser:
+        """The one of a length; a length of which nothing was drawn has one list and one code."""
+        return quantisers.value.get(dims) or ProductQuantiser(np.zeros((1, dims)), 1)
+
     reach = math.sqrt(max(0.0, 2 - 2 * threshold))
 
     def encode(batches):
-        q = quantiser.value
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            raw = np.asarray(batch.column(2).flatten()).reshape(batch.num_rows, -1)
-            norm = np.sqrt((raw * raw).sum(1))
-            home, codes, error, far = q.encode(raw / norm[:, None])
-            probes = [p.tolist() for p in q.probes(home, far, reach)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(3), pa.array([r.tobytes() for r in raw], pa.binary()), pa.array(norm),
-                 pa.array(home.astype("i4")), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error),
-                 pa.array(probes, pa.list_(pa.int32()))],
-                ["uid", "label", "copies", "vector", "norm", "list", "codes", "error", "probes"])
+        for whole in batches:
+            sizes_here = np.asarray(whole.column(4))
+            for dims in np.unique(sizes_here).tolist():
+                batch, q = whole.filter(pa.array(sizes_here == dims)), quantiser_of(dims)
+                raw = np.asarray(batch.column(2).flatten()).reshape(batch.num_rows, -1)
+                norm = np.sqrt((raw * raw).sum(1))
+                home, codes, error, far = q.encode(raw / norm[:, None])
+                probes = [p.tolist() for p in q.probes(home, far, reach)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), batch.column(4), batch.column(3), pa.array([r.tobytes() for r in raw], pa.binary()),
+                     pa.array(norm), pa.array(home.astype("i4")), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error),
+                     pa.array(probes, pa.list_(pa.int32()))],
+                    ["uid", "label", "dims", "copies", "vector", "norm", "list", "codes", "error", "probes"])
 
     kind = distinct.schema["label"].dataType.simpleString()
-    coded = stage(distinct.select("uid", "label", "v", "copies").mapInArrow(
-        encode, f"uid long, label {kind}, copies long, vector binary, norm double, list int, codes binary, error double, probes array<int>"), "coded")
-    asked = coded.select("uid", "label", "vector", "norm", F.explode("probes").alias("list"))
-    held = coded.groupBy("label", "list").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("mchunks"))
-    asking = asked.groupBy("label", "list").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("qchunks"))
-    sizes = stage(held.join(asking, ["label", "list"]), "list-sizes")
+    coded = stage(distinct.select("uid", "label", "v", "copies", "dims").mapInArrow(
+        encode, f"uid long, label {kind}, dims int, copies long, vector binary, norm double, list int, codes binary, error double, probes array<int>"), "coded")
+    asked = coded.select("uid", "label", "dims", "vector", "norm", F.explode("probes").alias("list"))
+    held = coded.groupBy("label", "dims", "list").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("mchunks"))
+    asking = asked.groupBy("label", "dims", "list").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("qchunks"))
+    sizes = stage(held.join(asking, ["label", "dims", "list"]), "list-sizes")
     chunk = lambda n: F.pmod(F.xxhash64("uid"), F.col(n)).cast("int")
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    group = ["label", "list", "mchunk", "qchunk"]
-    members = coded.join(sizes, ["label", "list"]).select(
-        "label", "list", chunk("mchunks").alias("mchunk"), upto("qchunks").alias("qchunk"), "uid", "copies", "vector", "norm", "codes", "error")
-    queries = asked.join(sizes, ["label", "list"]).select(
-        "label", "list", upto("mchunks").alias("mchunk"), chunk("qchunks").alias("qchunk"), "uid", "vector", "norm")
+    group = ["label", "dims", "list", "mchunk", "qchunk"]
+    members = coded.join(sizes, ["label", "dims", "list"]).select(
+        "label", "dims", "list", chunk("mchunks").alias("mchunk"), upto("qchunks").alias("qchunk"), "uid", "copies", "vector", "norm", "codes", "error")
+    queries = asked.join(sizes, ["label", "dims", "list"]).select(
+        "label", "dims", "list", upto("mchunks").alias("mchunk"), chunk("qchunks").alias("qchunk"), "uid", "vector", "norm")
     queries = queries.select(*[F.col(c).alias(c) for c in queries.columns])  # columns apart from those of members
 
     def columns(table: pa.Table) -> dict:
@@ -197,7 +213,7 @@ def links(distinct: DataFrame, threshold: float, sample: int = 16_384, per_list:
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
         asked_here = columns(right)
-        count, a, b = compare(quantiser.value, left.column("list")[0].as_py(), threshold, columns(left), asked_here)
+        count, a, b = compare(quantiser_of(left.column("dims")[0].as_py()), left.column("list")[0].as_py(), threshold, columns(left), asked_here)
         some = np.flatnonzero(count)
         u = np.concatenate([asked_here["uid"][some], a])
         return pa.table([pa.array(u), pa.array(np.concatenate([np.zeros(len(some), np.int64), b]), mask=np.arange(len(u)) < len(some)),
@@ -217,10 +233,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, key: str = "vec
     rows = rows.withColumn("v", F.when(F.col("label").isNotNull() & (norm > 0) & (norm < F.lit(float("inf"))), F.col("v")))
     name = F.when(F.col("v").isNotNull(), F.md5(F.concat_ws(",", F.col("v").cast("array<string>"))))
     held = stage(with_uid(rows.withColumn("name", name)), "vectors")
-    usual = held.where("v is not null").groupBy(F.size("v").alias("dims")).count().orderBy(F.desc("count"), F.desc("dims")).limit(1).collect()
-    dims = usual[0]["dims"] if usual else 0
-    named = held.select("uid", "id", "label", F.when(F.size("v") == dims, F.col("name")).alias("name"))
-    distinct = stage(held.where(F.size("v") == dims).groupBy("label", "name").agg(
+    named = held.select("uid", "id", "label", "name")
+    distinct = stage(held.where("v is not null").groupBy("label", "name").agg(
         F.min("uid").alias("uid"), F.count("*").alias("copies"), F.first("v").alias("v")), "distinct-vectors")
     found = stage(links(distinct, threshold, **options), "vector-links")
     counts = found.where("n is not null").groupBy(F.col("u").alias("uid")).agg(F.sum("n").alias("more"))

@@ -63,6 +63,26 @@ def test_links_and_components(spark, options, monkeypatch):
     assert sorted(map(tuple, found), key=key) == sorted(plain(rows), key=key)
 
 
+@pytest.mark.parametrize("options", [{}, {"per_list": 5, "sample": 40}])
+def test_vectors_of_every_length_are_compared(spark, options, monkeypatch):
+    if options:
+        monkeypatch.setattr(vectors, "LEAST", 1e-9)  # a length of which nothing is drawn loses nothing either
+    rng, rows = np.random.default_rng(9), groups(4)
+    want = [r[:2] for r in plain(rows)]
+    for dims, n in ((24, 70), (4, 40), (1, 3)):
+        centres = rng.normal(size=(6, dims))
+        data = (centres[np.arange(n) % 6] + rng.normal(size=(n, dims)) * 0.1).astype(np.float32)
+        label = np.arange(n) % 2
+        unit = data.astype(float) / np.linalg.norm(data.astype(float), axis=1)[:, None]
+        links = (unit @ unit.T >= 0.98) & (label[:, None] == label)
+        rows += [(10_000 * dims + i, [*map(float, data[i])], int(label[i]), "u", 1, 2) for i in range(n)]
+        want += [(10_000 * dims + i, int(links[i].sum()) - 1) for i in range(n)]
+    found = vectors.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(3), **options).collect()
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    assert sorted([tuple(r)[:2] for r in found], key=key) == sorted(want, key=key)
+    assert sum(n for k, n in want if k and k >= 10_000) > 100
+
+
 def test_empty_and_useless_tables(spark):
     assert vectors.near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
     rows = [(1, None, 1, "u", 1, 2), (2, [0.0, 0.0], 1, "u", 1, 2), (3, [1.0, 0.0], 1, "u", 1, 2)]
