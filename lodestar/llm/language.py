@@ -11,9 +11,11 @@ training, so a word costs the same in every text and word costs are kept in a
 bounded memo.  The language with the shortest code wins; the score is its
 posterior probability under equal priors.
 
-Training reads labelled rows only, a sample bounded by ``per_language``
-documents of each language (expected number, drawn by a hash of the key) of
-at most ``longest`` bytes.  Scoring reads every whole text.
+Training reads labelled rows only.  Of each language it draws, by a hash of
+the key and whatever their length, documents of an expected number of at most
+``per_language`` and of at most ``most_bytes`` bytes in sum, but an expected
+``FEW`` if there are as many, and always one.  A drawn document is read whole.
+Scoring reads every whole text.
 
 Defined cases: a null text or one without letters is ``und`` with score 0;
 ties go to the smaller language name; rows with a null language train
@@ -38,6 +40,7 @@ from .common import TwoGenerationCache, crc_of_id, hold, release, salt
 from .pieces import slices
 
 UNDETERMINED = "und"
+FEW = 8
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -115,29 +118,31 @@ class ContextTrees:
 
 
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
-          order: int = 4, per_language: int = 2000, longest: int = 50_000) -> dict[str, dict[bytes, int]]:
+          order: int = 4, per_language: int = 2000, most_bytes: int = 100_000_000) -> dict[str, dict[bytes, int]]:
     """Byte-context counts of each language from a bounded sample of ``docs``.
 
     The counts brought to the driver are bounded by the sample, not by ``docs``.
     """
     rows = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").cast("string").alias("t"),
                        F.col(f"`{lang}`").cast("string").alias("l"))
-    rows = rows.where(F.col("t").isNotNull() & F.col("l").isNotNull() & (F.octet_length("t") <= longest))
-    sizes = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count("*").alias("n")).collect()}
+    rows = rows.where(F.col("t").isNotNull() & F.col("l").isNotNull())
+    draw = F.pmod(F.xxhash64(F.lit("language sample"), F.col("k")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    sizes = rows.groupBy("l").agg(F.count("*").alias("n"), F.sum(F.octet_length("t")).alias("bytes"), F.min(draw).alias("least")).collect()
     if not sizes:
         return {}
-    draw = F.pmod(F.xxhash64(F.lit("language sample"), F.col("k")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    share = F.create_map(*[x for name, n in sizes.items() for x in (F.lit(name), F.lit(per_language / n))])
-    sample = rows.where(draw < share[F.col("l")]).select("l", "t")
+    share = {r["l"]: max(min(per_language / r["n"], most_bytes / max(1, r["bytes"])), FEW / r["n"]) for r in sizes}
+    limit = F.create_map(*[x for r in sizes for x in (F.lit(r["l"]), F.lit(max(share[r["l"]], math.nextafter(r["least"], 2))))])
+    sample = rows.where(draw < limit[F.col("l")]).select("l", "t")
 
     def count(batches):
         release()
         for batch in batches:
             found: dict[str, Counter] = defaultdict(Counter)
-            for name, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for word, n in Counter(words_of(body)).items():
-                    for gram in grams(word, order):
-                        found[name][gram] += n
+            for lo, hi in slices(batch.column(1)):
+                for name, body in zip(batch.column(0)[lo:hi].to_pylist(), batch.column(1)[lo:hi].to_pylist()):
+                    for word, n in Counter(words_of(body)).items():
+                        for gram in grams(word, order):
+                            found[name][gram] += n
             for name, grams_of in found.items():
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([name] * len(grams_of)), pa.array(list(grams_of), pa.binary()),

@@ -59,6 +59,27 @@ def test_edge_documents_and_empty_tables(spark):
     assert {r["lang_pred"] for r in language.identify(unlabelled).collect()} == {"und"}
 
 
+def test_languages_of_long_texts_only_are_learned(spark):
+    rng = random.Random(3)
+    kinds = {"aa": ["the", "and", "thing", "ward", "oth"], "bb": ["une", "les", "quoi", "eaux", "être"]}
+    rows = []
+    for i in range(60):
+        lang = "aa" if i % 2 else "bb"
+        words = ["".join(rng.choices(kinds[lang], k=2)) for _ in range(9000 if lang == "bb" else 30)]
+        rows.append((i, " ".join(words), lang))
+    assert all((len(t.encode()) > 50_000) == (lang == "bb") for _, t, lang in rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    truth = {k: lang for k, _, lang in rows}
+    assert all(r["lang_pred"] == truth[r["doc_id"]] for r in language.identify(docs).collect())
+    books = docs.where("lang = 'bb'")
+    assert sorted(r["doc_id"] for r in language.identified(books).collect()) == [k for k in truth if truth[k] == "bb"]
+    # the bounds hold in number and in bytes, and never leave a language without a document
+    whole, some = (sum(language.train(books, **o)["bb"].values()) for o in ({}, {"most_bytes": 1_000_000}))
+    assert 0 < some < 0.7 * whole
+    same = docs.selectExpr("cast(null as long) doc_id", "text", "lang")
+    assert set(language.train(same, per_language=0, most_bytes=0)) == {"aa", "bb"}
+
+
 def test_identified_keeps_rows_whole(spark):
     rows, docs = corpus(spark, 120)
     kept = language.identified(docs.union(spark.createDataFrame([(900, None, "aa", "aa"), (901, "12 34", "aa", "aa")], docs.schema)))
