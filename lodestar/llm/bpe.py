@@ -3,9 +3,11 @@
 The pre-token pattern splits a text into words that are encoded on their own,
 so the ids of a text are the ids of its words in order.  A word is encoded
 once and then kept in a memo.
-Texts with characters beyond the Latin blocks (where the two regular
-expression engines' character tables might differ) or with the text of a
-special token go through the library whole.
+``encode`` gives texts with characters beyond the Latin blocks (where the two
+regular expression engines' character tables might differ) or with the text of
+a special token to the library whole.  ``pattern`` splits texts with any
+characters: its letters, numbers and spaces are read off the library's own
+pre-tokenizer.
 """
 
 from __future__ import annotations
@@ -14,6 +16,9 @@ import json
 import os
 import re
 import struct
+import sys
+import unicodedata
+from itertools import groupby
 
 from .common import TwoGenerationCache, hold
 
@@ -25,6 +30,38 @@ PRE_TOKEN = re.compile(
 BEYOND = re.compile("[^\t-\r\x20-\x7e\xa0-ɏ]")
 
 
+def _ranges(chars: list[str]) -> str:
+    """The inside of a character class that holds ``chars``."""
+    out = []
+    for _, run in groupby(enumerate(sorted(set(map(ord, chars)))), lambda x: x[1] - x[0]):
+        points = [p for _, p in run]
+        out.append(f"\\U{points[0]:08x}-\\U{points[-1]:08x}")
+    return "".join(out)
+
+
+def pattern_of(pre_tokenizer) -> re.Pattern:
+    """PRE_TOKEN for texts with any characters, by the pre-tokenizer's own character tables.
+
+    Characters of one presumed kind are split as one text; a piece of it holds one kind,
+    which is told by what it stays together with."""
+    count = lambda text: len(pre_tokenizer.pre_tokenize_str(text))
+    presumed: dict[str, list[str]] = {"L": [], "N": [], "Z": [], "": []}
+    for c in map(chr, [*range(0xD800), *range(0xE000, sys.maxunicode + 1)]):
+        kind = "Z" if c.isspace() else unicodedata.category(c)[0]
+        presumed[kind if kind in presumed else ""].append(c)
+    found: dict[str, list[str]] = {"a": [], "1": [], "!": [], " ": []}
+    for kind, chars in presumed.items():
+        for lo in range(0, len(chars), 4096):
+            text = "".join(chars[lo:lo + 4096])
+            pieces = chars if kind == "Z" else [text[i:j] for _, (i, j) in pre_tokenizer.pre_tokenize_str(text)]
+            for piece in pieces:
+                found[next((k for k in "a1!" if count(k + piece) == 1), " ")].extend(piece)
+    letters, numbers, spaces = (_ranges(found[k]) for k in "a1 ")
+    return re.compile(
+        rf"'(?:[stmd]|re|ve|ll)| ?[{letters}]+| ?[{numbers}]+| ?[^{spaces}{letters}{numbers}]+"
+        rf"|[{spaces}]+(?![^{spaces}])|[{spaces}]+")
+
+
 def ranks_of(definition: str) -> dict[bytes, int] | None:
     """The vocabulary as byte strings with their ids, if the ids of merged tokens are in merge
     order (then merging by lowest id is merging by first rule); else None."""
@@ -53,6 +90,8 @@ class WordBPE:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self._specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.longest_special = max(map(len, self._specials), default=0)
+        self._any: re.Pattern | None = None
         self._memo = TwoGenerationCache(self._of_word, memo)
         ranks = ranks_of(definition)
         self._words = ranks and tiktoken.Encoding("words", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={})
@@ -74,14 +113,30 @@ class WordBPE:
         latin = BEYOND.search(text) is None
         return latin and not any(special in text for special in self._specials)
 
+    def special(self, text: str) -> bool:
+        """Whether the text holds the text of a special token."""
+        return any(special in text for special in self._specials)
+
+    def latin(self, text: str) -> bool:
+        return BEYOND.search(text) is None
+
+    def pattern(self, latin: bool) -> re.Pattern:
+        """What splits a text without special tokens into its pre-tokens."""
+        if latin:
+            return PRE_TOKEN
+        if self._any is None:  # made when the first such text comes
+            self._any = pattern_of(self.tokenizer.pre_tokenizer)
+        return self._any
+
+    def sizes(self, text: str) -> tuple[int, int]:
+        """(tokens, pre-tokens) of any text, by the library; a special token is one of each."""
+        encoding = self.tokenizer.encode(text, add_special_tokens=False)
+        return len(encoding.ids), len(set(encoding.word_ids))
+
     def word(self, word: str) -> bytes:
-        """The ids of one pre-token of a plain text."""
+        """The ids of one pre-token."""
         return self._memo[word]
 
-    def whole(self, text: str) -> bytes:
-        """The ids of any text, by the library."""
-        return self._one(text)
-
     def words(self, texts: list[str | None]) -> list[list[str] | None]:
         """The pre-tokens of each text (None: to be encoded whole)."""
         return [PRE_TOKEN.findall(t) if self.plain(t) else None for t in (x or "" for x in texts)]

@@ -19,8 +19,9 @@ later need the text, the tree and the edits, and no full encoding.
 Defined cases: a null text counts as empty; edits are (start, stop, text) in
 characters of the text before any edit; they are clipped to the text, applied
 from the last to the first, and one that reaches into the next one is cut
-short there; null edits are none.  Texts outside the Latin blocks or with the
-text of a special token are one leaf, encoded by the library whole.
+short there; null edits are none.  A text that holds the text of a special
+token is one leaf: it is encoded by the library whole, again after each edit,
+and all its pre-tokens count as encoded then.
 """
 
 from __future__ import annotations
@@ -102,7 +103,8 @@ class CountTree:
         for b in range(block, len(self.lengths)):
             yield from self.lengths[b][index:] if b == block else self.lengths[b]
 
-    def edit(self, text: str, start: int, stop: int, new: str, tokens_of: Callable[[str], int]) -> tuple[str, int]:
+    def edit(self, text: str, start: int, stop: int, new: str, tokens_of: Callable[[str], int],
+             pattern: re.Pattern = PRE_TOKEN) -> tuple[str, int]:
         """Apply one edit to ``text`` and its tree; the edited text and how many pre-tokens were encoded."""
         edited = text[:start] + new + text[stop:]
         shift = len(new) - (stop - start)
@@ -113,7 +115,7 @@ class CountTree:
         past = start + len(new)
         place = at
         while place < len(edited):
-            size = PRE_TOKEN.match(edited, place).end() - place
+            size = pattern.match(edited, place).end() - place
             lengths.append(size)
             counts.append(tokens_of(edited[place:place + size]))
             place += size
@@ -151,13 +153,15 @@ def _tokens(tokenizer: WordBPE, word: str) -> int:
     return len(tokenizer.word(word)) // 4
 
 
-def _tree(tokenizer: WordBPE, text: str, words: list[str] | None) -> CountTree:
-    """The tree of a text's pre-tokens; without them the text is one leaf, built anew by every edit."""
-    if words is None:
-        return CountTree(np.array([len(text)]), np.array([len(tokenizer.whole(text)) // 4]))
+def _tree(tokenizer: WordBPE, text: str) -> tuple[CountTree, int]:
+    """The tree of a text's pre-tokens and their number; with a special token's text it is one leaf."""
+    if tokenizer.special(text):
+        tokens, words = tokenizer.sizes(text)
+        return CountTree(np.array([len(text)]), np.array([tokens])), words
+    words = tokenizer.pattern(tokenizer.latin(text)).findall(text)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     counts = np.fromiter((_tokens(tokenizer, w) for w in words), np.int64, len(words))
-    return CountTree(lengths, counts)
+    return CountTree(lengths, counts), len(words)
 
 
 def build(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text", edits: str | None = None) -> DataFrame:
@@ -170,12 +174,11 @@ def build(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str =
             for lo, hi in slices(batch.column(1), 2_000_000):
                 texts = batch.column(1)[lo:hi].to_pylist()
                 trees, totals, leaves = [], [], []
-                for body, words in zip(texts, tokenizer.words(texts)):
-                    tree = _tree(tokenizer, body, words)
-                    words = [body] if words is None else words
+                for body in texts:
+                    tree, words = _tree(tokenizer, body or "")
                     trees.append(tree.to_bytes())
                     totals.append(tree.total)
-                    leaves.append(len(words))
+                    leaves.append(words)
                 part = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(totals, pa.int64()), pa.array(leaves, pa.int64()),
@@ -198,6 +201,7 @@ def apply_edits(trees: DataFrame, tokenizer_path: str, key: str = "doc_id") -> D
     def run(batches):
         tokenizer = tokenizer_of(definition.value)
         tokens_of = lambda word: _tokens(tokenizer, word)
+        longest = tokenizer.longest_special
         for batch in batches:
             for lo, hi in slices(batch.column(1), 2_000_000):
                 part = batch.slice(lo, hi - lo)
@@ -208,19 +212,21 @@ def apply_edits(trees: DataFrame, tokenizer_path: str, key: str = "doc_id") -> D
                         out.append((0, total, 0, body, stored))
                         continue
                     tree, done, before = CountTree.from_bytes(stored), 0, len(body)
-                    plain = tokenizer.plain(body)
+                    whole = tokenizer.special(body)
+                    latin = tokenizer.latin(body)
                     for e in sorted(edits, key=lambda e: (e["start"], e["stop"]), reverse=True):
                         start = min(max(0, e["start"]), before)
                         stop = max(start, min(e["stop"], before))
                         new = e["text"] or ""
-                        if plain and tokenizer.plain(body[:start][-16:] + new + body[stop:][:16]):
-                            body, count = tree.edit(body, start, stop, new, tokens_of)
+                        around = body[max(0, start - longest):start] + new + body[stop:stop + longest]
+                        if not whole and not tokenizer.special(around):
+                            latin = latin and tokenizer.latin(new)
+                            body, count = tree.edit(body, start, stop, new, tokens_of, tokenizer.pattern(latin))
                         else:
                             body = body[:start] + new + body[stop:]
-                            plain = tokenizer.plain(body)
-                            words = PRE_TOKEN.findall(body) if plain else None
-                            tree = _tree(tokenizer, body, words)
-                            count = 1 if words is None else len(words)
+                            tree, count = _tree(tokenizer, body)
+                            whole = tokenizer.special(body)
+                            latin = tokenizer.latin(body)
                         done, before = done + count, start
                     out.append((len(edits), tree.total, done, body, tree.to_bytes()))
                 columns = list(zip(*out)) if out else [[]] * 5

@@ -85,3 +85,40 @@ def test_redaction_query_and_empty_table(spark, tokenizer):
     assert (found[2]["n_tokens"], found[2]["n_edits"]) == (0, 0)
     none = counting.with_redactions(cases.empty(spark).select("doc_id", "text"))
     assert counting.apply_edits(counting.build(none, PATH, edits="edits"), PATH).collect() == []
+
+
+def test_pre_tokens_of_any_characters_are_the_librarys(tokenizer):
+    rng = random.Random(7)
+    kinds = [[chr(c) for c in r] for r in (range(0x20, 0x7F), range(0xA0, 0x250), range(0x300, 0x600), range(0x900, 0xE80),
+                                           range(0x1C, 0x20), range(0x2000, 0x2100), range(0x3000, 0x3100), range(0x1F600, 0x1F640))]
+    kinds += [[chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000], ["'s", "'ll", " ", "  ", "\x85", "\u2019", "\u2014"]]
+    for _ in range(4000):
+        text = "".join(rng.choice(rng.choice(kinds)) for _ in range(rng.randint(0, 40)))
+        want = [text[i:j] for _, (i, j) in tokenizer.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+        assert tokenizer.pattern(False).findall(text) == want, text
+        assert sum(len(tokenizer.word(w)) // 4 for w in want) == len(whole(tokenizer, text))
+        assert tokenizer.sizes(text) == (len(whole(tokenizer, text)), len(want))
+
+
+def test_edits_of_texts_beyond_latin_encode_few_pre_tokens(spark, tokenizer):
+    rng = random.Random(8)
+    parts = ["\u2019", " \u2014 ", "\u20ac5", " слово", " ещё", "漢字", "かな", " 😀", " the", "'s", "  ", "\n", "\u3000", " हिन्दी", "é"]
+    rows = []
+    for key in range(60):
+        text = "".join(rng.choice(parts) for _ in range(600)) if key % 6 else "plain words " * 300
+        places = sorted(rng.sample(range(len(text)), 3))
+        rows.append((key, text, [(p, p + rng.randint(0, 8), rng.choice(["", "x", "漢", " \u2014", "é\u2019s"])) for p in places]))
+    special = "before it<|endoftext|>and — after it"
+    rows.append((100, special, [(0, 6, "after")]))
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, edits {counting.EDIT}")
+    found = {r["doc_id"]: r for r in counting.apply_edits(counting.build(docs, PATH, edits="edits"), PATH).collect()}
+    splits = lambda text: len(tokenizer.tokenizer.pre_tokenizer.pre_tokenize_str(text))
+    for key, text, _ in rows[:-1]:
+        r = found[key]
+        assert (r["n_tokens"], r["n_pretokens"]) == (len(whole(tokenizer, text)), splits(text))
+        assert r["n_tokens_edited"] == len(whole(tokenizer, r["edited"])) and 3 <= r["n_reencoded"] < 40
+        tree = counting.CountTree.from_bytes(r["tree"])
+        want = [j - i for _, (i, j) in tokenizer.tokenizer.pre_tokenizer.pre_tokenize_str(r["edited"])]
+        assert [n for b in tree.lengths for n in b] == want
+    r = found[100]  # before, it, special, and, dash, after, it
+    assert (r["n_pretokens"], r["n_reencoded"], r["n_tokens_edited"]) == (7, 7, len(whole(tokenizer, r["edited"])))
