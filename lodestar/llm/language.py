@@ -1,12 +1,12 @@
 """Operator 9: language identification by prediction by partial matching.
 
 Each language has a tree of byte contexts up to ``order`` bytes long.  A text
-is coded word by word (a word: a run of letters, lower-cased, with a space on
-either side); the context of a byte starts at the space before its word.  The
-code length of a byte is that of PPM, method C with exclusion: the longest
-known context gives the byte's probability or an escape probability, after
-which the next shorter context is asked without the bytes already excluded,
-down to a uniform law over the bytes left.  Statistics are frozen after
+is coded word by word (a word: a run of letters and their combining marks,
+lower-cased, with a space on either side); the context of a byte starts at
+the space before its word.  The code length of a byte is that of PPM, method C
+with exclusion: the longest known context gives the byte's probability or an
+escape probability, after which the next shorter context is asked without the
+bytes already excluded, down to a uniform law over the bytes left.  Statistics are frozen after
 training, so a word costs the same in every text and word costs are kept in a
 bounded memo.  The language with the shortest code wins; the score is its
 posterior probability under equal priors.
@@ -28,6 +28,7 @@ from __future__ import annotations
 import math
 import re
 import struct
+import unicodedata
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -41,12 +42,17 @@ from .pieces import slices
 
 UNDETERMINED = "und"
 FEW = 8
-_WORD = re.compile(r"[^\W\d_]+")
+#: Combining marks (categories Mn and Mc), of which none lies outside these two stretches.
+MARKS = "".join(c for c in map(chr, [*range(0x300, 0x20000), *range(0xE0100, 0xE01F0)]) if unicodedata.category(c) in ("Mn", "Mc"))
+_LETTERS = re.compile(r"[^\W\d_]+")  # the same words, faster, where no character is as high as a mark
+_HIGH = re.compile("[\u0300-\U0010ffff]")
+_WORD = re.compile(rf"[^\W\d_]+(?:[{MARKS}]+[^\W\d_]*)*")
 
 
 def words_of(text: str | None) -> list[str]:
-    """The lower-cased letter runs of a text; empty if it holds no letter."""
-    words = _WORD.findall(text.lower()) if text else []
+    """The lower-cased runs of letters and their marks in a text; empty if it holds no letter."""
+    text = (text or "").lower()
+    words = (_WORD if _HIGH.search(text) else _LETTERS).findall(text)
     return words if any(any(map(str.isalpha, w)) for w in words) else []
 
 

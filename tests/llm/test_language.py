@@ -2,6 +2,7 @@
 
 import math
 import random
+import unicodedata
 
 from lodestar.llm import language
 
@@ -80,6 +81,12 @@ def test_languages_of_long_texts_only_are_learned(spark):
     assert set(language.train(same, per_language=0, most_bytes=0)) == {"aa", "bb"}
 
 
+def test_combining_marks_belong_to_words():
+    assert language.words_of("हिन्दी में ภาษาไทยที่ e\u0301te\u0301 \u0301 12") == ["हिन्दी", "में", "ภาษาไทยที่", "e\u0301te\u0301"]
+    assert language.words_of("\u0301\u0301 12") == []
+    assert set(language.MARKS) == {c for c in map(chr, range(0x110000)) if unicodedata.category(c) in ("Mn", "Mc")}
+
+
 def test_identified_keeps_rows_whole(spark):
     rows, docs = corpus(spark, 120)
     kept = language.identified(docs.union(spark.createDataFrame([(900, None, "aa", "aa"), (901, "12 34", "aa", "aa")], docs.schema)))
