@@ -8,7 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import counting, language, maxent, minhash, packing, pieces, repeats, search, sharding, vectors
+from . import (
+    counting,
+    divergence,
+    infill,
+    language,
+    maxent,
+    minhash,
+    oracles,
+    packing,
+    pieces,
+    repeats,
+    search,
+    sharding,
+    vectors,
+    winnowing,
+)
 from .common import documents, embeddings
 
 
@@ -60,6 +75,28 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.top_k(embeddings(spark, sf_dir), F.col("id") % 50 == 0, k=5, scale=256)
 
 
+def _sha256(name: str) -> F.Column:
+    return F.sha2(F.col(name).cast("binary"), 256)
+
+
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = infill.restore(infill.transform(documents(spark, sf_dir).select("doc_id", "text"), seed=42, rate=50, spm=80))
+    return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars", _sha256("output").alias("output_sha256"),
+                       _sha256("restored").alias("restored_sha256"))
+
+
+def op12_winnowed_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prints = winnowing.against_next(documents(spark, sf_dir))
+    return prints.select("doc_id", "n_chars", _sha256("edited").alias("edited_sha256"),
+                         winnowing.as_text(F.col("fingerprint")).alias("fingerprint"),
+                         winnowing.as_text(F.col("edited_fingerprint")).alias("edited_fingerprint"),
+                         "near_edited", "near_next")
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir), least=30, add=5, scale=10 ** 9, ranks=50)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_packed_sequences": op2_packed_sequences,
@@ -71,6 +108,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_language_id": op9_language_id,
     "op10_exact_top_k": op10_exact_top_k,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_winnowed_fingerprints": op12_winnowed_fingerprints,
+    "op13_source_divergence": op13_source_divergence,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = oracles.ORACLE
