@@ -240,6 +240,24 @@ def reduce_marker(inbound: DataFrame, spec: EntitySpec) -> DataFrame:
     return materialize(sum_per_stock_key(inbound, list(spec.keys), list(spec.figures), spec.day_col))
 
 
+def reduce_stock(inbound: DataFrame, spec: EntitySpec) -> dict[str, DataFrame]:
+    """The deltas of both stock tables from one shuffle of the inbound rows, checkpointed:
+    ``2`` (AGG2, per key with the day) and ``5`` (AGG3, per stock key, earliest day kept)
+    are two grouping sets of one aggregate."""
+    spec.require_keys()
+    keys, day = list(spec.keys), spec.day_col
+    if day not in keys:
+        return {"2": reduce_cube(inbound, spec), "5": reduce_marker(inbound, spec)}
+    stock = spec.key_spec(drop=day)
+    sums = [F.sum(F.col(_q(f))).cast(inbound.schema[f].dataType).alias(f) for f in spec.figures]
+    both = materialize(inbound.withColumn("_day", F.col(_q(day)))
+                       .groupingSets([[F.col(_q(k)) for k in keys], [F.col(_q(k)) for k in stock]], *[F.col(_q(k)) for k in keys])
+                       .agg(F.grouping(day).alias("_no_day"), F.min("_day").alias("_first"), *sums))
+    figures = [F.col(_q(f)) for f in spec.figures]
+    return {"2": both.where("_no_day = 0").select(*[F.col(_q(k)) for k in keys], *figures),
+            "5": both.where("_no_day = 1").select(*[F.col(_q(k)) for k in stock], F.col("_first").alias(day), *figures)}
+
+
 def apply_marker(
     marker: DataFrame,
     delta: DataFrame,

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lodestar.functions import INITIAL
+from lodestar.functions import INITIAL, REQUEST_FIELDS
 from lodestar.spec import EntitySpec
 
 
@@ -28,14 +29,15 @@ def check_pk(df: DataFrame, keys: list[str], where: str = "true", name: str = "p
 def check_pk_incoming(existing: DataFrame, incoming: DataFrame, keys: list[str], name: str = "pk",
                       where: str = "true") -> DataFrame:
     """CHK1 for a load: keys of ``incoming`` that would occur more than once in
-    ``existing`` plus ``incoming``.  Only existing rows whose key arrives are
-    read past a semi join (incoming keys broadcast when measured small), so
-    the table itself is never grouped."""
-    from lodestar.operators.sizing import join_small
+    ``existing`` plus ``incoming``.  The incoming rows are read once, for their keys
+    and counts; only existing rows whose key arrives are read past a semi join
+    (incoming keys broadcast when measured small), so the table itself is never grouped."""
+    from lodestar.operators.sizing import join_small, materialize
 
-    inc = incoming.where(F.expr(where)).select(*keys)
-    hit = join_small(existing.where(F.expr(where)).select(*keys), inc.distinct(), keys, "left_semi")
-    return check_pk(hit.unionByName(inc), keys, name=name)
+    inc = materialize(incoming.where(F.expr(where)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
+    hit = join_small(existing.where(F.expr(where)).select(*keys), inc.select(*keys), keys, "left_semi", materialized=True)
+    double = inc.where(F.col("n") > 1).select(*keys).unionByName(hit).distinct()
+    return _row(name, double.agg(F.count(F.lit(1)).alias("cnt")))
 
 
 def check_initial(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
@@ -66,31 +68,37 @@ def verdict(report: DataFrame) -> bool:
     return int(row["worst"]) == 0
 
 
-def load_checks(existing: DataFrame, staged: DataFrame, spec: EntitySpec, n: str) -> list[DataFrame]:
-    """The spec's declared checks for one load into table ``n``: NULLs and initial
-    values of the staged rows, and the table's unique key over existing + staged rows
-    (read incrementally).  The inbound change log (1) is unique on the request
-    identity, not on the entity key; the stock marker (5) is keyed without the day."""
-    from lodestar.functions import REQUEST_FIELDS
-
-    out = []
+def load_metrics(staged: T.StructType, spec: EntitySpec, n: str) -> dict[str, Column]:
+    """The declared checks of one load into table ``n`` that a count tells (NULLs, initial
+    values), as aggregates to be observed while the rows are written."""
+    out: dict[str, Column] = {}
     if n == "1":
         any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in REQUEST_FIELDS])
-        out.append(_row("not_null:request", staged.agg(F.count_if(any_null).alias("cnt"))))
-        out.append(check_pk_incoming(existing, staged, list(REQUEST_FIELDS), name="pk:request"))
+        out["not_null:request"] = F.count_if(any_null)
     for check in spec.checks:
         if check.kind == "not_null":
-            out.append(check_not_null(staged, spec, check.column))
+            for c in [check.column] if check.column else spec.not_null:
+                if c in staged.names:
+                    out[f"not_null:{c}"] = F.count_if(F.col(f"`{c}`").isNull())
         elif check.kind == "initial":
-            if staged.schema[check.column].dataType.typeName() != "string":
+            if staged[check.column].dataType.typeName() != "string":
                 raise ValueError(f"initial-value check on {check.column}, which is no STRING column")
-            out.append(check_initial(staged, check.column))
-        elif n != "1" and spec.keys:
-            keys = spec.key_spec(drop=spec.day_col) if n == "5" else list(spec.keys)
-            out.append(check_pk_incoming(existing, staged, keys, where=check.where))
+            out[f"initial:{check.column}"] = F.count_if(F.col(f"`{check.column}`") == F.lit(INITIAL))
     return out
 
 
+def load_checks(existing: DataFrame, staged: DataFrame, spec: EntitySpec, n: str) -> list[DataFrame]:
+    """The declared checks of one load into table ``n`` that need the other rows: its
+    unique keys over existing + staged rows (read incrementally).  The inbound change log
+    (1) is unique on the request identity, not on the entity key; the stock marker (5)
+    is keyed without the day."""
+    if n == "1":
+        return [check_pk_incoming(existing, staged, list(REQUEST_FIELDS), name="pk:request")]
+    keys = spec.key_spec(drop=spec.day_col) if n == "5" else list(spec.keys)
+    return [check_pk_incoming(existing, staged, keys, where=check.where)
+            for check in spec.checks if check.kind == "pk" and keys]
+
+
 def standard_checks(df: DataFrame, spec: EntitySpec) -> list[DataFrame]:
     out = [check_not_null(df, spec)]
     if spec.keys:

@@ -2,18 +2,14 @@
 
 Table numbers: ``1`` inbound change log, ``2`` active, ``5`` stock marker,
 ``0`` master data, ``1h`` history of activated inbound rows.  Activation is
-exactly-once without a transaction (Q6).  Each activation has an id of its own.
-First the identities (reqtsn, datapakid, record) it absorbs are written to the
-activation ledger under that id; then the target's new snapshot is committed
-with the id in its manifest.  Ledger rows count only if their id is in the
-target's current manifest, so a crash in between leaves nothing behind, an
-emptied target has absorbed nothing, and rows of a request that arrive later
-are absorbed later.  Inbound folders are cleared last, and only those read.
+exactly-once without a transaction (Q6): what a target has absorbed is part of the
+snapshot that holds its rows (``plans/absorption``), so both become visible in one
+commit.  Rows of a request that arrive later are absorbed later.  Inbound folders are
+cleared last, and only those read.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -21,30 +17,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestar.functions import REQUEST_FIELDS
 from lodestar.operators import activate as act
-from lodestar.operators.checks import load_checks
+from lodestar.operators.checks import load_checks, load_metrics
 from lodestar.operators.dims import attribute_tables, load_master
 from lodestar.operators.project import project
-from lodestar.operators.sizing import fits_broadcast, join_small
+from lodestar.operators.sizing import fits_broadcast
+from lodestar.plans.absorption import absorb, once, package_marks, pending
 from lodestar.sources.files import file_list, read_source, source_files
 from lodestar.sources.ledger import ledger_append, ledger_reset, unprocessed
 from lodestar.sources.publish import publish_checked
 from lodestar.sources.store import NULL_MONTH, Store, month_of
 from lodestar.spec import EntitySpec
 
-ACT_LEDGER = "activation_ledger"
-LEDGER_FOLDERS = 64  # a ledger of more write folders than this is compacted
-ACT_SCHEMA = T.StructType(
-    [
-        T.StructField("target", T.StringType()),
-        T.StructField("activation", T.StringType()),
-        T.StructField("reqtsn", T.StringType()),
-        T.StructField("datapakid", T.StringType()),
-        T.StructField("record", T.IntegerType()),
-    ]
-)
-
 
 class LoadRejected(RuntimeError):
     """A checked load that failed its checks; ``report`` holds the rows (check, cnt)."""
@@ -63,13 +47,6 @@ def table_schema(spec: EntitySpec, n: str) -> T.StructType:
     return spec.inbound_schema() if n == "1" else spec.schema
 
 
-def _forget_activations(store: Store, target: str) -> None:
-    if store.exists(ACT_LEDGER):
-        cur = store.read(ACT_LEDGER)
-        if not cur.where(F.col("target") == target).isEmpty():
-            store.replace(ACT_LEDGER, cur.where(F.col("target") != target))
-
-
 def target_buckets(spec: EntitySpec, n: str) -> dict | None:
     """Bucket layout of an activation target: its merge keys (the marker's
     without the day), so a shuffle merge moves only the delta."""
@@ -81,25 +58,22 @@ def target_buckets(spec: EntitySpec, n: str) -> dict | None:
 
 def create(store: Store, spec: EntitySpec, n: str) -> None:
     """SNK2 + SRC10: create or replace table n and forget its loaded files
-    (and, for a target, the requests it had absorbed)."""
+    (its new manifest has absorbed nothing)."""
     store.create(tname(spec, n), table_schema(spec, n), None if n == "1" else spec.partition_date,
                  target_buckets(spec, n))
     ledger_reset(store, spec.name, n)
-    _forget_activations(store, tname(spec, n))
 
 
 def drop(store: Store, spec: EntitySpec, n: str) -> None:
     """SNK3: drop with data; the file ledger of n is reset."""
     store.drop(tname(spec, n))
     ledger_reset(store, spec.name, n)
-    _forget_activations(store, tname(spec, n))
 
 
 def delete(store: Store, spec: EntitySpec, n: str) -> None:
     """SNK4 as a job step: all rows of table n go.  A target forgets with them what it
     had absorbed (its manifest starts anew); loaded files stay in the ledger."""
     store.truncate(tname(spec, n))
-    _forget_activations(store, tname(spec, n))
 
 
 def dropcreate(store: Store, spec: EntitySpec, n: str) -> None:
@@ -135,7 +109,8 @@ def insert(store: Store, spec: EntitySpec, n: str, root: str | None = None, chec
     name = tname(spec, n)
     if spec.safe_dml if checked is None else checked:
         existing = store.read(name)
-        ok, report = publish_checked(store, name, rows, lambda d: load_checks(existing, d, spec, n))
+        ok, report = publish_checked(store, name, rows, lambda d: load_checks(existing, d, spec, n),
+                                     metrics=load_metrics(existing.schema, spec, n))
         if not ok:
             raise LoadRejected(name, report)
     else:
@@ -144,26 +119,6 @@ def insert(store: Store, spec: EntitySpec, n: str, root: str | None = None, chec
     return len(names)
 
 
-def _absorbed(store: Store, inbound: DataFrame, target: str) -> DataFrame | None:
-    """Identities that ``target`` has absorbed, of the requests in ``inbound`` only."""
-    ids = store.activations(target)
-    if not ids or not store.exists(ACT_LEDGER):
-        return None
-    mine = store.read(ACT_LEDGER).where((F.col("target") == target) & F.col("activation").isin(ids))
-    return join_small(mine.select(*REQUEST_FIELDS), inbound.select("reqtsn").distinct(), ["reqtsn"], "left_semi")
-
-
-def _pending(store: Store, inbound: DataFrame, target: str) -> DataFrame:
-    """Inbound rows (by full identity) not yet absorbed by ``target``."""
-    done = _absorbed(store, inbound, target)
-    return inbound if done is None else join_small(inbound, done, list(REQUEST_FIELDS), "left_anti")
-
-
-def _once(pending: DataFrame) -> DataFrame:
-    """One row per identity, for sums: a record delivered twice counts once."""
-    return pending.dropDuplicates(list(REQUEST_FIELDS))
-
-
 def _check_keys(delta: DataFrame, keys: list[str], target: str) -> None:
     """Keys must not be NULL: a NULL key matches nothing and would be inserted again by every merge (Q4)."""
     missing = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys])
@@ -172,17 +127,6 @@ def _check_keys(delta: DataFrame, keys: list[str], target: str) -> None:
         raise ValueError(f"activation into {target}: {n} change(s) with a NULL in the key ({', '.join(keys)})")
 
 
-def _record(store: Store, target: str, pending: DataFrame) -> str:
-    """Write the identities of ``pending`` to the activation ledger under a new id."""
-    if not store.exists(ACT_LEDGER):
-        store.create(ACT_LEDGER, ACT_SCHEMA)
-    elif len(store.folders(ACT_LEDGER)) > LEDGER_FOLDERS:
-        store.compact(ACT_LEDGER)
-    activation = uuid.uuid4().hex
-    store.append(ACT_LEDGER, pending.select(F.lit(target).alias("target"), F.lit(activation).alias("activation"), *REQUEST_FIELDS))
-    return activation
-
-
 def touched_months(active: DataFrame, delta: DataFrame, keys: list[str], date_col: str, small: bool) -> list[str]:
     """Months whose rows an activation can change: the months of the delta
     rows, plus, when the day is not part of the key, the months of the active
@@ -206,14 +150,13 @@ def _activate_into(
     keys: list[str],
     bcast_cols: list[str],
     apply: Callable[[DataFrame, str], DataFrame],
-    pending: DataFrame,
+    marks: DataFrame,
 ) -> None:
     """Merge a reduced delta into ``target`` and publish a new snapshot.
 
     A month-partitioned target whose day column the delta carries is read and
     rewritten only for the touched months; every other month keeps its files.
-    Before the snapshot is written, the identities it absorbs are recorded in the
-    activation ledger under an id that the snapshot's manifest then holds (Q6)."""
+    ``marks`` are the packages it absorbs: they enter the same snapshot (Q6)."""
     _check_keys(delta, keys, target)
     small = fits_broadcast(delta.select(*bcast_cols))
     strategy = "broadcast" if small else "shuffle"
@@ -221,14 +164,12 @@ def _activate_into(
     if part and part in delta.columns:
         months = touched_months(store.read(target), delta, keys, part, small)
         new_rows = apply(store.read(target, months=months), strategy)
-        activation = _record(store, target, pending)
         # after a broadcast merge the rows still sit in their month folders'
         # tasks: no clustering shuffle is needed; after a shuffle merge it is
-        store.replace_months(target, new_rows, months, cluster=not small, activation=activation)
+        store.replace_months(target, new_rows, months, cluster=not small, absorbed=absorb(store, target, marks))
     else:
         new_rows = apply(store.read(target), strategy)
-        activation = _record(store, target, pending)
-        store.replace(target, new_rows, keep_meta=True, activation=activation)
+        store.replace(target, new_rows, keep_meta=True, absorbed=absorb(store, target, marks))
 
 
 def _archive(store: Store, spec: EntitySpec, inbound: DataFrame) -> None:
@@ -236,9 +177,10 @@ def _archive(store: Store, spec: EntitySpec, inbound: DataFrame) -> None:
     name = tname(spec, "1h")
     if not store.exists(name):
         store.create(name, spec.inbound_schema())
-    pending = _once(_pending(store, inbound, name))
-    if not pending.isEmpty():
-        store.append(name, pending, activation=_record(store, name, pending))
+    rows = pending(store, inbound, name)
+    marks = package_marks(rows)
+    if not marks.isEmpty():
+        store.append(name, once(rows, marks), absorbed=absorb(store, name, marks))
 
 
 def history(store: Store, spec: EntitySpec) -> DataFrame:
@@ -263,26 +205,35 @@ def merge12(store: Store, spec: EntitySpec, mode: str = "upsert", order: str = "
     if not read:
         return  # nothing has arrived
     inbound = store.read(tname(spec, "1"))
-    t2 = tname(spec, "2")
-    pending2 = _pending(store, inbound, t2)
-    if pending2.isEmpty():
+    t2, t5 = tname(spec, "2"), tname(spec, "5")
+    new2 = pending(store, inbound, t2)
+    marks2 = package_marks(new2)
+    deltas: dict[str, DataFrame] = {}
+    if marks2.isEmpty():
         pass  # nothing new for table 2 (e.g. a rerun): no snapshot is written
     elif spec.kind == "standard":
-        latest = act.reduce_standard(pending2, spec, order)
+        latest = act.reduce_standard(new2, spec, order)
         _activate_into(store, t2, latest, keys, keys,
-                       lambda a, s: act.apply_standard(a, latest, spec, mode, s), pending2)
+                       lambda a, s: act.apply_standard(a, latest, spec, mode, s), marks2)
     else:
         stamp = act.MOVEMENT_STAMP if spec.kind == "ncum" else None
-        sums = act.reduce_cube(_once(pending2), spec)
-        _activate_into(store, t2, sums, keys, sums.columns,
-                       lambda a, s: act.apply_cube(a, sums, spec, null_policy, stamp, s), pending2)
+        rows = once(new2, marks2)
+        # both stock tables mostly take the same rows: then one shuffle serves both
+        shared = spec.kind == "ncum" and new2 is inbound and pending(store, inbound, t5) is inbound
+        deltas = act.reduce_stock(rows, spec) if shared else {"2": act.reduce_cube(rows, spec)}
+        _activate_into(store, t2, deltas["2"], keys, deltas["2"].columns,
+                       lambda a, s: act.apply_cube(a, deltas["2"], spec, null_policy, stamp, s), marks2)
     if spec.kind == "ncum":
-        t5 = tname(spec, "5")
-        pending5 = _pending(store, inbound, t5)
-        if not pending5.isEmpty():
-            msums = act.reduce_marker(_once(pending5), spec)
-            _activate_into(store, t5, msums, spec.key_spec(drop=spec.day_col), msums.columns,
-                           lambda a, s: act.apply_marker(a, msums, spec, null_policy, s), pending5)
+        if "5" in deltas:
+            marks5 = marks2
+        else:
+            new5 = pending(store, inbound, t5)
+            marks5 = package_marks(new5)
+            if not marks5.isEmpty():
+                deltas["5"] = act.reduce_marker(once(new5, marks5), spec)
+        if "5" in deltas:
+            _activate_into(store, t5, deltas["5"], spec.key_spec(drop=spec.day_col), deltas["5"].columns,
+                           lambda a, s: act.apply_marker(a, deltas["5"], spec, null_policy, s), marks5)
     if spec.archive:
         _archive(store, spec, inbound)
     store.remove_folders(tname(spec, "1"), read)  # every row of these is absorbed; later ones stay
@@ -348,7 +299,8 @@ def job_master(store: Store, spec: EntitySpec, staged: DataFrame | None = None,
         if not store.exists(name):
             store.create(name, rows.schema)
         nothing = store.spark.createDataFrame([], rows.schema)
-        ok, report = publish_checked(store, name, rows, lambda d: load_checks(nothing, d, spec, "0"), "replace")
+        ok, report = publish_checked(store, name, rows, lambda d: load_checks(nothing, d, spec, "0"), "replace",
+                                     load_metrics(rows.schema, spec, "0"))
         if not ok:
             raise LoadRejected(name, report)
     else:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lodestar.operators import activate as act
@@ -19,16 +19,30 @@ def publish_checked(
     df: DataFrame,
     checks: Callable[[DataFrame], list[DataFrame]],
     mode: str = "append",
+    metrics: dict[str, Column] | None = None,
 ) -> tuple[bool, DataFrame]:
     """PUB1: write the load into uncommitted folders of the table, run the
     checks on exactly those rows, and commit the same files if every check
     counts zero (nothing is written twice).  A rejected load is deleted and
     leaves the table (and the caller's ledger) as it was.
-    Returns (passed, check report)."""
-    entries, staged = store.stage(name, df)
-    found = checks(staged)
+
+    ``metrics`` ({check: count}) are observed while the rows are written, so
+    they cost no pass of their own.  (A task that runs again after a lost executor may
+    add to a count, never take away: the verdict stands.)  ``checks`` are for what counts
+    cannot tell; only they read the staged files.  Returns (passed, check report)."""
+    spark = df.sparkSession
+    counts: list[tuple[str, int]] = []
+    if metrics:
+        seen = Observation()
+        names = {f"m{i}": check for i, check in enumerate(metrics)}
+        entries, staged = store.stage(name, df, lambda rows: rows.observe(
+            seen, *[metrics[check].alias(m) for m, check in names.items()]))
+        counts = [(check, int(seen.get.get(m) or 0)) for m, check in names.items()]
+    else:
+        entries, staged = store.stage(name, df)
+    found = [*([spark.createDataFrame(counts, "check STRING, cnt LONG")] if counts else []), *checks(staged)]
     if not found:  # no checks: an empty report, which passes
-        found = [staged.sparkSession.createDataFrame([], "check STRING, cnt LONG")]
+        found = [spark.createDataFrame([], "check STRING, cnt LONG")]
     report = check_report(found).checkpoint(eager=True)
     ok = verdict(report)
     if ok:

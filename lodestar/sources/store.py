@@ -27,8 +27,9 @@ from __future__ import annotations
 import json
 import re
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,26 +125,40 @@ class Store:
         """Bucket layout of the table: {"n": buckets, "keys": [...]}, or None."""
         return self._manifest(name).get("buckets")
 
-    def activations(self, name: str) -> list[str]:
-        """Ids of the activations whose rows the current snapshot holds."""
-        return list(self._manifest(name).get("activations", [])) if self.exists(name) else []
+    def absorbed(self, name: str, buckets: list[str] | None = None) -> list[dict]:
+        """Folders of what the rows of the current snapshot have absorbed (see ``plans/absorption``),
+        of all buckets or of the given ones."""
+        found = self._manifest(name).get("absorbed", []) if self.exists(name) else []
+        return [e for e in found if buckets is None or e["bucket"] in buckets]
+
+    def read_absorbed(self, name: str, entries: list[dict], schema: str) -> DataFrame:
+        return self.spark.read.schema(schema).format(self.fmt).load([f"{self.table_path(name)}/{e['path']}" for e in entries])
+
+    def write_absorbed(self, name: str, rows: DataFrame, bucket: Column) -> list[dict]:
+        """Write rows to fresh folders, one for each value of ``bucket``; they count once a
+        commit names their entries."""
+        rel = f"data/{uuid.uuid4().hex}"
+        rows.withColumn(PART_COL, bucket).write.option("compression", "zstd").partitionBy(PART_COL) \
+            .format(self.fmt).save(f"{self.table_path(name)}/{rel}")
+        return [{"bucket": d.split("=", 1)[1], "path": f"{rel}/{d}"}
+                for d in self._subdirs(f"{self.table_path(name)}/{rel}") if d.startswith(f"{PART_COL}=")]
 
     def folders(self, name: str) -> list[str]:
         """Data folders of the current snapshot."""
         return [e["path"] for e in self._manifest(name)["folders"]]
 
     def _commit(self, name: str, schema: T.StructType, partition_date: str | None, folders: list[dict],
-                buckets: dict | None = None, activations: list[str] | tuple = ()) -> int:
+                buckets: dict | None = None, absorbed: list[dict] | tuple = ()) -> int:
         """Publish a snapshot: write the manifest aside, then rename it into place.
 
-        ``activations`` travel with the rows: a commit that keeps the table's rows
-        keeps them, one that empties the table starts without any."""
+        ``absorbed`` travels with the rows: a commit that keeps the table's rows
+        keeps it, one that empties the table starts without any."""
         seq = self.next_snapshot(name)
         final = self._snap_file(name, seq)
         tmp = f"{self.table_path(name)}/_snapshots/.tmp-{uuid.uuid4().hex}"
         self._write_text(tmp, json.dumps({"schema": schema.json(), "partition_date": partition_date,
                                           "buckets": buckets, "folders": folders,
-                                          "activations": list(activations)}))
+                                          "absorbed": list(absorbed)}))
         fs, p_tmp = self._fs(tmp)
         _, p_final = self._fs(final)
         if fs.exists(p_final) or not fs.rename(p_tmp, p_final):
@@ -229,19 +244,18 @@ class Store:
         return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
     def replace(self, name: str, df: DataFrame, partition_date: str | None = None, keep_meta: bool = False,
-                buckets: dict | None = None, activation: str | None = None) -> int:
+                buckets: dict | None = None, absorbed: list[dict] | None = None) -> int:
         """CREATE OR REPLACE with content: a new snapshot of these rows only.
 
-        ``keep_meta`` keeps the layout and the absorbed activations; ``activation``
-        adds one."""
-        done: list[str] = []
+        ``keep_meta`` keeps the layout and what was absorbed, unless ``absorbed`` replaces it."""
+        done: list[dict] = []
         if keep_meta and self.exists(name):
-            partition_date, buckets, done = self.partition_date(name), self.buckets(name), self.activations(name)
+            partition_date, buckets, done = self.partition_date(name), self.buckets(name), self.absorbed(name)
         folders = self._write_data(name, df, partition_date, buckets=buckets)
-        return self._commit(name, df.schema, partition_date, folders, buckets, done + [activation] * bool(activation))
+        return self._commit(name, df.schema, partition_date, folders, buckets, done if absorbed is None else absorbed)
 
     def replace_months(self, name: str, df: DataFrame, months: list[str], cluster: bool = True,
-                       activation: str | None = None) -> int:
+                       absorbed: list[dict] | None = None) -> int:
         """Replace the rows of ``months`` by ``df`` and keep every other month.
 
         ``df`` must only hold rows of ``months`` (the caller derives the months
@@ -255,16 +269,18 @@ class Store:
         kept = [e for e in man["folders"] if e["month"] not in drop]
         new = self._write_data(name, self._typed(df, schema), part, cluster)
         return self._commit(name, schema, part, kept + new,
-                            activations=man.get("activations", []) + [activation] * bool(activation))
+                            absorbed=man.get("absorbed", []) if absorbed is None else absorbed)
 
-    def stage(self, name: str, df: DataFrame) -> tuple[list[dict], DataFrame]:
+    def stage(self, name: str, df: DataFrame, observe: Callable[[DataFrame], DataFrame] | None = None) -> tuple[list[dict], DataFrame]:
         """Write rows into fresh data folders of the table without committing
         them (write-audit-publish): returns the folder entries and the rows as
         written, for checks.  ``publish`` commits the very same files;
-        ``discard`` deletes them.  No reader sees them before the commit."""
+        ``discard`` deletes them.  No reader sees them before the commit.
+        ``observe`` may add metrics to the rows on their way to the files."""
         man = self._manifest(name)
         schema = T.StructType.fromJson(json.loads(man["schema"]))
-        entries = self._write_data(name, self._typed(df, schema), man["partition_date"], buckets=man.get("buckets"))
+        typed = self._typed(df, schema)
+        entries = self._write_data(name, observe(typed) if observe else typed, man["partition_date"], buckets=man.get("buckets"))
         paths = [f"{self.table_path(name)}/{e['path']}" for e in entries]
         rows = (self.spark.read.schema(schema).format(self.fmt).load(paths) if paths
                 else self.spark.createDataFrame([], schema))
@@ -280,7 +296,7 @@ class Store:
             folders = list(entries)
         else:
             raise ValueError(f"unknown publish mode {mode!r}")
-        done = man.get("activations", []) if mode == "append" else []
+        done = man.get("absorbed", []) if mode == "append" else []
         return self._commit(name, schema, man["partition_date"], folders, man.get("buckets"), done)
 
     def discard(self, name: str, entries: list[dict]) -> None:
@@ -297,14 +313,14 @@ class Store:
             raise ValueError("bucketed tables are unpartitioned here")
         return self._commit(name, schema, partition_date, [], buckets)
 
-    def append(self, name: str, df: DataFrame, activation: str | None = None) -> int:
+    def append(self, name: str, df: DataFrame, absorbed: list[dict] | None = None) -> int:
         """SNK1: insert by name: the current folders plus one new write."""
         man = self._manifest(name)
         schema = T.StructType.fromJson(json.loads(man["schema"]))
         part = man["partition_date"]
         new = self._write_data(name, self._typed(df, schema), part, buckets=man.get("buckets"))
         return self._commit(name, schema, part, man["folders"] + new, man.get("buckets"),
-                            man.get("activations", []) + [activation] * bool(activation))
+                            man.get("absorbed", []) if absorbed is None else absorbed)
 
     def remove_folders(self, name: str, paths: list[str]) -> int:
         """Take the rows of the given data folders out of the table; rows that arrived since stay."""
@@ -312,7 +328,7 @@ class Store:
         gone = set(paths)
         schema = T.StructType.fromJson(json.loads(man["schema"]))
         return self._commit(name, schema, man["partition_date"], [e for e in man["folders"] if e["path"] not in gone],
-                            man.get("buckets"), man.get("activations", []))
+                            man.get("buckets"), man.get("absorbed", []))
 
     def truncate(self, name: str) -> int:
         """SNK4: delete all rows (a new empty snapshot, same schema)."""
@@ -355,7 +371,8 @@ class Store:
             fs.delete(p, False)
         live = set()
         for seq in kept:
-            for e in self._manifest(name, seq)["folders"]:
+            man = self._manifest(name, seq)
+            for e in man["folders"] + man.get("absorbed", []):
                 live.add(e["path"])
         jvm = self.spark._jvm
         cutoff = jvm.java.lang.System.currentTimeMillis() - grace_seconds * 1000
