@@ -941,3 +941,37 @@ def q_job_stock_delta(spark, sf):
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q_activate_standard(spark, sf_dir)
+
+
+@register("intake_quarantine", """
+WITH src AS (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 17 <> 0 THEN o_custkey END AS o_custkey,
+    CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_orderdate AS DATE) END AS o_orderdate,
+    CASE WHEN o_orderkey % 11 <> 0 THEN CAST(o_totalprice AS DECIMAL(17,2)) END AS o_totalprice,
+    concat_ws('; ', CASE WHEN o_orderkey % 17 = 0 THEN 'o_custkey: null' END,
+      CASE WHEN o_orderkey % 7 = 0 THEN 'o_orderdate: bad value' END,
+      CASE WHEN o_orderkey % 11 = 0 THEN 'o_totalprice: bad value' END) AS reason
+  FROM orders WHERE o_orderstatus <> 'P')
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, reason, CASE WHEN reason = '' THEN o_custkey END AS o_custkey,
+  CASE WHEN reason = '' THEN o_orderdate END AS o_orderdate, CASE WHEN reason = '' THEN o_totalprice END AS o_totalprice
+FROM src""")
+def q_intake_quarantine(spark, sf):
+    """Every order is delivered as CSV; bad dates, bad prices and missing customers are turned away with
+    their reasons and everything else is loaded."""
+    root = work_dir(spark, "quarantine")
+    o = spark.read.parquet(f"{sf}/orders.parquet").select(
+        "o_orderkey", F.expr("if(o_orderkey % 17 = 0, null, o_custkey)").alias("o_custkey"),
+        F.expr("if(o_orderkey % 7 = 0, '20201345', date_format(o_orderdate, 'yyyyMMdd'))").alias("o_orderdate"),
+        F.expr("if(o_orderkey % 11 = 0, 'n/a', cast(o_totalprice as string))").alias("o_totalprice"), "o_orderstatus")
+    o.write.csv(f"{root}/t2", header=True)
+    spec = EntitySpec(
+        name="orders_q", kind="standard", srcformat="csv", quarantine=True, keys=("o_orderkey",),
+        ddl="o_orderkey BIGINT NOT NULL, o_custkey BIGINT NOT NULL, o_orderdate DATE, o_totalprice DECIMAL(17,2)",
+        mapping=(("o_orderdate", "to_date(o_orderdate, 'yyyyMMdd')"),), where="o_orderstatus <> 'P'")
+    store = Store(spark, work_dir(spark, "store"))
+    jobs.create(store, spec, "2")
+    jobs.insert(store, spec, "2", root)
+    loaded = store.read(jobs.tname(spec, "2"))
+    away = jobs.rejects(store, spec).select(F.get_json_object("raw", "$.o_orderkey").alias("o_orderkey"), "reason")
+    return (loaded.withColumn("o_orderkey", F.col("o_orderkey").cast("string")).withColumn("reason", F.lit(""))
+            .unionByName(away, allowMissingColumns=True))

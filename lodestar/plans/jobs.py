@@ -13,14 +13,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestar.operators import activate as act
+from lodestar.operators import quarantine
 from lodestar.operators.checks import load_checks, load_metrics
 from lodestar.operators.dims import attribute_tables, load_master
-from lodestar.operators.project import project
+from lodestar.operators.project import project, sort_load
 from lodestar.operators.sizing import fits_broadcast
 from lodestar.plans.absorption import absorb, once, package_marks, pending
 from lodestar.sources.files import file_list, read_source, source_files
@@ -97,7 +98,9 @@ def insert(store: Store, spec: EntitySpec, n: str, root: str | None = None, chec
     """insert<n>: new extract files under root/t<n> -> projected -> table n.
 
     All new files are read in one scan; the ledger is appended only after the
-    rows are published.  With ``checked`` (by default the spec's ``safe_dml``) the
+    rows are published.  With ``spec.quarantine`` rows that do not fit the entity go to
+    its reject table (after the others are published, before the ledger knows the files:
+    a crash in between delivers both again).  With ``checked`` (by default the spec's ``safe_dml``) the
     load is audited first; a rejected one raises ``LoadRejected`` and leaves table
     and ledger as they were.  Returns the number of files loaded."""
     spark = store.spark
@@ -105,8 +108,15 @@ def insert(store: Store, spec: EntitySpec, n: str, root: str | None = None, chec
     names = [r["file"] for r in new_files(store, spec, n, root, paths).collect()]
     if not names:
         return 0
-    rows = project(read_source(spark, spec.srcformat, names, sep=spec.delimiter), spec, n)
-    name = tname(spec, n)
+    name, bad = tname(spec, n), Observation()
+    if spec.quarantine:
+        source = read_source(spark, spec.srcformat, names, sep=spec.delimiter, with_file=True, corrupt=quarantine.CORRUPT)
+        marked = quarantine.marked(source, spec, n)
+        fit = F.col(quarantine.REASON) == ""
+        rows = marked.observe(bad, F.count_if(~fit).alias("n")).where(fit).select(*table_schema(spec, n).names)
+        rows = sort_load(rows, spec.order)
+    else:
+        rows = project(read_source(spark, spec.srcformat, names, sep=spec.delimiter), spec, n)
     if spec.safe_dml if checked is None else checked:
         existing = store.read(name)
         ok, report = publish_checked(store, name, rows, lambda d: load_checks(existing, d, spec, n),
@@ -115,10 +125,24 @@ def insert(store: Store, spec: EntitySpec, n: str, root: str | None = None, chec
             raise LoadRejected(name, report)
     else:
         store.append(name, rows)
+    if spec.quarantine and bad.get["n"]:  # a clean load is one pass; only one with rejects takes a second
+        if not store.exists(rejects_name(spec)):
+            store.create(rejects_name(spec), T.StructType.fromDDL(quarantine.REJECT_DDL))
+        store.append(rejects_name(spec), quarantine.rejected(marked, n))
     ledger_append(store, spec.name, n, file_list(spark, names), spec.loadmanytimes)
     return len(names)
 
 
+def rejects_name(spec: EntitySpec) -> str:
+    return f"{spec.table}_rejects"
+
+
+def rejects(store: Store, spec: EntitySpec) -> DataFrame:
+    """Rows (n, file, reason, raw) that quarantined loads of the entity turned away."""
+    name = rejects_name(spec)
+    return store.read(name) if store.exists(name) else store.spark.createDataFrame([], quarantine.REJECT_DDL)
+
+
 def _check_keys(delta: DataFrame, keys: list[str], target: str) -> None:
     """Keys must not be NULL: a NULL key matches nothing and would be inserted again by every merge (Q4)."""
     missing = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys])

@@ -52,6 +52,7 @@ def read_source(
     header: bool = True,
     with_file: bool = False,
     root: str | None = None,
+    corrupt: str | None = None,
 ) -> DataFrame:
     """Read extract files in one scan (all files of a load form one job).
 
@@ -61,7 +62,8 @@ def read_source(
     a column of the others raises with its name.  ORC / Parquet: columns by name
     over all files' schemas; a column missing in a file is NULL there.  An
     object-store root (``s3a://bucket/entity``) is just another path: ``root`` is
-    put before relative paths."""
+    put before relative paths.  ``corrupt`` names a column that holds a CSV line which
+    has more or fewer columns than its header (else NULL)."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not paths:
         raise ValueError("no source files")
@@ -72,6 +74,10 @@ def read_source(
         reader = spark.read.options(sep=sep, header=header, escape="\\", inferSchema=False)
         groups = _header_groups(spark, paths) if header else [paths]
         parts = [reader.csv(group or paths) for group in groups or [paths]]
+        if corrupt:
+            parts = [reader.option("columnNameOfCorruptRecord", corrupt).schema(
+                ", ".join(f"`{c}` STRING" for c in [*part.columns, corrupt])).csv(group or paths)
+                for part, group in zip(parts, groups or [paths])]
         df = _by_name(parts, groups)
     elif fmt in ("orc", "parquet"):
         df = spark.read.format(fmt).option("mergeSchema", "true").load(paths)

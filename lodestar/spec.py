@@ -59,6 +59,7 @@ class EntitySpec:
     table_name: str | None = None
     safe_dml: bool = False  # audit every load before it is published
     checks: tuple[Check, ...] = (Check("not_null"), Check("pk"))  # what the audit checks
+    quarantine: bool = False  # rows that do not fit go to a reject table instead of ending the load
     files: tuple[str, ...] = ()  # a fixed file list instead of the folder
     root: str | None = None  # extract folder (also an object store's), if the caller names none
     archive: bool = False  # keep activated inbound rows in a history table
