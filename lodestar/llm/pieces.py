@@ -283,7 +283,9 @@ class PieceModel:
         if not len(ids):
             return ""
         taken = self._surfaces.take(pa.array(ids, pa.int32()))
-        raw = b"".join(taken.to_pylist())
+        _, offsets, data = taken.buffers()  # the values lie one after the other: the joined text
+        first, last = np.frombuffer(offsets, "<i8")[[taken.offset, taken.offset + len(taken)]].tolist()
+        raw = data.slice(first, last - first).to_pybytes() if last > first else b""
         first = int(np.argmin(self._silent[ids])) if self._silent[ids[0]] else 0
         if self._strips[ids[first]]:
             raw = raw[1:]
