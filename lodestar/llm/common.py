@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,14 +59,19 @@ def hold(kind: str, name: object, make: Callable):
     the next operator's memory must not come on top of the last one's."""
     key = (kind, name)
     if key not in _held:
-        _held.clear()
+        release()
         _held[key] = make()
     return _held[key]
 
 
 def release() -> None:
-    """Let go of a model that an earlier operator left in this worker process."""
+    """Let go of what an earlier operator left in this worker process: its model, and memory
+    that was freed but kept by the allocators."""
     _held.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
 
 
 class TwoGenerationCache(dict):

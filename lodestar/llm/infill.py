@@ -14,7 +14,7 @@ a text is transformed at all (``rate`` per cent) and whether as ``spm`` (``spm``
 per cent of these).  So a retried task gives the same rows.
 
 The work runs in one pass over Arrow batches without a shuffle; a batch is taken
-in slices of about 1.5 MB of text, longer texts alone.
+in slices of about 400 KB of text, longer texts alone.
 
 Defined cases: a null text counts as empty; an empty text and one that holds a
 sentinel's text stay ``plain``, their cut lengths are null; a null key is drawn

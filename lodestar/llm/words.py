@@ -37,7 +37,7 @@ def powers(base: int, n: int) -> np.ndarray:
         held = np.full(max(n, 1 << 16), base, U)
         held[0] = 1
         held = np.multiply.accumulate(held)
-        if n <= 1 << 21:
+        if n <= 1 << 19:
             _powers[base] = held
     return held[:n]
 
@@ -108,7 +108,7 @@ def windows(words: Words, hashes: np.ndarray, width: int, lane: int = 0) -> tupl
     return at, ranges(hashes, at, at + width, WORD_BASES[lane])
 
 
-def text_slices(column: pa.Array, most: int = 1_500_000) -> Iterator[tuple[int, int]]:
+def text_slices(column: pa.Array, most: int = 400_000) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``most`` bytes of text each (one row at least)."""
     import pyarrow.compute as pc
 
