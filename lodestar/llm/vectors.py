@@ -222,15 +222,24 @@ def links(distinct: DataFrame, threshold: float, sample: int = 16_384, per_list:
     return members.groupBy(*group).cogroup(queries.groupBy(*group)).applyInArrow(run, "u long, v long, n long")
 
 
+def scaled(vector: str, peak: str) -> F.Column:
+    """The vector times a power of two where its largest component ``peak`` is so small or large
+    that squares would leave the range of doubles; cosines do not change."""
+    power = -F.floor(F.log2(F.col(peak)) / 2)  # half of it, applied twice: 2**1074 is no double
+    factor = F.pow(F.lit(2.0), power)
+    extreme = (F.col(peak) < 1e-100) | (F.col(peak) > 1e100)
+    return F.when(extreme, F.transform(vector, lambda x: x * factor * factor)).otherwise(F.col(vector))
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = 0.98, key: str = "vec_id", vector: str = "embedding",
                     label: str = "label", **options) -> DataFrame:
     """One row per vector: key, n_links, component_id, kept."""
     if not 0 < threshold <= 1:
         raise ValueError("the threshold must lie in (0, 1]")
     v = F.col(f"`{vector}`").cast("array<double>")
-    norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     rows = vectors.select(F.col(f"`{key}`").alias("id"), F.col(f"`{label}`").alias("label"), F.when(usable(vector), v).alias("v"))
-    rows = rows.withColumn("v", F.when(F.col("label").isNotNull() & (norm > 0) & (norm < F.lit(float("inf"))), F.col("v")))
+    rows = rows.withColumn("_peak", F.array_max(F.transform("v", F.abs)))
+    rows = rows.withColumn("v", F.when(F.col("label").isNotNull() & (F.col("_peak") > 0), scaled("v", "_peak"))).drop("_peak")
     name = F.when(F.col("v").isNotNull(), F.md5(F.concat_ws(",", F.col("v").cast("array<string>"))))
     held = stage(with_uid(rows.withColumn("name", name)), "vectors")
     named = held.select("uid", "id", "label", "name")

@@ -102,3 +102,14 @@ def test_probes_and_distances_lose_nothing():
     for i, j in zip(*np.nonzero(apart <= reach)):
         assert home[j] in probes[i]
         assert q.distances(x[[i]], home[j], codes[[j]])[0, 0] <= reach + error[j] + 1e-4
+
+
+@pytest.mark.parametrize("size", [1e-310, 1e-200, 1e-120, 1e120, 1e200, 1e307])
+def test_extreme_lengths_link_like_others(spark, size):
+    """Finite vectors that are not zero link, however short or long they are."""
+    base = [3.0, 1.0, -2.0, 0.5]
+    rows = [(1, 0, base), (2, 0, [x * size for x in base]), (3, 0, [x * size for x in base]),
+            (4, 0, [-x * size for x in base]), (5, 1, [x * size for x in base]), (6, 0, [0.0] * 4)]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vectors.near_duplicates(
+        spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4), 5: (0, 5), 6: (0, 6)}
