@@ -16,10 +16,13 @@ they are); the k best of all blocks are merged with a partial limit.
 
 Defined cases: vectors that are null, or hold null or non-finite components,
 take no part; vectors of different lengths are not compared (their score is
-undefined); ties go to the smaller id, a null id last; a query with fewer than
-k candidates gets them all; rows with equal ids are rows of their own, and
-only the query's own row is left out; an empty table gives an empty result.
-Only the id and vector columns are read.
+undefined); empty vectors score 0 with one another; ties go to the smaller id,
+a null id last; a query with fewer than k candidates gets them all; rows with
+equal ids are rows of their own, and only the query's own row is left out; an
+empty table gives an empty result.  Components of any finite size count
+exactly: where a block's and a chunk's greatest could leave 64 bits, the same
+index runs on Python integers.  Ranks are then still exact, and a score that
+no long can hold is null.  Only the id and vector columns are read.
 """
 
 from __future__ import annotations
@@ -34,13 +37,33 @@ from .common import stage, with_uid
 LEVELS = 16
 BLOCK = 16_384
 CHUNK = 256
+WIDE_CELLS = 1 << 20  # cells of a block that may need Python integers
+BELOW = -(1 << 2200)  # under every sum of products of doubles
 
 
 def usable(vector: str) -> Column:
-    """Whether a vector is there, not empty, and all its components are finite numbers."""
+    """Whether a vector is there and all its components are finite numbers."""
     v = F.col(f"`{vector}`")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
-    return F.coalesce(v.isNotNull() & (F.size(v) > 0) & finite, F.lit(False))
+    return F.coalesce(v.isNotNull() & finite, F.lit(False))
+
+
+def integers(values: np.ndarray, scale: int, wide: bool) -> np.ndarray:
+    """floor(scale * value): 64-bit integers, or Python's if ``wide``."""
+    if not wide:
+        return np.floor(values * scale).astype(np.int64)
+    with np.errstate(over="ignore"):
+        whole = np.floor(values * scale)
+    # a product beyond the doubles comes from a value that is itself an integer
+    exact = [int(w) if np.isfinite(w) else int(x) * scale for w, x in zip(whole.ravel().tolist(), values.ravel().tolist())]
+    out = np.empty(len(exact), object)
+    out[:] = exact
+    return out.reshape(values.shape)
+
+
+def leaves_long(dims: int, one: float, other: float) -> bool:
+    """Whether sums over ``dims`` products of integers up to these sizes may come near 64 bits."""
+    return dims * (one + 1) * (other + 1) >= 2.0 ** 60
 
 
 class ImpactIndex:
@@ -75,10 +98,10 @@ class ImpactIndex:
         impact = np.maximum(q * self.low, q * self.high) - floor[self.dim]  # a segment's greatest
         turn = np.argsort(-impact, kind="stable")
         turn = turn[impact[turn] > 0]  # postings at their dimension's least add nothing
-        gained = np.zeros(n, np.int64)
+        gained = np.zeros(n, self.vectors.dtype)
         if own is not None:
-            gained[own] = np.iinfo(np.int64).min // 2
-        ahead = np.zeros(len(query), np.int64)  # greatest impact left in each dimension
+            gained[own] = BELOW if gained.dtype == object else np.iinfo(np.int64).min // 2
+        ahead = np.zeros(len(query), self.vectors.dtype)  # greatest impact left in each dimension
         np.maximum.at(ahead, self.dim, impact)
         queue = [impact[turn[self.dim[turn] == d]].tolist()[::-1] for d in range(len(query))]
         dims, firsts, ends = self.dim[turn].tolist(), self.first[turn].tolist(), self.end[turn].tolist()
@@ -99,73 +122,87 @@ class ImpactIndex:
 
     @staticmethod
     def _kth(lower: np.ndarray, k: int) -> int:
-        return np.partition(lower, len(lower) - k)[len(lower) - k] if len(lower) >= k else np.iinfo(np.int64).min
+        return np.partition(lower, len(lower) - k)[len(lower) - k] if len(lower) >= k else BELOW if lower.dtype == object else np.iinfo(np.int64).min
 
 
-def quantised(vectors: DataFrame, scale: int, key: str, vector: str) -> DataFrame:
-    """(uid, id, dims, ints) of every usable row."""
+def usable_rows(vectors: DataFrame, key: str, vector: str) -> DataFrame:
+    """(uid, id, dims, v) of every usable row; an empty vector is held as one component 0."""
     v = F.col(f"`{vector}`").cast("array<double>")
     rows = vectors.where(usable(vector)).select(F.col(f"`{key}`").cast("long").alias("id"), v.alias("v"))
-    ints = F.transform("v", lambda x: F.floor(x * F.lit(float(scale))).cast("long"))
-    return with_uid(rows).select("uid", "id", F.size("v").alias("dims"), ints.alias("ints"))
-
-
-def _matrix(column, dims: int) -> np.ndarray:
-    return np.asarray(column.combine_chunks().flatten() if isinstance(column, pa.ChunkedArray) else column.flatten()).reshape(-1, dims)
+    held = F.when(F.size("v") > 0, F.col("v")).otherwise(F.array(F.lit(0.0)))
+    return with_uid(rows).select("uid", "id", F.size("v").alias("dims"), held.alias("v"))
 
 
 def _packed(rows: DataFrame, group: list[str]) -> DataFrame:
-    """One row per group of vectors: uids, ids (null: greatest long), and the integer matrix, as binaries."""
+    """One row per group of vectors: uids, ids (null: greatest long), and the matrix of components, as binaries."""
     def pack(table: pa.Table) -> pa.Table:
         table = table.sort_by("uid")
-        dims = table.column("dims")[0].as_py()
         ids = table.column("id").fill_null(np.iinfo(np.int64).max)
-        blobs = [np.asarray(table.column("uid")).astype("<i8"), np.asarray(ids).astype("<i8"), _matrix(table.column("ints"), dims).astype("<i8")]
+        blobs = [np.asarray(table.column("uid")).astype("<i8"), np.asarray(ids).astype("<i8"), np.asarray(table.column("v").combine_chunks().flatten()).astype("<f8")]
         return pa.table({**{g: table.column(g)[:1] for g in group},
-                         **{name: pa.array([b.tobytes()], pa.binary()) for name, b in zip(("uids", "ids", "ints"), blobs)}})
+                         **{name: pa.array([b.tobytes()], pa.binary()) for name, b in zip(("uids", "ids", "vs"), blobs)}})
 
     kinds = ", ".join(f"{g} {rows.schema[g].dataType.simpleString()}" for g in group)
-    return rows.groupBy(*group).applyInArrow(pack, f"{kinds}, uids binary, ids binary, ints binary")
+    return rows.groupBy(*group).applyInArrow(pack, f"{kinds}, uids binary, ids binary, vs binary")
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, key: str = "vec_id",
           vector: str = "embedding", block: int = BLOCK, chunk: int = CHUNK) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best rows for every row for which ``is_query`` (over ``id``) holds."""
-    held = stage(quantised(vectors, scale, key, vector), "quantised")
+    held = stage(usable_rows(vectors, key, vector), "usable-rows")
     queries = held.where(is_query)
-    sizes = held.groupBy("dims").agg(F.count("*").alias("n"), F.count_if(is_query).alias("q")).select(
-        "dims", F.ceil(F.col("n") / block).cast("int").alias("blocks"), F.ceil(F.col("q") / chunk).cast("int").alias("chunks"))
+    most = F.max(F.array_max(F.transform("v", lambda x: F.abs(x)))) * F.lit(float(scale)) + 1
+    sizes = held.groupBy("dims").agg(F.count("*").alias("n"), F.count_if(is_query).alias("q"), most.alias("most"))
+    wide = F.greatest("dims", F.lit(1)) * F.col("most") * F.col("most") >= F.lit(2.0 ** 60)
+    rows = F.when(wide, F.greatest(F.lit(1), F.least(F.lit(block), F.floor(F.lit(WIDE_CELLS) / F.greatest("dims", F.lit(1)))))).otherwise(block)
+    sizes = sizes.select("dims", F.ceil(F.col("n") / rows).cast("int").alias("blocks"), F.ceil(F.col("q") / chunk).cast("int").alias("chunks"))
     sizes = stage(sizes, "sizes")  # a row per vector length
     dealt = held.join(sizes, "dims").select("*", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int").alias("block"))
-    index = _packed(dealt.select("dims", "block", "uid", "id", "ints"), ["dims", "block"])
+    index = _packed(dealt.select("dims", "block", "uid", "id", "v"), ["dims", "block"])
     asked = queries.join(sizes, "dims").select("*", F.pmod(F.xxhash64("uid"), F.col("chunks")).cast("int").alias("chunk"))
-    asked = _packed(asked.select("dims", "chunk", "uid", "id", "ints"), ["dims", "chunk"])
+    asked = _packed(asked.select("dims", "chunk", "uid", "id", "v"), ["dims", "chunk"])
     spread = asked.join(sizes, "dims").select(
         "dims", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-        F.col("uids").alias("q_uids"), F.col("ids").alias("q_ids"), F.col("ints").alias("q_ints"))
+        F.col("uids").alias("q_uids"), F.col("ids").alias("q_ids"), F.col("vs").alias("q_vs"))
+    names = ["query_uid", "query_id", "id", "uid", "score", "digits"]
 
     def run(batches):
-        last, found = None, None
+        last, indexes = None, {}
         for batch in batches:
             for r in range(batch.num_rows):
-                dims, place, uids, ids, ints, q_uids, q_ids, q_ints = (batch.column(c)[r].as_py() for c in range(8))
+                dims, place, uids, ids, vs, q_uids, q_ids, q_vs = (batch.column(c)[r].as_py() for c in range(8))
                 if last != (dims, place):
-                    last, found = (dims, place), ImpactIndex(np.frombuffer(ints, "<i8").reshape(-1, dims))
-                    uids, ids = np.frombuffer(uids, "<i8"), np.frombuffer(ids, "<i8")
-                    held_uids, held_ids, at = uids, ids, {u: i for i, u in enumerate(uids.tolist())}
+                    last, indexes = (dims, place), {}
+                    held_uids, held_ids = np.frombuffer(uids, "<i8"), np.frombuffer(ids, "<i8")
+                    at = {u: i for i, u in enumerate(held_uids.tolist())}
+                    values = np.frombuffer(vs, "<f8").reshape(len(at), -1)
+                    greatest = float(np.abs(values).max()) * scale
+                asked_uids = np.frombuffer(q_uids, "<i8").tolist()
+                q_values = np.frombuffer(q_vs, "<f8").reshape(len(asked_uids), -1)
+                wide = leaves_long(max(dims, 1), greatest, float(np.abs(q_values).max()) * scale)
+                if wide not in indexes:
+                    indexes[wide] = ImpactIndex(integers(values, scale, wide))
                 out = []
-                for u, i, q in zip(np.frombuffer(q_uids, "<i8").tolist(), np.frombuffer(q_ids, "<i8").tolist(),
-                                   np.frombuffer(q_ints, "<i8").reshape(-1, dims)):
-                    rows, scores = found.top(q, k, at.get(u))
+                for u, i, q in zip(asked_uids, np.frombuffer(q_ids, "<i8").tolist(), integers(q_values, scale, wide)):
+                    rows, scores = indexes[wide].top(q, k, at.get(u))
                     best = np.lexsort((held_uids[rows], held_ids[rows], -scores))[:k]
-                    out.extend((u, i, held_ids[rows[b]].item(), held_uids[rows[b]].item(), scores[b].item()) for b in best)
-                columns = list(zip(*out)) if out else [[]] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns],
-                                                 ["query_uid", "query_id", "id", "uid", "score"])
-
-    pairs = index.join(spread, ["dims", "block"]).select("dims", "block", "uids", "ids", "ints", "q_uids", "q_ids", "q_ints")
-    best = pairs.mapInArrow(run, "query_uid long, query_id long, id long, uid long, score long")
-    order = Window.partitionBy("query_uid").orderBy(F.desc("score"), "id", "uid")
+                    out.extend((u, i, held_ids[rows[b]].item(), held_uids[rows[b]].item(), *_sortable(int(scores[b]))) for b in best)
+                columns = list(zip(*out)) if out else [[]] * 6
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, pa.string() if n == "digits" else pa.int64()) for n, c in zip(names, columns)], names)
+
+    pairs = index.join(spread, ["dims", "block"]).select("dims", "block", "uids", "ids", "vs", "q_uids", "q_ids", "q_vs")
+    best = pairs.mapInArrow(run, "query_uid long, query_id long, id long, uid long, score long, digits string")
+    order = Window.partitionBy("query_uid").orderBy(F.desc("score"), F.desc("digits"), "id", "uid")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     named = F.when(F.col("id") != np.iinfo(np.int64).max, F.col("id"))
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), named.alias(key), "score")
+    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), named.alias(key),
+                         F.when(F.col("digits").isNull(), F.col("score")).alias("score"))
+
+
+def _sortable(score: int) -> tuple[int, str | None]:
+    """A score as a long; one beyond the longs as the nearest and digits that sort like it."""
+    limit = (1 << 63) - 1
+    if abs(score) < limit:
+        return score, None
+    return (limit if score > 0 else -limit), f"{score - BELOW:0552x}"
