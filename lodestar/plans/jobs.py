@@ -23,6 +23,7 @@ from lodestar.operators.checks import load_checks, load_metrics
 from lodestar.operators.dims import attribute_tables, load_master
 from lodestar.operators.project import project, sort_load
 from lodestar.operators.sizing import fits_broadcast
+from lodestar.plans import keymonths
 from lodestar.plans.absorption import absorb, once, package_marks, pending
 from lodestar.sources.files import file_list, read_source, source_files
 from lodestar.sources.ledger import ledger_append, ledger_reset, unprocessed
@@ -151,20 +152,16 @@ def _check_keys(delta: DataFrame, keys: list[str], target: str) -> None:
         raise ValueError(f"activation into {target}: {n} change(s) with a NULL in the key ({', '.join(keys)})")
 
 
-def touched_months(active: DataFrame, delta: DataFrame, keys: list[str], date_col: str, small: bool) -> list[str]:
-    """Months whose rows an activation can change: the months of the delta
-    rows, plus, when the day is not part of the key, the months of the active
-    rows whose key the delta hits (a column-pruned scan of key and day, joined
-    to the delta keys: broadcast when measured small, else shuffled).  At most
-    one value per calendar month reaches the driver."""
-    m = F.coalesce(month_of(date_col), F.lit(NULL_MONTH)).alias("m")
-    parts = [delta.select(m)]
+def touched_months(store: Store, target: str, delta: DataFrame, keys: list[str], date_col: str) -> tuple[list[str], list[dict] | None]:
+    """Months whose rows an activation can change, and the target's next index of keys to months.
+
+    With the day in the key these are the months of the delta rows, and no index is needed;
+    else also the months of the active rows whose key the delta hits (``plans/keymonths``).
+    At most one value per calendar month reaches the driver."""
     if date_col not in keys:
-        dkeys = delta.select(*keys)
-        hit = active.select(*keys, date_col).join(F.broadcast(dkeys) if small else dkeys, keys, "left_semi")
-        parts.append(hit.select(m))
-    u = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return sorted(r["m"] for r in u.distinct().collect())
+        return keymonths.candidates(store, target, delta, keys, date_col)
+    m = F.coalesce(month_of(date_col), F.lit(NULL_MONTH)).alias("m")
+    return sorted(r["m"] for r in delta.select(m).distinct().collect()), None
 
 
 def _activate_into(
@@ -186,11 +183,11 @@ def _activate_into(
     strategy = "broadcast" if small else "shuffle"
     part = store.partition_date(target)
     if part and part in delta.columns:
-        months = touched_months(store.read(target), delta, keys, part, small)
+        months, index = touched_months(store, target, delta, keys, part)
         new_rows = apply(store.read(target, months=months), strategy)
         # after a broadcast merge the rows still sit in their month folders'
         # tasks: no clustering shuffle is needed; after a shuffle merge it is
-        store.replace_months(target, new_rows, months, cluster=not small, absorbed=absorb(store, target, marks))
+        store.replace_months(target, new_rows, months, cluster=not small, absorbed=absorb(store, target, marks), index=index)
     else:
         new_rows = apply(store.read(target), strategy)
         store.replace(target, new_rows, keep_meta=True, absorbed=absorb(store, target, marks))

@@ -132,9 +132,28 @@ class Store:
         return [e for e in found if buckets is None or e["bucket"] in buckets]
 
     def read_absorbed(self, name: str, entries: list[dict], schema: str) -> DataFrame:
-        return self.spark.read.schema(schema).format(self.fmt).load([f"{self.table_path(name)}/{e['path']}" for e in entries])
+        return self.read_side(name, entries, schema)
 
     def write_absorbed(self, name: str, rows: DataFrame, bucket: Column) -> list[dict]:
+        return self.write_side(name, rows, bucket)
+
+    def index(self, name: str) -> list[dict]:
+        """Folders of the current snapshot's index of keys to months (see ``plans/keymonths``)."""
+        return self._manifest(name).get("index", [])
+
+    def unindexed(self, name: str) -> list[dict]:
+        """Data folders of the current snapshot that its index does not cover."""
+        return [e for e in self._manifest(name)["folders"] if not e.get("indexed")]
+
+    def read_unindexed(self, name: str) -> DataFrame:
+        paths = [f"{self.table_path(name)}/{e['path']}" for e in self.unindexed(name)]
+        return self.spark.read.schema(self.schema(name)).format(self.fmt).load(paths)
+
+    def read_side(self, name: str, entries: list[dict], schema: str) -> DataFrame:
+        """Rows that lie beside the table's own, in the folders of the given entries."""
+        return self.spark.read.schema(schema).format(self.fmt).load([f"{self.table_path(name)}/{e['path']}" for e in entries])
+
+    def write_side(self, name: str, rows: DataFrame, bucket: Column) -> list[dict]:
         """Write rows to fresh folders, one for each value of ``bucket``; they count once a
         commit names their entries."""
         rel = f"data/{uuid.uuid4().hex}"
@@ -148,17 +167,17 @@ class Store:
         return [e["path"] for e in self._manifest(name)["folders"]]
 
     def _commit(self, name: str, schema: T.StructType, partition_date: str | None, folders: list[dict],
-                buckets: dict | None = None, absorbed: list[dict] | tuple = ()) -> int:
+                buckets: dict | None = None, absorbed: list[dict] | tuple = (), index: list[dict] | tuple = ()) -> int:
         """Publish a snapshot: write the manifest aside, then rename it into place.
 
-        ``absorbed`` travels with the rows: a commit that keeps the table's rows
-        keeps it, one that empties the table starts without any."""
+        ``absorbed`` and ``index`` travel with the rows: a commit that keeps the table's
+        rows keeps them, one that empties the table starts without any."""
         seq = self.next_snapshot(name)
         final = self._snap_file(name, seq)
         tmp = f"{self.table_path(name)}/_snapshots/.tmp-{uuid.uuid4().hex}"
         self._write_text(tmp, json.dumps({"schema": schema.json(), "partition_date": partition_date,
                                           "buckets": buckets, "folders": folders,
-                                          "absorbed": list(absorbed)}))
+                                          "absorbed": list(absorbed), "index": list(index)}))
         fs, p_tmp = self._fs(tmp)
         _, p_final = self._fs(final)
         if fs.exists(p_final) or not fs.rename(p_tmp, p_final):
@@ -255,11 +274,12 @@ class Store:
         return self._commit(name, df.schema, partition_date, folders, buckets, done if absorbed is None else absorbed)
 
     def replace_months(self, name: str, df: DataFrame, months: list[str], cluster: bool = True,
-                       absorbed: list[dict] | None = None) -> int:
+                       absorbed: list[dict] | None = None, index: list[dict] | None = None) -> int:
         """Replace the rows of ``months`` by ``df`` and keep every other month.
 
         ``df`` must only hold rows of ``months`` (the caller derives the months
-        from the rows it changes); a month left without rows disappears."""
+        from the rows it changes); a month left without rows disappears.  With an
+        ``index`` that covers all rows of the new snapshot its folders count as indexed."""
         man = self._manifest(name)
         part = man["partition_date"]
         if not part:
@@ -268,8 +288,10 @@ class Store:
         drop = set(months)
         kept = [e for e in man["folders"] if e["month"] not in drop]
         new = self._write_data(name, self._typed(df, schema), part, cluster)
-        return self._commit(name, schema, part, kept + new,
-                            absorbed=man.get("absorbed", []) if absorbed is None else absorbed)
+        folders = kept + new if index is None else [e | {"indexed": True} for e in kept + new]
+        return self._commit(name, schema, part, folders,
+                            absorbed=man.get("absorbed", []) if absorbed is None else absorbed,
+                            index=man.get("index", []) if index is None else index)
 
     def stage(self, name: str, df: DataFrame, observe: Callable[[DataFrame], DataFrame] | None = None) -> tuple[list[dict], DataFrame]:
         """Write rows into fresh data folders of the table without committing
@@ -296,8 +318,8 @@ class Store:
             folders = list(entries)
         else:
             raise ValueError(f"unknown publish mode {mode!r}")
-        done = man.get("absorbed", []) if mode == "append" else []
-        return self._commit(name, schema, man["partition_date"], folders, man.get("buckets"), done)
+        done, index = (man.get("absorbed", []), man.get("index", [])) if mode == "append" else ([], [])
+        return self._commit(name, schema, man["partition_date"], folders, man.get("buckets"), done, index)
 
     def discard(self, name: str, entries: list[dict]) -> None:
         """Delete staged folders that were never committed."""
@@ -320,7 +342,7 @@ class Store:
         part = man["partition_date"]
         new = self._write_data(name, self._typed(df, schema), part, buckets=man.get("buckets"))
         return self._commit(name, schema, part, man["folders"] + new, man.get("buckets"),
-                            man.get("absorbed", []) if absorbed is None else absorbed)
+                            man.get("absorbed", []) if absorbed is None else absorbed, man.get("index", []))
 
     def remove_folders(self, name: str, paths: list[str]) -> int:
         """Take the rows of the given data folders out of the table; rows that arrived since stay."""
@@ -328,7 +350,7 @@ class Store:
         gone = set(paths)
         schema = T.StructType.fromJson(json.loads(man["schema"]))
         return self._commit(name, schema, man["partition_date"], [e for e in man["folders"] if e["path"] not in gone],
-                            man.get("buckets"), man.get("absorbed", []))
+                            man.get("buckets"), man.get("absorbed", []), man.get("index", []))
 
     def truncate(self, name: str) -> int:
         """SNK4: delete all rows (a new empty snapshot, same schema)."""
@@ -372,7 +394,7 @@ class Store:
         live = set()
         for seq in kept:
             man = self._manifest(name, seq)
-            for e in man["folders"] + man.get("absorbed", []):
+            for e in man["folders"] + man.get("absorbed", []) + man.get("index", []):
                 live.add(e["path"])
         jvm = self.spark._jvm
         cutoff = jvm.java.lang.System.currentTimeMillis() - grace_seconds * 1000
