@@ -8,6 +8,7 @@ names and types.
 from __future__ import annotations
 
 import dataclasses
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from lodestar.functions import initial, to_decimal
 from lodestar.operators import activate as act
+from lodestar.operators import asof
 from lodestar.operators import checks as chk
 from lodestar.operators import dims, latest, views
 from lodestar.operators.project import project, sort_load, top_n
@@ -816,6 +818,71 @@ def q_as_of_stock(spark, sf):
     return as_of_request(base, jobs.history(store, spec), spec, AS_OF)
 
 
+AS_OF_MANY = [d + fx.REQ_PAD for d in ("19990131", "19990704", "20000101")]
+
+
+def each_request(state) -> str:
+    """The states as of several requests, one below the other."""
+    return "\nUNION ALL ".join(f"SELECT '{r}' AS reqtsn, s.* FROM ({state(f"reqtsn <= '{r}'")}) s" for r in AS_OF_MANY)
+
+
+@register("as_of_requests", each_request(doc_state_sql))
+def q_as_of_requests(spark, sf):
+    a = ex.initial_state(spark, sf, "doc")
+    return asof.as_of_requests(a, ex.inbound(spark, sf, "doc", "after"), fx.DOC, AS_OF_MANY)
+
+
+@register("as_of_requests_cube", each_request(cube_sql))
+def q_as_of_requests_cube(spark, sf):
+    a = ex.initial_state(spark, sf, "cube")
+    return asof.as_of_requests(a, ex.inbound(spark, sf, "cube", "after", numbered=False), fx.CUBE, AS_OF_MANY)
+
+
+def stock_net(pair: tuple[str, str]) -> str:
+    rec, iss = pair
+    return f"sum(coalesce({rec}, 0) - coalesce({iss}, 0)) AS {rec}"
+
+
+def stock_type(rec: str) -> str:
+    return "DECIMAL(17,3)" if rec.endswith("bu") else "DECIMAL(17,2)"
+
+
+def stock_days_sql() -> str:
+    net = ", ".join(stock_net(p) for p in fx.STOCK.stock_pairs)
+    out = ", ".join(f"CAST(sum({rec}) OVER (PARTITION BY {STOCK_K5} ORDER BY calday) AS {stock_type(rec)}) AS {rec}_stock"
+                    for rec, _ in fx.STOCK.stock_pairs)
+    return f"""SELECT {STOCK_K5}, calday, {out}
+FROM (SELECT {STOCK_K5}, calday, {net} FROM ({fx.STOCK_INBOUND_SQL}) s GROUP BY {STOCK_K5}, calday) d"""
+
+
+STOCK_DAYS = [datetime.date(1995, 6, 30), datetime.date(1997, 12, 31), datetime.date(2001, 1, 1)]
+
+
+def stock_on_sql() -> str:
+    out = ", ".join(f"CAST(coalesce(sum(coalesce({rec}, 0) - coalesce({iss}, 0)) FILTER (s.calday <= d.calday), 0) AS {stock_type(rec)}) "
+                    f"AS {rec}_stock" for rec, iss in fx.STOCK.stock_pairs)
+    days = ", ".join(f"(DATE '{d}')" for d in STOCK_DAYS)
+    return f"""SELECT {STOCK_K5}, d.calday, {out}
+FROM ({fx.STOCK_INBOUND_SQL}) s, (VALUES {days}) d(calday) GROUP BY {STOCK_K5}, d.calday"""
+
+
+def _stock_tables(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """All movements, and the marker after the delta."""
+    inbound = ex.inbound(spark, sf, "stock", "after", numbered=False)
+    return (act.activate_movements(ex.initial_state(spark, sf, "stock", "2"), inbound, fx.STOCK),
+            act.activate_marker(ex.initial_state(spark, sf, "stock", "5"), inbound, fx.STOCK))
+
+
+@register("stock_by_day", stock_days_sql())
+def q_stock_by_day(spark, sf):
+    return asof.stock_by_day(*_stock_tables(spark, sf), fx.STOCK)
+
+
+@register("stock_on_days", stock_on_sql())
+def q_stock_on_days(spark, sf):
+    return asof.stock_on_days(*_stock_tables(spark, sf), fx.STOCK, STOCK_DAYS)
+
+
 # --------------------------------------------------------------------------- #
 # 2.9 end-to-end jobs (extract folders -> tables)
 # --------------------------------------------------------------------------- #
