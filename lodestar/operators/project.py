@@ -69,8 +69,11 @@ def sort_load(df: DataFrame, order: str | None) -> DataFrame:
     The remaining columns follow as tie-breakers (the order among ties is
     unspecified anyway): the range partitioning of the global sort can then
     cut a hot order value over several tasks instead of sorting it in one."""
-    if not order:
-        return df
+    return df.orderBy(*order_keys(df, order)) if order else df
+
+
+def order_keys(df: DataFrame, order: str) -> list:
+    """The sort columns of a load order: those it names, then the others as tie-breakers."""
     keys, named = [], set()
     for item in order.split(","):
         item = item.strip()
@@ -84,7 +87,7 @@ def sort_load(df: DataFrame, order: str | None) -> DataFrame:
         named.add(name.strip("`"))
         keys.append(col.desc() if desc else col.asc())
     ties = [F.col(_q(f.name)).asc() for f in df.schema.fields if f.name not in named and _orderable(f.dataType)]
-    return df.orderBy(*keys, *ties)
+    return [*keys, *ties]
 
 
 def top_n(df: DataFrame, order: list, n: int) -> DataFrame:

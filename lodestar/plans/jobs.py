@@ -21,7 +21,7 @@ from lodestar.operators import activate as act
 from lodestar.operators import quarantine
 from lodestar.operators.checks import load_checks, load_metrics
 from lodestar.operators.dims import attribute_tables, load_master
-from lodestar.operators.project import project, sort_load
+from lodestar.operators.project import order_keys, project, sort_load
 from lodestar.operators.sizing import fits_broadcast
 from lodestar.plans import keymonths
 from lodestar.plans.absorption import absorb, once, package_marks, pending
@@ -115,17 +115,19 @@ def insert(store: Store, spec: EntitySpec, n: str, root: str | None = None, chec
         marked = quarantine.marked(source, spec, n)
         fit = F.col(quarantine.REASON) == ""
         rows = marked.observe(bad, F.count_if(~fit).alias("n")).where(fit).select(*table_schema(spec, n).names)
-        rows = sort_load(rows, spec.order)
     else:
-        rows = project(read_source(spark, spec.srcformat, names, sep=spec.delimiter), spec, n)
+        rows = project(read_source(spark, spec.srcformat, names, sep=spec.delimiter), spec, n, order="")
+    # a month table is sorted by its writer, in the shuffle that brings the months together
+    order = order_keys(rows, spec.order) if spec.order and store.partition_date(name) else ()
+    rows = rows if order else sort_load(rows, spec.order)
     if spec.safe_dml if checked is None else checked:
         existing = store.read(name)
         ok, report = publish_checked(store, name, rows, lambda d: load_checks(existing, d, spec, n),
-                                     metrics=load_metrics(existing.schema, spec, n))
+                                     metrics=load_metrics(existing.schema, spec, n), order=order)
         if not ok:
             raise LoadRejected(name, report)
     else:
-        store.append(name, rows)
+        store.append(name, rows, order=order)
     if spec.quarantine and bad.get["n"]:  # a clean load is one pass; only one with rejects takes a second
         if not store.exists(rejects_name(spec)):
             store.create(rejects_name(spec), T.StructType.fromDDL(quarantine.REJECT_DDL))
@@ -172,12 +174,14 @@ def _activate_into(
     bcast_cols: list[str],
     apply: Callable[[DataFrame, str], DataFrame],
     marks: DataFrame,
+    order: str | None = None,
 ) -> None:
     """Merge a reduced delta into ``target`` and publish a new snapshot.
 
     A month-partitioned target whose day column the delta carries is read and
     rewritten only for the touched months; every other month keeps its files.
-    ``marks`` are the packages it absorbs: they enter the same snapshot (Q6)."""
+    ``marks`` are the packages it absorbs: they enter the same snapshot (Q6).  Rewritten
+    months keep the load ``order``."""
     _check_keys(delta, keys, target)
     small = fits_broadcast(delta.select(*bcast_cols))
     strategy = "broadcast" if small else "shuffle"
@@ -187,7 +191,8 @@ def _activate_into(
         new_rows = apply(store.read(target, months=months), strategy)
         # after a broadcast merge the rows still sit in their month folders'
         # tasks: no clustering shuffle is needed; after a shuffle merge it is
-        store.replace_months(target, new_rows, months, cluster=not small, absorbed=absorb(store, target, marks), index=index)
+        store.replace_months(target, new_rows, months, cluster=not small, absorbed=absorb(store, target, marks), index=index,
+                             order=order_keys(new_rows, order) if order else ())
     else:
         new_rows = apply(store.read(target), strategy)
         store.replace(target, new_rows, keep_meta=True, absorbed=absorb(store, target, marks))
@@ -235,7 +240,7 @@ def merge12(store: Store, spec: EntitySpec, mode: str = "upsert", order: str = "
     elif spec.kind == "standard":
         latest = act.reduce_standard(new2, spec, order)
         _activate_into(store, t2, latest, keys, keys,
-                       lambda a, s: act.apply_standard(a, latest, spec, mode, s), marks2)
+                       lambda a, s: act.apply_standard(a, latest, spec, mode, s), marks2, spec.order)
     else:
         stamp = act.MOVEMENT_STAMP if spec.kind == "ncum" else None
         rows = once(new2, marks2)
@@ -243,7 +248,7 @@ def merge12(store: Store, spec: EntitySpec, mode: str = "upsert", order: str = "
         shared = spec.kind == "ncum" and new2 is inbound and pending(store, inbound, t5) is inbound
         deltas = act.reduce_stock(rows, spec) if shared else {"2": act.reduce_cube(rows, spec)}
         _activate_into(store, t2, deltas["2"], keys, deltas["2"].columns,
-                       lambda a, s: act.apply_cube(a, deltas["2"], spec, null_policy, stamp, s), marks2)
+                       lambda a, s: act.apply_cube(a, deltas["2"], spec, null_policy, stamp, s), marks2, spec.order)
     if spec.kind == "ncum":
         if "5" in deltas:
             marks5 = marks2

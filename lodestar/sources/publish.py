@@ -20,6 +20,7 @@ def publish_checked(
     checks: Callable[[DataFrame], list[DataFrame]],
     mode: str = "append",
     metrics: dict[str, Column] | None = None,
+    order: list[Column] | tuple = (),
 ) -> tuple[bool, DataFrame]:
     """PUB1: write the load into uncommitted folders of the table, run the
     checks on exactly those rows, and commit the same files if every check
@@ -36,10 +37,10 @@ def publish_checked(
         seen = Observation()
         names = {f"m{i}": check for i, check in enumerate(metrics)}
         entries, staged = store.stage(name, df, lambda rows: rows.observe(
-            seen, *[metrics[check].alias(m) for m, check in names.items()]))
+            seen, *[metrics[check].alias(m) for m, check in names.items()]), order)
         counts = [(check, int(seen.get.get(m) or 0)) for m, check in names.items()]
     else:
-        entries, staged = store.stage(name, df)
+        entries, staged = store.stage(name, df, order=order)
     found = [*([spark.createDataFrame(counts, "check STRING, cnt LONG")] if counts else []), *checks(staged)]
     if not found:  # no checks: an empty report, which passes
         found = [spark.createDataFrame([], "check STRING, cnt LONG")]

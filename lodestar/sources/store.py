@@ -226,19 +226,24 @@ class Store:
 
     # ------------------------------------------------------------------ write
     def _write_data(self, name: str, df: DataFrame, part: str | None, cluster: bool = True,
-                    buckets: dict | None = None) -> list[dict]:
+                    buckets: dict | None = None, order: list[Column] | tuple = ()) -> list[dict]:
         """Write rows to a fresh data folder; return its folder entries.
 
         ``cluster`` shuffles rows of one month together first (a rebalance, so
         AQE splits a hot month over several tasks instead of one).  Rows that
         already arrive month by month (read from month folders, not moved by a
         shuffle) are written as they are: the writer sorts by month inside each
-        task."""
+        task.  With an ``order`` the rows of a month table are range-partitioned by month
+        and order and sorted: each file holds a narrow range (so filters on the order
+        skip files and row groups) and a hot month is still cut over several tasks."""
         rel = f"data/{uuid.uuid4().hex}"
         path = f"{self.table_path(name)}/{rel}"
         if part:
             df = df.withColumn(PART_COL, month_of(part))
-            if cluster:
+            if order:
+                keys = [F.col(PART_COL).asc(), *order]
+                df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+            elif cluster:
                 df = df.hint("rebalance", PART_COL)
             df.write.mode("errorifexists").option("compression", "zstd").partitionBy(PART_COL) \
                 .format(self.fmt).save(path)
@@ -274,7 +279,8 @@ class Store:
         return self._commit(name, df.schema, partition_date, folders, buckets, done if absorbed is None else absorbed)
 
     def replace_months(self, name: str, df: DataFrame, months: list[str], cluster: bool = True,
-                       absorbed: list[dict] | None = None, index: list[dict] | None = None) -> int:
+                       absorbed: list[dict] | None = None, index: list[dict] | None = None,
+                       order: list[Column] | tuple = ()) -> int:
         """Replace the rows of ``months`` by ``df`` and keep every other month.
 
         ``df`` must only hold rows of ``months`` (the caller derives the months
@@ -287,13 +293,14 @@ class Store:
         schema = T.StructType.fromJson(json.loads(man["schema"]))
         drop = set(months)
         kept = [e for e in man["folders"] if e["month"] not in drop]
-        new = self._write_data(name, self._typed(df, schema), part, cluster)
+        new = self._write_data(name, self._typed(df, schema), part, cluster, order=order)
         folders = kept + new if index is None else [e | {"indexed": True} for e in kept + new]
         return self._commit(name, schema, part, folders,
                             absorbed=man.get("absorbed", []) if absorbed is None else absorbed,
                             index=man.get("index", []) if index is None else index)
 
-    def stage(self, name: str, df: DataFrame, observe: Callable[[DataFrame], DataFrame] | None = None) -> tuple[list[dict], DataFrame]:
+    def stage(self, name: str, df: DataFrame, observe: Callable[[DataFrame], DataFrame] | None = None,
+              order: list[Column] | tuple = ()) -> tuple[list[dict], DataFrame]:
         """Write rows into fresh data folders of the table without committing
         them (write-audit-publish): returns the folder entries and the rows as
         written, for checks.  ``publish`` commits the very same files;
@@ -302,7 +309,7 @@ class Store:
         man = self._manifest(name)
         schema = T.StructType.fromJson(json.loads(man["schema"]))
         typed = self._typed(df, schema)
-        entries = self._write_data(name, observe(typed) if observe else typed, man["partition_date"], buckets=man.get("buckets"))
+        entries = self._write_data(name, observe(typed) if observe else typed, man["partition_date"], buckets=man.get("buckets"), order=order)
         paths = [f"{self.table_path(name)}/{e['path']}" for e in entries]
         rows = (self.spark.read.schema(schema).format(self.fmt).load(paths) if paths
                 else self.spark.createDataFrame([], schema))
@@ -335,12 +342,13 @@ class Store:
             raise ValueError("bucketed tables are unpartitioned here")
         return self._commit(name, schema, partition_date, [], buckets)
 
-    def append(self, name: str, df: DataFrame, absorbed: list[dict] | None = None) -> int:
+    def append(self, name: str, df: DataFrame, absorbed: list[dict] | None = None,
+               order: list[Column] | tuple = ()) -> int:
         """SNK1: insert by name: the current folders plus one new write."""
         man = self._manifest(name)
         schema = T.StructType.fromJson(json.loads(man["schema"]))
         part = man["partition_date"]
-        new = self._write_data(name, self._typed(df, schema), part, buckets=man.get("buckets"))
+        new = self._write_data(name, self._typed(df, schema), part, buckets=man.get("buckets"), order=order)
         return self._commit(name, schema, part, man["folders"] + new, man.get("buckets"),
                             man.get("absorbed", []) if absorbed is None else absorbed, man.get("index", []))
 
