@@ -17,10 +17,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.operators.sizing import join_small, materialize
+from lodestar.operators.sizing import join_small
 from lodestar.sources.store import NULL_MONTH, PART_COL, Store, month_of
 
-BUCKETS = 64
+BUCKETS = 16  # few enough that one listing finds the files of all
 FOLDERS = 16
 SCHEMA = "key_hash BIGINT, month STRING"
 
@@ -30,10 +30,10 @@ def bucket() -> Column:
 
 
 def pairs(rows: DataFrame, keys: list[str], date_col: str, like: DataFrame) -> DataFrame:
-    """The distinct (key_hash, month) of ``rows``; keys are hashed in the types of ``like``."""
+    """(key_hash, month) of ``rows``, which hold a key once; keys are hashed in the types of ``like``."""
     hashed = F.xxhash64(*[F.col(f"`{k}`").cast(like.schema[k].dataType) for k in keys])
     month = F.coalesce(month_of(date_col), F.lit(NULL_MONTH))
-    return rows.select(hashed.alias("key_hash"), month.alias("month")).distinct()
+    return rows.select(hashed.alias("key_hash"), month.alias("month"))
 
 
 def _write(store: Store, target: str, rows: DataFrame) -> list[dict]:
@@ -46,16 +46,17 @@ def candidates(store: Store, target: str, delta: DataFrame, keys: list[str], dat
 
     At most one value per calendar month and ``BUCKETS`` bucket names reach the driver."""
     active = store.read(target)
-    own = materialize(pairs(delta, keys, date_col, active))
-    entries = store.index(target) + _write(store, target, own)
+    own = pairs(delta, keys, date_col, active)  # the delta is materialized
+    new = own
     if store.unindexed(target):
-        entries += _write(store, target, pairs(store.read_unindexed(target), keys, date_col, active))
+        new = own.unionByName(pairs(store.read_unindexed(target), keys, date_col, active))
+    entries = store.index(target) + _write(store, target, new)
     asked = {r["b"] for r in own.select(bucket().alias("b")).distinct().collect()}
     hit = [e for e in entries if e["bucket"] in asked]
     if not hit:
         return [], entries
     known = store.read_side(target, hit, SCHEMA)
-    found = join_small(known, own.select("key_hash").distinct(), ["key_hash"], "left_semi")
+    found = join_small(known, own.select("key_hash"), ["key_hash"], "left_semi", materialized=True)
     months = sorted(r["month"] for r in found.select("month").distinct().collect())
     return months, compacted(store, target, entries)
 
