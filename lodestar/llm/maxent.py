@@ -1,22 +1,30 @@
 """Operator 7: language-model scoring with a hashed maximum-entropy model.
 
-Tokens are the words of a text (A-Z lower-cased) and one end.  The ``top``
-most frequent training tokens are modelled one by one, all others as *rare*:
-
-    P(token | history) = P(class | history) * P(member | class, history)
-    P(rare word | history) = P(rare class | history) * (c + 0.1) / (rare tokens + 0.1 * (rare words + 1))
-
-where c is the word's training count.  Classes group the top tokens by rank.
-Both softmaxes have features of the history hashed into ``rows`` rows of
-weights: the last token, the one before it (a skip feature), and both.  For
-any history the probabilities of all known words and of one unknown word sum
-to one.
-
-Training takes distributed gradient steps over the whole training part: its
-trigrams of (top token or rare) are counted once, per task and then by a
-shuffle, and every step sums the tasks' gradients.  Their size depends on the
-model, not on the data.  Texts are scored in batches; in each batch only the
-histories that occur are evaluated.
+Tokens are the words of a text (A-Z lower-cased) and one end, named by 64-bit
+hashes.  Every word has a class: the ``SINGLES`` most frequent training tokens
+have one each, all other words, known or not, share the rest by their names.
+
+    P(w | h) = P(class(w) | h) * P(w | class(w), h)
+
+*Class softmax.*  Its logits are dense weights of class features, hashed into
+rows (the class of the last token, of the one before it as a skip feature, and
+both), plus sparse weights of (last word, class) for every word.  The dense
+weights are trained by distributed gradient steps over the counts of class
+trigrams, whose number depends on the model alone; each word's own weights by
+gradient steps in the tasks that hold the word.
+
+*Member softmax.*  A word starts from c + 0.1 (c: its training count; each
+shared class also holds 0.1 for a word never seen) and has a weight for every
+pair (last word, word) that occurs ``least`` times or more.  A block (last word,
+class) shares no weight with any other, so blocks are dealt over the tasks and
+each is trained by gradient steps of its own.  The normaliser of a block is that
+of its class corrected for the words that have a weight, so it is exact.
+
+The members of each class and one unseen word per shared class sum to one, and
+so do the classes, for any history.  The weights are a table that grows with the
+corpus.  The most used of them, of a stated number, are broadcast; a token that
+needs others joins them.  A bitmap of fixed size spares the join for names that
+surely have no weight; it never hides one that does.
 
 Word counts cover every training token.  The ``common`` most frequent words
 are broadcast as hashes and counts (16 bytes each); counts of all other words
@@ -31,6 +39,7 @@ from __future__ import annotations
 
 import copy
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,9 +52,12 @@ from .words import U, mix, split, text_slices
 
 SMOOTH = 0.1
 END = np.int64(0x0E4D0E4D0E4D0E4D)  # the name of the end token
-TOP = 128  # modelled outcomes, the rare one included; histories use one more, for the start
-CLASSES = 8
-MEMBERS = TOP // CLASSES
+START = np.int64(0x057A7057A7057A70)  # what stands before a text's first token
+CLASSES = 48  # histories use one more, for the start
+SINGLES = 24  # classes of one word
+SHARED = CLASSES - SINGLES
+BUCKETS = 4096  # of 32,768 bits each: the bitmap of weight names, 16 MB
+LN10 = math.log(10)
 
 
 def tokens_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -89,128 +101,176 @@ def count_tokens(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "token long, n long")
 
 
+def find(names: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(is among the sorted ``names``, its place there or 0) of each wanted name."""
+    if not len(names):
+        return np.zeros(len(wanted), bool), np.zeros(len(wanted), np.int64)
+    at = np.minimum(np.searchsorted(names, wanted), len(names) - 1)
+    found = names[at] == wanted
+    return found, np.where(found, at, 0)
+
+
 class Vocabulary:
-    """The common tokens: sorted names, counts, and outcome numbers (0: rare) of the top ones."""
+    """The common tokens (sorted names and counts), the classes, and each shared class's mass."""
 
-    def __init__(self, rows: list, tokens: int, words: int):
+    def __init__(self, rows: list, tokens: int, words: int, shared: dict[int, float]):
         self.tokens, self.words = tokens, words
-        ranked = sorted(rows, key=lambda r: (-r["n"], r["token"]))
-        outcome = {r["token"]: i + 1 for i, r in enumerate(ranked[:TOP - 1])}
+        top = sorted(rows, key=lambda r: (-r["n"], r["token"]))[:SINGLES]
         rows = sorted(rows, key=lambda r: r["token"])
         self.names = np.array([r["token"] for r in rows], np.int64)
         self.counts = np.array([r["n"] for r in rows], np.int64)
-        self.outcomes = np.array([outcome.get(r["token"], 0) for r in rows], np.int32)
-        top = ranked[:TOP - 1]
-        self.rare_tokens = tokens - sum(r["n"] for r in top)
-        self.rare_words = words - len(top)
-        self.top_counts = np.array([self.rare_tokens] + [r["n"] for r in top] + [0] * (TOP - 1 - len(top)), float)
-
-    def look_up(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(count or 0, outcome) of each token among the common ones."""
-        if not len(self.names):
-            return np.zeros(len(tokens), np.int64), np.zeros(len(tokens), np.int32)
-        at = np.minimum(np.searchsorted(self.names, tokens), len(self.names) - 1)
-        found = self.names[at] == tokens
-        return np.where(found, self.counts[at], 0), np.where(found, self.outcomes[at], 0)
-
-
-def histories(outcomes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """The history of each token as one number: the outcome two back and the one before (TOP: start)."""
-    one, two = np.full(len(outcomes), TOP), np.full(len(outcomes), TOP)
-    one[1:], two[2:] = outcomes[:-1], outcomes[:-2]
+        order = sorted(range(len(top)), key=lambda i: top[i]["token"])
+        self.single_names = np.array([top[i]["token"] for i in order], np.int64)
+        self.single_classes = np.array(order, np.int64)
+        mass = [shared.get(s, 0.0) + SMOOTH for s in range(SHARED)]
+        for r in top:
+            mass[int(r["token"]) % SHARED] -= r["n"] + SMOOTH
+        self.masses = np.array([r["n"] + SMOOTH for r in top] + [1.0] * (SINGLES - len(top)) + [max(m, SMOOTH) for m in mass])
+        self.singles = len(top)
+
+    def classes(self, tokens: np.ndarray) -> np.ndarray:
+        single, at = find(self.single_names, tokens)
+        out = SINGLES + np.mod(tokens, SHARED)
+        out[single] = self.single_classes[at[single]]
+        return out
+
+    def count(self, tokens: np.ndarray) -> np.ndarray:
+        """Training count of each token, 0 if it is not a common one."""
+        found, at = find(self.names, tokens)
+        return np.where(found, self.counts[at], 0) if len(self.counts) else np.zeros(len(tokens), np.int64)
+
+
+def last_tokens(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
+    one = np.full(len(tokens), START, np.int64)
+    one[1:] = tokens[:-1]
+    one[first[:-1]] = START
+    return one
+
+
+def histories(classes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The class history of each token as one number: the class two back and the one before
+    (CLASSES: start)."""
+    one, two = np.full(len(classes), CLASSES), np.full(len(classes), CLASSES)
+    one[1:], two[2:] = classes[:-1], classes[:-2]
     starts = first[:-1]
-    one[starts] = two[starts] = TOP
+    one[starts] = two[starts] = CLASSES
     second = starts + 1
-    two[second[second < first[1:]]] = TOP
-    return two * (TOP + 1) + one
+    two[second[second < first[1:]]] = CLASSES
+    return two * (CLASSES + 1) + one
+
+
+def pair_names(last: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return mix(mix(last.astype(np.int64).view(U)) + words.astype(np.int64).view(U)).view(np.int64)
+
+
+def block_names(last: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    return mix(mix(last.astype(np.int64).view(U) ^ U(0x5B10C)) + classes.astype(U)).view(np.int64)
 
 
 def features(history: np.ndarray, rows: int) -> np.ndarray:
-    """Hashed feature rows of each history: a bias, last token, skip, and both."""
-    two, one = (history // (TOP + 1)).astype(U), (history % (TOP + 1)).astype(U)
-    kinds = [np.zeros(len(history), U), one + U(1000), two + U(2000), one * U(TOP + 1) + two + U(1_000_000)]
+    """Hashed feature rows of each class history: a bias, last class, skip, and both."""
+    two, one = (history // (CLASSES + 1)).astype(U), (history % (CLASSES + 1)).astype(U)
+    kinds = [np.zeros(len(history), U), one + U(1000), two + U(2000), one * U(CLASSES + 1) + two + U(1_000_000)]
     return np.stack([(mix(k) % U(rows)).astype(np.int64) for k in kinds], axis=1)
 
 
+def log_softmax(logits: np.ndarray) -> np.ndarray:
+    logits = logits - logits.max(1, keepdims=True)
+    return logits - np.log(np.exp(logits).sum(1, keepdims=True))
+
+
 class Maxent:
-    """Weights of the class softmax and of the member softmaxes, and their gradient."""
+    """Dense weights of the class softmax and their gradient."""
 
     def __init__(self, vocabulary: Vocabulary, rows: int):
         self.rows = rows
-        self.classes = np.zeros((rows, CLASSES))
-        self.members = np.zeros((rows, TOP))
-        self.open = vocabulary.top_counts > 0
-        self.open[0] = True  # the rare outcome is always possible
-        start = np.log(np.maximum(vocabulary.top_counts, 0.5))
-        bias = features(np.zeros(1, np.int64), rows)[0, 0]
-        self.members[bias] = start
-        grouped = np.where(self.open, vocabulary.top_counts + 0.5, 0).reshape(CLASSES, MEMBERS).sum(1)
-        self.classes[bias] = np.log(np.maximum(grouped, 0.5))
+        self.weights = np.zeros((rows, CLASSES))
+        self.closed = np.arange(CLASSES) < SINGLES
+        self.closed[:vocabulary.singles] = False  # a single class without a word cannot occur
+        self.weights[features(np.zeros(1, np.int64), rows)[0, 0]] = np.log(vocabulary.masses)
 
     def single(self) -> Maxent:
         """A copy in single precision, as it is sent to the tasks."""
         out = copy.copy(self)
-        out.classes, out.members = self.classes.astype("<f4"), self.members.astype("<f4")
+        out.weights = self.weights.astype("<f4")
         return out
 
-    def logs(self, history: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Natural logs of P(class | history) and P(member | class, history)."""
-        at = features(history, self.rows)
-        a = self.classes[at].sum(1, dtype=float)
-        a[:, ~self.open.reshape(CLASSES, MEMBERS).any(1)] = -np.inf
-        b = self.members[at].sum(1, dtype=float)
-        b[:, ~self.open] = -np.inf
-        b = b.reshape(-1, CLASSES, MEMBERS)
-        peak = np.maximum(b.max(2, keepdims=True), -1e300)
-        a = a - a.max(1, keepdims=True)
-        with np.errstate(divide="ignore"):
-            b = b - peak - np.log(np.maximum(np.exp(b - peak).sum(2, keepdims=True), 1e-300))
-        return a - np.log(np.exp(a).sum(1, keepdims=True)), b.reshape(-1, TOP)
-
-    def gradient(self, history: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Gradients and curvature bounds of the log-likelihood of ``counts`` (histories x TOP)."""
-        a, b = self.logs(history)
-        by_class = counts.reshape(-1, CLASSES, MEMBERS).sum(2)
-        total = by_class.sum(1, keepdims=True)
-        pa_, pb = np.exp(a), np.exp(b)
-        ga, gb = by_class - total * pa_, counts - np.repeat(by_class, MEMBERS, axis=1) * pb
-        ha, hb = total * pa_ * (1 - pa_), np.repeat(by_class, MEMBERS, axis=1) * pb * (1 - pb)
-        out = [np.zeros(x.shape) for x in (self.classes, self.members) * 2]
+    def logits(self, history: np.ndarray) -> np.ndarray:
+        a = self.weights[features(history, self.rows)].sum(1, dtype=float)
+        a[:, self.closed] = -np.inf
+        return a
+
+    def gradient(self, history: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Gradient and curvature bound of the log-likelihood of ``counts`` (histories x CLASSES)."""
+        p = np.exp(log_softmax(self.logits(history)))
+        total = counts.sum(1, keepdims=True)
+        out = np.zeros(self.weights.shape), np.zeros(self.weights.shape)
         at = features(history, self.rows)
         for f in range(at.shape[1]):
-            for target, part in zip(out, (ga, gb, ha, hb)):
-                np.add.at(target, at[:, f], part)
-        return tuple(out)
+            np.add.at(out[0], at[:, f], counts - total * p)
+            np.add.at(out[1], at[:, f], total * p * (1 - p))
+        return out
+
 
+TRIGRAM, CELL, PAIR = 0, 1, 2
+
+
+def count_contexts(docs: DataFrame, vocabulary) -> DataFrame:
+    """(kind, a, b, m, n) partial counts per task of class trigrams (history, class), of cells
+    (last word, class) and of pairs (last word, word) of shared classes; m: the word's count if
+    it is a common one.  ``docs``: (text)."""
+    names = ["kind", "a", "b", "m", "n"]
+
+    def batch_of(kind, a, b, m, n):
+        for lo in range(0, len(a), 200_000):
+            to = slice(lo, lo + 200_000)
+            size = len(a[to])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(size, kind, np.int8)), pa.array(a[to]), pa.array(b[to]), pa.array(m[to]), pa.array(n[to])], names)
+
+    def flush(v, held):
+        last, words = (np.concatenate([h[i] for h in held]) for i in (0, 1))
+        n = np.concatenate([h[2] for h in held])
+        _, head, place = np.unique(pair_names(last, words), return_index=True, return_inverse=True)
+        last, words, n = last[head], words[head], np.bincount(place, weights=n).astype(np.int64)
+        classes = v.classes(words)
+        _, head, place = np.unique(block_names(last, classes), return_index=True, return_inverse=True)
+        yield from batch_of(CELL, last[head], classes[head], np.zeros(len(head), np.int64),
+                            np.bincount(place, weights=n).astype(np.int64))
+        shared = classes >= SINGLES
+        yield from batch_of(PAIR, last[shared], words[shared], v.count(words[shared]), n[shared])
 
-def count_histories(docs: DataFrame, vocabulary) -> DataFrame:
-    """(history, outcome, n) partial counts per task; ``docs``: (text)."""
     def run(batches):
-        total = np.zeros((TOP + 1) ** 2 * TOP, np.int64)
+        v = vocabulary.value
+        total = np.zeros((CLASSES + 1) ** 2 * CLASSES, np.int64)
+        held, size = [], 0
         for batch in batches:
             for lo, hi in text_slices(batch.column(0)):
                 tokens, first = tokens_of(batch.column(0)[lo:hi])
-                _, outcomes = vocabulary.value.look_up(tokens)
-                codes, n = np.unique(histories(outcomes, first) * TOP + outcomes, return_counts=True)
+                classes = v.classes(tokens)
+                codes, n = np.unique(histories(classes, first) * CLASSES + classes, return_counts=True)
                 total[codes] += n
+                last = last_tokens(tokens, first)
+                _, head, n = np.unique(pair_names(last, tokens), return_index=True, return_counts=True)
+                held.append((last[head], tokens[head], n))
+                size += len(head)
+                if size > 1_500_000:
+                    yield from flush(v, held)
+                    held, size = [], 0
+        if held:
+            yield from flush(v, held)
         codes = np.flatnonzero(total)
-        for lo in range(0, len(codes), 200_000):
-            part = codes[lo:lo + 200_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((part // TOP).astype("i4")), pa.array((part % TOP).astype("i4")), pa.array(total[part])],
-                ["history", "outcome", "n"])
+        yield from batch_of(TRIGRAM, codes // CLASSES, codes % CLASSES, np.zeros(len(codes), np.int64), total[codes])
 
-    return docs.select("text").mapInArrow(run, "history int, outcome int, n long")
+    return docs.select("text").mapInArrow(run, "kind byte, a long, b long, m long, n long")
 
 
-def fit(docs: DataFrame, vocabulary, rows: int = 2048, steps: int = 12, parts: int = 8) -> Maxent:
-    """Train by ``steps`` distributed gradient steps over all trigrams of ``docs``."""
-    spark = docs.sparkSession
-    counted = count_histories(docs, vocabulary).groupBy("history", "outcome").agg(F.sum("n").alias("n"))
-    counted = stage(counted.repartition(parts, "history"), "histories")
+def fit_classes(trigrams: DataFrame, vocabulary, rows: int, steps: int, parts: int) -> Maxent:
+    """Train the dense weights by ``steps`` distributed gradient steps over all class trigrams."""
+    spark = trigrams.sparkSession
+    counted = stage(trigrams.select("a", "b", "n").repartition(parts, "a"), "histories")
     model = Maxent(vocabulary.value, rows)
-    sums = [np.zeros_like(x) for x in (model.classes, model.members)]
-    speed = 0.5
+    moved = np.zeros_like(model.weights)
     for _ in range(steps):
         held = spark.sparkContext.broadcast(model.single())
 
@@ -218,65 +278,292 @@ def fit(docs: DataFrame, vocabulary, rows: int = 2048, steps: int = 12, parts: i
             out = None
             for batch in batches:
                 names, place = np.unique(np.asarray(batch.column(0)), return_inverse=True)
-                counts = np.zeros((len(names), TOP))
+                counts = np.zeros((len(names), CLASSES))
                 np.add.at(counts, (place, np.asarray(batch.column(1))), np.asarray(batch.column(2)))
-                for lo in range(0, len(names), 2048):
-                    parts_of = held.value.gradient(names[lo:lo + 2048].astype(np.int64), counts[lo:lo + 2048])
-                    out = parts_of if out is None else tuple(x + y for x, y in zip(out, parts_of))
+                part = held.value.gradient(names, counts)
+                out = part if out is None else (out[0] + part[0], out[1] + part[1])
             if out is not None:
-                yield pa.RecordBatch.from_arrays([pa.array([x.astype("<f4").tobytes()], pa.binary()) for x in out], ["ga", "gb", "ha", "hb"])
-
-        grads = [np.zeros_like(x) for x in (model.classes, model.members, model.classes, model.members)]
-        gradients = counted.mapInArrow(run, "ga binary, gb binary, ha binary, hb binary")
-        for r in gradients.collect():  # as many rows as ``parts``, of the model's size
-            for total, name in zip(grads, ("ga", "gb", "ha", "hb")):
-                total += np.frombuffer(r[name], "<f4").reshape(total.shape)
-        for weights, moved, g, h in zip((model.classes, model.members), sums, grads[:2], grads[2:]):
-            step = speed * (g - 0.5 * weights * (h > 0)) / (h + 1.0)
-            moved *= 0.5
-            moved += np.clip(step, -2, 2)
-            weights += moved * 0.5
+                yield pa.RecordBatch.from_arrays([pa.array([x.astype("<f4").tobytes()], pa.binary()) for x in out], ["g", "h"])
+
+        g, h = np.zeros_like(model.weights), np.zeros_like(model.weights)
+        for r in counted.mapInArrow(run, "g binary, h binary").collect():  # as many rows as ``parts``, of the model's size
+            g += np.frombuffer(r["g"], "<f4").reshape(g.shape)
+            h += np.frombuffer(r["h"], "<f4").reshape(h.shape)
+        moved *= 0.5
+        moved += np.clip(0.5 * (g - 0.5 * model.weights * (h > 0)) / (h + 1.0), -2, 2)
+        model.weights += moved * 0.5
         held.destroy()  # its copies on every machine go before the next step
     return model
 
 
-def read(docs: DataFrame, vocabulary, model) -> DataFrame:
-    """(uid, key, held_out, n_tokens, n_common, common_log, score_part, rest, rest_n): what a text alone
-    tells, and the names and numbers of its tokens that are not common."""
+def fit_words(cells: DataFrame, vocabulary, average, rho: float, steps: int) -> DataFrame:
+    """(a, n, classes, theta): each last word's own class weights, trained against the class law of its
+    class averaged over the words two back; a word has one list of at most CLASSES cells."""
+    lists = cells.groupBy("a").agg(F.sum("n").alias("n"), F.collect_list(F.struct("b", "n")).alias("c"))
+    lists = lists.where("n > 1").select("a", "n", F.col("c.b").alias("b"), F.col("c.n").alias("k"))
+
+    def run(batches):
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 4096):
+                batch = whole.slice(lo, 4096)
+                last = np.asarray(batch.column(0))
+                lengths = np.diff(np.asarray(batch.column(2).offsets))
+                row = np.repeat(np.arange(len(last)), lengths)
+                counts = np.zeros((len(last), CLASSES))
+                counts[row, np.asarray(batch.column(2).flatten())] = np.asarray(batch.column(3).flatten())
+                classes = vocabulary.value.classes(last)
+                classes[last == START] = CLASSES
+                base = average.value[classes]
+                total = counts.sum(1, keepdims=True)
+                has = counts > 0
+                theta = np.zeros(counts.shape)
+                for _ in range(steps):
+                    p = np.exp(log_softmax(base + theta))
+                    step = (counts - total * p - rho * theta) / (total * p * (1 - p) + rho)
+                    theta += 0.7 * np.clip(np.where(has, step, 0), -2, 2)
+                at, cls = np.nonzero(has)
+                ends = pa.array(np.concatenate([[0], np.cumsum(has.sum(1))]).astype("i4"))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), pa.ListArray.from_arrays(ends, pa.array(cls.astype("i1"))),
+                     pa.ListArray.from_arrays(ends, pa.array(theta[at, cls].astype("f4")))], ["a", "n", "classes", "theta"])
+
+    return lists.mapInArrow(run, "a long, n long, classes array<byte>, theta array<float>")
+
+
+def train_blocks(block: np.ndarray, n: np.ndarray, m: np.ndarray, total: np.ndarray, mass: np.ndarray,
+                 rho: float, steps: int) -> tuple[np.ndarray, np.ndarray]:
+    """(weight of each pair, log normaliser less that of the class of each block)."""
+    weight = np.zeros(len(n))
+
+    def norm():
+        return mass + np.bincount(block, weights=m * np.expm1(weight), minlength=len(mass))
+
+    for _ in range(steps):
+        p = m * np.exp(weight) / norm()[block]
+        step = (n - total[block] * p - rho * weight) / (total[block] * p * (1 - p) + rho)
+        weight += 0.7 * np.clip(step, -2, 2)
+    weight = weight.astype("f4").astype(float)
+    return weight, np.log(norm() / mass)
+
+
+def fit_members(blocks: DataFrame, vocabulary, rho: float, steps: int) -> DataFrame:
+    """(key, value, n): weights of pairs and normaliser corrections of blocks, by name.  ``blocks``:
+    (a, cls, word, m, n), a block's cell (word null) before its pairs."""
+    def emit(a, cls, word, m, n, is_cell):
+        heads = np.flatnonzero(is_cell)
+        block = np.cumsum(is_cell) - 1
+        kept = ~is_cell
+        total, mass = n[heads].astype(float), vocabulary.value.masses[cls[heads]]
+        value, shift = train_blocks(block[kept], n[kept], m[kept] + SMOOTH, total, mass, rho, steps)
+        used = np.bincount(block[kept], minlength=len(heads)) > 0
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([pair_names(a[kept], word[kept]), block_names(a[heads], cls[heads])[used]])),
+             pa.array(np.concatenate([value, -shift[used]]).astype("f4")),
+             pa.array(np.concatenate([n[kept], n[heads][used]]))], ["key", "value", "n"])
+
     def run(batches):
-        v, m = vocabulary.value, model.value
-        rare_mass = math.log10(v.rare_tokens + SMOOTH * (v.rare_words + 1))
+        held: list = []
+        for batch in batches:
+            is_cell = np.asarray(batch.column(2).is_null())
+            new = [np.asarray(batch.column(0)), np.asarray(batch.column(1)),
+                   np.asarray(pc.fill_null(batch.column(2), 0)), np.asarray(batch.column(3)), np.asarray(batch.column(4)), is_cell]
+            if is_cell.any():  # a block goes on until the next cell
+                cut = int(np.flatnonzero(is_cell)[-1])
+                parts = [*held, [x[:cut] for x in new]]
+                whole = [np.concatenate(c) for c in zip(*parts)]
+                if len(whole[0]):
+                    yield from emit(*whole)
+                held = [[x[cut:] for x in new]]
+            else:
+                held.append(new)
+        if held:
+            yield from emit(*[np.concatenate(c) for c in zip(*held)])
+
+    ordered = blocks.repartition("a", "cls").sortWithinPartitions("a", "cls", F.col("word").asc_nulls_first())
+    return ordered.mapInArrow(run, "key long, value float, n long")
+
+
+class Model:
+    """What the tasks need: the class weights, and the most used word and pair weights."""
+
+    def __init__(self, classes: Maxent, thetas: pa.Table, weights: pa.Table, bits: np.ndarray):
+        self.classes = classes
+        order = np.argsort(np.asarray(thetas["a"]))
+        lists = thetas.take(pa.array(order)).combine_chunks()
+        self.last = np.asarray(lists["a"])
+        self.theta = np.zeros((len(order) + 1, CLASSES), "f4")  # the last row: no weights
+        if len(order):
+            cls, value = lists["classes"].chunk(0), lists["theta"].chunk(0)
+            row = np.repeat(np.arange(len(order)), np.diff(np.asarray(cls.offsets)))
+            self.theta[row, np.asarray(cls.flatten())] = np.asarray(value.flatten())
+        order = np.argsort(np.asarray(weights["key"]))
+        self.keys = np.asarray(weights["key"])[order]
+        self.values = np.asarray(weights["value"])[order]
+        self.bits = bits
+
+    def may_have(self, keys: np.ndarray) -> np.ndarray:
+        """Whether a weight of that name may exist (never false for one that does)."""
+        at = bit_of(keys)
+        return (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+    def class_logs(self, history: np.ndarray, last: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log P(class | history), and whether the last word may have weights that are not here."""
+        key = mix(last.view(U) + history.astype(U) * U(0x9E3779B97F4A7C15))
+        _, head, place = np.unique(key, return_index=True, return_inverse=True)
+        found, at = find(self.last, last[head])
+        out = np.zeros(len(last))
+        for lo in range(0, len(head), 4096):
+            some = head[lo:lo + 4096]
+            logs = log_softmax(self.classes.logits(history[some])
+                               + self.theta[np.where(found, at, len(self.theta) - 1)[lo:lo + 4096]])
+            mine = np.flatnonzero((place >= lo) & (place < lo + 4096)) if len(head) > 4096 else np.arange(len(last))
+            out[mine] = logs[place[mine] - lo, classes[mine]]
+        return out, (~found & self.may_have(last[head]))[place]
+
+    def look_up(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(weight or 0, whether it may be one that is not here) of each name."""
+        names, place = np.unique(keys, return_inverse=True)
+        found, at = find(self.keys, names)
+        value = np.where(found, self.values[at], 0.0) if len(self.keys) else np.zeros(len(names))
+        return value[place], (~found & self.may_have(names))[place]
+
+
+def bit_of(keys: np.ndarray) -> np.ndarray:
+    return np.mod(keys, BUCKETS * 32768)
+
+
+def bitmap(keys: DataFrame) -> np.ndarray:
+    """The bits of all names, in a bitmap of fixed size."""
+    place = F.pmod("key", F.lit(BUCKETS * 32768))
+    found = keys.select((place / 32768).cast("int").alias("bucket"), F.pmod(place, F.lit(32768)).alias("bit"))
+    out = np.zeros((BUCKETS, 4096), np.uint8)
+    for r in found.groupBy("bucket").agg(F.expr("bitmap_construct_agg(bit)").alias("bits")).collect():
+        out[r["bucket"]] = np.frombuffer(r["bits"], np.uint8)
+    return out.reshape(-1)
+
+
+class Trained:
+    """The model's tables and its broadcast part."""
+
+    def __init__(self, thetas: DataFrame, weights: DataFrame, classes: Maxent, words: int, pairs: int):
+        spark = thetas.sparkSession
+        self.thetas, self.weights, self.classes = thetas, weights, classes
+        used = thetas.orderBy(F.desc("n"), "a").limit(words).select("a", "classes", "theta").toArrow()
+        most = weights.orderBy(F.desc("n"), "key").limit(pairs).select("key", "value").toArrow()
+        bits = bitmap(weights.select("key").union(thetas.select(F.col("a").alias("key"))))
+        self.held = spark.sparkContext.broadcast(Model(classes, used, most, bits))
+
+
+def train(docs: DataFrame, counts: DataFrame, vocabulary, rows: int = 8192, steps: int = 12, parts: int = 8,
+          least: int = 2, rho: float = 0.15, words: int = 50_000, pairs: int = 750_000) -> Trained:
+    """Train on all of ``docs`` (text); ``words`` and ``pairs`` bound what is broadcast, not the model."""
+    found = count_contexts(docs, vocabulary).groupBy("kind", "a", "b").agg(F.max("m").alias("m"), F.sum("n").alias("n"))
+    found = stage(found.where((F.col("kind") != PAIR) | (F.col("n") >= least)), "contexts")
+    classes = fit_classes(found.where(F.col("kind") == TRIGRAM), vocabulary, rows, steps, parts)
+
+    spark = docs.sparkSession
+    every = np.arange((CLASSES + 1) ** 2)
+    logs = log_softmax(classes.single().logits(every)).reshape(CLASSES + 1, CLASSES + 1, CLASSES)
+    seen = np.zeros((CLASSES + 1, CLASSES + 1))
+    for r in found.where(F.col("kind") == TRIGRAM).groupBy("a").agg(F.sum("n").alias("n")).collect():  # one row a class history
+        seen[r["a"] // (CLASSES + 1), r["a"] % (CLASSES + 1)] = r["n"]
+    share = (seen + 1e-9) / (seen + 1e-9).sum(0)
+    average = spark.sparkContext.broadcast(np.log(np.maximum((np.exp(logs) * share[:, :, None]).sum(0), 1e-300)))
+    cells = found.where(F.col("kind") == CELL)
+    thetas = stage(fit_words(cells.select("a", "b", "n"), vocabulary, average, rho, steps), "word-weights")
+
+    pairs_of = found.where(F.col("kind") == PAIR).select("a", F.col("b").alias("word"), "m", "n")
+    rest = pairs_of.where("m = 0").drop("m").join(counts.select(F.col("token").alias("word"), F.col("n").alias("m")), "word")
+    members = pairs_of.where("m > 0").unionByName(rest.select("a", "word", "m", "n"))
+    shared = (F.lit(SINGLES) + F.pmod("word", F.lit(SHARED))).cast("long")
+    blocks = members.select("a", shared.alias("cls"), "word", "m", "n").unionByName(
+        cells.where((F.col("b") >= SINGLES) & (F.col("n") >= least)).select(
+            "a", F.col("b").alias("cls"), F.lit(None).cast("long").alias("word"), F.lit(0).cast("long").alias("m"), "n"))
+    weights = stage(fit_members(blocks, vocabulary, rho, steps * 2), "pair-weights")
+    return Trained(thetas, weights, classes, words, pairs)
+
+
+def grouped(owner: np.ndarray, size: int, *columns: np.ndarray) -> Iterator[pa.Array]:
+    """List arrays, one list a text, of the distinct rows of ``columns`` and of how often each occurs."""
+    order = np.lexsort((*columns, owner))
+    new = np.ones(len(order), bool)
+    sorted_ = [c[order] for c in (owner, *columns)]
+    new[1:] = np.any([c[1:] != c[:-1] for c in sorted_], axis=0)
+    heads = np.flatnonzero(new)
+    ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(sorted_[0][heads], minlength=size))]).astype("i4"))
+    for c in sorted_[1:]:
+        yield pa.ListArray.from_arrays(ends, pa.array(c[heads]))
+    yield pa.ListArray.from_arrays(ends, pa.array(np.diff(np.append(heads, len(order))).astype("i4")))
+
+
+def read(docs: DataFrame, vocabulary, held) -> DataFrame:
+    """What a text alone tells, and the names of what must be joined: words that are not common
+    (rest), weights (keys) and last words with their class history (lasts, codes)."""
+    def run(batches):
+        v, m = vocabulary.value, held.value
         for batch in batches:
             for lo, hi in text_slices(batch.column(1)):
                 tokens, first = tokens_of(batch.column(1)[lo:hi])
-                counts, outcomes = v.look_up(tokens)
-                history, place = np.unique(histories(outcomes, first), return_inverse=True)
-                a, b = m.logs(history)
-                p = (a[place, outcomes // MEMBERS] + b[place, outcomes]) / math.log(10)
-                logs = np.log10(counts + SMOOTH)
+                size = hi - lo
+                counts, classes = v.count(tokens), v.classes(tokens)
+                last, history = last_tokens(tokens, first), histories(classes, first)
+                p, more_last = m.class_logs(history, last, classes)
+                shared = classes >= SINGLES
+                keys = np.concatenate([pair_names(last, tokens), block_names(last, classes)])
+                value, more = m.look_up(keys)
+                value, more = value.reshape(2, -1) * shared, more.reshape(2, -1) & shared
+                p += value.sum(0)
                 common = counts > 0
-                rare = outcomes == 0
-                p -= np.where(rare, rare_mass, 0)
-                p += np.where(rare & common, logs, 0)
-                owner = np.repeat(np.arange(hi - lo), np.diff(first))
-                sums = lambda x: np.bincount(owner, weights=x, minlength=hi - lo)
-                other = np.flatnonzero(~common)
-                order = other[np.lexsort((tokens[other], owner[other]))]
-                new = np.ones(len(order), bool)
-                new[1:] = (tokens[order][1:] != tokens[order][:-1]) | (owner[order][1:] != owner[order][:-1])
-                heads = np.flatnonzero(new)
-                n = np.diff(np.append(heads, len(order))).astype("i4")
-                ends = np.concatenate([[0], np.cumsum(np.bincount(owner[order][heads], minlength=hi - lo))]).astype("i4")
+                logs = np.log10(counts + SMOOTH)
+                p = p / LN10 - np.log10(v.masses[classes]) + np.where(common, logs, 0)
+                owner = np.repeat(np.arange(size), np.diff(first))
+                sums = lambda x: pa.array(np.bincount(owner, weights=x, minlength=size))
+                both = np.tile(owner, 2)[more.ravel()]
+                at = np.flatnonzero(more_last)
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c)[lo:hi] for c in (0, 2, 3)), pa.array(np.diff(first)), pa.array(sums(common).astype(np.int64)), pa.array(sums(np.where(common, logs, 0))),
-                     pa.array(sums(p)), pa.ListArray.from_arrays(pa.array(ends), pa.array(tokens[order][heads])),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(n))],
-                    ["uid", "key", "held_out", "n_tokens", "n_common", "common_log", "score_part", "rest", "rest_n"])
+                    [*(batch.column(c)[lo:hi] for c in (0, 2, 3)), pa.array(np.diff(first)),
+                     sums(common).cast(pa.int64()), sums(np.where(common, logs, 0)), sums(p),
+                     *grouped(owner[~common], size, tokens[~common]),
+                     *grouped(both, size, keys[more.ravel()]),
+                     *grouped(owner[at], size, last[at], history[at] * CLASSES + classes[at])],
+                    ["uid", "key", "held_out", "n_tokens", "n_common", "common_log", "score_part", "rest", "rest_n",
+                     "keys", "keys_n", "lasts", "codes", "lasts_n"])
 
     kind = docs.schema["key"].dataType.simpleString()
     return docs.select("uid", "text", "key", "held_out").mapInArrow(
         run, f"uid long, key {kind}, held_out boolean, n_tokens long, n_common long, common_log double, score_part double, "
-             "rest array<long>, rest_n array<int>")
+             "rest array<long>, rest_n array<int>, keys array<long>, keys_n array<int>, "
+             "lasts array<long>, codes array<long>, lasts_n array<int>")
+
+
+def listed(told: DataFrame, *names: str) -> DataFrame:
+    """One row per element of the lists ``names`` of each text."""
+    rows = told.select("uid", F.explode(F.arrays_zip(*names)).alias("r"))
+    return rows.select("uid", *(F.col(f"r.{n}").alias(n) for n in names))
+
+
+def joined_weights(told: DataFrame, trained: Trained) -> DataFrame:
+    """(uid, more): what weights beyond the broadcast ones add to each text's log10 probability."""
+    held = trained.held
+    pairs = listed(told, "keys", "keys_n").join(trained.weights, F.col("keys") == F.col("key"))
+    added = pairs.select("uid", (F.col("keys_n") * F.col("value").cast("double")).alias("more"))
+
+    def run(batches):
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 4096):
+                batch = whole.slice(lo, 4096)
+                code = np.asarray(batch.column(1))
+                theta = np.zeros((len(code), CLASSES))
+                row = np.repeat(np.arange(len(code)), np.diff(np.asarray(batch.column(3).offsets)))
+                theta[row, np.asarray(batch.column(3).flatten())] = np.asarray(batch.column(4).flatten())
+                base = held.value.classes.logits(code // CLASSES)
+                gain = log_softmax(base + theta) - log_softmax(np.where(np.isinf(base), -1e300, base))
+                value = gain[np.arange(len(code)), code % CLASSES] * np.asarray(batch.column(2))
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(value)], ["uid", "more"])
+
+    lasts = listed(told, "lasts", "codes", "lasts_n").join(trained.thetas, F.col("lasts") == F.col("a"))
+    classes = lasts.select("uid", "codes", "lasts_n", "classes", "theta").mapInArrow(run, "uid long, more double")
+    return added.union(classes).groupBy("uid").agg((F.sum("more") / F.lit(LN10)).alias("weights"))
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", common: int = 200_000, **options) -> DataFrame:
@@ -287,17 +574,19 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", common: int
                        (crc_of_id(F.col(f"`{key}`")) % 10 == 0).alias("held_out"))
     training = rows.where(~F.col("held_out"))
     counts = stage(count_tokens(training).groupBy("token").agg(F.sum("n").alias("n")), "token-counts")
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).collect()[0]
-    frequent = counts.orderBy(F.desc("n"), "token").limit(common)
-    vocabulary = spark.sparkContext.broadcast(Vocabulary(frequent.collect(), total["n"], total["v"]))
-    model = spark.sparkContext.broadcast(fit(training, vocabulary, **options).single())
-    told = stage(read(with_uid(rows), vocabulary, model), "texts-read")
-    rest = told.select("uid", F.explode(F.arrays_zip("rest", "rest_n")).alias("r")).select(
-        "uid", F.col("r.rest").alias("token"), F.col("r.rest_n").alias("times"))
+    sums = counts.groupBy(F.pmod("token", F.lit(SHARED)).alias("s")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
+    total = {"n": sum(r["n"] for r in sums), "v": sum(r["v"] for r in sums)}
+    frequent = counts.orderBy(F.desc("n"), "token").limit(max(common, SINGLES))
+    vocabulary = spark.sparkContext.broadcast(Vocabulary(
+        frequent.collect(), total["n"], total["v"], {r["s"]: r["n"] + SMOOTH * r["v"] for r in sums}))
+    trained = train(training, counts, vocabulary, **options)
+    told = stage(read(with_uid(rows), vocabulary, trained.held), "texts-read")
     logs = F.log10(F.col("n") + F.lit(SMOOTH)) - F.log10(F.lit(SMOOTH))
-    met = rest.join(counts, "token").groupBy("uid").agg(
-        F.sum("times").alias("known"), F.sum(F.col("times") * logs).alias("more"))
-    out = told.drop("rest", "rest_n").withColumn("n_rest", F.col("n_tokens") - F.col("n_common")).join(met, "uid", "left")
+    met = listed(told, "rest", "rest_n").join(counts, F.col("rest") == F.col("token")).groupBy("uid").agg(
+        F.sum("rest_n").alias("known"), F.sum(F.col("rest_n") * logs).alias("more"))
+    out = told.select("uid", "key", "held_out", "n_tokens", "n_common", "common_log", "score_part",
+                      (F.col("n_tokens") - F.col("n_common")).alias("n_rest"))
+    out = out.join(met, "uid", "left").join(joined_weights(told, trained), "uid", "left")
     # every token beyond the common ones counts as unknown first; the join adds what the known ones have on top
     beyond = F.col("n_rest") * F.log10(F.lit(SMOOTH)) + F.coalesce("more", F.lit(0.0))
     below = math.log10(total["n"] + SMOOTH * (total["v"] + 1))
@@ -306,4 +595,4 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", common: int
         (F.col("n_common") + F.coalesce("known", F.lit(0))).cast("long").alias("n_known"),
         F.lit(total["n"]).cast("long").alias("train_tokens"),
         (F.col("common_log") + beyond - F.col("n_tokens") * F.lit(below)).alias("base_score"),
-        (F.col("score_part") + beyond).alias("score"))
+        (F.col("score_part") + beyond + F.coalesce("weights", F.lit(0.0))).alias("score"))

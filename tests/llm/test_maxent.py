@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from lodestar.llm import maxent
 
@@ -57,42 +58,179 @@ def test_history_helps_on_held_out_text(spark):
     assert sum(r["score"] for r in held) > 0.6 * sum(r["base_score"] for r in held)
 
 
-def test_probabilities_of_every_history_sum_to_one():
-    rows = [{"token": t, "n": n} for t, n in zip([maxent.END, *range(300)], range(1000, 0, -3))]
-    vocabulary = maxent.Vocabulary(rows, sum(r["n"] for r in rows) + 50, len(rows) + 50)
-    model = maxent.Maxent(vocabulary, 256)
-    rng = np.random.default_rng(1)
-    model.classes += rng.normal(size=model.classes.shape)
-    model.members += rng.normal(size=model.members.shape)
-    a, b = model.logs(rng.integers(0, (maxent.TOP + 1) ** 2, 50))
-    total = np.exp(np.repeat(a, maxent.MEMBERS, axis=1) + b)
-    assert np.allclose(total.sum(1), 1)
-    rare = rows[maxent.TOP - 1:]
-    mass = sum(r["n"] + 0.1 for r in rare) + 50 * 1.1 + 0.1  # the rare words seen, 50 seen once, and one unknown
-    assert math.isclose(mass, vocabulary.rare_tokens + 0.1 * (vocabulary.rare_words + 1))
+def name(word):
+    return int(maxent.tokens_of(pa.array([word]))[0][0])
+
+
+def sentences(n, rng):
+    """Texts in which each of 60 words is followed by one of three."""
+    after = {f"w{i}": [f"w{rng.randrange(60)}" for _ in range(3)] for i in range(60)}
+    rows = []
+    for i in range(n):
+        words = [f"w{rng.randrange(60)}"]
+        for _ in range(rng.randrange(1, 40)):
+            words.append(rng.choice(after[words[-1]]) if words[-1] in after and rng.random() < 0.9 else rng.choice([f"w{rng.randrange(60)}", f"rare{rng.randrange(400)}"]))
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+class Plain:
+    """The whole law written out, from all rows of the model's tables."""
+
+    def __init__(self, counts, vocabulary, trained):
+        self.counts = {r["token"]: r["n"] for r in counts.collect()}
+        self.vocabulary, self.classes = vocabulary, trained.classes.single()
+        self.weights = {r["key"]: r["value"] for r in trained.weights.collect()}
+        self.of = {}
+        self.thetas = {r["a"]: dict(zip(r["classes"], r["theta"])) for r in trained.thetas.collect()}
+
+    def class_of(self, token):
+        if token not in self.of:
+            self.of[token] = maxent.CLASSES if token == maxent.START else int(self.vocabulary.classes(np.array([token]))[0])
+        return self.of[token]
+
+    def start(self, token):
+        return self.counts.get(token, 0) + 0.1
+
+    def law(self, two, one, unseen):
+        """{token: probability} of every known token and of the ``unseen`` ones."""
+        history = np.array([self.class_of(two) * (maxent.CLASSES + 1) + self.class_of(one)])
+        logits = self.classes.logits(history)[0]
+        for c, w in self.thetas.get(one, {}).items():
+            logits[c] += w
+        of_class = np.exp(logits - logits.max())
+        of_class /= of_class.sum()
+        members = {}
+        tokens = [*self.counts, *unseen]
+        pairs = maxent.pair_names(np.full(len(tokens), one), np.array(tokens)).tolist()
+        for token, pair in zip(tokens, pairs):
+            c = self.class_of(token)
+            members.setdefault(c, {})[token] = self.start(token) * math.exp(self.weights.get(pair, 0) if c >= maxent.SINGLES else 0)
+        return {t: of_class[c] * x / sum(m.values()) for c, m in members.items() for t, x in m.items()}
+
+
+@pytest.fixture(scope="module")
+def small(spark):
+    rows = sentences(400, random.Random(5))
+    docs = cases.frame(spark, rows).repartition(3)
+    held = [i for i, _ in rows if cases.crc(i) % 10 == 0]
+    training = docs.where(~docs.doc_id.isin(held))
+    counts = maxent.count_tokens(training).groupBy("token").agg(F.sum("n").alias("n")).cache()
+    every = counts.collect()
+    shared = Counter()
+    for r in every:
+        shared[r["token"] % maxent.SHARED] += r["n"] + 0.1
+    vocabulary = maxent.Vocabulary(every, sum(r["n"] for r in every), len(every), shared)
+    trained = maxent.train(training, counts, spark.sparkContext.broadcast(vocabulary), steps=6)
+    return rows, docs, Plain(counts, vocabulary, trained)
+
+
+def unseen_words(plain):
+    """One unknown word of each shared class, and their number."""
+    found = {}
+    for token in maxent.tokens_of(pa.array([" ".join(f"unseen{i}" for i in range(2000))]))[0][:-1].tolist():
+        found.setdefault(plain.class_of(token), token)
+    assert len(found) == maxent.SHARED
+    return list(found.values())
+
+
+def test_probabilities_of_every_history_sum_to_one(small):
+    """Also that the normalisers, kept as corrections by block, are those of the written-out law."""
+    _, _, plain = small
+    unseen = unseen_words(plain)
+    known = list(plain.counts)
+    rng = random.Random(3)
+    for _ in range(20):
+        two, one = (rng.choice([*known, int(maxent.START), unseen[0]]) for _ in range(2))
+        law = plain.law(two, one, unseen)
+        assert math.isclose(sum(law.values()), 1, rel_tol=1e-9)
+        for c in range(maxent.SINGLES, maxent.CLASSES):
+            block = int(maxent.block_names(np.array([one]), np.array([c]))[0])
+            members = [t for t in [*known, *unseen] if plain.class_of(t) == c]
+            full = sum(plain.start(t) * math.exp(plain.weights.get(int(maxent.pair_names(np.array([one]), np.array([t]))[0]), 0)) for t in members)
+            assert math.isclose(math.log(full / plain.vocabulary.masses[c]), -plain.weights.get(block, 0), rel_tol=1e-4, abs_tol=1e-5)
+
+
+@pytest.mark.parametrize("bounds", [{}, {"words": 3, "pairs": 5}, {"words": 0, "pairs": 0}])
+def test_scores_are_those_of_the_written_out_law(small, bounds):
+    rows, docs, plain = small
+    found = {r["doc_id"]: r["score"] for r in maxent.score(docs, steps=6, common=24 if bounds else 1000, **bounds).collect()}
+    assert len(found) == len(rows)
+    unseen = {plain.class_of(t): t for t in unseen_words(plain)}
+    for i, text in rows[:25]:
+        tokens = [name(w) for w in text.split()] + [int(maxent.END)]
+        want, two, one = 0.0, int(maxent.START), int(maxent.START)
+        for token in tokens:
+            missing = dict(unseen)
+            if token not in plain.counts:
+                missing[plain.class_of(token)] = token
+            want += math.log10(plain.law(two, one, list(missing.values()))[token])
+            two, one = one, token
+        assert math.isclose(found[i], want, rel_tol=1e-5), (i, found[i], want)
+
+
+def test_model_grows_with_the_corpus(spark):
+    sizes = []
+    for n in (100, 400):
+        docs = cases.frame(spark, sentences(n, random.Random(5)))
+        counts = maxent.count_tokens(docs).groupBy("token").agg(F.sum("n").alias("n"))
+        every = counts.collect()
+        vocabulary = maxent.Vocabulary(every, sum(r["n"] for r in every), len(every), {})
+        trained = maxent.train(docs, counts, spark.sparkContext.broadcast(vocabulary), steps=1)
+        sizes.append(trained.weights.count())
+    assert sizes[1] > 1.2 * sizes[0]
+
+
+def test_blocks_are_trained_to_their_optimum():
+    rng = np.random.default_rng(4)
+    block = np.repeat([0, 1], [5, 3])
+    n, m = rng.integers(2, 30, 8).astype(float), rng.random(8) * 20 + 0.1
+    mass = np.array([100.0, 60.0]) + np.bincount(block, weights=m)
+    total = np.bincount(block, weights=n) + [7, 0]
+    weight, shift = maxent.train_blocks(block, n, m, total, mass, 0.15, 800)
+    norm = mass * np.exp(shift)
+    assert np.allclose(norm, mass + np.bincount(block, weights=m * np.expm1(weight)))
+    slope = n - total[block] * m * np.exp(weight) / norm[block] - 0.15 * weight
+    assert np.abs(slope).max() < 1e-3
+
+
+def test_blocks_over_several_batches(spark):
+    """A block of many pairs, cut over Arrow batches, is trained as one."""
+    vocabulary = maxent.Vocabulary([], 0, 0, {s: 5000.0 for s in range(maxent.SHARED)})
+    held = spark.sparkContext.broadcast(vocabulary)
+    cls = maxent.SINGLES
+    rows = [(a, cls, None, 0, 3000) for a in (7, 8)] + [(a, cls, maxent.SHARED * w, 3, 2) for a in (7, 8) for w in range(500)]
+    blocks = spark.createDataFrame(rows, "a long, cls long, word long, m long, n long")
+    whole = {r["key"]: r["value"] for r in maxent.fit_members(blocks, held, 0.15, 10).collect()}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    try:
+        cut = {r["key"]: r["value"] for r in maxent.fit_members(blocks, held, 0.15, 10).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert cut == whole and len(whole) == 1002
 
 
 def test_gradient_is_that_of_the_log_likelihood():
-    rows = [{"token": t, "n": 10 + t} for t in range(40)]
-    model = maxent.Maxent(maxent.Vocabulary(rows, 2000, 60), 64)
+    rows = [{"token": t, "n": 10 + t} for t in range(80)]
+    model = maxent.Maxent(maxent.Vocabulary(rows, 5000, 80, {s: 150.0 for s in range(maxent.SHARED)}), 64)
     rng = np.random.default_rng(4)
-    history = rng.integers(0, (maxent.TOP + 1) ** 2, 5)
-    counts = np.zeros((5, maxent.TOP))
+    history = rng.integers(0, (maxent.CLASSES + 1) ** 2, 5)
+    counts = np.zeros((5, maxent.CLASSES))
     counts[np.arange(5), rng.integers(0, 40, 5)] = 3
 
     def likelihood():
-        a, b = model.logs(history)
+        a = maxent.log_softmax(model.logits(history))
         i, j = np.nonzero(counts)
-        return (counts[i, j] * (a[i, j // maxent.MEMBERS] + b[i, j])).sum()
+        return (counts[i, j] * a[i, j]).sum()
 
-    gradient = model.gradient(history, counts)
+    gradient, _ = model.gradient(history, counts)
     row = maxent.features(history, 64)[0, 1]
-    for weights, grad, column in ((model.classes, gradient[0], 1), (model.members, gradient[1], 3)):
-        weights[row, column] += 1e-5
+    for column in (1, 3):
+        model.weights[row, column] += 1e-5
         up = likelihood()
-        weights[row, column] -= 2e-5
-        assert math.isclose((up - likelihood()) / 2e-5, grad[row, column], rel_tol=1e-3, abs_tol=1e-6)
-        weights[row, column] += 1e-5
+        model.weights[row, column] -= 2e-5
+        assert math.isclose((up - likelihood()) / 2e-5, gradient[row, column], rel_tol=1e-3, abs_tol=1e-6)
+        model.weights[row, column] += 1e-5
 
 
 def test_tokens_of_texts():
