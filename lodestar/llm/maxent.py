@@ -20,6 +20,11 @@ class) shares no weight with any other, so blocks are dealt over the tasks and
 each is trained by gradient steps of its own.  The normaliser of a block is that
 of its class corrected for the words that have a weight, so it is exact.
 
+Contexts (last words) and words within a class are hashed: a feature's name is one
+64-bit number of class (6 bits), context (34) and cell of the class (24).  Words of
+one cell share their weights and a cell's mass is the sum of its words', so the law
+stays proper; a word never seen takes the weights of its cell, if there are any.
+
 The members of each class and one unseen word per shared class sum to one, and
 so do the classes, for any history.  The weights are a table that grows with the
 corpus.  The most used of them, of a stated number, are broadcast; a token that
@@ -140,11 +145,17 @@ class Vocabulary:
         return np.where(found, self.counts[at], 0) if len(self.counts) else np.zeros(len(tokens), np.int64)
 
 
-def last_tokens(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
-    one = np.full(len(tokens), START, np.int64)
-    one[1:] = tokens[:-1]
-    one[first[:-1]] = START
-    return one
+def contexts_of(tokens: np.ndarray, classes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The hashed last word of each token: its class and 28 bits of its name."""
+    one, cls = np.full(len(tokens), START, np.int64), np.full(len(tokens), CLASSES, np.int64)
+    one[1:], cls[1:] = tokens[:-1], classes[:-1]
+    one[first[:-1]], cls[first[:-1]] = START, CLASSES
+    return (cls << 28) | (mix(one.view(U)) & U((1 << 28) - 1)).view(np.int64)
+
+
+def cells_of(tokens: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """The cell of each token within its class; a class of one word has one."""
+    return np.where(classes >= SINGLES, (tokens >> 32) & 0xFFFFFF, 0)
 
 
 def histories(classes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -159,12 +170,18 @@ def histories(classes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return two * (CLASSES + 1) + one
 
 
-def pair_names(last: np.ndarray, words: np.ndarray) -> np.ndarray:
-    return mix(mix(last.astype(np.int64).view(U)) + words.astype(np.int64).view(U)).view(np.int64)
+def pair_names(contexts: np.ndarray, classes: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    return (classes.astype(np.int64) << 58) | (contexts << 24) | cells
+
 
+def blocks_of(pairs: np.ndarray) -> np.ndarray:
+    """Class and context of each pair, as one number."""
+    return (pairs.view(U) >> U(24)).view(np.int64)
 
-def block_names(last: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    return mix(mix(last.astype(np.int64).view(U) ^ U(0x5B10C)) + classes.astype(U)).view(np.int64)
+
+def block_names(blocks: np.ndarray) -> np.ndarray:
+    """The name under which a block's correction is kept; no pair has the class 62."""
+    return ((mix(blocks.view(U)) >> U(6)) | U(62 << 58)).view(np.int64)
 
 
 def features(history: np.ndarray, rows: int) -> np.ndarray:
@@ -212,33 +229,18 @@ class Maxent:
         return out
 
 
-TRIGRAM, CELL, PAIR = 0, 1, 2
+HISTORY = 63  # stands for the class in the names of class trigrams
 
 
 def count_contexts(docs: DataFrame, vocabulary) -> DataFrame:
-    """(kind, a, b, m, n) partial counts per task of class trigrams (history, class), of cells
-    (last word, class) and of pairs (last word, word) of shared classes; m: the word's count if
-    it is a common one.  ``docs``: (text)."""
-    names = ["kind", "a", "b", "m", "n"]
-
-    def batch_of(kind, a, b, m, n):
-        for lo in range(0, len(a), 200_000):
-            to = slice(lo, lo + 200_000)
-            size = len(a[to])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(size, kind, np.int8)), pa.array(a[to]), pa.array(b[to]), pa.array(m[to]), pa.array(n[to])], names)
-
-    def flush(v, held):
-        last, words = (np.concatenate([h[i] for h in held]) for i in (0, 1))
-        n = np.concatenate([h[2] for h in held])
-        _, head, place = np.unique(pair_names(last, words), return_index=True, return_inverse=True)
-        last, words, n = last[head], words[head], np.bincount(place, weights=n).astype(np.int64)
-        classes = v.classes(words)
-        _, head, place = np.unique(block_names(last, classes), return_index=True, return_inverse=True)
-        yield from batch_of(CELL, last[head], classes[head], np.zeros(len(head), np.int64),
-                            np.bincount(place, weights=n).astype(np.int64))
-        shared = classes >= SINGLES
-        yield from batch_of(PAIR, last[shared], words[shared], v.count(words[shared]), n[shared])
+    """(key, n) partial counts per task, by name, of pairs and of class trigrams; ``docs``: (text)."""
+    def flush(held):
+        keys, place = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
+        return keys, np.bincount(place, weights=np.concatenate([h[1] for h in held])).astype(np.int64)
+
+    def batches_of(keys, n):
+        for lo in range(0, len(keys), 200_000):
+            yield pa.RecordBatch.from_arrays([pa.array(keys[lo:lo + 200_000]), pa.array(n[lo:lo + 200_000])], ["key", "n"])
 
     def run(batches):
         v = vocabulary.value
@@ -250,19 +252,59 @@ def count_contexts(docs: DataFrame, vocabulary) -> DataFrame:
                 classes = v.classes(tokens)
                 codes, n = np.unique(histories(classes, first) * CLASSES + classes, return_counts=True)
                 total[codes] += n
-                last = last_tokens(tokens, first)
-                _, head, n = np.unique(pair_names(last, tokens), return_index=True, return_counts=True)
-                held.append((last[head], tokens[head], n))
-                size += len(head)
-                if size > 1_500_000:
-                    yield from flush(v, held)
+                keys = pair_names(contexts_of(tokens, classes, first), classes, cells_of(tokens, classes))
+                held.append(np.unique(keys, return_counts=True))
+                size += len(held[-1][0])
+                if size > 2_500_000:
+                    yield from batches_of(*flush(held))
                     held, size = [], 0
         if held:
-            yield from flush(v, held)
+            yield from batches_of(*flush(held))
         codes = np.flatnonzero(total)
-        yield from batch_of(TRIGRAM, codes // CLASSES, codes % CLASSES, np.zeros(len(codes), np.int64), total[codes])
+        yield from batches_of(((codes.astype(U) << U(24)) | U(HISTORY << 58)).view(np.int64), total[codes])
+
+    return docs.select("text").mapInArrow(run, "key long, n long")
+
+
+def whole_blocks(batches) -> Iterator[list[np.ndarray]]:
+    """The columns of ``batches`` (key first, sorted by it) in runs that end where a block ends."""
+    held: list = []
+    for batch in batches:
+        new = [np.asarray(c) for c in batch.columns]
+        if not len(new[0]):
+            continue
+        block = blocks_of(new[0])
+        if held and blocks_of(held[-1][0][-1:])[0] != block[0]:
+            yield [np.concatenate(c) for c in zip(*held)]
+            held = []
+        cut = int(np.flatnonzero(block != block[-1])[-1]) + 1 if block[0] != block[-1] else 0
+        if cut:
+            yield [np.concatenate(c) for c in zip(*held, [x[:cut] for x in new])]
+            held = []
+        held.append([x[cut:] for x in new])
+    if held:
+        yield [np.concatenate(c) for c in zip(*held)]
+
+
+def tally(counted: DataFrame, least: int) -> DataFrame:
+    """(key, n, total): the pairs of shared classes that occur ``least`` times or more, with the count
+    of their block; and every block (key: its number, total 0).  One shuffle, by block."""
+    def run(batches):
+        for keys, n in whole_blocks(batches):
+            heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+            keys, n = keys[heads], np.add.reduceat(n, heads)
+            block = blocks_of(keys)
+            starts = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+            total = np.add.reduceat(n, starts)
+            each = np.repeat(total, np.diff(np.append(starts, len(keys))))
+            cls = block >> 34
+            kept = (n >= least) & (cls >= SINGLES) & (cls != HISTORY)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([keys[kept], block[starts]])), pa.array(np.concatenate([n[kept], total])),
+                 pa.array(np.concatenate([each[kept], np.zeros(len(starts), np.int64)]))], ["key", "n", "total"])
 
-    return docs.select("text").mapInArrow(run, "kind byte, a long, b long, m long, n long")
+    dealt = counted.repartition(F.shiftrightunsigned("key", 24)).sortWithinPartitions("key")
+    return dealt.mapInArrow(run, "key long, n long, total long")
 
 
 def fit_classes(trigrams: DataFrame, vocabulary, rows: int, steps: int, parts: int) -> Maxent:
@@ -296,7 +338,7 @@ def fit_classes(trigrams: DataFrame, vocabulary, rows: int, steps: int, parts: i
     return model
 
 
-def fit_words(cells: DataFrame, vocabulary, average, rho: float, steps: int) -> DataFrame:
+def fit_words(cells: DataFrame, average, rho: float, steps: int) -> DataFrame:
     """(a, n, classes, theta): each last word's own class weights, trained against the class law of its
     class averaged over the words two back; a word has one list of at most CLASSES cells."""
     lists = cells.groupBy("a").agg(F.sum("n").alias("n"), F.collect_list(F.struct("b", "n")).alias("c"))
@@ -311,9 +353,7 @@ def fit_words(cells: DataFrame, vocabulary, average, rho: float, steps: int) ->
                 row = np.repeat(np.arange(len(last)), lengths)
                 counts = np.zeros((len(last), CLASSES))
                 counts[row, np.asarray(batch.column(2).flatten())] = np.asarray(batch.column(3).flatten())
-                classes = vocabulary.value.classes(last)
-                classes[last == START] = CLASSES
-                base = average.value[classes]
+                base = average.value[last >> 28]
                 total = counts.sum(1, keepdims=True)
                 has = counts > 0
                 theta = np.zeros(counts.shape)
@@ -346,40 +386,22 @@ def train_blocks(block: np.ndarray, n: np.ndarray, m: np.ndarray, total: np.ndar
     return weight, np.log(norm() / mass)
 
 
-def fit_members(blocks: DataFrame, vocabulary, rho: float, steps: int) -> DataFrame:
-    """(key, value, n): weights of pairs and normaliser corrections of blocks, by name.  ``blocks``:
-    (a, cls, word, m, n), a block's cell (word null) before its pairs."""
-    def emit(a, cls, word, m, n, is_cell):
-        heads = np.flatnonzero(is_cell)
-        block = np.cumsum(is_cell) - 1
-        kept = ~is_cell
-        total, mass = n[heads].astype(float), vocabulary.value.masses[cls[heads]]
-        value, shift = train_blocks(block[kept], n[kept], m[kept] + SMOOTH, total, mass, rho, steps)
-        used = np.bincount(block[kept], minlength=len(heads)) > 0
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([pair_names(a[kept], word[kept]), block_names(a[heads], cls[heads])[used]])),
-             pa.array(np.concatenate([value, -shift[used]]).astype("f4")),
-             pa.array(np.concatenate([n[kept], n[heads][used]]))], ["key", "value", "n"])
-
+def fit_members(pairs: DataFrame, vocabulary, rho: float, steps: int) -> DataFrame:
+    """(key, value, n): weights of pairs and corrections of their blocks' normalisers, by name.
+    ``pairs``: (key, n, total, m), m the mass of the pair's cell."""
     def run(batches):
-        held: list = []
-        for batch in batches:
-            is_cell = np.asarray(batch.column(2).is_null())
-            new = [np.asarray(batch.column(0)), np.asarray(batch.column(1)),
-                   np.asarray(pc.fill_null(batch.column(2), 0)), np.asarray(batch.column(3)), np.asarray(batch.column(4)), is_cell]
-            if is_cell.any():  # a block goes on until the next cell
-                cut = int(np.flatnonzero(is_cell)[-1])
-                parts = [*held, [x[:cut] for x in new]]
-                whole = [np.concatenate(c) for c in zip(*parts)]
-                if len(whole[0]):
-                    yield from emit(*whole)
-                held = [[x[cut:] for x in new]]
-            else:
-                held.append(new)
-        if held:
-            yield from emit(*[np.concatenate(c) for c in zip(*held)])
+        for keys, n, total, m in whole_blocks(batches):
+            blocks = blocks_of(keys)
+            starts = np.flatnonzero(np.append(True, blocks[1:] != blocks[:-1]))
+            block = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(keys))))
+            mass = vocabulary.value.masses[blocks[starts] >> 34]
+            value, shift = train_blocks(block, n, m, total[starts].astype(float), mass, rho, steps)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([keys, block_names(blocks[starts])])),
+                 pa.array(np.concatenate([value, -shift]).astype("f4")),
+                 pa.array(np.concatenate([n, total[starts]]))], ["key", "value", "n"])
 
-    ordered = blocks.repartition("a", "cls").sortWithinPartitions("a", "cls", F.col("word").asc_nulls_first())
+    ordered = pairs.repartition(F.shiftrightunsigned("key", 24)).sortWithinPartitions("key")
     return ordered.mapInArrow(run, "key long, value float, n long")
 
 
@@ -455,31 +477,35 @@ class Trained:
 
 
 def train(docs: DataFrame, counts: DataFrame, vocabulary, rows: int = 8192, steps: int = 12, parts: int = 8,
-          least: int = 2, rho: float = 0.15, words: int = 50_000, pairs: int = 750_000) -> Trained:
+          least: int = 2, rho: float = 0.15, words: int = 50_000, pairs: int = 2_000_000) -> Trained:
     """Train on all of ``docs`` (text); ``words`` and ``pairs`` bound what is broadcast, not the model."""
-    found = count_contexts(docs, vocabulary).groupBy("kind", "a", "b").agg(F.max("m").alias("m"), F.sum("n").alias("n"))
-    found = stage(found.where((F.col("kind") != PAIR) | (F.col("n") >= least)), "contexts")
-    classes = fit_classes(found.where(F.col("kind") == TRIGRAM), vocabulary, rows, steps, parts)
+    found = stage(tally(count_contexts(docs, vocabulary), least), "contexts")
+    blocks = found.where("total = 0").withColumn("cls", F.shiftright("key", 34))
+    code = F.col("key") - F.lit(HISTORY << 34)
+    trigrams = blocks.where(F.col("cls") == HISTORY).select(
+        F.floor(code / CLASSES).alias("a"), (code % CLASSES).alias("b"), "n")
+    classes = fit_classes(trigrams, vocabulary, rows, steps, parts)
 
     spark = docs.sparkSession
     every = np.arange((CLASSES + 1) ** 2)
     logs = log_softmax(classes.single().logits(every)).reshape(CLASSES + 1, CLASSES + 1, CLASSES)
     seen = np.zeros((CLASSES + 1, CLASSES + 1))
-    for r in found.where(F.col("kind") == TRIGRAM).groupBy("a").agg(F.sum("n").alias("n")).collect():  # one row a class history
+    for r in trigrams.groupBy("a").agg(F.sum("n").alias("n")).collect():  # one row a class history
         seen[r["a"] // (CLASSES + 1), r["a"] % (CLASSES + 1)] = r["n"]
     share = (seen + 1e-9) / (seen + 1e-9).sum(0)
     average = spark.sparkContext.broadcast(np.log(np.maximum((np.exp(logs) * share[:, :, None]).sum(0), 1e-300)))
-    cells = found.where(F.col("kind") == CELL)
-    thetas = stage(fit_words(cells.select("a", "b", "n"), vocabulary, average, rho, steps), "word-weights")
-
-    pairs_of = found.where(F.col("kind") == PAIR).select("a", F.col("b").alias("word"), "m", "n")
-    rest = pairs_of.where("m = 0").drop("m").join(counts.select(F.col("token").alias("word"), F.col("n").alias("m")), "word")
-    members = pairs_of.where("m > 0").unionByName(rest.select("a", "word", "m", "n"))
-    shared = (F.lit(SINGLES) + F.pmod("word", F.lit(SHARED))).cast("long")
-    blocks = members.select("a", shared.alias("cls"), "word", "m", "n").unionByName(
-        cells.where((F.col("b") >= SINGLES) & (F.col("n") >= least)).select(
-            "a", F.col("b").alias("cls"), F.lit(None).cast("long").alias("word"), F.lit(0).cast("long").alias("m"), "n"))
-    weights = stage(fit_members(blocks, vocabulary, rho, steps * 2), "pair-weights")
+    cells = blocks.where(F.col("cls") != HISTORY).select(
+        F.col("key").bitwiseAND((1 << 34) - 1).alias("a"), F.col("cls").alias("b"), "n")
+    thetas = stage(fit_words(cells, average, rho, steps), "word-weights")
+
+    shared = F.lit(SINGLES) + F.pmod("token", F.lit(SHARED))
+    cell = F.shiftright("token", 32).bitwiseAND(0xFFFFFF)
+    masses = counts.where(~F.col("token").isin(vocabulary.value.single_names.tolist())).groupBy(
+        (shared * (1 << 24) + cell).alias("cell")).agg(F.sum(F.col("n") + F.lit(SMOOTH)).alias("m"))
+    pairs_of = found.where("total > 0").withColumn(
+        "cell", F.shiftrightunsigned("key", 58) * (1 << 24) + F.col("key").bitwiseAND(0xFFFFFF))
+    members = pairs_of.join(masses, "cell").select("key", "n", "total", "m")
+    weights = stage(fit_members(members, vocabulary, rho, steps * 2), "pair-weights")
     return Trained(thetas, weights, classes, words, pairs)
 
 
@@ -506,10 +532,11 @@ def read(docs: DataFrame, vocabulary, held) -> DataFrame:
                 tokens, first = tokens_of(batch.column(1)[lo:hi])
                 size = hi - lo
                 counts, classes = v.count(tokens), v.classes(tokens)
-                last, history = last_tokens(tokens, first), histories(classes, first)
+                last, history = contexts_of(tokens, classes, first), histories(classes, first)
                 p, more_last = m.class_logs(history, last, classes)
                 shared = classes >= SINGLES
-                keys = np.concatenate([pair_names(last, tokens), block_names(last, classes)])
+                pairs = pair_names(last, classes, cells_of(tokens, classes))
+                keys = np.concatenate([pairs, block_names(blocks_of(pairs))])
                 value, more = m.look_up(keys)
                 value, more = value.reshape(2, -1) * shared, more.reshape(2, -1) & shared
                 p += value.sum(0)

@@ -89,6 +89,15 @@ class Plain:
             self.of[token] = maxent.CLASSES if token == maxent.START else int(self.vocabulary.classes(np.array([token]))[0])
         return self.of[token]
 
+    def context(self, token):
+        return (self.class_of(token) << 28) | int(maxent.mix(np.array([token], np.int64).view(np.uint64))[0] & np.uint64((1 << 28) - 1))
+
+    def cell(self, token):
+        return (token >> 32) & 0xFFFFFF if self.class_of(token) >= maxent.SINGLES else 0
+
+    def pair(self, one, token):
+        return int(maxent.pair_names(np.array([self.context(one)]), np.array([self.class_of(token)]), np.array([self.cell(token)]))[0])
+
     def start(self, token):
         return self.counts.get(token, 0) + 0.1
 
@@ -96,13 +105,14 @@ class Plain:
         """{token: probability} of every known token and of the ``unseen`` ones."""
         history = np.array([self.class_of(two) * (maxent.CLASSES + 1) + self.class_of(one)])
         logits = self.classes.logits(history)[0]
-        for c, w in self.thetas.get(one, {}).items():
+        for c, w in self.thetas.get(self.context(one), {}).items():
             logits[c] += w
         of_class = np.exp(logits - logits.max())
         of_class /= of_class.sum()
         members = {}
         tokens = [*self.counts, *unseen]
-        pairs = maxent.pair_names(np.full(len(tokens), one), np.array(tokens)).tolist()
+        pairs = maxent.pair_names(np.full(len(tokens), self.context(one)), np.array([self.class_of(t) for t in tokens]), np.array(
+            [self.cell(t) for t in tokens])).tolist()
         for token, pair in zip(tokens, pairs):
             c = self.class_of(token)
             members.setdefault(c, {})[token] = self.start(token) * math.exp(self.weights.get(pair, 0) if c >= maxent.SINGLES else 0)
@@ -145,9 +155,9 @@ def test_probabilities_of_every_history_sum_to_one(small):
         law = plain.law(two, one, unseen)
         assert math.isclose(sum(law.values()), 1, rel_tol=1e-9)
         for c in range(maxent.SINGLES, maxent.CLASSES):
-            block = int(maxent.block_names(np.array([one]), np.array([c]))[0])
+            block = int(maxent.block_names(np.array([(c << 34) | plain.context(one)]))[0])
             members = [t for t in [*known, *unseen] if plain.class_of(t) == c]
-            full = sum(plain.start(t) * math.exp(plain.weights.get(int(maxent.pair_names(np.array([one]), np.array([t]))[0]), 0)) for t in members)
+            full = sum(plain.start(t) * math.exp(plain.weights.get(plain.pair(one, t), 0)) for t in members)
             assert math.isclose(math.log(full / plain.vocabulary.masses[c]), -plain.weights.get(block, 0), rel_tol=1e-4, abs_tol=1e-5)
 
 
@@ -198,9 +208,8 @@ def test_blocks_over_several_batches(spark):
     """A block of many pairs, cut over Arrow batches, is trained as one."""
     vocabulary = maxent.Vocabulary([], 0, 0, {s: 5000.0 for s in range(maxent.SHARED)})
     held = spark.sparkContext.broadcast(vocabulary)
-    cls = maxent.SINGLES
-    rows = [(a, cls, None, 0, 3000) for a in (7, 8)] + [(a, cls, maxent.SHARED * w, 3, 2) for a in (7, 8) for w in range(500)]
-    blocks = spark.createDataFrame(rows, "a long, cls long, word long, m long, n long")
+    rows = [((maxent.SINGLES << 58) | (a << 24) | w, 2, 3000, 3.1) for a in (7, 8) for w in range(500)]
+    blocks = spark.createDataFrame(rows, "key long, n long, total long, m double")
     whole = {r["key"]: r["value"] for r in maxent.fit_members(blocks, held, 0.15, 10).collect()}
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
     try:
