@@ -31,10 +31,14 @@ def check_pk_incoming(existing: DataFrame, incoming: DataFrame, keys: list[str],
     """CHK1 for a load: keys of ``incoming`` that would occur more than once in
     ``existing`` plus ``incoming``.  The incoming rows are read once, for their keys
     and counts; only existing rows whose key arrives are read past a semi join
-    (incoming keys broadcast when measured small), so the table itself is never grouped."""
+    (incoming keys broadcast when measured small), so the table itself is never grouped.
+    Where no row exists yet, the doubles are counted from that aggregate and no key is kept."""
     from lodestar.operators.sizing import join_small, materialize
 
-    inc = materialize(incoming.where(F.expr(where)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
+    inc = incoming.where(F.expr(where)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    if existing.isEmpty():
+        return _row(name, materialize(inc.where(F.col("n") > 1).agg(F.count(F.lit(1)).alias("cnt"))))
+    inc = materialize(inc)
     hit = join_small(existing.where(F.expr(where)).select(*keys), inc.select(*keys), keys, "left_semi", materialized=True)
     double = inc.where(F.col("n") > 1).select(*keys).unionByName(hit).distinct()
     return _row(name, double.agg(F.count(F.lit(1)).alias("cnt")))
