@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestar.functions import REQUEST_FIELDS, request_key
 
@@ -17,13 +18,26 @@ def _q(c: str) -> str:
     return f"`{c}`"
 
 
+def _ordered(kind: T.DataType) -> bool:
+    """Whether values of the type can be compared."""
+    return isinstance(kind, T.AtomicType) and not isinstance(kind, (T.VariantType, T.SpatialType))
+
+
 def latest_per_key(df: DataFrame, keys: list[str], order: str = "numeric") -> DataFrame:
     """AGG1: the whole latest record of each key, latest = max request identity.
 
     One aggregate: ``max_by(struct(row), identity)``; no key table and no join
-    back (JN1 is folded in).  ``order='text'`` reproduces the text comparison
-    of the concatenated identity (quirk Q1)."""
+    back (JN1 is folded in).  The identity is held once, as the key of the maximum.
+    ``order='text'`` reproduces the text comparison of the concatenated identity
+    (quirk Q1)."""
     rest = [c for c in df.columns if c not in keys]
+    if order == "numeric" and not set(REQUEST_FIELDS) & set(keys):
+        others = [c for c in rest if c not in REQUEST_FIELDS]
+        if all(_ordered(df.schema[c].dataType) for c in others):
+            # the greatest row by identity first: among rows of one identity any may be the latest
+            row = F.struct(*[F.col(c) for c in REQUEST_FIELDS], *[F.col(_q(c)) for c in others])
+            agg = df.groupBy(*[F.col(_q(k)) for k in keys]).agg(F.max(row).alias("_latest"))
+            return agg.select(*[F.col(_q(c)) if c in keys else F.col(f"_latest.{_q(c)}").alias(c) for c in df.columns])
     row = F.struct(*[F.col(_q(c)) for c in rest])
     agg = df.groupBy(*[F.col(_q(k)) for k in keys]).agg(F.max_by(row, request_key(order)).alias("_latest"))
     return agg.select(*[F.col(_q(k)) for k in keys], *[F.col(f"_latest.{_q(c)}").alias(c) for c in rest]).select(
