@@ -5,7 +5,7 @@ task; a hot group holding a third of the rows would then be sorted by a single
 task.  Here the rows are range-partitioned on the *full* sort key (groups are
 cut across partitions) and sorted inside each partition, and every row takes
 its position in that order (``monotonically_increasing_id`` right after the
-sort, fixed by a reliable checkpoint).  A row's number is its position minus
+sort, fixed by writing the sorted rows once).  A row's number is its position minus
 the position of its group's first row in the same partition, plus the rows of
 its group in earlier partitions.  Only the per-(partition, group) table, at
 most (#groups + #partitions) rows, is aggregated and joined back: the rows
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.operators.sizing import join_small
+from lodestar.operators.sizing import join_small, materialize
 
 
 def _range_sorted(df: DataFrame, keys: list, num_partitions: int | None) -> DataFrame:
@@ -29,9 +29,9 @@ def _range_sorted(df: DataFrame, keys: list, num_partitions: int | None) -> Data
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id())  # position in the sorted partition
     )
-    # Reliable checkpoint (shared folder): fixes partition ids and positions
-    # for the passes below and survives executor loss.
-    return s.checkpoint(eager=True)
+    # Written once (shared folder): fixes partition ids and positions for the
+    # passes below, which read only their columns, and survives executor loss.
+    return materialize(s)
 
 
 def sequence_within(
@@ -47,15 +47,19 @@ def sequence_within(
     and deterministic.  The number is an INT, as the request field it fills: a
     group of more than 2**31 - 1 rows raises (deliver it in several packages)."""
     s = _range_sorted(df, [*group_cols, *order_cols], num_partitions)
-    # the group as one text that is never NULL: rows whose group is NULL are a group like any other
-    s = s.withColumn("_group", F.to_json(F.struct(*[F.col(c).cast("string").alias(f"g{i}") for i, c in enumerate(group_cols)])))
-    runs = s.groupBy("_pid", "_group").agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("_group").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    carry = runs.select("_pid", "_group", "_first",
+    # rows whose group is NULL are a group like any other: each group column is compared
+    # as a value and a flag
+    group = [c for i, g in enumerate(group_cols) for c in (F.col(f"`{g}`").isNull().alias(f"_null{i}"),
+                                                           F.coalesce(F.col(f"`{g}`").cast("string"), F.lit("")).alias(f"_group{i}"))]
+    names = [f"{n}{i}" for i in range(len(group_cols)) for n in ("_null", "_group")]
+    s = s.select("*", *group)
+    runs = s.groupBy("_pid", *names).agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*names).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carry = runs.select("_pid", *names, "_first",
                         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_carry"))
-    out = join_small(s, carry, ["_pid", "_group"], "inner")
+    out = join_small(s, carry, ["_pid", *names], "inner")
     number = F.col("_pos") - F.col("_first") + F.lit(1) + F.col("_carry")
-    return out.withColumn(name, number.cast("int")).drop("_pid", "_pos", "_group", "_first", "_carry")
+    return out.withColumn(name, number.cast("int")).drop("_pid", "_pos", *names, "_first", "_carry")
 
 
 def running_total(

@@ -1,6 +1,6 @@
 """Measured broadcast: a side is broadcast only after its size has been counted.
 
-The small side is checkpointed (reliable, in the shared checkpoint folder) so
+The small side is written as Parquet in the shared checkpoint folder so
 that the measurement and the join read the same rows, then its exact payload
 is summed on the executors (one aggregate row comes back).  Beyond the limit
 the join stays a shuffle join and AQE's skew handling applies.
@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestar.session import work_dir
+
 LIMIT_KEY = "lodestar.broadcast.maxBytes"
 DEFAULT_LIMIT = 64 * 1024 * 1024
 ROW_OVERHEAD = 16
@@ -23,8 +25,13 @@ def broadcast_limit(spark) -> int:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint (never a local one)."""
-    return df.checkpoint(eager=True)
+    """Cut lineage: write the rows once as Parquet in the shared checkpoint folder (never a
+    local one) and read them back, so that later passes open only the columns they use."""
+    if any(kind in df.schema.simpleString() for kind in ("void", ":interval,", ":interval>")):
+        return df.checkpoint(eager=True)  # types that Parquet does not hold
+    path = work_dir(df.sparkSession, "materialized")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def measured_bytes(df: DataFrame) -> int:

@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.operators import activate as act
+from lodestar.operators import latest
 from lodestar.operators.project import project
+from lodestar.operators.sizing import materialize
 from lodestar.plans import fixtures as fx
 from lodestar.session import fixed_dir
 from lodestar.spec import EntitySpec
@@ -25,7 +27,7 @@ _CACHE: dict = {}
 
 
 def cached(spark: SparkSession, sf_dir: str, key: str, build):
-    """Per-session cache of checkpointed fixture frames."""
+    """Per-session cache of materialized fixture frames."""
     k = (spark.sparkContext.applicationId, sf_dir, key)
     if k not in _CACHE:
         _CACHE[k] = build()
@@ -44,7 +46,9 @@ def staging(spark: SparkSession, sf_dir: str, entity: str, numbered: bool = True
 
 
 SPECS = {"doc": fx.DOC, "cube": fx.CUBE, "stock": fx.STOCK, "events": fx.EVENTS}
-DAY_TEXT = {"doc": "pstng_date", "cube": "calday", "stock": "calday", "events": "ev_date"}
+#: What the cuts are compared with.  The request of a lineitem starts with its day, and the numbered
+#: rows lie sorted by request: a cut by it skips what lies beyond, and orders as the day does.
+DAY_TEXT = {"doc": "reqtsn", "cube": "reqtsn", "stock": "reqtsn", "events": "ev_date"}
 
 
 def _day_text(entity: str):
@@ -75,23 +79,25 @@ def inbound(spark: SparkSession, sf_dir: str, entity: str, part: str = "all", nu
 
 def initial_state(spark: SparkSession, sf_dir: str, entity: str, n: str = "2") -> DataFrame:
     """Active (or marker) state from the rows before the cut, typed.  Built
-    once per session and data folder (a reliable checkpoint): it is the input
+    once per session and data folder (written as Parquet): it is the input
     table of the activation queries, not part of their work."""
     return cached(spark, sf_dir, f"state_{entity}_{n}",
-                  lambda: _initial_state(spark, sf_dir, entity, n).checkpoint(eager=True))
+                  lambda: materialize(_initial_state(spark, sf_dir, entity, n)))
 
 
 def _initial_state(spark: SparkSession, sf_dir: str, entity: str, n: str) -> DataFrame:
     spec = SPECS[entity]
     before = inbound(spark, sf_dir, entity, "before", numbered=spec.kind == "standard")
-    empty = spark.createDataFrame([], spec.schema)
+    # no row is active yet: the delta is merged as it comes from its aggregate, neither
+    # written nor measured first, and the joins fall away with the empty side
+    empty = spark.createDataFrame([], spec.schema).limit(0)
+    keys, figures = list(spec.keys), list(spec.figures)
     if spec.kind == "standard":
-        return act.activate_standard(empty, before, spec)
-    if spec.kind == "cube":
-        return act.activate_cube(empty, before, spec)
+        return act.apply_standard(empty, latest.latest_per_key(before, keys), spec, strategy="shuffle")
     if n == "5":
-        return act.activate_marker(empty, before, spec)
-    return act.activate_movements(empty, before, spec)
+        return act.apply_marker(empty, latest.sum_per_stock_key(before, keys, figures, spec.day_col), spec, strategy="in_order")
+    stamp = None if spec.kind == "cube" else act.MOVEMENT_STAMP
+    return act.apply_cube(empty, latest.sum_per_key(before, keys, figures), spec, stamp=stamp, strategy="in_order")
 
 
 def _as_extract(df: DataFrame, spec: EntitySpec) -> DataFrame:

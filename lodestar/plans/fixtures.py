@@ -195,10 +195,16 @@ def _reqtsn_day(ts_col: str):
     return F.concat(F.date_format(F.col(ts_col), "yyyyMMdd"), F.lit(REQ_PAD))
 
 
+def _day_of_request():
+    """The day as text, as it stands in front of the request."""
+    return F.expr(f"left(reqtsn, length(reqtsn) - {len(REQ_PAD)})")
+
+
 def lineitem_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem with request fields: one request per ship day, records numbered
-    within the day in a fixed total order (skew-safe numbering)."""
-    li = table(spark, sf_dir, "lineitem").withColumn("reqtsn", _reqtsn_day("l_shipdate"))
+    within the day in a fixed total order (skew-safe numbering).  Only the columns that a
+    staging takes are sorted and kept."""
+    li = table(spark, sf_dir, "lineitem").withColumn("reqtsn", _reqtsn_day("l_shipdate")).drop("l_tax", "l_shipdate")
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
     li = sequence_within(li, ["reqtsn"], order, name="record")
     return li.withColumn("datapakid", F.lit(PACKAGE))
@@ -228,7 +234,7 @@ def doc_staging(li_req: DataFrame) -> DataFrame:
         F.col("l_linenumber").cast("string").alias("doc_item"),
         F.col("l_partkey").cast("string").alias("material"),
         F.col("l_suppkey").cast("string").alias("vendor"),
-        F.date_format("l_shipdate", "yyyyMMdd").alias("pstng_date"),
+        _day_of_request().alias("pstng_date"),
         F.col("l_quantity").alias("quant_b"),
         F.col("l_extendedprice").alias("value_lc"),
         F.col("l_discount").alias("discount"),
@@ -286,7 +292,7 @@ def cube_staging(li_req: DataFrame) -> DataFrame:
         "reqtsn",
         "datapakid",
         "record",
-        F.date_format("l_shipdate", "yyyyMMdd").alias("calday"),
+        _day_of_request().alias("calday"),
         F.col("l_partkey").cast("string").alias("material"),
         F.col("l_suppkey").cast("string").alias("vendor"),
         F.col("l_quantity").alias("quant_b"),
@@ -312,7 +318,7 @@ def stock_staging(li_req: DataFrame) -> DataFrame:
         "record",
         F.lit(None).cast("string").alias("recordmode"),
         F.lit(None).cast("string").alias("recordtp"),
-        F.date_format("l_shipdate", "yyyyMMdd").alias("calday"),
+        _day_of_request().alias("calday"),
         F.lit("PC").alias("base_uom"),
         F.lit("USD").alias("loc_currcy"),
         F.lit("1000").alias("plant"),

@@ -197,7 +197,7 @@ class Store:
             folders = [e for e in folders if e["month"] in want]
         paths = [f"{self.table_path(name)}/{e['path']}" for e in folders]
         if not paths:
-            return self.spark.createDataFrame([], schema)
+            return self.spark.createDataFrame([], schema).limit(0)  # known to be empty: joins with it fall away
         if man.get("buckets") and len(paths) == 1:
             return self._bucketed_scan(paths[0], schema, man["buckets"])
         return self.spark.read.schema(schema).format(self.fmt).load(paths)
