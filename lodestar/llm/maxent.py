@@ -49,10 +49,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_of_id, stage, with_uid
+from .common import crc_of_id, release, stage, with_uid
 from .words import U, mix, split, text_slices
 
 SMOOTH = 0.1
@@ -62,6 +62,7 @@ CLASSES = 48  # histories use one more, for the start
 SINGLES = 24  # classes of one word
 SHARED = CLASSES - SINGLES
 BUCKETS = 4096  # of 32,768 bits each: the bitmap of weight names, 16 MB
+PART = 1_000_000  # training tokens whose pairs, and what is asked of them, make one part
 LN10 = math.log(10)
 
 
@@ -106,6 +107,33 @@ def count_tokens(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "token long, n long")
 
 
+def packed(values: np.ndarray) -> bytes:
+    """64-bit values by byte planes, which the shuffle's compression shortens where they are alike."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def unpacked(blob: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(8, -1).T).view(np.int64).ravel()
+
+
+def packed_names(names: np.ndarray) -> bytes:
+    """Sorted names as their differences."""
+    return packed(np.diff(names.view(U), prepend=U(0)))
+
+
+def unpacked_names(blob: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(blob).view(U), dtype=U).view(np.int64)
+
+
+def dealt(part: np.ndarray, names: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
+    """(part, packed names, packed columns) of each part, sorted by name."""
+    order = np.lexsort((names, part))
+    ends = np.flatnonzero(np.append(np.diff(part[order]) != 0, True)) + 1
+    for lo, hi in zip(np.append(0, ends[:-1]), ends):
+        some = order[lo:hi]
+        yield int(part[some[0]]), packed_names(names[some]), *(packed(c[some]) for c in columns)
+
+
 def find(names: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(is among the sorted ``names``, its place there or 0) of each wanted name."""
     if not len(names):
@@ -118,19 +146,22 @@ def find(names: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 class Vocabulary:
     """The common tokens (sorted names and counts), the classes, and each shared class's mass."""
 
-    def __init__(self, rows: list, tokens: int, words: int, shared: dict[int, float]):
+    def __init__(self, rows: list | pa.Table, tokens: int, words: int, shared: dict[int, float]):
         self.tokens, self.words = tokens, words
-        top = sorted(rows, key=lambda r: (-r["n"], r["token"]))[:SINGLES]
-        rows = sorted(rows, key=lambda r: r["token"])
-        self.names = np.array([r["token"] for r in rows], np.int64)
-        self.counts = np.array([r["n"] for r in rows], np.int64)
-        order = sorted(range(len(top)), key=lambda i: top[i]["token"])
-        self.single_names = np.array([top[i]["token"] for i in order], np.int64)
-        self.single_classes = np.array(order, np.int64)
+        self.parts = tokens // PART + 1  # into how many parts names are dealt
+        columns = ([rows[c] for c in ("token", "n")] if isinstance(rows, pa.Table)
+                   else [np.array([r[c] for r in rows], np.int64) for c in ("token", "n")])
+        names, counts = (np.asarray(c) for c in columns)
+        top = np.lexsort((names, -counts))[:SINGLES]
+        top_names, top_counts = names[top], counts[top]
+        order = np.argsort(names)
+        self.names, self.counts = names[order], counts[order]
+        order = np.argsort(top_names)
+        self.single_names, self.single_classes = top_names[order], order
         mass = [shared.get(s, 0.0) + SMOOTH for s in range(SHARED)]
-        for r in top:
-            mass[int(r["token"]) % SHARED] -= r["n"] + SMOOTH
-        self.masses = np.array([r["n"] + SMOOTH for r in top] + [1.0] * (SINGLES - len(top)) + [max(m, SMOOTH) for m in mass])
+        for token, n in zip(top_names.tolist(), top_counts.tolist()):
+            mass[token % SHARED] -= n + SMOOTH
+        self.masses = np.array([n + SMOOTH for n in top_counts.tolist()] + [1.0] * (SINGLES - len(top)) + [max(m, SMOOTH) for m in mass])
         self.singles = len(top)
 
     def classes(self, tokens: np.ndarray) -> np.ndarray:
@@ -233,14 +264,14 @@ HISTORY = 63  # stands for the class in the names of class trigrams
 
 
 def count_contexts(docs: DataFrame, vocabulary) -> DataFrame:
-    """(key, n) partial counts per task, by name, of pairs and of class trigrams; ``docs``: (text)."""
+    """(part, names, counts) partial counts per task, by name, of pairs and of class trigrams, packed by
+    parts of whole blocks; ``docs``: (text)."""
     def flush(held):
         keys, place = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
-        return keys, np.bincount(place, weights=np.concatenate([h[1] for h in held])).astype(np.int64)
-
-    def batches_of(keys, n):
-        for lo in range(0, len(keys), 200_000):
-            yield pa.RecordBatch.from_arrays([pa.array(keys[lo:lo + 200_000]), pa.array(n[lo:lo + 200_000])], ["key", "n"])
+        n = np.bincount(place, weights=np.concatenate([h[1] for h in held])).astype(np.int64)
+        rows = dealt(np.mod(blocks_of(keys), vocabulary.value.parts), keys, n)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))], ["part", "names", "counts"])
 
     def run(batches):
         v = vocabulary.value
@@ -256,14 +287,13 @@ def count_contexts(docs: DataFrame, vocabulary) -> DataFrame:
                 held.append(np.unique(keys, return_counts=True))
                 size += len(held[-1][0])
                 if size > 2_500_000:
-                    yield from batches_of(*flush(held))
+                    yield flush(held)
                     held, size = [], 0
-        if held:
-            yield from batches_of(*flush(held))
         codes = np.flatnonzero(total)
-        yield from batches_of(((codes.astype(U) << U(24)) | U(HISTORY << 58)).view(np.int64), total[codes])
+        if len(codes):
+            yield flush([*held, (((codes.astype(U) << U(24)) | U(HISTORY << 58)).view(np.int64), total[codes])])
 
-    return docs.select("text").mapInArrow(run, "key long, n long")
+    return docs.select("text").mapInArrow(run, "part int, names binary, counts binary")
 
 
 def whole_blocks(batches) -> Iterator[list[np.ndarray]]:
@@ -288,23 +318,20 @@ def whole_blocks(batches) -> Iterator[list[np.ndarray]]:
 
 def tally(counted: DataFrame, least: int) -> DataFrame:
     """(key, n, total): the pairs of shared classes that occur ``least`` times or more, with the count
-    of their block; and every block (key: its number, total 0).  One shuffle, by block."""
-    def run(batches):
-        for keys, n in whole_blocks(batches):
-            heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-            keys, n = keys[heads], np.add.reduceat(n, heads)
-            block = blocks_of(keys)
-            starts = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
-            total = np.add.reduceat(n, starts)
-            each = np.repeat(total, np.diff(np.append(starts, len(keys))))
-            cls = block >> 34
-            kept = (n >= least) & (cls >= SINGLES) & (cls != HISTORY)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([keys[kept], block[starts]])), pa.array(np.concatenate([n[kept], total])),
-                 pa.array(np.concatenate([each[kept], np.zeros(len(starts), np.int64)]))], ["key", "n", "total"])
-
-    dealt = counted.repartition(F.shiftrightunsigned("key", 24)).sortWithinPartitions("key")
-    return dealt.mapInArrow(run, "key long, n long, total long")
+    of their block; and every block (key: its number, total 0).  One shuffle, by parts of whole blocks."""
+    def run(table):
+        keys, place = np.unique(np.concatenate([unpacked_names(b) for b in table["names"].to_pylist()]), return_inverse=True)
+        n = np.bincount(place, weights=np.concatenate([unpacked(b) for b in table["counts"].to_pylist()])).astype(np.int64)
+        block = blocks_of(keys)
+        starts = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+        total = np.add.reduceat(n, starts)
+        each = np.repeat(total, np.diff(np.append(starts, len(keys))))
+        cls = block >> 34
+        kept = (n >= least) & (cls >= SINGLES) & (cls != HISTORY)
+        return pa.table({"key": np.concatenate([keys[kept], block[starts]]), "n": np.concatenate([n[kept], total]),
+                         "total": np.concatenate([each[kept], np.zeros(len(starts), np.int64)])})
+
+    return counted.groupBy("part").applyInArrow(run, "key long, n long, total long")
 
 
 def fit_classes(trigrams: DataFrame, vocabulary, rows: int, steps: int, parts: int) -> Maxent:
@@ -325,12 +352,15 @@ def fit_classes(trigrams: DataFrame, vocabulary, rows: int, steps: int, parts: i
                 part = held.value.gradient(names, counts)
                 out = part if out is None else (out[0] + part[0], out[1] + part[1])
             if out is not None:
-                yield pa.RecordBatch.from_arrays([pa.array([x.astype("<f4").tobytes()], pa.binary()) for x in out], ["g", "h"])
+                at = np.flatnonzero(out[1].any(1))  # the rows of the histories seen here
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (
+                    at.astype("<i8"), *(x[at].astype("<f4") for x in out))], ["at", "g", "h"])
 
         g, h = np.zeros_like(model.weights), np.zeros_like(model.weights)
-        for r in counted.mapInArrow(run, "g binary, h binary").collect():  # as many rows as ``parts``, of the model's size
-            g += np.frombuffer(r["g"], "<f4").reshape(g.shape)
-            h += np.frombuffer(r["h"], "<f4").reshape(h.shape)
+        for r in counted.mapInArrow(run, "at binary, g binary, h binary").collect():  # as many rows as ``parts``, of the model's size at most
+            at = np.frombuffer(r["at"], "<i8")
+            g[at] += np.frombuffer(r["g"], "<f4").reshape(len(at), -1)
+            h[at] += np.frombuffer(r["h"], "<f4").reshape(len(at), -1)
         moved *= 0.5
         moved += np.clip(0.5 * (g - 0.5 * model.weights * (h > 0)) / (h + 1.0), -2, 2)
         model.weights += moved * 0.5
@@ -341,18 +371,17 @@ def fit_classes(trigrams: DataFrame, vocabulary, rows: int, steps: int, parts: i
 def fit_words(cells: DataFrame, average, rho: float, steps: int) -> DataFrame:
     """(a, n, classes, theta): each last word's own class weights, trained against the class law of its
     class averaged over the words two back; a word has one list of at most CLASSES cells."""
-    lists = cells.groupBy("a").agg(F.sum("n").alias("n"), F.collect_list(F.struct("b", "n")).alias("c"))
-    lists = lists.where("n > 1").select("a", "n", F.col("c.b").alias("b"), F.col("c.n").alias("k"))
-
     def run(batches):
-        for whole in batches:
-            for lo in range(0, whole.num_rows, 4096):
-                batch = whole.slice(lo, 4096)
-                last = np.asarray(batch.column(0))
-                lengths = np.diff(np.asarray(batch.column(2).offsets))
-                row = np.repeat(np.arange(len(last)), lengths)
+        for keys, n in whole_blocks(batches):
+            words = blocks_of(keys)
+            starts = np.append(np.flatnonzero(np.append(True, words[1:] != words[:-1])), len(keys))
+            for lo in range(0, len(starts) - 1, 4096):
+                some = starts[lo:lo + 4097]
+                last, seen = words[some[:-1]], np.add.reduceat(n[some[0]:some[-1]], some[:-1] - some[0])
+                row = np.repeat(np.arange(len(last)), np.diff(some))
                 counts = np.zeros((len(last), CLASSES))
-                counts[row, np.asarray(batch.column(2).flatten())] = np.asarray(batch.column(3).flatten())
+                counts[row, keys[some[0]:some[-1]] & 0xFFFFFF] = n[some[0]:some[-1]]
+                last, counts, seen = last[seen > 1], counts[seen > 1], seen[seen > 1]
                 base = average.value[last >> 28]
                 total = counts.sum(1, keepdims=True)
                 has = counts > 0
@@ -364,9 +393,11 @@ def fit_words(cells: DataFrame, average, rho: float, steps: int) -> DataFrame:
                 at, cls = np.nonzero(has)
                 ends = pa.array(np.concatenate([[0], np.cumsum(has.sum(1))]).astype("i4"))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.ListArray.from_arrays(ends, pa.array(cls.astype("i1"))),
+                    [pa.array(last), pa.array(seen), pa.ListArray.from_arrays(ends, pa.array(cls.astype("i1"))),
                      pa.ListArray.from_arrays(ends, pa.array(theta[at, cls].astype("f4")))], ["a", "n", "classes", "theta"])
 
+    lists = cells.select((F.shiftleft("a", 24) + F.col("b")).alias("key"), "n")
+    lists = lists.repartition(F.shiftright("key", 24)).sortWithinPartitions("key")
     return lists.mapInArrow(run, "a long, n long, classes array<byte>, theta array<float>")
 
 
@@ -387,8 +418,8 @@ def train_blocks(block: np.ndarray, n: np.ndarray, m: np.ndarray, total: np.ndar
 
 
 def fit_members(pairs: DataFrame, vocabulary, rho: float, steps: int) -> DataFrame:
-    """(key, value, n): weights of pairs and corrections of their blocks' normalisers, by name.
-    ``pairs``: (key, n, total, m), m the mass of the pair's cell."""
+    """(key, value, n, part): weights of pairs and corrections of their blocks' normalisers, by name, and
+    the part of their block.  ``pairs``: (key, n, total, m), m the mass of the pair's cell."""
     def run(batches):
         for keys, n, total, m in whole_blocks(batches):
             blocks = blocks_of(keys)
@@ -399,28 +430,31 @@ def fit_members(pairs: DataFrame, vocabulary, rho: float, steps: int) -> DataFra
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([keys, block_names(blocks[starts])])),
                  pa.array(np.concatenate([value, -shift]).astype("f4")),
-                 pa.array(np.concatenate([n, total[starts]]))], ["key", "value", "n"])
+                 pa.array(np.concatenate([n, total[starts]])),
+                 pa.array(np.mod(np.concatenate([blocks, blocks[starts]]), vocabulary.value.parts).astype("i4"))],
+                ["key", "value", "n", "part"])
 
     ordered = pairs.repartition(F.shiftrightunsigned("key", 24)).sortWithinPartitions("key")
-    return ordered.mapInArrow(run, "key long, value float, n long")
+    return ordered.mapInArrow(run, "key long, value float, n long, part int")
 
 
 class Model:
     """What the tasks need: the class weights, and the most used word and pair weights."""
 
     def __init__(self, classes: Maxent, thetas: pa.Table, weights: pa.Table, bits: np.ndarray):
-        self.classes = classes
+        self.logits = classes.logits(np.arange((CLASSES + 1) ** 2))  # of every class history
+        self.logs = log_softmax(np.where(np.isinf(self.logits), -1e300, self.logits))
         order = np.argsort(np.asarray(thetas["a"]))
         lists = thetas.take(pa.array(order)).combine_chunks()
         self.last = np.asarray(lists["a"])
-        self.theta = np.zeros((len(order) + 1, CLASSES), "f4")  # the last row: no weights
+        self.theta = np.zeros((len(order), CLASSES), "f4")
         if len(order):
             cls, value = lists["classes"].chunk(0), lists["theta"].chunk(0)
             row = np.repeat(np.arange(len(order)), np.diff(np.asarray(cls.offsets)))
             self.theta[row, np.asarray(cls.flatten())] = np.asarray(value.flatten())
-        order = np.argsort(np.asarray(weights["key"]))
-        self.keys = np.asarray(weights["key"])[order]
-        self.values = np.asarray(weights["value"])[order]
+        self.keys, self.values = (np.asarray(weights[c]) for c in ("key", "value"))
+        order = np.argsort(self.keys)
+        self.keys, self.values = self.keys[order], self.values[order]
         self.bits = bits
 
     def may_have(self, keys: np.ndarray) -> np.ndarray:
@@ -430,17 +464,19 @@ class Model:
 
     def class_logs(self, history: np.ndarray, last: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """log P(class | history), and whether the last word may have weights that are not here."""
-        key = mix(last.view(U) + history.astype(U) * U(0x9E3779B97F4A7C15))
+        key = mix(last.view(U) + (history * CLASSES + classes).astype(U) * U(0x9E3779B97F4A7C15))
         _, head, place = np.unique(key, return_index=True, return_inverse=True)
         found, at = find(self.last, last[head])
-        out = np.zeros(len(last))
-        for lo in range(0, len(head), 4096):
-            some = head[lo:lo + 4096]
-            logs = log_softmax(self.classes.logits(history[some])
-                               + self.theta[np.where(found, at, len(self.theta) - 1)[lo:lo + 4096]])
-            mine = np.flatnonzero((place >= lo) & (place < lo + 4096)) if len(head) > 4096 else np.arange(len(last))
-            out[mine] = logs[place[mine] - lo, classes[mine]]
-        return out, (~found & self.may_have(last[head]))[place]
+        value = self.logs[history[head], classes[head]]
+        own = np.flatnonzero(found)
+        for lo in range(0, len(own), 4096):
+            some = own[lo:lo + 4096]
+            value[some] = self.with_weights(history[head[some]], self.theta[at[some]], classes[head[some]])
+        return value[place], (~found & self.may_have(last[head]))[place]
+
+    def with_weights(self, history: np.ndarray, theta: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        """log P(class | history) with a last word's own weights."""
+        return log_softmax(self.logits[history] + theta)[np.arange(len(classes)), classes]
 
     def look_up(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(weight or 0, whether it may be one that is not here) of each name."""
@@ -464,16 +500,36 @@ def bitmap(keys: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
+def most_used(table: DataFrame, name: str, limit: int) -> Column:
+    """Which rows are among the ``limit`` of greatest ``n``, or a few less: of rows with equal ``n``,
+    those whose names hash low.  Costs two counts, no sort."""
+    n, bucket, left = F.least(F.col("n"), F.lit(1 << 16)), F.pmod(F.xxhash64(name), F.lit(4096)), limit
+    for r in sorted(table.groupBy(n.alias("n")).count().collect(), reverse=True):
+        if r["count"] > left:
+            break
+        left -= r["count"]
+    else:
+        return F.lit(True)
+    last, buckets = r["n"], 0
+    for b in sorted(table.where(n == last).groupBy(bucket.alias("bucket")).count().collect()):
+        if b["count"] > left:
+            break
+        left, buckets = left - b["count"], b["bucket"] + 1
+    return (n > last) | ((n == last) & (bucket < buckets))
+
+
 class Trained:
-    """The model's tables and its broadcast part."""
+    """The model's tables, their broadcast part and which rows are in it."""
 
     def __init__(self, thetas: DataFrame, weights: DataFrame, classes: Maxent, words: int, pairs: int):
         spark = thetas.sparkSession
         self.thetas, self.weights, self.classes = thetas, weights, classes
-        used = thetas.orderBy(F.desc("n"), "a").limit(words).select("a", "classes", "theta").toArrow()
-        most = weights.orderBy(F.desc("n"), "key").limit(pairs).select("key", "value").toArrow()
+        self.held_thetas, self.held_weights = most_used(thetas, "a", words), most_used(weights, "key", pairs)
+        used = thetas.where(self.held_thetas).select("a", "classes", "theta")
+        most = weights.where(self.held_weights).select("key", "value")
         bits = bitmap(weights.select("key").union(thetas.select(F.col("a").alias("key"))))
-        self.held = spark.sparkContext.broadcast(Model(classes, used, most, bits))
+        self.held = spark.sparkContext.broadcast(Model(classes, used.toArrow(), most.toArrow(), bits))
+        release()  # the driver's copies
 
 
 def train(docs: DataFrame, counts: DataFrame, vocabulary, rows: int = 8192, steps: int = 12, parts: int = 8,
@@ -509,88 +565,173 @@ def train(docs: DataFrame, counts: DataFrame, vocabulary, rows: int = 8192, step
     return Trained(thetas, weights, classes, words, pairs)
 
 
-def grouped(owner: np.ndarray, size: int, *columns: np.ndarray) -> Iterator[pa.Array]:
-    """List arrays, one list a text, of the distinct rows of ``columns`` and of how often each occurs."""
-    order = np.lexsort((*columns, owner))
-    new = np.ones(len(order), bool)
-    sorted_ = [c[order] for c in (owner, *columns)]
-    new[1:] = np.any([c[1:] != c[:-1] for c in sorted_], axis=0)
-    heads = np.flatnonzero(new)
-    ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(sorted_[0][heads], minlength=size))]).astype("i4"))
-    for c in sorted_[1:]:
-        yield pa.ListArray.from_arrays(ends, pa.array(c[heads]))
-    yield pa.ListArray.from_arrays(ends, pa.array(np.diff(np.append(heads, len(order))).astype("i4")))
+REST, PAIRS, LASTS = range(3)  # what texts ask for: counts of words, weights of pairs and blocks, of last words
+TABLE = 3  # added to one of these: the table itself
+PACKED = ["kind byte", "names binary", "uids binary", "codes binary", "values binary"]
+TOLD = ["n_tokens long", "n_common long", "common_log double", "score_part double"]
+ADDED = ["known long", "more double", "weights double"]
 
 
 def read(docs: DataFrame, vocabulary, held) -> DataFrame:
-    """What a text alone tells, and the names of what must be joined: words that are not common
-    (rest), weights (keys) and last words with their class history (lasts, codes)."""
+    """What a text alone tells, one row a text, and, packed by parts, the names of what is not broadcast:
+    words that are not common, pairs, and last words with their class history (codes)."""
+    kind = docs.schema["key"].dataType.simpleString()
+    names = ["part", "uid", "key", "held_out", *(c.split()[0] for c in TOLD + PACKED[:4])]
+
     def run(batches):
         v, m = vocabulary.value, held.value
+        parts = v.parts
+        asked, size = [[], [], []], 0
+
+        def flush(key_type):
+            rows = []
+            for what, part_of in ((REST, lambda x: x), (PAIRS, blocks_of), (LASTS, lambda x: x)):
+                name, uid, code = (np.concatenate(c) for c in zip(*asked[what]))
+                if len(name):
+                    rows += [(r[0], what, *r[1:]) for r in dealt(np.mod(part_of(name), parts), name, uid, code)]
+                asked[what].clear()
+            part, *told = zip(*rows) if rows else [[]] * 5
+            nulls = [pa.nulls(len(rows), t) for t in (pa.int64(), key_type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
+            types = (pa.int8(), pa.binary(), pa.binary(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), *nulls, *map(pa.array, told, types)], names)
+
         for batch in batches:
+            key_type = batch.column(2).type
             for lo, hi in text_slices(batch.column(1)):
                 tokens, first = tokens_of(batch.column(1)[lo:hi])
-                size = hi - lo
                 counts, classes = v.count(tokens), v.classes(tokens)
                 last, history = contexts_of(tokens, classes, first), histories(classes, first)
                 p, more_last = m.class_logs(history, last, classes)
                 shared = classes >= SINGLES
                 pairs = pair_names(last, classes, cells_of(tokens, classes))
-                keys = np.concatenate([pairs, block_names(blocks_of(pairs))])
-                value, more = m.look_up(keys)
-                value, more = value.reshape(2, -1) * shared, more.reshape(2, -1) & shared
+                value, more = m.look_up(np.concatenate([pairs, block_names(blocks_of(pairs))]))
+                value, more = value.reshape(2, -1) * shared, (more.reshape(2, -1) & shared).any(0)
                 p += value.sum(0)
                 common = counts > 0
                 logs = np.log10(counts + SMOOTH)
                 p = p / LN10 - np.log10(v.masses[classes]) + np.where(common, logs, 0)
-                owner = np.repeat(np.arange(size), np.diff(first))
-                sums = lambda x: pa.array(np.bincount(owner, weights=x, minlength=size))
-                both = np.tile(owner, 2)[more.ravel()]
-                at = np.flatnonzero(more_last)
+                owner = np.repeat(np.arange(hi - lo), np.diff(first))
+                uids = np.asarray(batch.column(0)[lo:hi])
+                code = history * CLASSES + classes
+                for what, some, name in ((REST, ~common, tokens), (PAIRS, more, pairs), (LASTS, more_last, last)):
+                    asked[what].append((name[some], uids[owner[some]], code[some] if what == LASTS else np.zeros(some.sum(), np.int64)))
+                    size += len(asked[what][-1][0])
+                sums = lambda x: pa.array(np.bincount(owner, weights=x, minlength=hi - lo))
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c)[lo:hi] for c in (0, 2, 3)), pa.array(np.diff(first)),
-                     sums(common).cast(pa.int64()), sums(np.where(common, logs, 0)), sums(p),
-                     *grouped(owner[~common], size, tokens[~common]),
-                     *grouped(both, size, keys[more.ravel()]),
-                     *grouped(owner[at], size, last[at], history[at] * CLASSES + classes[at])],
-                    ["uid", "key", "held_out", "n_tokens", "n_common", "common_log", "score_part", "rest", "rest_n",
-                     "keys", "keys_n", "lasts", "codes", "lasts_n"])
+                    [pa.array(np.mod(uids, parts).astype("i4")), *(batch.column(c)[lo:hi] for c in (0, 2, 3)),
+                     pa.array(np.diff(first)), sums(common).cast(pa.int64()), sums(np.where(common, logs, 0)), sums(p),
+                     *(pa.nulls(hi - lo, t) for t in (pa.int8(), pa.binary(), pa.binary(), pa.binary()))], names)
+                if size > 1_500_000:
+                    yield flush(key_type)
+                    size = 0
+        if size:
+            yield flush(key_type)
 
-    kind = docs.schema["key"].dataType.simpleString()
     return docs.select("uid", "text", "key", "held_out").mapInArrow(
-        run, f"uid long, key {kind}, held_out boolean, n_tokens long, n_common long, common_log double, score_part double, "
-             "rest array<long>, rest_n array<int>, keys array<long>, keys_n array<int>, "
-             "lasts array<long>, codes array<long>, lasts_n array<int>")
+        run, f"part int, uid long, key {kind}, held_out boolean, {', '.join(TOLD + PACKED[:4])}")
 
 
-def listed(told: DataFrame, *names: str) -> DataFrame:
-    """One row per element of the lists ``names`` of each text."""
-    rows = told.select("uid", F.explode(F.arrays_zip(*names)).alias("r"))
-    return rows.select("uid", *(F.col(f"r.{n}").alias(n) for n in names))
+def packed_rows(table: DataFrame, what: int, parts: int) -> DataFrame:
+    """The rows of a table (key, value, or classes and theta; part, if it is not that of the key), packed by parts."""
+    def flush(held):
+        held = pa.Table.from_batches(held).combine_chunks()
+        names = np.asarray(held["key"])
+        part = np.asarray(held["part"]) if "part" in held.column_names else np.mod(names, parts)
+        if what != LASTS:
+            rows = [(p, n, None, None, v) for p, n, v in dealt(part, names, np.asarray(held["value"]).astype(float))]
+        else:
+            rows = []
+            for p, n, at in dealt(part, names, np.arange(len(names))):
+                some = held.take(pa.array(unpacked(at))).combine_chunks()
+                lists = [some[c].chunk(0) for c in ("classes", "theta")]
+                rows.append((p, n, packed(np.diff(np.asarray(lists[0].offsets)).astype(np.int64)),
+                             *(np.asarray(x.flatten()).tobytes() for x in lists)))
+        part, *rest = zip(*rows)
+        kind = pa.array([what + TABLE] * len(rows), pa.int8())
+        return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), kind, *(pa.array(c, pa.binary()) for c in rest)],
+                                          ["part", *(c.split()[0] for c in PACKED)])
 
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                size += batch.num_rows
+            if size > 500_000:
+                yield flush(held)
+                held, size = [], 0
+        if held:
+            yield flush(held)
 
-def joined_weights(told: DataFrame, trained: Trained) -> DataFrame:
-    """(uid, more): what weights beyond the broadcast ones add to each text's log10 probability."""
+    return table.mapInArrow(run, f"part int, {', '.join(PACKED)}")
+
+
+def answers(told: DataFrame, counts: DataFrame, trained: Trained, parts: int) -> DataFrame:
+    """The rows of ``told`` of texts, and one row for each text and part with what the tables beyond the
+    broadcast add: known words, their logs, and weights.  One shuffle of what is asked and of the tables."""
     held = trained.held
-    pairs = listed(told, "keys", "keys_n").join(trained.weights, F.col("keys") == F.col("key"))
-    added = pairs.select("uid", (F.col("keys_n") * F.col("value").cast("double")).alias("more"))
+    weights = trained.weights.where(~trained.held_weights).select("key", "value", "part")
+    thetas = trained.thetas.where(~trained.held_thetas).select(F.col("a").alias("key"), "classes", "theta")
+    tables = [(counts.select(F.col("token").alias("key"), F.col("n").alias("value")), REST), (weights, PAIRS), (thetas, LASTS)]
+    for table, what in tables:
+        told = told.unionByName(packed_rows(table, what, parts), allowMissingColumns=True)
+
+    def gains(names, codes, rows):
+        """What the last words' own weights add to the log of a class."""
+        keys = np.concatenate([unpacked_names(b) for b in rows["names"].to_pylist()])
+        size = np.concatenate([unpacked(b) for b in rows["uids"].to_pylist()])
+        classes = np.frombuffer(b"".join(rows["codes"].to_pylist()), "i1")
+        values = np.frombuffer(b"".join(rows["values"].to_pylist()), "f4")
+        order, starts = np.argsort(keys), np.cumsum(size) - size
+        found, at = find(keys[order], names)
+        out, at = np.zeros(len(names)), order[at[found]]
+        each, place = np.unique(at << 20 | codes[found], return_inverse=True)
+        gain = np.zeros(len(each))
+        for lo in range(0, len(each), 4096):
+            at, code = each[lo:lo + 4096] >> 20, each[lo:lo + 4096] & 0xFFFFF
+            row = np.repeat(np.arange(len(at)), size[at])
+            cell = np.arange(len(row)) + np.repeat(starts[at] - (np.cumsum(size[at]) - size[at]), size[at])
+            theta = np.zeros((len(at), CLASSES))
+            theta[row, classes[cell]] = values[cell]
+            history, cls = code // CLASSES, code % CLASSES
+            gain[lo:lo + 4096] = held.value.with_weights(history, theta, cls) - held.value.logs[history, cls]
+        out[found] = gain[place]
+        return out
 
-    def run(batches):
-        for whole in batches:
-            for lo in range(0, whole.num_rows, 4096):
-                batch = whole.slice(lo, 4096)
-                code = np.asarray(batch.column(1))
-                theta = np.zeros((len(code), CLASSES))
-                row = np.repeat(np.arange(len(code)), np.diff(np.asarray(batch.column(3).offsets)))
-                theta[row, np.asarray(batch.column(3).flatten())] = np.asarray(batch.column(4).flatten())
-                base = held.value.classes.logits(code // CLASSES)
-                gain = log_softmax(base + theta) - log_softmax(np.where(np.isinf(base), -1e300, base))
-                value = gain[np.arange(len(code)), code % CLASSES] * np.asarray(batch.column(2))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(value)], ["uid", "more"])
-
-    lasts = listed(told, "lasts", "codes", "lasts_n").join(trained.thetas, F.col("lasts") == F.col("a"))
-    classes = lasts.select("uid", "codes", "lasts_n", "classes", "theta").mapInArrow(run, "uid long, more double")
-    return added.union(classes).groupBy("uid").agg((F.sum("more") / F.lit(LN10)).alias("weights"))
+    def run(asked):
+        texts = asked.filter(pc.is_null(asked["kind"]))
+        out = [[], [], [], []]
+        for what in (REST, PAIRS, LASTS):
+            rows, table = (asked.filter(pc.equal(asked["kind"], kind)) for kind in (what, what + TABLE))
+            if not len(rows) or not len(table):
+                continue
+            names = np.concatenate([unpacked_names(b) for b in rows["names"].to_pylist()])
+            uids = np.concatenate([unpacked(b) for b in rows["uids"].to_pylist()])
+            zero = np.zeros(len(names))
+            if what == LASTS:
+                added = zero, zero, gains(names, np.concatenate([unpacked(b) for b in rows["codes"].to_pylist()]), table)
+            else:
+                key = np.concatenate([unpacked_names(b) for b in table["names"].to_pylist()])
+                value = np.concatenate([unpacked(b).view(float) for b in table["values"].to_pylist()])
+                order = np.argsort(key)
+                key, value = key[order], value[order]
+                if what == REST:
+                    found, at = find(key, names)
+                    added = found, np.where(found, np.log10(value[at] + SMOOTH) - np.log10(SMOOTH), 0), zero
+                else:
+                    asks = names, block_names(blocks_of(names))
+                    added = zero, zero, sum(np.where(f, value[at], 0) for f, at in (find(key, x) for x in asks))
+            for o, x in zip(out, (uids, *added)):
+                o.append(x)
+        uids, place = np.unique(np.concatenate(out[0] or [np.zeros(0, np.int64)]), return_inverse=True)
+        sums = [pa.array(np.bincount(place, weights=np.concatenate(o), minlength=len(uids))) if len(uids) else pa.nulls(0, pa.float64()) for o in out[1:]]
+        of_texts = texts.select(["uid", "key", "held_out", *(c.split()[0] for c in TOLD)])
+        more = pa.table([pa.array(uids), sums[0].cast(pa.int64()), *sums[1:]], ["uid", *(c.split()[0] for c in ADDED)])
+        return pa.concat_tables([of_texts, more], promote_options="default")
+
+    kind = told.schema["key"].dataType.simpleString()
+    return told.groupBy("part").applyInArrow(
+        run, f"uid long, key {kind}, held_out boolean, {', '.join(TOLD)}, {', '.join(ADDED)}")
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", common: int = 200_000, **options) -> DataFrame:
@@ -603,23 +744,24 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", common: int
     counts = stage(count_tokens(training).groupBy("token").agg(F.sum("n").alias("n")), "token-counts")
     sums = counts.groupBy(F.pmod("token", F.lit(SHARED)).alias("s")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
     total = {"n": sum(r["n"] for r in sums), "v": sum(r["v"] for r in sums)}
-    frequent = counts.orderBy(F.desc("n"), "token").limit(max(common, SINGLES))
+    frequent = counts.orderBy(F.desc("n"), "token").limit(max(common, SINGLES)).toArrow()
     vocabulary = spark.sparkContext.broadcast(Vocabulary(
-        frequent.collect(), total["n"], total["v"], {r["s"]: r["n"] + SMOOTH * r["v"] for r in sums}))
+        frequent, total["n"], total["v"], {r["s"]: r["n"] + SMOOTH * r["v"] for r in sums}))
     trained = train(training, counts, vocabulary, **options)
-    told = stage(read(with_uid(rows), vocabulary, trained.held), "texts-read")
-    logs = F.log10(F.col("n") + F.lit(SMOOTH)) - F.log10(F.lit(SMOOTH))
-    met = listed(told, "rest", "rest_n").join(counts, F.col("rest") == F.col("token")).groupBy("uid").agg(
-        F.sum("rest_n").alias("known"), F.sum(F.col("rest_n") * logs).alias("more"))
-    out = told.select("uid", "key", "held_out", "n_tokens", "n_common", "common_log", "score_part",
-                      (F.col("n_tokens") - F.col("n_common")).alias("n_rest"))
-    out = out.join(met, "uid", "left").join(joined_weights(told, trained), "uid", "left")
-    # every token beyond the common ones counts as unknown first; the join adds what the known ones have on top
-    beyond = F.col("n_rest") * F.log10(F.lit(SMOOTH)) + F.coalesce("more", F.lit(0.0))
+    told = read(with_uid(rows), vocabulary, trained.held)
+    token, n = (frequent[c][-1].as_py() if len(frequent) else 0 for c in ("token", "n"))
+    beyond = counts.where((F.col("n") < n) | ((F.col("n") == n) & (F.col("token") > token)))
+    told = answers(told, beyond, trained, vocabulary.value.parts)
+    out = told.groupBy("uid").agg(
+        F.first("key", ignorenulls=True).alias("key"), F.max("held_out").alias("held_out"),
+        *(F.sum(c).alias(c) for c in ("n_tokens", "n_common", "common_log", "score_part")),
+        *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("known", "more", "weights")))
+    # every token beyond the common ones counts as unknown first; the tables add what the known ones have on top
+    beyond = (F.col("n_tokens") - F.col("n_common")) * F.log10(F.lit(SMOOTH)) + F.col("more")
     below = math.log10(total["n"] + SMOOTH * (total["v"] + 1))
     return out.select(
         F.col("key").alias(key), "held_out", F.col("n_tokens"),
-        (F.col("n_common") + F.coalesce("known", F.lit(0))).cast("long").alias("n_known"),
+        (F.col("n_common") + F.col("known")).cast("long").alias("n_known"),
         F.lit(total["n"]).cast("long").alias("train_tokens"),
         (F.col("common_log") + beyond - F.col("n_tokens") * F.lit(below)).alias("base_score"),
-        (F.col("score_part") + beyond + F.coalesce("weights", F.lit(0.0))).alias("score"))
+        (F.col("score_part") + beyond + F.col("weights") / F.lit(LN10)).alias("score"))

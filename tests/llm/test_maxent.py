@@ -1,5 +1,6 @@
 """Operator 7: exact base scores, a proper law, and better than the base on held-out text."""
 
+import copy
 import math
 import random
 from collections import Counter
@@ -179,6 +180,39 @@ def test_scores_are_those_of_the_written_out_law(small, bounds):
         assert math.isclose(found[i], want, rel_tol=1e-5), (i, found[i], want)
 
 
+def test_pairs_are_shuffled_packed(spark, small, monkeypatch):
+    """Once a task and part instead of one row a pair, none lost; equal for any number of parts."""
+    rows, docs, plain = small
+    vocabulary = copy.copy(plain.vocabulary)
+    vocabulary.parts = parts = 4
+    held = spark.sparkContext.broadcast(vocabulary)
+    training = docs.where(F.col("doc_id").isin([i for i, _ in rows if cases.crc(i) % 10 != 0]))
+    found = maxent.count_contexts(training, held).collect()
+    assert len(found) <= 3 * parts and {r["part"] for r in found} == set(range(parts))
+    got = Counter()
+    for r in found:
+        for key, n in zip(maxent.unpacked_names(r["names"]).tolist(), maxent.unpacked(r["counts"]).tolist()):
+            got[key] += n
+    want = Counter()
+    for i, text in rows:
+        if cases.crc(i) % 10 != 0:
+            tokens = [int(maxent.START), *(name(w) for w in text.split()), int(maxent.END)]
+            want.update(plain.pair(a, b) for a, b in zip(tokens, tokens[1:]))
+    classes = {key: n for key, n in got.items() if (key >> 58) % 64 == maxent.HISTORY}
+    assert {key: n for key, n in got.items() if key not in classes} == want and sum(classes.values()) == sum(want.values())
+    one = {r["doc_id"]: r["score"] for r in maxent.score(docs, steps=6, common=24, words=3, pairs=5).collect()}
+    monkeypatch.setattr(maxent, "PART", 2000)
+    many = {r["doc_id"]: r["score"] for r in maxent.score(docs, steps=6, common=24, words=3, pairs=5).collect()}
+    assert one.keys() == many.keys() and all(math.isclose(one[k], many[k], rel_tol=1e-6) for k in one)
+
+
+def test_most_used_rows_are_at_most_so_many(spark):
+    table = spark.createDataFrame([(i, 1 + i % 3) for i in range(300)], "key long, n long")
+    for limit in (0, 3, 100, 150, 299, 300, 1000):
+        found = [r["n"] for r in table.where(maxent.most_used(table, "key", limit)).collect()]
+        assert min(limit, 300) - 5 <= len(found) <= limit and sum(n == 3 for n in found) == min(len(found), 100)
+
+
 def test_model_grows_with_the_corpus(spark):
     sizes = []
     for n in (100, 400):
