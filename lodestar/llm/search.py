@@ -85,6 +85,7 @@ class ImpactIndex:
             dim.append(np.full(len(cuts) + 1, d))
         self.dim, self.first, self.end = np.concatenate(dim), np.concatenate(first), np.concatenate(end)
         self.low, self.high = self.ranked[self.dim, self.first], self.ranked[self.dim, self.end - 1]
+        self.start = np.searchsorted(self.dim, np.arange(dims + 1))  # each dimension's first segment
 
     def top(self, query: np.ndarray, k: int, own: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(rows, exact scores) of every vector that can be among the k best, unordered.
@@ -94,32 +95,43 @@ class ImpactIndex:
         and the sum over the dimensions of the greatest impact not yet processed."""
         n = len(self.vectors)
         floor = np.minimum(query * self.least, query * self.most)
-        q = query[self.dim]
-        impact = np.maximum(q * self.low, q * self.high) - floor[self.dim]  # a segment's greatest
-        turn = np.argsort(-impact, kind="stable")
-        turn = turn[impact[turn] > 0]  # postings at their dimension's least add nothing
         gained = np.zeros(n, self.vectors.dtype)
         if own is not None:
             gained[own] = BELOW if gained.dtype == object else np.iinfo(np.int64).min // 2
-        ahead = np.zeros(len(query), self.vectors.dtype)  # greatest impact left in each dimension
-        np.maximum.at(ahead, self.dim, impact)
-        queue = [impact[turn[self.dim[turn] == d]].tolist()[::-1] for d in range(len(query))]
-        dims, firsts, ends = self.dim[turn].tolist(), self.first[turn].tolist(), self.end[turn].tolist()
-        few, unseen, pause = max(4 * k, n // 64), int(ahead.sum()), len(turn) // 2
-        for step, (d, first, end) in enumerate(zip(dims, firsts, ends)):
-            gained[self.order[d, first:end]] += query[d] * self.ranked[d, first:end] - floor[d]
-            left = queue[d]
-            unseen -= left.pop()
-            unseen += left[-1] if left else 0
-            if step >= pause:
-                if np.count_nonzero(gained + unseen >= self._kth(gained, k)) <= few:
-                    break
-                pause = step + 1 + (len(turn) - step) // 4
+        few, unseen = max(4 * k, n // 64), 0
+        for spans, unseen, last in self.rounds(query, floor):
+            for d, first, end in spans:
+                np.add.at(gained, self.order[d, first:end], query[d] * self.ranked[d, first:end] - floor[d])
+            if not last and np.count_nonzero(gained + unseen >= self._kth(gained, k)) <= few:
+                break
         members = np.flatnonzero(gained + unseen >= self._kth(gained, k))
         if own is not None:
             members = members[members != own]
         return members, self.vectors[members] @ query
 
+    def rounds(self, query: np.ndarray, floor: np.ndarray):
+        """(postings, what is unseen after them, whether they are the last) of each round: the segments
+        next in descending order of impact, half of all and then a quarter of the rest.  Those of one
+        dimension lie side by side in a round, so they are one span (dimension, first, end)."""
+        q = query[self.dim]
+        impact = np.maximum(q * self.low, q * self.high) - floor[self.dim]  # a segment's greatest
+        turn = np.argsort(-impact, kind="stable")
+        turn = turn[impact[turn] > 0]  # postings at their dimension's least add nothing
+        dims, up, sizes = len(query), query > 0, np.bincount(self.dim[turn], minlength=len(query))
+        done, at, total = np.zeros(dims, np.int64), 0, len(turn)
+        while at < total:
+            end = min(total, at + (total - at + 1) // 4 + 1 if at else total // 2 + 1)
+            now = done + np.bincount(self.dim[turn[at:end]], minlength=dims)
+            some = np.flatnonzero(now > done)
+            # greatest values first for a positive component, least first for a negative one
+            low = np.where(up, self.start[1:] - now, self.start[:-1] + done)[some]
+            high = np.where(up, self.start[1:] - done, self.start[:-1] + now)[some] - 1
+            left = np.flatnonzero(now < sizes)
+            ahead = np.where(up, self.start[1:] - now - 1, self.start[:-1] + now)[left]
+            spans = zip(some.tolist(), self.first[low].tolist(), self.end[high].tolist())
+            yield spans, int(impact[ahead].sum()), end == total
+            done, at = now, end
+
     @staticmethod
     def _kth(lower: np.ndarray, k: int) -> int:
         return np.partition(lower, len(lower) - k)[len(lower) - k] if len(lower) >= k else BELOW if lower.dtype == object else np.iinfo(np.int64).min

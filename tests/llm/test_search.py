@@ -57,6 +57,31 @@ def test_bounds_hold_and_processing_stops_early():
         assert sorted(scores)[-5:] == sorted(exact)[-5:] and len(rows) < 300
 
 
+@pytest.mark.parametrize("dtype", [np.int64, object])
+def test_each_dimension_is_one_span_a_round(dtype):
+    """In descending order of impact, every posting that adds anything once, and few spans for many segments."""
+    rng = np.random.default_rng(6)
+    vectors = rng.integers(-300, 300, (2000, 12))
+    vectors[:, 3], vectors[:, 4] = 7, rng.integers(0, 2, 2000)
+    index = search.ImpactIndex(vectors.astype(dtype))
+    for query in rng.integers(-300, 300, (20, 12)) * (rng.random((20, 12)) < 0.8):
+        query = query.astype(dtype)
+        floor = np.minimum(query * index.least, query * index.most)
+        gained, spans, before = np.zeros(2000, dtype), 0, None
+        for some, unseen, last in index.rounds(query, floor):
+            new = np.zeros(2000, dtype)
+            for d, first, end in some:
+                new[index.order[d, first:end]] += query[d] * index.ranked[d, first:end] - floor[d]
+                spans += 1
+            gained += new
+            exact = vectors.astype(dtype) @ query - floor.sum()
+            assert (gained <= exact).all() and (exact <= gained + unseen).all()
+            assert before is None or unseen <= before
+            assert last == (unseen == 0)
+            before = unseen
+        assert (gained == exact).all() and spans < len(index.dim) / 2
+
+
 def test_components_of_any_size(spark):
     rng = np.random.default_rng(8)
     sizes = [1e-300, 0.25, 1.0, 1e7, 1e15, 1e150, 1e300, 1.7e308]
