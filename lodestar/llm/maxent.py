@@ -570,6 +570,7 @@ TABLE = 3  # added to one of these: the table itself
 PACKED = ["kind byte", "names binary", "uids binary", "codes binary", "values binary"]
 TOLD = ["n_tokens long", "n_common long", "common_log double", "score_part double"]
 ADDED = ["known long", "more double", "weights double"]
+SUMS = ["uids binary", *(f"{c.split()[0]} binary" for c in ADDED)]
 
 
 def read(docs: DataFrame, vocabulary, held) -> DataFrame:
@@ -667,8 +668,9 @@ def packed_rows(table: DataFrame, what: int, parts: int) -> DataFrame:
 
 
 def answers(told: DataFrame, counts: DataFrame, trained: Trained, parts: int) -> DataFrame:
-    """The rows of ``told`` of texts, and one row for each text and part with what the tables beyond the
-    broadcast add: known words, their logs, and weights.  One shuffle of what is asked and of the tables."""
+    """A row for each text: what it alone tells, and what the tables beyond the broadcast add: known words,
+    their logs, and weights.  One shuffle of what is asked and of the tables, one of the sums, packed by
+    parts of texts, so their rows do not multiply with texts and parts."""
     held = trained.held
     weights = trained.weights.where(~trained.held_weights).select("key", "value", "part")
     thetas = trained.thetas.where(~trained.held_thetas).select(F.col("a").alias("key"), "classes", "theta")
@@ -698,6 +700,14 @@ def answers(told: DataFrame, counts: DataFrame, trained: Trained, parts: int) ->
         out[found] = gain[place]
         return out
 
+    text_names = ["uid", "key", "held_out", *(c.split()[0] for c in TOLD)]
+
+    def fill(rows):
+        for c in SUMS:
+            if c.split()[0] not in rows.column_names:
+                rows = rows.append_column(c.split()[0], pa.nulls(len(rows), pa.binary()))
+        return rows
+
     def run(asked):
         texts = asked.filter(pc.is_null(asked["kind"]))
         out = [[], [], [], []]
@@ -723,15 +733,32 @@ def answers(told: DataFrame, counts: DataFrame, trained: Trained, parts: int) ->
                     added = zero, zero, sum(np.where(f, value[at], 0) for f, at in (find(key, x) for x in asks))
             for o, x in zip(out, (uids, *added)):
                 o.append(x)
-        uids, place = np.unique(np.concatenate(out[0] or [np.zeros(0, np.int64)]), return_inverse=True)
-        sums = [pa.array(np.bincount(place, weights=np.concatenate(o), minlength=len(uids))) if len(uids) else pa.nulls(0, pa.float64()) for o in out[1:]]
-        of_texts = texts.select(["uid", "key", "held_out", *(c.split()[0] for c in TOLD)])
-        more = pa.table([pa.array(uids), sums[0].cast(pa.int64()), *sums[1:]], ["uid", *(c.split()[0] for c in ADDED)])
-        return pa.concat_tables([of_texts, more], promote_options="default")
+        of_texts = texts.select(["part", *text_names])
+        if not out[0]:
+            return fill(of_texts)
+        uids, place = np.unique(np.concatenate(out[0]), return_inverse=True)
+        sums = [np.bincount(place, weights=np.concatenate(o), minlength=len(uids)) for o in out[1:]]
+        part, *blobs = zip(*dealt(np.mod(uids, parts), uids, *sums))
+        more = pa.table([pa.array(part, pa.int32()), *(pa.array(b, pa.binary()) for b in blobs)], ["part", *(c.split()[0] for c in SUMS)])
+        return fill(pa.concat_tables([of_texts, more], promote_options="default"))
+
+    def add(rows):
+        """The texts of a part with the sums of what was added to them."""
+        texts, more = rows.filter(pc.is_valid(rows["uid"])).combine_chunks(), rows.filter(pc.is_null(rows["uid"]))
+        order = np.argsort(np.asarray(texts["uid"]))
+        texts = texts.take(pa.array(order))
+        sums = np.zeros((len(ADDED), len(texts)))
+        for row in more.select([c.split()[0] for c in SUMS]).to_pylist():
+            at = np.searchsorted(np.asarray(texts["uid"]), unpacked_names(row["uids"]))
+            for i, c in enumerate(ADDED):
+                sums[i, at] += unpacked(row[c.split()[0]]).view(float)
+        columns = [pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])]
+        return pa.Table.from_arrays([*(texts[c] for c in text_names), *columns], [*text_names, *(c.split()[0] for c in ADDED)])
 
     kind = told.schema["key"].dataType.simpleString()
-    return told.groupBy("part").applyInArrow(
-        run, f"uid long, key {kind}, held_out boolean, {', '.join(TOLD)}, {', '.join(ADDED)}")
+    of_text = f"uid long, key {kind}, held_out boolean, {', '.join(TOLD)}"
+    summed = told.groupBy("part").applyInArrow(run, f"part int, {of_text}, {', '.join(SUMS)}")
+    return summed.groupBy("part").applyInArrow(add, f"{of_text}, {', '.join(ADDED)}")
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", common: int = 200_000, **options) -> DataFrame:
@@ -751,11 +778,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", common: int
     told = read(with_uid(rows), vocabulary, trained.held)
     token, n = (frequent[c][-1].as_py() if len(frequent) else 0 for c in ("token", "n"))
     beyond = counts.where((F.col("n") < n) | ((F.col("n") == n) & (F.col("token") > token)))
-    told = answers(told, beyond, trained, vocabulary.value.parts)
-    out = told.groupBy("uid").agg(
-        F.first("key", ignorenulls=True).alias("key"), F.max("held_out").alias("held_out"),
-        *(F.sum(c).alias(c) for c in ("n_tokens", "n_common", "common_log", "score_part")),
-        *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("known", "more", "weights")))
+    out = answers(told, beyond, trained, vocabulary.value.parts)
     # every token beyond the common ones counts as unknown first; the tables add what the known ones have on top
     beyond = (F.col("n_tokens") - F.col("n_common")) * F.log10(F.lit(SMOOTH)) + F.col("more")
     below = math.log10(total["n"] + SMOOTH * (total["v"] + 1))
